@@ -1,0 +1,37 @@
+"""Join helpers with an explicit, checked broadcast decision.
+
+A dimension is broadcast only after a bounded count proves it has at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading as soon as
+the bound is exceeded).  Above the bound the join is left to the planner:
+a shuffled sort-merge join whose skewed partitions AQE splits at runtime.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast.  Dimensions are projected
+# to a few narrow columns before the check, so this bounds the broadcast at a
+# few tens of MB per executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def join_dimension(
+    fact: DataFrame,
+    dim: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join a (large) fact to a dimension, broadcasting the dimension if small."""
+    return fact.join(maybe_broadcast(dim, max_rows), on, how)
