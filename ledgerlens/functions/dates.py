@@ -102,4 +102,4 @@ def on_day(d, day: dt.date) -> Column:
 
 def parse_iso_date(text) -> Column:
     """'%Y-%m-%d' parse; anything else (e.g. a trailing time) gives NULL."""
-    return F.try_to_date(_c(text), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_c(text), "yyyy-MM-dd")

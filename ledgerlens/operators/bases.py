@@ -53,28 +53,12 @@ def _ladder(value, limits, at_most: bool):
     return expr.otherwise(F.lit(1))
 
 
-def rfm_scored(
-    base: DataFrame,
-    recency=RECENCY_LIMITS,
-    frequency=FREQUENCY_LIMITS,
-    monetary=MONETARY_LIMITS,
-) -> DataFrame:
-    """Adds recency/frequency/monetary scores (1-5) and the segment label.
-
-    Segment rules, first match wins: all >= 4 Champions; all >= 3 Loyal;
+def segment_label(r, f, m):
+    """Segment rules, first match wins: all >= 4 Champions; all >= 3 Loyal;
     R >= 4 and F <= 2 New; R <= 2, F >= 3, M >= 3 At Risk; R <= 2 and
-    F <= 2 Lost; everything else Potential Loyalists.
-    """
-    scored = base.withColumns(
-        {
-            "recency_score": _ladder(F.col("days_since"), recency, at_most=True),
-            "frequency_score": _ladder(F.col("total_transactions"), frequency, at_most=False),
-            "monetary_score": _ladder(F.col("total_spent"), monetary, at_most=False),
-        }
-    )
-    r, f, m = (F.col(c) for c in ("recency_score", "frequency_score", "monetary_score"))
+    F <= 2 Lost; everything else Potential Loyalists."""
     champions, loyal, new, at_risk, lost, potential = SEGMENTS
-    segment = (
+    return (
         F.when((r >= 4) & (f >= 4) & (m >= 4), F.lit(champions))
         .when((r >= 3) & (f >= 3) & (m >= 3), F.lit(loyal))
         .when((r >= 4) & (f <= 2), F.lit(new))
@@ -82,4 +66,36 @@ def rfm_scored(
         .when((r <= 2) & (f <= 2), F.lit(lost))
         .otherwise(F.lit(potential))
     )
-    return scored.withColumn("customer_segment", segment)
+
+
+def scores(days_since, n, spent, recency=RECENCY_LIMITS, frequency=FREQUENCY_LIMITS,
+           monetary=MONETARY_LIMITS):
+    """(recency_score, frequency_score, monetary_score) expressions, 1-5."""
+    return (
+        _ladder(days_since, recency, at_most=True),
+        _ladder(n, frequency, at_most=False),
+        _ladder(spent, monetary, at_most=False),
+    )
+
+
+def segment_of(days_since, n, spent, recency=RECENCY_LIMITS, frequency=FREQUENCY_LIMITS,
+               monetary=MONETARY_LIMITS):
+    return segment_label(*scores(days_since, n, spent, recency, frequency, monetary))
+
+
+def rfm_scored(
+    base: DataFrame,
+    recency=RECENCY_LIMITS,
+    frequency=FREQUENCY_LIMITS,
+    monetary=MONETARY_LIMITS,
+) -> DataFrame:
+    """Adds recency/frequency/monetary scores (1-5) and the segment label."""
+    r, f, m = scores(
+        F.col("days_since"), F.col("total_transactions"), F.col("total_spent"),
+        recency, frequency, monetary,
+    )
+    scored = base.withColumns({"recency_score": r, "frequency_score": f, "monetary_score": m})
+    return scored.withColumn(
+        "customer_segment",
+        segment_label(F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")),
+    )

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import analytics as A
 from ledgerlens.plans import oracle as O
@@ -351,3 +352,562 @@ SELECT 'Active Products', CAST((SELECT COUNT(*) FROM products WHERE is_active =
 def q_executive_summary(spark, sf_dir):
     src = _src(spark, sf_dir)
     return A.executive_summary(src.sales(), src.products(), src.as_of())
+
+
+# ============================================================ functions
+from ledgerlens.operators import cleaning as E  # noqa: E402
+from ledgerlens.operators import dashboard as DB  # noqa: E402
+from ledgerlens.operators import derived as DV  # noqa: E402
+from ledgerlens.operators import quality as K  # noqa: E402
+from ledgerlens.session import shared_dir  # noqa: E402
+from ledgerlens.sources import landing as L  # noqa: E402
+from ledgerlens.sources.tables import TABLE_SCHEMAS  # noqa: E402
+from ledgerlens.streaming.landing_stream import ingest_available  # noqa: E402
+
+
+@register(
+    "date_functions",
+    O.with_views(
+        """
+t AS (SELECT customer_id, transaction_date AS d FROM order_transactions)
+SELECT customer_id, d AS transaction_ts,
+       strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%Y-%m') AS year_month,
+       CAST(dayofweek(d) AS INTEGER) AS weekday_index, strftime(d, '%A') AS weekday_name,
+       CAST(month(d) AS INTEGER) AS month_number, strftime(d, '%B') AS month_name,
+       'Q' || CASE WHEN month(d) IN (1,2,3) THEN '1' WHEN month(d) IN (4,5,6) THEN '2'
+                   WHEN month(d) IN (7,8,9) THEN '3' ELSE '4' END AS quarter,
+       CAST(d AS DATE) AS day,
+       date_diff('microsecond', d, (SELECT ts FROM as_of)) / 86400000000.0 AS days_since,
+       date_diff('microsecond', d, (SELECT ts FROM as_of)) / 3600000000.0 AS hours_since,
+       (SELECT d FROM as_of) - 30 AS window_start,
+       d >= (SELECT d FROM as_of) - 30 AS in_window,
+       CAST(try_strptime(strftime(d, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS parsed_day,
+       CAST(try_strptime(strftime(d, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d') AS DATE) AS parsed_with_time
+FROM t
+"""
+    ),
+)
+def q_date_functions(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DV.date_fields(src.orders(), src.as_of())
+
+
+@register(
+    "format_functions",
+    O.with_views(
+        f"""
+SELECT customer_id, transaction_date, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(ROUND(total_amount, 0) AS DOUBLE) AS amount_round0,
+       CAST(ROUND(total_amount, 1) AS DOUBLE) AS amount_round1,
+       CAST(ROUND(total_amount, 2) AS DOUBLE) AS amount_round2,
+       {O.money_text('total_amount')} AS money_text,
+       format('{{:,.2f}}', total_amount) AS thousands_text,
+       CAST(customer_id AS VARCHAR) AS customer_text,
+       'C-' || CAST(customer_id AS VARCHAR) || '/' || strftime(transaction_date, '%Y-%m') AS label
+FROM order_transactions
+"""
+    ),
+)
+def q_format_functions(spark, sf_dir):
+    return DV.format_fields(_src(spark, sf_dir).orders())
+
+
+# ============================================================ quality
+def _today(col: str = "transaction_date") -> str:
+    return (
+        f"{col} >= CAST((SELECT d FROM as_of) AS TIMESTAMP) "
+        f"AND {col} < CAST((SELECT d FROM as_of) + 1 AS TIMESTAMP)"
+    )
+
+
+@register(
+    "quality_checks",
+    O.with_views(
+        f"""
+k AS (
+    SELECT COUNT(*) FILTER (WHERE {_today()}) AS daily_count,
+           COALESCE(MAX(total_amount) FILTER (WHERE {_today()}), 0) AS biggest,
+           date_diff('microsecond', CAST(CAST(MAX(transaction_date) AS DATE) AS TIMESTAMP),
+                     (SELECT ts FROM as_of)) / 3600000000.0 AS hours
+    FROM order_transactions
+)
+SELECT 'daily_volume' AS check_name, CAST(daily_count AS DOUBLE) AS observed, 100.0 AS threshold,
+       daily_count >= 100 AS passed,
+       CASE WHEN daily_count >= 100 THEN 'OK'
+            ELSE 'Low transaction count today: ' || CAST(daily_count AS VARCHAR) || ' (expected: >100)' END
+         AS message
+FROM k
+UNION ALL
+SELECT 'amount_outlier', CAST(biggest AS DOUBLE), 10000.0, biggest <= 10000,
+       CASE WHEN biggest <= 10000 THEN 'OK'
+            ELSE 'Unusually high transaction detected: $' || format('{{:,.2f}}', biggest) END
+FROM k
+UNION ALL
+SELECT 'freshness', hours, 24.0, hours IS NULL OR hours <= 24,
+       CASE WHEN hours IS NULL OR hours <= 24 THEN 'OK'
+            ELSE 'Data is stale: ' || printf('%.1f', hours) || ' hours old (threshold: 24h)' END
+FROM k
+"""
+    ),
+)
+def q_quality_checks(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return K.quality_checks(src.orders(), src.as_of())
+
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@register(
+    "duplicate_ratio",
+    """
+WITH per_key AS (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2),
+t AS (SELECT SUM(n) AS total_rows, COUNT(*) AS keys FROM per_key)
+SELECT 'duplicate_ratio' AS check_name,
+       CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) AS observed,
+       0.05 AS threshold,
+       COALESCE(CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) <= 0.05, TRUE)
+         AS passed,
+       CASE WHEN COALESCE(CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) <= 0.05, TRUE)
+            THEN 'OK' ELSE 'duplicate ratio above threshold on l_orderkey, l_linenumber' END AS message
+FROM t
+""",
+)
+def q_duplicate_ratio(spark, sf_dir):
+    return K.duplicate_ratio(_src(spark, sf_dir).table("lineitem"), LINE_KEYS)
+
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _missing_sql() -> str:
+    parts = []
+    for c in EVENT_COLUMNS:
+        ratio = f"CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)"
+        passed = f"COALESCE({ratio} <= 0.1, TRUE)"
+        parts.append(
+            f"SELECT 'missing_ratio:{c}' AS check_name, {ratio} AS observed, 0.1 AS threshold, "
+            f"{passed} AS passed, CASE WHEN {passed} THEN 'OK' "
+            f"ELSE 'too many missing values in {c}' END AS message FROM events"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("missing_ratio", _missing_sql())
+def q_missing_ratio(spark, sf_dir):
+    return K.missing_ratio(_src(spark, sf_dir).events(), EVENT_COLUMNS)
+
+
+# ============================================================ cleaning
+LINE_ORDER = ["l_shipdate"]
+_LINE_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_LINE_REST = [c for c in _LINE_COLS if c not in LINE_KEYS + LINE_ORDER]
+
+
+@register(
+    "dedupe_transactions",
+    f"""
+SELECT {', '.join(_LINE_COLS)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                 ORDER BY {', '.join(LINE_ORDER + _LINE_REST)}) AS rn
+    FROM lineitem
+) WHERE rn = 1
+""",
+)
+def q_dedupe_transactions(spark, sf_dir):
+    return E.dedupe_transactions(_src(spark, sf_dir).table("lineitem"), LINE_KEYS, LINE_ORDER)
+
+
+EVENT_FILLS = {"value": 0.0, "event_type": "unknown", "props": "{}"}
+EVENT_REQUIRED = ["event_id", "ts"]
+
+
+@register(
+    "fill_missing",
+    """
+SELECT event_id, ts, user_id, COALESCE(event_type, 'unknown') AS event_type,
+       COALESCE(value, 0.0) AS value, COALESCE(props, '{}') AS props
+FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL
+""",
+)
+def q_fill_missing(spark, sf_dir):
+    return E.fill_missing(_src(spark, sf_dir).events(), EVENT_FILLS, EVENT_REQUIRED)
+
+
+@register(
+    "validate_split",
+    O.with_views(
+        """
+r AS (
+    SELECT customer_id, product_id, transaction_date, quantity, total_amount,
+           concat_ws(';',
+             CASE WHEN NOT COALESCE(customer_id IS NOT NULL, FALSE) THEN 'missing_customer' END,
+             CASE WHEN NOT COALESCE(product_id IS NOT NULL, FALSE) THEN 'missing_product' END,
+             CASE WHEN NOT COALESCE(transaction_date IS NOT NULL, FALSE) THEN 'missing_date' END,
+             CASE WHEN NOT COALESCE(transaction_date <= (SELECT d FROM as_of), FALSE) THEN 'future_date' END,
+             CASE WHEN NOT COALESCE(quantity > 0, FALSE) THEN 'non_positive_quantity' END,
+             CASE WHEN NOT COALESCE(total_amount >= 0, FALSE) THEN 'negative_amount' END,
+             CASE WHEN NOT COALESCE(total_amount <= 10000, FALSE) THEN 'amount_over_limit' END
+           ) AS reject_reason
+    FROM sales_transactions
+)
+SELECT customer_id, product_id, transaction_date, quantity,
+       CAST(total_amount AS DOUBLE) AS total_amount, reject_reason, reject_reason = '' AS is_valid
+FROM r
+"""
+    ),
+)
+def q_validate_split(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    tagged = E.validate_split(src.sales(), E.sales_rules(src.as_of()))
+    return tagged.withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+@register(
+    "enrich_metrics",
+    O.with_views(
+        """
+SELECT s.customer_id, s.product_id, s.transaction_date,
+       strftime(s.transaction_date, '%Y-%m') AS year_month, s.quantity,
+       CAST(s.total_amount AS DOUBLE) AS total_amount,
+       CAST(s.total_amount AS DOUBLE) / NULLIF(s.quantity, 0) AS unit_price,
+       p.profit_margin,
+       CAST(ROUND(CAST(s.total_amount AS DECIMAL(20,4)) * CAST(p.profit_margin AS DECIMAL(20,4))
+                  * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS estimated_profit
+FROM sales_transactions s LEFT JOIN products p ON s.product_id = p.product_id
+"""
+    ),
+)
+def q_enrich_metrics(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return E.enrich_metrics(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+
+
+# ============================================================ sources / sinks
+_ORDERS_SQL = "SELECT * FROM orders"
+
+
+@register("landing_ingest", _ORDERS_SQL)
+def q_landing_ingest(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    landing = shared_dir(spark, "landing-orders")
+    L.write_landing(src.table("orders"), landing, "csv")
+    return L.landing_ingest(spark, landing, "csv", TABLE_SCHEMAS["orders"])
+
+
+@register("landing_ingest_stream", _ORDERS_SQL)
+def q_landing_ingest_stream(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    landing = shared_dir(spark, "landing-orders")
+    L.write_landing(src.table("orders"), landing, "json")
+    return ingest_available(
+        spark,
+        landing,
+        "json",
+        TABLE_SCHEMAS["orders"],
+        shared_dir(spark, "ingested-orders"),
+        shared_dir(spark, "ingest-checkpoint"),
+    )
+
+
+_LOADED_SCHEMA = (
+    "customer_id BIGINT, product_id BIGINT, transaction_date DATE, quantity DOUBLE, "
+    "total_amount DECIMAL(17,4), year_month STRING"
+)
+
+
+@register(
+    "clean_load_roundtrip",
+    O.with_views(
+        """
+SELECT customer_id, product_id, transaction_date, quantity,
+       CAST(total_amount AS DOUBLE) AS total_amount, strftime(transaction_date, '%Y-%m') AS year_month
+FROM sales_transactions
+"""
+    ),
+)
+def q_clean_load_roundtrip(spark, sf_dir):
+    from ledgerlens.functions import dates as Dt
+
+    sales = _src(spark, sf_dir).sales()
+    path = shared_dir(spark, "sales-by-month")
+    L.clean_load(sales.withColumn("year_month", Dt.year_month("transaction_date")), path, "year_month")
+    back = L.read_loaded(spark, path, _LOADED_SCHEMA)
+    return back.withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+SNAPSHOT_OFFSETS = (0, 3, 6, 9, 12)  # daily runs kept for 7 days
+SNAPSHOT_KEEP_DAYS = 7
+
+
+def _snapshot_sql() -> str:
+    kept = [o for o in SNAPSHOT_OFFSETS if o <= SNAPSHOT_KEEP_DAYS]
+    parts = [
+        f"""SELECT (SELECT d FROM as_of) - {o} AS snapshot_date, COUNT(*) AS row_count,
+       CAST(SUM(total_amount) AS DOUBLE) AS total_amount
+FROM order_transactions WHERE CAST(transaction_date AS DATE) <= (SELECT d FROM as_of) - {o}"""
+        for o in kept
+    ]
+    return O.with_views("u AS (" + "\nUNION ALL\n".join(parts) + ")\nSELECT * FROM u WHERE row_count > 0")
+
+
+@register("snapshot_retention", _snapshot_sql())
+def q_snapshot_retention(spark, sf_dir):
+    import datetime as dt
+
+    src = _src(spark, sf_dir)
+    as_of = src.as_of()
+    path = shared_dir(spark, "order-snapshots")
+    days = [as_of.date() - dt.timedelta(days=o) for o in SNAPSHOT_OFFSETS]
+    L.write_snapshots(src.orders(), path, days, "transaction_date")
+    L.expire_snapshots(spark, path, as_of, SNAPSHOT_KEEP_DAYS)
+    schema = "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(18,2)"
+    return L.snapshot_summary(spark, path, schema, "total_amount")
+
+
+# ============================================================ dashboard / KPI report
+@register(
+    "daily_revenue",
+    O.with_views(
+        """
+SELECT transaction_date, CAST(SUM(total_amount) AS DOUBLE) AS revenue, COUNT(*) AS transaction_count
+FROM sales_transactions GROUP BY 1 ORDER BY 1
+"""
+    ),
+)
+def q_daily_revenue(spark, sf_dir):
+    return DB.daily_revenue(_src(spark, sf_dir).sales())
+
+
+@register(
+    "kpi_revenue_trends",
+    O.with_views(
+        f"""
+m AS (
+    SELECT strftime(transaction_date, '%Y-%m') AS year_month, SUM(total_amount) AS rev,
+           COUNT(*) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers
+    FROM order_transactions GROUP BY 1
+)
+SELECT year_month, CAST(rev AS DOUBLE) AS revenue, order_count, unique_customers,
+       CAST({O.round_ratio('rev', 'order_count', 2, 2)} AS DOUBLE) AS avg_order_value
+FROM m ORDER BY 1
+"""
+    ),
+)
+def q_kpi_revenue_trends(spark, sf_dir):
+    return DB.kpi_revenue_trends(_src(spark, sf_dir).orders())
+
+
+@register(
+    "kpi_top_products",
+    O.with_views(
+        """
+a AS (SELECT product_id, SUM(total_amount) AS rev, SUM(quantity) AS units_sold
+      FROM sales_transactions GROUP BY 1)
+SELECT a.product_id, p.product_name, p.category, CAST(a.rev AS DOUBLE) AS total_revenue, a.units_sold
+FROM a JOIN products p ON a.product_id = p.product_id
+ORDER BY total_revenue DESC, a.product_id LIMIT 10
+"""
+    ),
+)
+def q_kpi_top_products(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_top_products(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+
+
+def _segments_sql(select: str) -> str:
+    return O.with_views(
+        f"""
+base AS (
+    SELECT customer_id, COUNT(*) AS frequency, SUM(total_amount) AS monetary_value,
+           {O.DAYS_SINCE.format(col='MAX(transaction_date)')} AS recency_days
+    FROM order_transactions GROUP BY customer_id
+),
+scores AS (
+    SELECT *,
+      CASE WHEN recency_days <= 30 THEN 5 WHEN recency_days <= 60 THEN 4
+           WHEN recency_days <= 90 THEN 3 WHEN recency_days <= 180 THEN 2 ELSE 1 END AS r,
+      CASE WHEN frequency >= 20 THEN 5 WHEN frequency >= 15 THEN 4
+           WHEN frequency >= 10 THEN 3 WHEN frequency >= 5 THEN 2 ELSE 1 END AS f,
+      CASE WHEN monetary_value >= 5000 THEN 5 WHEN monetary_value >= 2000 THEN 4
+           WHEN monetary_value >= 1000 THEN 3 WHEN monetary_value >= 500 THEN 2 ELSE 1 END AS m
+    FROM base
+),
+seg AS (
+    SELECT *, CASE
+        WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
+        WHEN r >= 3 AND f >= 3 AND m >= 3 THEN 'Loyal Customers'
+        WHEN r >= 4 AND f <= 2 THEN 'New Customers'
+        WHEN r <= 2 AND f >= 3 AND m >= 3 THEN 'At Risk'
+        WHEN r <= 2 AND f <= 2 THEN 'Lost Customers'
+        ELSE 'Potential Loyalists' END AS customer_segment
+    FROM scores
+)
+{select}
+"""
+    )
+
+
+@register(
+    "kpi_customer_segments",
+    _segments_sql(
+        f"""
+, g AS (SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent
+       FROM seg GROUP BY 1)
+SELECT customer_segment, customer_count, CAST(spent AS DOUBLE) AS total_purchase_value,
+       CAST({O.round_ratio('spent', 'customer_count', 2, 2)} AS DOUBLE) AS avg_purchase_value
+FROM g
+"""
+    ).replace("\n)\n\n, g AS", "\n),\ng AS"),
+)
+def q_kpi_customer_segments(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_customer_segments(src.orders(), src.as_of())
+
+
+@register(
+    "regional_share",
+    O.with_views(
+        f"""
+a AS (SELECT region, SUM(total_amount) AS rev FROM sales_transactions GROUP BY 1)
+SELECT region, CAST(rev AS DOUBLE) AS revenue,
+       CAST({O.round_ratio('rev * 100', 'SUM(rev) OVER ()', 2, 4)} AS DOUBLE) AS share_pct,
+       CAST(SUM(rev) OVER () AS DOUBLE) AS grand_total
+FROM a
+"""
+    ),
+)
+def q_regional_share(spark, sf_dir):
+    return DB.regional_share(_src(spark, sf_dir).sales(region=True))
+
+
+@register(
+    "day_hour_heatmap",
+    f"""
+WITH c AS (
+    SELECT CAST(isodow(ts) - 1 AS INTEGER) AS day_index, strftime(ts, '%A') AS day_name,
+           CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS events,
+           SUM(CAST(value AS DECIMAL(14,2))) AS v
+    FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3
+)
+SELECT day_index, day_name, hour, events, CAST(v AS DOUBLE) AS activity,
+       CAST({O.round_ratio('v * 100', 'MAX(v) OVER ()', 1, 2)} AS DOUBLE) AS intensity_pct
+FROM c
+""",
+)
+def q_day_hour_heatmap(spark, sf_dir):
+    return DB.day_hour_heatmap(_src(spark, sf_dir).events())
+
+
+def _kpi_cards_sql(days: int = 30) -> str:
+    cur = f"transaction_date >= (SELECT d FROM as_of) - {days}"
+    prev = f"transaction_date >= (SELECT d FROM as_of) - {2 * days} AND NOT ({cur})"
+    upto = f"transaction_date <= (SELECT ts FROM as_of) - INTERVAL {days} DAY"
+
+    def seg(last, n, spent, at):
+        rd = f"(date_diff('microsecond', {last}, {at}) / 86400000000.0)"
+        return f"""CASE
+        WHEN r_{last} >= 4 AND f_{last} >= 4 AND m_{last} >= 4 THEN 'Champions'
+        WHEN r_{last} >= 3 AND f_{last} >= 3 AND m_{last} >= 3 THEN 'Loyal Customers'
+        WHEN r_{last} >= 4 AND f_{last} <= 2 THEN 'New Customers'
+        WHEN r_{last} <= 2 AND f_{last} >= 3 AND m_{last} >= 3 THEN 'At Risk'
+        WHEN r_{last} <= 2 AND f_{last} <= 2 THEN 'Lost Customers'
+        ELSE 'Potential Loyalists' END""", f"""
+      CASE WHEN {rd} <= 30 THEN 5 WHEN {rd} <= 60 THEN 4
+           WHEN {rd} <= 90 THEN 3 WHEN {rd} <= 180 THEN 2 ELSE 1 END AS r_{last},
+      CASE WHEN {n} >= 20 THEN 5 WHEN {n} >= 15 THEN 4
+           WHEN {n} >= 10 THEN 3 WHEN {n} >= 5 THEN 2 ELSE 1 END AS f_{last},
+      CASE WHEN {spent} >= 5000 THEN 5 WHEN {spent} >= 2000 THEN 4
+           WHEN {spent} >= 1000 THEN 3 WHEN {spent} >= 500 THEN 2 ELSE 1 END AS m_{last}"""
+
+    cur_seg, cur_scores = seg("last_d", "n_all", "spent_all", "(SELECT ts FROM as_of)")
+    prev_seg, prev_scores = seg(
+        "prev_last", "prev_n_all", "prev_spent", f"((SELECT ts FROM as_of) - INTERVAL {days} DAY)"
+    )
+    churn = "IN ('At Risk', 'Lost Customers')"
+    return O.with_views(
+        f"""
+pc AS (
+    SELECT customer_id,
+           SUM(total_amount) FILTER (WHERE {cur}) AS cur_rev,
+           COUNT(*) FILTER (WHERE {cur}) AS cur_n,
+           SUM(total_amount) FILTER (WHERE {prev}) AS prev_rev,
+           COUNT(*) FILTER (WHERE {prev}) AS prev_n,
+           MAX(transaction_date) AS last_d, COUNT(*) AS n_all, SUM(total_amount) AS spent_all,
+           MAX(transaction_date) FILTER (WHERE {upto}) AS prev_last,
+           COUNT(*) FILTER (WHERE {upto}) AS prev_n_all,
+           SUM(total_amount) FILTER (WHERE {upto}) AS prev_spent
+    FROM order_transactions GROUP BY customer_id
+),
+sc AS (SELECT *, {cur_scores}, {prev_scores} FROM pc),
+sg AS (SELECT *, {cur_seg} AS cur_seg, {prev_seg} AS prev_seg FROM sc),
+g AS (
+    SELECT SUM(cur_rev) AS cur_rev, SUM(cur_n) AS cur_n, COUNT(*) FILTER (WHERE cur_n > 0) AS cur_cust,
+           SUM(prev_rev) AS prev_rev, SUM(prev_n) AS prev_n,
+           COUNT(*) FILTER (WHERE prev_n > 0) AS prev_cust,
+           SUM(CASE WHEN cur_seg {churn} THEN 1 ELSE 0 END) AS cur_churn, COUNT(*) AS cur_all,
+           SUM(CASE WHEN prev_n_all > 0 THEN CASE WHEN prev_seg {churn} THEN 1 ELSE 0 END END) AS prev_churn,
+           COUNT(*) FILTER (WHERE prev_n_all > 0) AS prev_all
+    FROM sg
+),
+cards AS (
+    SELECT 'Total Revenue' AS metric, CAST(cur_rev AS DOUBLE) AS current_value,
+           CAST(prev_rev AS DOUBLE) AS previous_value FROM g
+    UNION ALL SELECT 'Active Customers', CAST(cur_cust AS DOUBLE), CAST(prev_cust AS DOUBLE) FROM g
+    UNION ALL SELECT 'Avg Order Value',
+           CAST({O.round_ratio('cur_rev', 'cur_n', 2, 2)} AS DOUBLE),
+           CAST({O.round_ratio('prev_rev', 'prev_n', 2, 2)} AS DOUBLE) FROM g
+    UNION ALL SELECT 'Churn Rate', {O.share_pct('cur_churn', 'cur_all')},
+           {O.share_pct('prev_churn', 'prev_all')} FROM g
+)
+SELECT *, (current_value - previous_value) / NULLIF(previous_value, 0) * 100.0 AS change_pct FROM cards
+"""
+    )
+
+
+@register("kpi_cards", _kpi_cards_sql())
+def q_kpi_cards(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_cards(src.orders(), src.as_of())
+
+
+def _kpi_by_range_sql() -> str:
+    parts = []
+    for label, days in DB.REPORTING_RANGES:
+        w = f"transaction_date >= (SELECT d FROM as_of) - {days}"
+        parts.append(
+            f"""SELECT '{label}' AS range_label, {days} AS days,
+       CAST(COALESCE(SUM(total_amount) FILTER (WHERE {w}), 0) AS DOUBLE) AS revenue,
+       COUNT(*) FILTER (WHERE {w}) AS order_count,
+       COUNT(DISTINCT customer_id) FILTER (WHERE {w}) AS customer_count,
+       CAST({O.round_ratio(f'SUM(total_amount) FILTER (WHERE {w})', f'COUNT(*) FILTER (WHERE {w})', 2, 2)}
+            AS DOUBLE) AS avg_order_value
+FROM order_transactions"""
+        )
+    return O.with_views("u AS (" + "\nUNION ALL\n".join(parts) + ")\nSELECT * FROM u")
+
+
+@register("kpi_by_range", _kpi_by_range_sql())
+def q_kpi_by_range(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_by_range(src.orders(), src.as_of())
+
+
+@register(
+    "monthly_revenue_12m",
+    O.with_views(
+        """
+SELECT strftime(transaction_date, '%Y-%m') AS year_month, CAST(SUM(total_amount) AS DOUBLE) AS revenue,
+       COUNT(*) AS transaction_count, COUNT(DISTINCT customer_id) AS unique_customers
+FROM sales_transactions
+WHERE transaction_date >= date_trunc('month', (SELECT d FROM as_of)) - INTERVAL 11 MONTH
+GROUP BY 1 ORDER BY 1
+"""
+    ),
+)
+def q_monthly_revenue_12m(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.monthly_revenue_12m(src.sales(), src.as_of())
