@@ -31,6 +31,12 @@ def year_month(d) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
+def month_start(d) -> Column:
+    """First day of the month: a cheap DATE grouping key; format it with
+    ``year_month`` after aggregation instead of formatting every fact row."""
+    return F.trunc(_c(d).cast("date"), "month")
+
+
 def weekday_index(d) -> Column:
     """0 = Sunday ... 6 = Saturday."""
     return F.dayofweek(_c(d)) - 1

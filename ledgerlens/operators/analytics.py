@@ -49,16 +49,16 @@ def revenue_growth(sales: DataFrame) -> DataFrame:
     LAG counts rows, not calendar months (a missing month shifts LAG 12);
     growth is 0 with no previous row and NULL when the previous revenue is 0.
     """
-    monthly = sales.groupBy(D.year_month("transaction_date").alias("year_month")).agg(
+    monthly = sales.groupBy(D.month_start("transaction_date").alias("_month")).agg(
         *_money_aggs(), F.countDistinct("customer_id").alias("unique_customers")
     )
     w = Window.orderBy("year_month")
     revenue = N.as_double("_revenue")
     return (
         monthly.select(
-            F.substring("year_month", 1, 4).alias("year"),
-            F.substring("year_month", 6, 2).alias("month"),
-            "year_month",
+            D.year_text("_month").alias("year"),
+            D.month_text("_month").alias("month"),
+            D.year_month("_month").alias("year_month"),
             revenue.alias("revenue"),
             F.col("_n").alias("transaction_count"),
             "unique_customers",
@@ -165,7 +165,7 @@ def category_trends(
     cats = products.select("product_id", "category")
     joined = sales.join(maybe_broadcast(cats, broadcast_rows), "product_id")
     return (
-        joined.groupBy("category", D.year_month("transaction_date").alias("month"))
+        joined.groupBy("category", D.month_start("transaction_date").alias("_month"))
         .agg(
             F.sum("total_amount").alias("_revenue"),
             F.sum("quantity").alias("units_sold"),
@@ -174,7 +174,7 @@ def category_trends(
         )
         .select(
             "category",
-            "month",
+            D.year_month("_month").alias("month"),
             N.as_double("_revenue").alias("monthly_revenue"),
             "units_sold",
             "unique_customers",
@@ -216,7 +216,7 @@ def rfm_segments(
 # ----------------------------------------------------------------------- Q6
 def regional_growth(sales: DataFrame) -> DataFrame:
     """Region x month revenue with month-on-month growth per region."""
-    monthly = sales.groupBy("region", D.year_month("transaction_date").alias("month")).agg(
+    monthly = sales.groupBy("region", D.month_start("transaction_date").alias("_month")).agg(
         F.sum("total_amount").alias("_revenue"),
         F.count(F.lit(1)).alias("transactions"),
         F.countDistinct("customer_id").alias("unique_customers"),
@@ -225,7 +225,7 @@ def regional_growth(sales: DataFrame) -> DataFrame:
     return (
         monthly.select(
             "region",
-            "month",
+            D.year_month("_month").alias("month"),
             N.as_double("_revenue").alias("revenue"),
             "transactions",
             "unique_customers",

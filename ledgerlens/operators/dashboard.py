@@ -51,14 +51,14 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
 def kpi_revenue_trends(orders: DataFrame) -> DataFrame:
     """Monthly sales, order volume and average order value (order grain)."""
     return (
-        orders.groupBy(D.year_month("transaction_date").alias("year_month"))
+        orders.groupBy(D.month_start("transaction_date").alias("_month"))
         .agg(
             F.sum("total_amount").alias("_rev"),
             F.count(F.lit(1)).alias("order_count"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(
-            "year_month",
+            D.year_month("_month").alias("year_month"),
             N.as_double("_rev").alias("revenue"),
             "order_count",
             "unique_customers",
@@ -275,14 +275,14 @@ def monthly_revenue_12m(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
     start = dt.date(y, m, 1)
     return (
         sales.filter(D.on_or_after("transaction_date", start))
-        .groupBy(D.year_month("transaction_date").alias("year_month"))
+        .groupBy(D.month_start("transaction_date").alias("_month"))
         .agg(
             F.sum("total_amount").alias("_rev"),
             F.count(F.lit(1)).alias("transaction_count"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(
-            "year_month",
+            D.year_month("_month").alias("year_month"),
             N.as_double("_rev").alias("revenue"),
             "transaction_count",
             "unique_customers",

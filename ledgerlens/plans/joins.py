@@ -17,13 +17,32 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+# Outcome of size checks keyed by a caller-chosen identity (e.g. table path
+# and bound), so one process probes each input once.
+_CHECKED: dict[tuple, bool] = {}
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def row_count_at_most(df: DataFrame, max_rows: int, memo_key: tuple | None = None) -> bool:
+    if memo_key is not None and (memo_key, max_rows) in _CHECKED:
+        return _CHECKED[(memo_key, max_rows)]
+    fits = df.limit(max_rows + 1).count() <= max_rows
+    if memo_key is not None:
+        _CHECKED[(memo_key, max_rows)] = fits
+    return fits
+
+
+def maybe_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, memo_key: tuple | None = None
+) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
+
+    Otherwise ``df`` is returned with a ``shuffle_merge`` hint, so the join is
+    a shuffled sort-merge join (AQE splits skewed partitions) and never an
+    estimate-driven broadcast of an unbounded input.
+    """
+    if row_count_at_most(df, max_rows, memo_key):
+        return F.broadcast(df)
+    return df.hint("shuffle_merge")
 
 
 def join_dimension(

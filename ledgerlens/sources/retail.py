@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 from ledgerlens.sources.tables import read_table
 
+_AS_OF: dict[str, dt.datetime] = {}
+
 MONEY_LINE = "decimal(12,2)"
 RATE = "decimal(3,2)"
 ORDER_MONEY = "decimal(18,2)"
@@ -58,16 +60,19 @@ class RetailSource:
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     _as_of: dt.datetime | None = field(default=None, repr=False)
 
-    def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.base, name)
+    def table(self, name: str, spread: bool = False) -> DataFrame:
+        return read_table(self.spark, self.base, name, spread)
 
     # ------------------------------------------------------------------ as_of
     def as_of(self) -> dt.datetime:
-        """The reporting instant: the latest order timestamp (one scalar)."""
+        """The reporting instant: the latest order timestamp (one scalar,
+        computed once per input folder and process)."""
         if self._as_of is None:
-            self._as_of = (
-                self.table("orders").agg(F.max("o_orderdate").alias("m")).first()["m"]
-            )
+            if self.base not in _AS_OF:
+                _AS_OF[self.base] = (
+                    self.table("orders").agg(F.max("o_orderdate").alias("m")).first()["m"]
+                )
+            self._as_of = _AS_OF[self.base]
         return self._as_of
 
     # ------------------------------------------------------------ dimensions
@@ -104,20 +109,25 @@ class RetailSource:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if region:
             orders = orders.join(
-                maybe_broadcast(self.customer_region(), self.broadcast_rows),
+                self._checked(self.customer_region(), "customer_region"),
                 F.col("o_custkey") == F.col("c_custkey"),
                 "left",
             )
-        lines = self.table("lineitem").select(
+        # the line-item fact carries the per-row work (join, exact amounts);
+        # spread it if its scan has fewer splits than the cluster has cores
+        lines = self.table("lineitem", spread=True).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount",
         )
         if sales_rep:
             lines = lines.join(
-                maybe_broadcast(self.sales_reps(), self.broadcast_rows),
+                self._checked(self.sales_reps(), "sales_reps"),
                 F.col("l_suppkey") == F.col("s_suppkey"),
                 "left",
             )
+        # The order side is broadcast only below the row bound; above it both
+        # facts are shuffled on the order key (sort-merge join).
+        orders = self._checked(orders, "orders" + ("+region" if region else ""))
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         cols = [
             F.col("o_custkey").alias("customer_id"),
@@ -135,6 +145,6 @@ class RetailSource:
     def events(self) -> DataFrame:
         return self.table("events")
 
-    def products_for_join(self, df: DataFrame | None = None) -> DataFrame:
-        """Products (or a projection of them) behind the checked broadcast."""
-        return maybe_broadcast(self.products() if df is None else df, self.broadcast_rows)
+    def _checked(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` behind the row-bounded broadcast check (memoised per input)."""
+        return maybe_broadcast(df, self.broadcast_rows, memo_key=(self.base, name))

@@ -38,5 +38,27 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(base, name))
+# Split count of each scanned path, so the check below plans each scan once.
+_SPLITS: dict[str, int] = {}
+
+
+def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
+    """Typed scan of one table.
+
+    Parquet cannot split a row group, so a table stored as a few large
+    files (or one file with one row group) yields fewer scan tasks than the
+    cluster has cores, and every operator before the first shuffle then runs
+    on those few tasks.  With ``spread`` such a scan is redistributed
+    round-robin to the default parallelism.  A table with at least that many
+    splits (any table at cluster scale) is returned untouched, so this never
+    adds a shuffle to a large input.  Filters and column pruning are still
+    pushed below the repartition into the scan.
+    """
+    path = table_path(base, name)
+    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
+    if not spread:
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return df.repartition(target) if _SPLITS[path] < target else df
