@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast, row_count_at_most
 from ledgerlens.sources.tables import read_table
 
 _AS_OF: dict[str, dt.datetime] = {}
@@ -113,9 +113,16 @@ class RetailSource:
                 F.col("o_custkey") == F.col("c_custkey"),
                 "left",
             )
-        # the line-item fact carries the per-row work (join, exact amounts);
-        # spread it if its scan has fewer splits than the cluster has cores
-        lines = self.table("lineitem", spread=True).select(
+        # The order side is broadcast only below the row bound; above it both
+        # facts are shuffled on the order key (sort-merge join).
+        order_key = (self.base, "orders" + ("+region" if region else ""))
+        orders_small = row_count_at_most(orders, self.broadcast_rows, order_key)
+        orders = F.broadcast(orders) if orders_small else orders.hint("shuffle_merge")
+        # The line-item fact carries the per-row work (join, exact amounts).
+        # When the join is a broadcast (no shuffle of the line items), spread
+        # a scan that has fewer splits than the cluster has cores; with a
+        # sort-merge join the hash shuffle already spreads the rows.
+        lines = self.table("lineitem", spread=orders_small).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount",
         )
@@ -125,9 +132,6 @@ class RetailSource:
                 F.col("l_suppkey") == F.col("s_suppkey"),
                 "left",
             )
-        # The order side is broadcast only below the row bound; above it both
-        # facts are shuffled on the order key (sort-merge join).
-        orders = self._checked(orders, "orders" + ("+region" if region else ""))
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         cols = [
             F.col("o_custkey").alias("customer_id"),
