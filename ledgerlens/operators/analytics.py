@@ -35,6 +35,13 @@ STOCK_BANDS = (10, 50, 100)  # Critical <= 10 < Low <= 50 < Medium <= 100 < High
 NO_SALES_COVER = 999
 
 
+def distinct_count(col: str, exact: bool = True, rsd: float = 0.01):
+    """COUNT(DISTINCT col); with ``exact=False`` a HyperLogLog++ estimate
+    (``approx_count_distinct``, relative error ``rsd``) that needs no
+    (group, value) shuffle - an opt-in for very high-cardinality columns."""
+    return F.countDistinct(col) if exact else F.approx_count_distinct(col, rsd)
+
+
 def _money_aggs(amount: str = "total_amount"):
     return [
         F.sum(amount).alias("_revenue"),
@@ -43,14 +50,14 @@ def _money_aggs(amount: str = "total_amount"):
 
 
 # ----------------------------------------------------------------------- Q1
-def revenue_growth(sales: DataFrame) -> DataFrame:
+def revenue_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Monthly revenue, month-on-month and year-on-year growth.
 
     LAG counts rows, not calendar months (a missing month shifts LAG 12);
     growth is 0 with no previous row and NULL when the previous revenue is 0.
     """
     monthly = sales.groupBy(D.month_start("transaction_date").alias("_month")).agg(
-        *_money_aggs(), F.countDistinct("customer_id").alias("unique_customers")
+        *_money_aggs(), distinct_count("customer_id", exact_distinct).alias("unique_customers")
     )
     w = Window.orderBy("year_month")
     revenue = N.as_double("_revenue")
@@ -80,6 +87,33 @@ def revenue_growth(sales: DataFrame) -> DataFrame:
     )
 
 
+def revenue_growth_calendar(sales: DataFrame) -> DataFrame:
+    """Variant of ``revenue_growth`` that compares with the calendar month one
+    and twelve months earlier instead of the previous rows.
+
+    A RANGE frame on a month index (year * 12 + month) picks exactly the
+    month ``k`` back, or nothing when that month had no sales (growth is then
+    0, the parity rule for "no previous value").  Same columns as the parity
+    query; it runs on the aggregated months only.
+    """
+    parity = revenue_growth(sales).drop(
+        "prev_month_revenue", "prev_year_revenue", "mom_growth_rate", "yoy_growth_rate"
+    )
+    idx = F.col("year").cast("int") * 12 + F.col("month").cast("int")
+    w = Window.orderBy(idx)
+    prev = lambda k: F.max("revenue").over(w.rangeBetween(-k, -k))
+    return (
+        parity.withColumns({"prev_month_revenue": prev(1), "prev_year_revenue": prev(12)})
+        .withColumns(
+            {
+                "mom_growth_rate": N.pct_change("revenue", "prev_month_revenue"),
+                "yoy_growth_rate": N.pct_change("revenue", "prev_year_revenue"),
+            }
+        )
+        .orderBy("year_month")
+    )
+
+
 # ----------------------------------------------------------------------- Q2
 def customer_churn(
     orders: DataFrame,
@@ -159,7 +193,10 @@ def product_performance(
 
 # ----------------------------------------------------------------------- Q4
 def category_trends(
-    sales: DataFrame, products: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    sales: DataFrame,
+    products: DataFrame,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    exact_distinct: bool = True,
 ) -> DataFrame:
     """Category x month revenue, units, distinct customers, average."""
     cats = products.select("product_id", "category")
@@ -169,7 +206,7 @@ def category_trends(
         .agg(
             F.sum("total_amount").alias("_revenue"),
             F.sum("quantity").alias("units_sold"),
-            F.countDistinct("customer_id").alias("unique_customers"),
+            distinct_count("customer_id", exact_distinct).alias("unique_customers"),
             F.count(F.lit(1)).alias("_n"),
         )
         .select(
@@ -214,12 +251,12 @@ def rfm_segments(
 
 
 # ----------------------------------------------------------------------- Q6
-def regional_growth(sales: DataFrame) -> DataFrame:
+def regional_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Region x month revenue with month-on-month growth per region."""
     monthly = sales.groupBy("region", D.month_start("transaction_date").alias("_month")).agg(
         F.sum("total_amount").alias("_revenue"),
         F.count(F.lit(1)).alias("transactions"),
-        F.countDistinct("customer_id").alias("unique_customers"),
+        distinct_count("customer_id", exact_distinct).alias("unique_customers"),
     )
     w = Window.partitionBy("region").orderBy("month")
     return (
@@ -237,13 +274,13 @@ def regional_growth(sales: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- Q7
-def sales_rep_performance(sales: DataFrame) -> DataFrame:
+def sales_rep_performance(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Per sales rep: volume, revenue, reach, revenue per customer, active span."""
     agg = sales.groupBy("sales_rep").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("total_amount").alias("_revenue"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("products_sold"),
+        distinct_count("customer_id", exact_distinct).alias("unique_customers"),
+        distinct_count("product_id", exact_distinct).alias("products_sold"),
         F.min("transaction_date").alias("_first"),
         F.max("transaction_date").alias("_last"),
     )

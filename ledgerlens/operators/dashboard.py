@@ -303,3 +303,27 @@ __all__ = [
     "monthly_revenue_12m",
     "regional_share",
 ]
+
+
+# ---------------------------------------------------------------- S7 report
+def kpi_report(sales: DataFrame, orders: DataFrame, products: DataFrame, as_of: dt.datetime,
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
+    """The three report frames (revenue trends, top products, segments)."""
+    return {
+        "revenue_trends": kpi_revenue_trends(orders),
+        "top_products": kpi_top_products(sales, products, broadcast_rows=broadcast_rows),
+        "customer_segments": kpi_customer_segments(orders, as_of),
+    }
+
+
+def write_report(report: dict[str, DataFrame], path: str, fmt: str = "parquet") -> dict[str, str]:
+    """Write each report frame to ``path/<name>``; returns the written paths.
+
+    Report frames are small aggregates, so each is coalesced to one file.
+    """
+    written = {}
+    for name, df in report.items():
+        target = f"{path.rstrip('/')}/{name}"
+        df.coalesce(1).write.mode("overwrite").format(fmt).save(target)
+        written[name] = target
+    return written

@@ -17,18 +17,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-# Outcome of size checks keyed by a caller-chosen identity (e.g. table path
-# and bound), so one process probes each input once.
+# Outcome of size checks keyed by a caller-chosen identity (e.g. table path)
+# or, by default, by the semantic hash of the logical plan, so one process
+# probes each input once.
 _CHECKED: dict[tuple, bool] = {}
 
 
 def row_count_at_most(df: DataFrame, max_rows: int, memo_key: tuple | None = None) -> bool:
-    if memo_key is not None and (memo_key, max_rows) in _CHECKED:
-        return _CHECKED[(memo_key, max_rows)]
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    if memo_key is not None:
-        _CHECKED[(memo_key, max_rows)] = fits
-    return fits
+    key = (memo_key if memo_key is not None else ("plan", df.semanticHash()), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def maybe_broadcast(

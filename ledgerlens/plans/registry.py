@@ -61,6 +61,39 @@ def q_revenue_growth(spark, sf_dir):
     return A.revenue_growth(_src(spark, sf_dir).sales())
 
 
+@register(
+    "revenue_growth_calendar",
+    O.with_views(
+        f"""
+monthly AS (
+    SELECT strftime(transaction_date, '%Y-%m') AS year_month,
+           SUM(total_amount) AS rev, COUNT(*) AS n,
+           COUNT(DISTINCT customer_id) AS unique_customers
+    FROM sales_transactions GROUP BY 1
+),
+m AS (
+    SELECT substr(year_month, 1, 4) AS year, substr(year_month, 6, 2) AS month,
+           year_month, CAST(rev AS DOUBLE) AS revenue, n AS transaction_count,
+           unique_customers, {O.mean('rev', 'n')} AS avg_transaction_value,
+           CAST(substr(year_month, 1, 4) AS INTEGER) * 12
+             + CAST(substr(year_month, 6, 2) AS INTEGER) AS idx
+    FROM monthly
+),
+lagged AS (
+    SELECT m.year, m.month, m.year_month, m.revenue, m.transaction_count, m.unique_customers,
+           m.avg_transaction_value, p1.revenue AS prev_month_revenue, p12.revenue AS prev_year_revenue
+    FROM m LEFT JOIN m p1 ON p1.idx = m.idx - 1 LEFT JOIN m p12 ON p12.idx = m.idx - 12
+)
+SELECT *, {O.pct_change('revenue', 'prev_month_revenue')} AS mom_growth_rate,
+          {O.pct_change('revenue', 'prev_year_revenue')} AS yoy_growth_rate
+FROM lagged ORDER BY year_month
+"""
+    ),
+)
+def q_revenue_growth_calendar(spark, sf_dir):
+    return A.revenue_growth_calendar(_src(spark, sf_dir).sales())
+
+
 # ---------------------------------------------------------------------- Q2
 @register(
     "customer_churn",

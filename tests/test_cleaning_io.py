@@ -117,3 +117,27 @@ def test_snapshot_retention(spark):
         spark, path, "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(18,2)",
         "total_amount").collect()}
     assert summary == {dt.date(2024, 6, 30): 3, dt.date(2024, 6, 27): 2, dt.date(2024, 6, 24): 1}
+
+
+def test_kpi_report_written_and_read_back(spark, sf_dir):
+    from ledgerlens.operators import dashboard as DB
+    from ledgerlens.sources.retail import RetailSource
+
+    src = RetailSource(spark, sf_dir)
+    report = DB.kpi_report(src.sales(), src.orders(), src.products(), src.as_of())
+    written = DB.write_report(report, shared_dir(spark, "t-report"))
+    assert set(written) == {"revenue_trends", "top_products", "customer_segments"}
+    assert spark.read.parquet(written["top_products"]).count() == 10
+    assert spark.read.parquet(written["customer_segments"]).count() == 6
+
+
+def test_approximate_distinct_is_close(spark, sf_dir):
+    from ledgerlens.operators import analytics as A
+    from ledgerlens.sources.retail import RetailSource
+
+    s = RetailSource(spark, sf_dir).sales(sales_rep=True)
+    exact = {r["sales_rep"]: r["unique_customers"] for r in A.sales_rep_performance(s).collect()}
+    approx = {r["sales_rep"]: r["unique_customers"]
+              for r in A.sales_rep_performance(s, exact_distinct=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(3, 0.05 * exact[k]) for k in exact)

@@ -47,6 +47,16 @@ def test_lag_twelve_counts_rows(spark):
     assert out["2024-02"]["yoy_growth_rate"] == 2500.0
 
 
+def test_calendar_variant_uses_calendar_months(spark):
+    s = sales_df(spark, [sale(1, 1, dt.date(2023, m, 1), amount=str(m)) for m in range(1, 13)]
+                 + [sale(1, 1, "2024-02-01", amount="26")])  # January 2024 missing
+    out = {r["year_month"]: r for r in rows(A.revenue_growth_calendar(s))}
+    assert out["2024-02"]["prev_year_revenue"] == 2.0  # 2023-02
+    assert out["2024-02"]["prev_month_revenue"] is None  # 2024-01 had no sales
+    assert out["2024-02"]["mom_growth_rate"] == 0.0
+    assert out["2023-05"]["prev_month_revenue"] == 4.0
+
+
 # ------------------------------------------------------------------ Q8 seasonal
 def test_null_date_lands_in_q4_and_null_rows(spark):
     s = sales_df(spark, [sale(1, 1, None, amount="5"), sale(1, 1, "2024-03-05", amount="7")])
