@@ -464,19 +464,19 @@ k AS (
                      (SELECT ts FROM as_of)) / 3600000000.0 AS hours
     FROM order_transactions
 )
-SELECT 'daily_volume' AS check_name, CAST(daily_count AS DOUBLE) AS observed, 100.0 AS threshold,
+SELECT 'daily_volume' AS check_name, CAST(daily_count AS DOUBLE) AS observed, CAST(100 AS DOUBLE) AS threshold,
        daily_count >= 100 AS passed,
        CASE WHEN daily_count >= 100 THEN 'OK'
             ELSE 'Low transaction count today: ' || CAST(daily_count AS VARCHAR) || ' (expected: >100)' END
          AS message
 FROM k
 UNION ALL
-SELECT 'amount_outlier', CAST(biggest AS DOUBLE), 10000.0, biggest <= 10000,
+SELECT 'amount_outlier', CAST(biggest AS DOUBLE), CAST(10000 AS DOUBLE), biggest <= 10000,
        CASE WHEN biggest <= 10000 THEN 'OK'
             ELSE 'Unusually high transaction detected: $' || format('{{:,.2f}}', biggest) END
 FROM k
 UNION ALL
-SELECT 'freshness', hours, 24.0, hours IS NULL OR hours <= 24,
+SELECT 'freshness', hours, CAST(24 AS DOUBLE), hours IS NULL OR hours <= 24,
        CASE WHEN hours IS NULL OR hours <= 24 THEN 'OK'
             ELSE 'Data is stale: ' || printf('%.1f', hours) || ' hours old (threshold: 24h)' END
 FROM k
@@ -498,7 +498,7 @@ WITH per_key AS (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GR
 t AS (SELECT SUM(n) AS total_rows, COUNT(*) AS keys FROM per_key)
 SELECT 'duplicate_ratio' AS check_name,
        CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) AS observed,
-       0.05 AS threshold,
+       CAST(0.05 AS DOUBLE) AS threshold,
        COALESCE(CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) <= 0.05, TRUE)
          AS passed,
        CASE WHEN COALESCE(CAST(total_rows - keys AS DOUBLE) / NULLIF(CAST(total_rows AS DOUBLE), 0) <= 0.05, TRUE)
@@ -519,7 +519,7 @@ def _missing_sql() -> str:
         ratio = f"CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)"
         passed = f"COALESCE({ratio} <= 0.1, TRUE)"
         parts.append(
-            f"SELECT 'missing_ratio:{c}' AS check_name, {ratio} AS observed, 0.1 AS threshold, "
+            f"SELECT 'missing_ratio:{c}' AS check_name, {ratio} AS observed, CAST(0.1 AS DOUBLE) AS threshold, "
             f"{passed} AS passed, CASE WHEN {passed} THEN 'OK' "
             f"ELSE 'too many missing values in {c}' END AS message FROM events"
         )

@@ -47,6 +47,26 @@ def rows_of(columns, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records), sorted(columns)
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+    "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def type_mismatches(spark_df, con, sql: str):
+    s_types = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, st in s_types.items():
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        got = d_types.get(name)
+        if got is not None and got != want:
+            out.append(f"{name}: spark {st} vs duck {got}")
+    return out
+
+
 def compare(spark_df, con, sql: str):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -60,6 +80,7 @@ def compare(spark_df, con, sql: str):
         problems.append(f"columns differ: spark={s_names} duck={d_names}")
     if len(s_rows) != len(d_rows):
         problems.append(f"row count differs: spark={len(s_rows)} duck={len(d_rows)}")
+    problems += [f"type {m}" for m in type_mismatches(spark_df, con, sql)]
     if not problems and s_sorted != d_sorted:
         diffs = [(a, b) for a, b in zip(s_sorted, d_sorted) if a != b][:3]
         problems.append(f"values differ, first diffs: {diffs}")

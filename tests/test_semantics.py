@@ -306,3 +306,32 @@ def test_freshness_threshold(spark, hours, passed):
     assert checks["freshness"]["passed"] is passed
     if not passed:
         assert checks["freshness"]["message"] == "Data is stale: 25.0 hours old (threshold: 24h)"
+
+
+# ------------------------------------------------------------------ cross-query properties
+def test_category_and_region_rollups_sum_to_monthly(spark, sf_dir):
+    import __spark_entry__ as E
+
+    q = E.queries()
+    monthly = {r["year_month"]: (r["transaction_count"], r["revenue"]) for r in rows(q["revenue_growth"](spark, sf_dir))}
+    for key, month_col, rev_col, n_col in (
+        ("category_trends", "month", "monthly_revenue", None),
+        ("regional_growth", "month", "revenue", "transactions"),
+    ):
+        sums = {}
+        for r in rows(q[key](spark, sf_dir)):
+            n, rev = sums.get(r[month_col], (0, 0.0))
+            sums[r[month_col]] = (n + (r[n_col] if n_col else 0), rev + r[rev_col])
+        assert sums.keys() == monthly.keys()
+        for m, (n, rev) in sums.items():
+            assert abs(rev - monthly[m][1]) < 1e-6 * max(1.0, monthly[m][1])
+            if n_col:
+                assert n == monthly[m][0]
+
+
+def test_regional_shares_sum_to_100(spark, sf_dir):
+    import __spark_entry__ as E
+
+    out = rows(E.queries()["regional_share"](spark, sf_dir))
+    assert abs(sum(r["share_pct"] for r in out) - 100) < 0.05
+    assert len({r["grand_total"] for r in out}) == 1
