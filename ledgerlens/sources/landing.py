@@ -39,12 +39,14 @@ def landing_ingest(
 def clean_load(df: DataFrame, path: str, partition_by: str) -> None:
     """Write ``df`` as parquet partitioned by ``partition_by``.
 
-    Rows are sorted within the existing partitions instead of being
-    repartitioned by the partition column: a month holding a third of the
-    data is then written by every task in parallel, not by one.
+    The ``rebalance`` hint clusters rows by the partition column so each
+    task writes few partition folders (not tasks x months small files);
+    AQE splits a month that holds a third of the data into several
+    similar-sized tasks and coalesces tiny ones.
     """
     (
-        df.sortWithinPartitions(partition_by)
+        df.hint("rebalance", partition_by)
+        .sortWithinPartitions(partition_by)
         .write.mode("overwrite")
         .partitionBy(partition_by)
         .parquet(path)
@@ -71,7 +73,8 @@ def write_snapshots(df: DataFrame, path: str, dates: list[dt.date], date_col: st
         F.to_date(F.col(date_col)) <= F.col(SNAPSHOT_COLUMN)
     )
     (
-        exploded.sortWithinPartitions(SNAPSHOT_COLUMN)
+        exploded.hint("rebalance", SNAPSHOT_COLUMN)
+        .sortWithinPartitions(SNAPSHOT_COLUMN)
         .write.mode("overwrite")
         .partitionBy(SNAPSHOT_COLUMN)
         .parquet(path)

@@ -58,7 +58,10 @@ def read_table(spark: SparkSession, base: str, name: str, spread: bool = False)
     df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
     if not spread:
         return df
-    target = spark.sparkContext.defaultParallelism
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
+    try:
+        target = spark.sparkContext.defaultParallelism
+        if path not in _SPLITS:
+            _SPLITS[path] = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (Spark Connect): leave as is
+        return df
     return df.repartition(target) if _SPLITS[path] < target else df
