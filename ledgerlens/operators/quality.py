@@ -139,3 +139,17 @@ def missing_ratio(
             f"missing_ratio:{c}", ratio, threshold, passed, F.lit(f"too many missing values in {c}")
         )
     return k.select(F.stack(F.lit(len(columns)), *rows).alias(*CHECK_COLUMNS))
+
+
+def daily_volume_sql(spark, orders: DataFrame, day: dt.date) -> DataFrame:
+    """The daily count and largest amount through ``spark.sql`` with bound
+    parameters (no string pasting); same numbers as ``quality_checks``."""
+    return spark.sql(
+        "SELECT COUNT(*) AS daily_count, MAX(total_amount) AS max_amount "
+        "FROM {orders} WHERE transaction_date >= :day_start AND transaction_date < :day_end",
+        args={
+            "day_start": dt.datetime.combine(day, dt.time()).isoformat(sep=" "),
+            "day_end": dt.datetime.combine(day + dt.timedelta(days=1), dt.time()).isoformat(sep=" "),
+        },
+        orders=orders,
+    )

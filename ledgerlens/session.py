@@ -25,6 +25,21 @@ SESSION_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB class inputs).  AQE coalesces
+# the generous initial shuffle partition count down to ~advisory-size
+# partitions per stage, so one setting serves both small and huge stages;
+# skew join splits partitions five times above the median.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+}
+
+
 def build_session(
     master: str = "local[*]",
     shuffle_partitions: int = 8,

@@ -23,13 +23,34 @@ def write_landing(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def landing_ingest(
-    spark: SparkSession, path: str, fmt: str, schema: StructType | str
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    schema: StructType | str,
+    stream: bool = False,
+    out_path: str | None = None,
+    checkpoint_path: str | None = None,
 ) -> DataFrame:
     """Read a landing folder with a fixed schema (no inference).
 
     Rows that do not fit the schema fail the read (``FAILFAST``) rather
-    than turning into silent NULLs.
+    than turning into silent NULLs.  With ``stream=True`` the folder is
+    ingested incrementally into ``out_path`` (see
+    ``ledgerlens.streaming.landing_stream``): only files not seen by
+    earlier runs are read.
     """
+    if stream:
+        from ledgerlens.session import shared_dir
+        from ledgerlens.streaming.landing_stream import ingest_available
+
+        return ingest_available(
+            spark,
+            path,
+            fmt,
+            schema,
+            out_path or shared_dir(spark, "ingested"),
+            checkpoint_path or shared_dir(spark, "ingest-checkpoint"),
+        )
     reader = spark.read.schema(schema).format(fmt).options(**TEXT_OPTIONS.get(fmt, {}))
     if fmt in ("csv", "json"):
         reader = reader.option("mode", "FAILFAST")
@@ -112,6 +133,35 @@ def expire_snapshots(
     return expired
 
 
+def snapshot_retention(
+    df: DataFrame,
+    path: str,
+    as_of: dt.datetime,
+    keep_days: int = 7,
+    date_col: str = "transaction_date",
+    amount_col: str = "total_amount",
+) -> DataFrame:
+    """Daily snapshot run: write today's snapshot, drop expired ones and
+    return rows / total per snapshot still kept."""
+    spark = df.sparkSession
+    write_snapshots_append(df, path, as_of.date(), date_col)
+    expire_snapshots(spark, path, as_of, keep_days)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return snapshot_summary(spark, path, schema, amount_col)
+
+
+def write_snapshots_append(df: DataFrame, path: str, day: dt.date, date_col: str) -> None:
+    """Write one snapshot day, replacing only that day's partition."""
+    (
+        df.filter(F.to_date(F.col(date_col)) <= F.lit(day))
+        .withColumn(SNAPSHOT_COLUMN, F.lit(day))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SNAPSHOT_COLUMN)
+        .parquet(path)
+    )
+
+
 def snapshot_summary(spark: SparkSession, path: str, schema: str, amount_col: str) -> DataFrame:
     """Rows and total amount per remaining snapshot."""
     snaps = spark.read.schema(f"{schema}, {SNAPSHOT_COLUMN} DATE").parquet(path)

@@ -141,3 +141,32 @@ def test_approximate_distinct_is_close(spark, sf_dir):
               for r in A.sales_rep_performance(s, exact_distinct=False).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(3, 0.05 * exact[k]) for k in exact)
+
+
+def test_snapshot_retention_daily_runs(spark):
+    o = orders_df(spark, [order(1, "2024-06-01"), order(2, "2024-06-25"), order(3, "2024-06-29")])
+    path = shared_dir(spark, "t-snap-daily")
+    for day in (1, 5, 9, 12):  # four daily runs; the first ones age out
+        as_of = dt.datetime(2024, 6, 20 + day) if day < 11 else dt.datetime(2024, 7, day - 10)
+        out = L.snapshot_retention(o, path, as_of, keep_days=7)
+    kept = [r["snapshot_date"] for r in out.collect()]
+    assert kept == [dt.date(2024, 6, 25), dt.date(2024, 6, 29), dt.date(2024, 7, 2)]
+    assert [r["row_count"] for r in out.collect()] == [2, 3, 3]
+
+
+def test_stream_flag_on_landing_ingest(spark):
+    schema = "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DOUBLE"
+    landing = shared_dir(spark, "t-land-flag")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1.0)], schema).write.json(landing)
+    assert L.landing_ingest(spark, landing, "json", schema, stream=True).count() == 1
+
+
+def test_parameterised_sql_matches_dataframe_checks(spark):
+    as_of = dt.datetime(2024, 6, 30)
+    o = orders_df(spark, [order(1, "2024-06-30 10:00:00", "50"), order(2, "2024-06-30", "70"),
+                          order(3, "2024-06-29 23:59:59", "900")])
+    r = K.daily_volume_sql(spark, o, as_of.date()).collect()[0]
+    assert r["daily_count"] == 2 and r["max_amount"] == Decimal("70.00")
+    checks = {c["check_name"]: c for c in K.quality_checks(o, as_of).collect()}
+    assert checks["daily_volume"]["observed"] == 2.0
+    assert checks["amount_outlier"]["observed"] == 70.0
