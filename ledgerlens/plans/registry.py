@@ -944,3 +944,13 @@ GROUP BY 1 ORDER BY 1
 def q_monthly_revenue_12m(spark, sf_dir):
     src = _src(spark, sf_dir)
     return DB.monthly_revenue_12m(src.sales(), src.as_of())
+
+
+# ============================================================ warehouse path
+@register("warehouse_revenue_growth", ORACLE["revenue_growth"])
+def q_warehouse_revenue_growth(spark, sf_dir):
+    """ETL then query: materialise the joined sales once, run Q1 on it."""
+    from ledgerlens.sources.warehouse import materialize
+
+    wh = materialize(_src(spark, sf_dir), shared_dir(spark, "warehouse"))
+    return A.revenue_growth(wh.sales())
