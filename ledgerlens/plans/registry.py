@@ -175,9 +175,9 @@ def q_category_trends(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------- Q5
-def _rfm_sql(m=(5000, 2000, 1000, 500)) -> str:
-    return O.with_views(
-        f"""
+def _rfm_ctes(m=(5000, 2000, 1000, 500)) -> str:
+    """base -> scores -> seg CTEs: per-customer RFM at order grain."""
+    return f"""
 base AS (
     SELECT customer_id, COUNT(*) AS frequency, SUM(total_amount) AS monetary_value,
            {O.MICROS_SINCE.format(col='MAX(transaction_date)')} AS micros,
@@ -203,7 +203,13 @@ seg AS (
         WHEN r <= 2 AND f <= 2 THEN 'Lost Customers'
         ELSE 'Potential Loyalists' END AS customer_segment
     FROM scores
-),
+),"""
+
+
+def _rfm_sql(m=(5000, 2000, 1000, 500)) -> str:
+    return O.with_views(
+        _rfm_ctes(m)
+        + f"""
 g AS (
     SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent,
            SUM(frequency) AS freq, SUM(CAST(micros AS HUGEINT)) AS micros
@@ -751,50 +757,18 @@ def q_kpi_top_products(spark, sf_dir):
     return DB.kpi_top_products(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
 
 
-def _segments_sql(select: str) -> str:
-    return O.with_views(
-        f"""
-base AS (
-    SELECT customer_id, COUNT(*) AS frequency, SUM(total_amount) AS monetary_value,
-           {O.DAYS_SINCE.format(col='MAX(transaction_date)')} AS recency_days
-    FROM order_transactions GROUP BY customer_id
-),
-scores AS (
-    SELECT *,
-      CASE WHEN recency_days <= 30 THEN 5 WHEN recency_days <= 60 THEN 4
-           WHEN recency_days <= 90 THEN 3 WHEN recency_days <= 180 THEN 2 ELSE 1 END AS r,
-      CASE WHEN frequency >= 20 THEN 5 WHEN frequency >= 15 THEN 4
-           WHEN frequency >= 10 THEN 3 WHEN frequency >= 5 THEN 2 ELSE 1 END AS f,
-      CASE WHEN monetary_value >= 5000 THEN 5 WHEN monetary_value >= 2000 THEN 4
-           WHEN monetary_value >= 1000 THEN 3 WHEN monetary_value >= 500 THEN 2 ELSE 1 END AS m
-    FROM base
-),
-seg AS (
-    SELECT *, CASE
-        WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
-        WHEN r >= 3 AND f >= 3 AND m >= 3 THEN 'Loyal Customers'
-        WHEN r >= 4 AND f <= 2 THEN 'New Customers'
-        WHEN r <= 2 AND f >= 3 AND m >= 3 THEN 'At Risk'
-        WHEN r <= 2 AND f <= 2 THEN 'Lost Customers'
-        ELSE 'Potential Loyalists' END AS customer_segment
-    FROM scores
-)
-{select}
-"""
-    )
-
-
 @register(
     "kpi_customer_segments",
-    _segments_sql(
-        f"""
-, g AS (SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent
-       FROM seg GROUP BY 1)
+    O.with_views(
+        _rfm_ctes()
+        + f"""
+g AS (SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent
+      FROM seg GROUP BY 1)
 SELECT customer_segment, customer_count, CAST(spent AS DOUBLE) AS total_purchase_value,
        CAST({O.round_ratio('spent', 'customer_count', 2, 2)} AS DOUBLE) AS avg_purchase_value
 FROM g
 """
-    ).replace("\n)\n\n, g AS", "\n),\ng AS"),
+    ),
 )
 def q_kpi_customer_segments(spark, sf_dir):
     src = _src(spark, sf_dir)

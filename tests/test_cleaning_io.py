@@ -194,3 +194,15 @@ def test_warehouse_source_gives_the_same_answers(spark, sf_dir):
     # the warehouse plan has no join for a line-grain query
     plan = A.revenue_growth(wh.sales())._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_daily_job_writes_every_output(spark, sf_dir):
+    from ledgerlens.jobs import daily_job
+
+    out = shared_dir(spark, "t-daily-job")
+    result = daily_job(spark, sf_dir, out)
+    assert {c["check_name"] for c in result["quality_checks"]} == {
+        "daily_volume", "amount_outlier", "freshness"}
+    assert spark.read.parquet(result["dashboard"]["kpi_cards"]).count() == 4
+    assert spark.read.parquet(result["dashboard"]["revenue_growth"]).count() == 80
+    assert len(result["snapshots"]) == 1
