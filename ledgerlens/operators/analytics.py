@@ -28,11 +28,16 @@ from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 # Fixed values of the reference analytics (thresholds and labels).
 CHURN_ACTIVE_DAYS = 30
 CHURN_AT_RISK_DAYS = 90
+CHURN_LABELS = ("Active", "At Risk", "Churned")
 TOP_PRODUCTS = 50
 RECENT_DAYS = 30
 REORDER_COVER_DAYS = 14
 STOCK_BANDS = (10, 50, 100)  # Critical <= 10 < Low <= 50 < Medium <= 100 < High
+STOCK_LABELS = ("Critical", "Low", "Medium", "High")
+REORDER_LABELS = ("Reorder Required", "OK")
 NO_SALES_COVER = 999
+PERIOD_TYPES = ("Day of Week", "Month", "Quarter")
+SUMMARY_METRICS = ("Total Revenue", "Total Customers", "Average Order Value", "Active Products")
 
 
 def distinct_count(col: str, exact: bool = True, rsd: float = 0.01):
@@ -123,10 +128,11 @@ def customer_churn(
 ) -> DataFrame:
     """Customers split into Active / At Risk / Churned by days since last buy."""
     base = customer_base(orders, as_of)
+    active, at_risk, churned = CHURN_LABELS
     status = (
-        F.when(F.col("days_since") <= active_days, F.lit("Active"))
-        .when(F.col("days_since") <= at_risk_days, F.lit("At Risk"))
-        .otherwise(F.lit("Churned"))
+        F.when(F.col("days_since") <= active_days, F.lit(active))
+        .when(F.col("days_since") <= at_risk_days, F.lit(at_risk))
+        .otherwise(F.lit(churned))
     )
     per_status = base.groupBy(status.alias("customer_status")).agg(
         F.count(F.lit(1)).alias("customer_count"),
@@ -316,10 +322,11 @@ def seasonal_analysis(sales: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("transaction_count"),
     )
     # grouping_id bits: _dow=4, _mon=2, _qtr=1 (1 = not grouped by that column)
+    by_weekday, by_month, by_quarter = PERIOD_TYPES
     period_type = (
-        F.when(F.col("_gid") == 3, F.lit("Day of Week"))
-        .when(F.col("_gid") == 5, F.lit("Month"))
-        .otherwise(F.lit("Quarter"))
+        F.when(F.col("_gid") == 3, F.lit(by_weekday))
+        .when(F.col("_gid") == 5, F.lit(by_month))
+        .otherwise(F.lit(by_quarter))
     )
     period_value = (
         F.when(F.col("_gid") == 3, F.col("_dow"))
@@ -372,6 +379,8 @@ def inventory_insights(
     avg = F.coalesce(F.col("avg_daily_sales"), F.lit(0.0))
     cover = F.try_divide(F.col("stock_quantity").cast("double"), F.col("avg_daily_sales"))
     low, mid, high = bands
+    critical_l, low_l, medium_l, high_l = STOCK_LABELS
+    reorder_l, ok_l = REORDER_LABELS
     stock = F.col("stock_quantity")
     return joined.select(
         "product_id",
@@ -383,13 +392,13 @@ def inventory_insights(
         F.when(avg > 0, F.round(cover, 0))
         .otherwise(F.lit(float(NO_SALES_COVER)))
         .alias("days_of_inventory"),
-        F.when(stock <= low, F.lit("Critical"))
-        .when(stock <= mid, F.lit("Low"))
-        .when(stock <= high, F.lit("Medium"))
-        .otherwise(F.lit("High"))
+        F.when(stock <= low, F.lit(critical_l))
+        .when(stock <= mid, F.lit(low_l))
+        .when(stock <= high, F.lit(medium_l))
+        .otherwise(F.lit(high_l))
         .alias("stock_status"),
-        F.when((avg > 0) & (cover < cover_days), F.lit("Reorder Required"))
-        .otherwise(F.lit("OK"))
+        F.when((avg > 0) & (cover < cover_days), F.lit(reorder_l))
+        .otherwise(F.lit(ok_l))
         .alias("reorder_recommendation"),
     ).orderBy("days_of_inventory", "product_id")
 
@@ -418,13 +427,14 @@ def executive_summary(
         products.filter(F.col("is_active") == 1).agg(F.count(F.lit(1))).scalar()
     )
     aov = lambda s, n: N.money_text(N.round_ratio(s, n, 2, 4))
+    revenue_m, customers_m, aov_m, products_m = SUMMARY_METRICS
     rows = kpis.select(
         F.stack(
             F.lit(4),
-            F.lit("Total Revenue"), N.money_text("rev"), N.money_text("rev_r"),
-            F.lit("Total Customers"), F.col("cust").cast("string"), F.col("cust_r").cast("string"),
-            F.lit("Average Order Value"), aov("rev", "n"), aov("rev_r", "n_r"),
-            F.lit("Active Products"), active_products.cast("string"), F.col("prod_r").cast("string"),
+            F.lit(revenue_m), N.money_text("rev"), N.money_text("rev_r"),
+            F.lit(customers_m), F.col("cust").cast("string"), F.col("cust_r").cast("string"),
+            F.lit(aov_m), aov("rev", "n"), aov("rev_r", "n_r"),
+            F.lit(products_m), active_products.cast("string"), F.col("prod_r").cast("string"),
         ).alias("metric", "current_value", "last_30_days")
     )
     return rows.withColumn("growth_rate", F.lit(None).cast("double"))

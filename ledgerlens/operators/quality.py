@@ -23,6 +23,11 @@ DATA_FRESHNESS_HOURS = 24
 DUPLICATE_THRESHOLD = 0.05
 MISSING_DATA_THRESHOLD = 0.1
 
+# The reference's issue messages (printf templates).
+LOW_VOLUME_MESSAGE = "Low transaction count today: %d (expected: >%d)"
+HIGH_AMOUNT_MESSAGE = "Unusually high transaction detected: $%s"
+STALE_MESSAGE = "Data is stale: %.1f hours old (threshold: %dh)"
+
 CHECK_COLUMNS = ("check_name", "observed", "threshold", "passed", "message")
 
 
@@ -65,29 +70,21 @@ def quality_checks(
             F.col("daily_count"),
             min_daily,
             F.col("daily_count") >= min_daily,
-            F.concat(
-                F.lit("Low transaction count today: "),
-                F.col("daily_count").cast("string"),
-                F.lit(f" (expected: >{min_daily})"),
-            ),
+            F.format_string(LOW_VOLUME_MESSAGE, F.col("daily_count"), F.lit(min_daily)),
         )
         + _check(
             "amount_outlier",
             biggest,
             max_amount,
             biggest <= max_amount,
-            F.concat(F.lit("Unusually high transaction detected: $"), F.format_number(biggest, 2)),
+            F.format_string(HIGH_AMOUNT_MESSAGE, F.format_number(biggest, 2)),
         )
         + _check(
             "freshness",
             hours,
             fresh_hours,
             hours.isNull() | (hours <= fresh_hours),
-            F.concat(
-                F.lit("Data is stale: "),
-                F.format_string("%.1f", hours),
-                F.lit(f" hours old (threshold: {fresh_hours}h)"),
-            ),
+            F.format_string(STALE_MESSAGE, hours, F.lit(fresh_hours)),
         )
     )
     return k.select(F.stack(F.lit(3), *checks).alias(*CHECK_COLUMNS))
