@@ -1,9 +1,12 @@
 """Join helpers with an explicit, checked broadcast decision.
 
-A dimension is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading as soon as
-the bound is exceeded).  Above the bound the join is left to the planner:
-a shuffled sort-merge join whose skewed partitions AQE splits at runtime.
+A dimension is broadcast only after a count proves it has at most
+``max_rows`` rows.  The count is itself bounded: ``limit(max_rows + 1)``
+stops each task after ``max_rows + 1`` rows, and it only runs when Catalyst's
+size estimate of the input (on-disk bytes of the pruned columns, an upper
+bound before filters) is below ``max_probe_bytes``.  A larger input is never
+probed and never broadcast: the join becomes a shuffled sort-merge join
+whose skewed partitions AQE splits at runtime.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ from pyspark.sql import functions as F
 # few tens of MB per executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
+# Largest estimated input the row probe may read.
+DEFAULT_PROBE_BYTES = 2 * 1024**3
+
 
 # Outcome of size checks keyed by a caller-chosen identity (e.g. table path)
 # or, by default, by the semantic hash of the logical plan, so one process
@@ -23,15 +29,35 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 _CHECKED: dict[tuple, bool] = {}
 
 
-def row_count_at_most(df: DataFrame, max_rows: int, memo_key: tuple | None = None) -> bool:
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (None when unavailable)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def row_count_at_most(
+    df: DataFrame,
+    max_rows: int,
+    memo_key: tuple | None = None,
+    max_probe_bytes: int = DEFAULT_PROBE_BYTES,
+) -> bool:
     key = (memo_key if memo_key is not None else ("plan", df.semanticHash()), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        size = estimated_bytes(df)
+        if size is not None and size > max_probe_bytes:
+            _CHECKED[key] = False  # too large to probe, let alone broadcast
+        else:
+            _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
 
 
 def maybe_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, memo_key: tuple | None = None
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    memo_key: tuple | None = None,
+    max_probe_bytes: int = DEFAULT_PROBE_BYTES,
 ) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
 
@@ -39,7 +65,7 @@ def maybe_broadcast(
     a shuffled sort-merge join (AQE splits skewed partitions) and never an
     estimate-driven broadcast of an unbounded input.
     """
-    if row_count_at_most(df, max_rows, memo_key):
+    if row_count_at_most(df, max_rows, memo_key, max_probe_bytes):
         return F.broadcast(df)
     return df.hint("shuffle_merge")
 

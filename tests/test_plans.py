@@ -55,3 +55,20 @@ def test_global_windows_only_after_aggregation(spark, sf_dir):
     window_at = text.index("Window")
     agg_at = text.index("Aggregate")
     assert window_at < agg_at  # printed top-down: window is above the aggregate
+
+
+def test_large_inputs_are_not_probed(spark, sf_dir):
+    from ledgerlens.plans import joins
+
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    est = joins.estimated_bytes(li)
+    assert est is not None and est > 0
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    # a probe budget below the estimate: decided from the estimate, no job runs
+    assert joins.row_count_at_most(li, 10**9, memo_key=("t", "big"), max_probe_bytes=est - 1) is False
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    hinted = joins.maybe_broadcast(li, 10**9, memo_key=("t", "big"), max_probe_bytes=est - 1)
+    assert "shuffle_merge" in hinted._jdf.queryExecution().logical().toString().lower()
+    # within budget the row probe decides
+    assert joins.row_count_at_most(li, 10**9, memo_key=("t", "small")) is True
