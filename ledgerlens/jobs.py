@@ -13,6 +13,7 @@ Usage::
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +41,18 @@ def dashboard_frames(src: RetailSource) -> dict[str, DataFrame]:
     }
 
 
-def daily_job(spark: SparkSession, input_dir: str, output_dir: str, keep_days: int = 7) -> dict:
-    """Run the daily job; returns the quality check rows (small) and paths."""
-    src = RetailSource(spark, input_dir)
+def daily_job(
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    keep_days: int = 7,
+    as_of: dt.datetime | None = None,
+) -> dict:
+    """Run the daily job; returns the quality check rows (small) and paths.
+
+    ``as_of`` is the run's reporting instant (default: latest order time).
+    """
+    src = RetailSource(spark, input_dir, as_of_value=as_of)
     out = output_dir.rstrip("/")
     checks = K.quality_checks(src.orders(), src.as_of())
     checks.coalesce(1).write.mode("overwrite").json(f"{out}/quality_checks")
@@ -66,12 +76,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--keep-days", type=int, default=7)
+    parser.add_argument("--as-of", type=dt.datetime.fromisoformat, default=None)
     args = parser.parse_args(argv)
     builder = SparkSession.builder.appName("ledgerlens-daily")
     for key, value in {**SESSION_CONF, **CLUSTER_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    result = daily_job(spark, args.input, args.output, args.keep_days)
+    result = daily_job(spark, args.input, args.output, args.keep_days, args.as_of)
     failed = [c["check_name"] for c in result["quality_checks"] if not c["passed"]]
     print({"failed_checks": failed, "snapshots": len(result["snapshots"])})
     spark.stop()

@@ -108,16 +108,20 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def list_snapshots(spark: SparkSession, path: str) -> list[dt.date]:
-    """Snapshot days present under ``path`` (a directory listing, no data read)."""
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a top-level partition column: one directory listing, no data read."""
     fs, root = _fs(spark, path)
-    prefix = f"{SNAPSHOT_COLUMN}="
-    days = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            days.append(dt.date.fromisoformat(name[len(prefix):]))
-    return sorted(days)
+    prefix = f"{column}="
+    return sorted(
+        status.getPath().getName()[len(prefix):]
+        for status in fs.listStatus(root)
+        if status.isDirectory() and status.getPath().getName().startswith(prefix)
+    )
+
+
+def list_snapshots(spark: SparkSession, path: str) -> list[dt.date]:
+    """Snapshot days present under ``path``."""
+    return [dt.date.fromisoformat(v) for v in partition_values(spark, path, SNAPSHOT_COLUMN)]
 
 
 def expire_snapshots(

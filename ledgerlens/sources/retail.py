@@ -55,9 +55,16 @@ def products_from_part(part: DataFrame) -> DataFrame:
 
 @dataclass
 class RetailSource:
+    """The retail views over the raw tables under ``base``.
+
+    ``as_of`` may be given (the run's reporting instant); otherwise it is the
+    latest order timestamp, computed once per folder and process.
+    """
+
     spark: SparkSession
     base: str
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    as_of_value: dt.datetime | None = None
     _as_of: dt.datetime | None = field(default=None, repr=False)
 
     def table(self, name: str, spread: bool = False) -> DataFrame:
@@ -67,6 +74,8 @@ class RetailSource:
     def as_of(self) -> dt.datetime:
         """The reporting instant: the latest order timestamp (one scalar,
         computed once per input folder and process)."""
+        if self._as_of is None and self.as_of_value is not None:
+            self._as_of = self.as_of_value
         if self._as_of is None:
             if self.base not in _AS_OF:
                 _AS_OF[self.base] = (

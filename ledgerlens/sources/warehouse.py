@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS
+from ledgerlens.sources.landing import partition_values
 from ledgerlens.sources.retail import RetailSource, products_from_part
 
 PARTITION = "year_month"
@@ -87,10 +88,7 @@ class WarehouseSource:
         """Latest order timestamp, read from the newest month partition only."""
         if self._as_of is None:
             orders = self._read("orders", ORDERS_SCHEMA)
-            # partition values come from the file listing the scan makes anyway
-            marker = f"/{PARTITION}="
-            months = {f.split(marker, 1)[1].split("/", 1)[0] for f in orders.inputFiles() if marker in f}
-            last_month = max(months)
+            last_month = partition_values(self.spark, f"{self.root}/orders", PARTITION)[-1]
             self._as_of = (
                 orders.filter(F.col(PARTITION) == last_month)
                 .agg(F.max("transaction_date"))
