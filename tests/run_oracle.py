@@ -14,6 +14,11 @@ from ledgerlens.session import build_session  # noqa: E402
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = set(sys.argv[2:])
 spark = build_session("local[8]", 8)
+if os.environ.get("LEDGERLENS_TZ"):
+    spark.conf.set("spark.sql.session.timeZone", os.environ["LEDGERLENS_TZ"])
+for item in filter(None, os.environ.get("LEDGERLENS_CONF", "").split(",")):
+    k, v = item.split("=", 1)
+    spark.conf.set(k, v)
 con = duck(sf_dir)
 qs, sqls = E.queries(), E.oracle_sql()
 bad = 0
