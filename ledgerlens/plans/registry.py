@@ -928,3 +928,12 @@ def q_warehouse_revenue_growth(spark, sf_dir):
 
     wh = materialize(_src(spark, sf_dir), shared_dir(spark, "warehouse"))
     return A.revenue_growth(wh.sales())
+
+
+# ============================================================ rollup path
+@register("seasonal_analysis_rollup", ORACLE["seasonal_analysis"])
+def q_seasonal_analysis_rollup(spark, sf_dir):
+    """Q8 served from the daily rollup (one pass over the facts)."""
+    from ledgerlens.operators import rollups as R
+
+    return R.seasonal_from_rollup(R.daily_rollup(_src(spark, sf_dir).sales(region=True)))
