@@ -350,7 +350,6 @@ def inventory_insights(
     days: int = RECENT_DAYS,
     cover_days: int = REORDER_COVER_DAYS,
     bands=STOCK_BANDS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Stock cover and reorder advice for active products.
 
@@ -375,7 +374,10 @@ def inventory_insights(
     active = products.filter(F.col("is_active") == 1).select(
         "product_id", "product_name", "category", "stock_quantity"
     )
-    joined = active.join(maybe_broadcast(recent, broadcast_rows), "product_id", "left")
+    # ``recent`` is an aggregate: probing it would compute it twice, and its
+    # size is only known once it runs.  AQE measures it at runtime and turns
+    # the join into a broadcast when it is small (a measured bound).
+    joined = active.join(recent, "product_id", "left")
     avg = F.coalesce(F.col("avg_daily_sales"), F.lit(0.0))
     cover = F.try_divide(F.col("stock_quantity").cast("double"), F.col("avg_daily_sales"))
     low, mid, high = bands

@@ -42,11 +42,22 @@ def row_count_at_most(
     max_rows: int,
     memo_key: tuple | None = None,
     max_probe_bytes: int = DEFAULT_PROBE_BYTES,
+    probe_inputs: list[DataFrame] | None = None,
 ) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The probe reads the scans under ``df``; pass them as ``probe_inputs``
+    when ``df`` contains a join (without column statistics Catalyst
+    estimates a join as the product of its inputs, which says nothing about
+    what the probe reads).  When their estimated size exceeds
+    ``max_probe_bytes`` the answer is False without running anything.
+    """
     key = (memo_key if memo_key is not None else ("plan", df.semanticHash()), max_rows)
     if key not in _CHECKED:
-        size = estimated_bytes(df)
-        if size is not None and size > max_probe_bytes:
+        sizes = [estimated_bytes(x) for x in (probe_inputs if probe_inputs is not None else [df])]
+        if any(size is not None and size > max_probe_bytes for size in sizes) or (
+            None not in sizes and sum(sizes) > max_probe_bytes
+        ):
             _CHECKED[key] = False  # too large to probe, let alone broadcast
         else:
             _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
@@ -58,6 +69,7 @@ def maybe_broadcast(
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     memo_key: tuple | None = None,
     max_probe_bytes: int = DEFAULT_PROBE_BYTES,
+    probe_inputs: list[DataFrame] | None = None,
 ) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
 
@@ -65,7 +77,7 @@ def maybe_broadcast(
     a shuffled sort-merge join (AQE splits skewed partitions) and never an
     estimate-driven broadcast of an unbounded input.
     """
-    if row_count_at_most(df, max_rows, memo_key, max_probe_bytes):
+    if row_count_at_most(df, max_rows, memo_key, max_probe_bytes, probe_inputs):
         return F.broadcast(df)
     return df.hint("shuffle_merge")
 

@@ -353,9 +353,7 @@ ORDER BY days_of_inventory ASC
 )
 def q_inventory_insights(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return A.inventory_insights(
-        src.sales(), src.products(), src.as_of(), broadcast_rows=src.broadcast_rows
-    )
+    return A.inventory_insights(src.sales(), src.products(), src.as_of())
 
 
 # --------------------------------------------------------------------- Q10

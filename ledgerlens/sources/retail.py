@@ -116,16 +116,21 @@ class RetailSource:
 
     def sales(self, region: bool = False, sales_rep: bool = False) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        scans = [orders]
         if region:
+            customers = self.table("customer").select("c_custkey", "c_nationkey")
             orders = orders.join(
-                self._checked(self.customer_region(), "customer_region"),
+                self._checked(self.customer_region(), "customer_region", [customers]),
                 F.col("o_custkey") == F.col("c_custkey"),
                 "left",
             )
+            scans.append(customers)
         # The order side is broadcast only below the row bound; above it both
         # facts are shuffled on the order key (sort-merge join).
         order_key = (self.base, "orders" + ("+region" if region else ""))
-        orders_small = row_count_at_most(orders, self.broadcast_rows, order_key)
+        orders_small = row_count_at_most(
+            orders, self.broadcast_rows, order_key, probe_inputs=scans
+        )
         orders = F.broadcast(orders) if orders_small else orders.hint("shuffle_merge")
         # The line-item fact carries the per-row work (join, exact amounts).
         # When the join is a broadcast (no shuffle of the line items), spread
@@ -158,6 +163,9 @@ class RetailSource:
     def events(self) -> DataFrame:
         return self.table("events")
 
-    def _checked(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` behind the row-bounded broadcast check (memoised per input)."""
-        return maybe_broadcast(df, self.broadcast_rows, memo_key=(self.base, name))
+    def _checked(self, df: DataFrame, name: str, scans: list[DataFrame] | None = None) -> DataFrame:
+        """``df`` behind the row-bounded broadcast check (memoised per input);
+        ``scans`` are the table scans the probe reads when ``df`` has joins."""
+        return maybe_broadcast(
+            df, self.broadcast_rows, memo_key=(self.base, name), probe_inputs=scans
+        )

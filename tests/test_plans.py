@@ -72,3 +72,13 @@ def test_large_inputs_are_not_probed(spark, sf_dir):
     assert "shuffle_merge" in hinted._jdf.queryExecution().logical().toString().lower()
     # within budget the row probe decides
     assert joins.row_count_at_most(li, 10**9, memo_key=("t", "small")) is True
+
+
+def test_small_joined_dimensions_are_still_broadcast(spark, sf_dir):
+    # orders x customer regions is a join; its Catalyst estimate (product of
+    # the inputs) must not block the checked broadcast of small inputs
+    df = E.queries()["regional_growth"](spark, sf_dir)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final
+    assert final.count("BroadcastHashJoin") >= 3
