@@ -2,8 +2,11 @@
 
 This is the scheduled run of the original automation (quality checks ->
 report -> backup with retention), expressed as one Spark application.
-Every output is written under ``output_dir`` on shared storage; each write is
-its own job, so a failure re-runs only the write that failed.
+The raw tables are joined once: the denormalised sales, orders and products
+are written to ``output_dir/warehouse`` first (a written table on shared
+storage cuts the lineage), and every panel then reads those files instead of
+re-joining the facts.  Every output is written under ``output_dir``; each
+write is its own job, so a failure re-runs only the write that failed.
 
 Usage::
 
@@ -22,9 +25,11 @@ from ledgerlens.operators import dashboard as DB
 from ledgerlens.operators import quality as K
 from ledgerlens.sources import landing as L
 from ledgerlens.sources.retail import RetailSource
+from ledgerlens.sources.warehouse import materialize
 
 
-def dashboard_frames(src: RetailSource) -> dict[str, DataFrame]:
+def dashboard_frames(src) -> dict[str, DataFrame]:
+    """The dashboard panels from any source with sales / orders / products / as_of."""
     as_of = src.as_of()
     sales = src.sales()
     return {
@@ -52,8 +57,9 @@ def daily_job(
 
     ``as_of`` is the run's reporting instant (default: latest order time).
     """
-    src = RetailSource(spark, input_dir, as_of_value=as_of)
     out = output_dir.rstrip("/")
+    raw = RetailSource(spark, input_dir, as_of_value=as_of)
+    src = materialize(raw, f"{out}/warehouse")
     checks = K.quality_checks(src.orders(), src.as_of())
     checks.coalesce(1).write.mode("overwrite").json(f"{out}/quality_checks")
     report = DB.write_report(

@@ -58,7 +58,7 @@ def materialize(src: RetailSource, path: str) -> "WarehouseSource":
     _write_partitioned(src.sales(region=True, sales_rep=True), f"{root}/sales")
     _write_partitioned(src.orders(), f"{root}/orders")
     src.products().write.mode("overwrite").parquet(f"{root}/products")
-    return WarehouseSource(src.spark, root, src.broadcast_rows)
+    return WarehouseSource(src.spark, root, src.broadcast_rows, as_of_value=src.as_of_value)
 
 
 @dataclass
@@ -66,6 +66,7 @@ class WarehouseSource:
     spark: SparkSession
     root: str
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    as_of_value: dt.datetime | None = None
     _as_of: dt.datetime | None = field(default=None, repr=False)
 
     def _read(self, name: str, schema: str) -> DataFrame:
@@ -85,7 +86,10 @@ class WarehouseSource:
         return self._read("products", PRODUCTS_SCHEMA)
 
     def as_of(self) -> dt.datetime:
-        """Latest order timestamp, read from the newest month partition only."""
+        """The given ``as_of_value``, else the latest order timestamp read from
+        the newest month partition only."""
+        if self._as_of is None and self.as_of_value is not None:
+            self._as_of = self.as_of_value
         if self._as_of is None:
             orders = self._read("orders", ORDERS_SCHEMA)
             last_month = partition_values(self.spark, f"{self.root}/orders", PARTITION)[-1]
