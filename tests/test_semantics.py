@@ -3,7 +3,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from fixtures import order, orders_df, product, products_df, sale, sales_df
 from ledgerlens.functions import numeric as N
