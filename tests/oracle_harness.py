@@ -8,6 +8,7 @@ exactly.
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
@@ -19,7 +20,7 @@ TABLES = (
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET TimeZone = '{os.environ.get('LEDGERLENS_DUCK_TZ', 'UTC')}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
