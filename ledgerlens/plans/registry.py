@@ -935,3 +935,20 @@ def q_seasonal_analysis_rollup(spark, sf_dir):
     from ledgerlens.operators import rollups as R
 
     return R.seasonal_from_rollup(R.daily_rollup(_src(spark, sf_dir).sales(region=True)))
+
+
+# ============================================================ streaming path
+@register("daily_revenue_streamed", ORACLE["daily_revenue"])
+def q_daily_revenue_streamed(spark, sf_dir):
+    """D1 from the incrementally refreshed rollup: line items land as files,
+    an ``availableNow`` stream folds them into the rollup, D1 reads it."""
+    from ledgerlens.operators import rollups as R
+    from ledgerlens.streaming.rollup_stream import read_rollup, refresh_daily_rollup
+
+    sales = _src(spark, sf_dir).sales(region=True)
+    landing = shared_dir(spark, "sales-landing")
+    rollup = shared_dir(spark, "daily-rollup")
+    sales.write.mode("append").parquet(landing)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sales.schema.fields)
+    refresh_daily_rollup(spark, landing, schema, rollup, shared_dir(spark, "rollup-checkpoint"))
+    return R.daily_revenue_from_rollup(read_rollup(spark, rollup))
