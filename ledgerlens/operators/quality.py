@@ -91,17 +91,27 @@ def quality_checks(
 
 
 def duplicate_ratio(
-    df: DataFrame, keys: list[str], threshold: float = DUPLICATE_THRESHOLD
+    df: DataFrame,
+    keys: list[str],
+    threshold: float = DUPLICATE_THRESHOLD,
+    exact: bool = True,
+    rsd: float = 0.01,
 ) -> DataFrame:
     """Share of rows that repeat an earlier key: (rows - distinct keys) / rows.
 
-    Two-stage aggregation (per key, then global) instead of a distinct count
-    over a struct: a key holding a third of the rows collapses map-side.
+    Exact: two-stage aggregation (per key, then global) instead of a distinct
+    count over a struct, so a key holding a third of the rows collapses
+    map-side.  ``exact=False`` estimates the distinct keys with HyperLogLog++
+    in a single pass with no key shuffle (relative error ``rsd``).
     """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    totals = per_key.agg(
-        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys")
-    )
+    if exact:
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        totals = per_key.agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys"))
+    else:
+        totals = df.agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.approx_count_distinct(F.struct(*keys), rsd).alias("_keys"),
+        )
     ratio = F.try_divide(
         (F.col("_rows") - F.col("_keys")).cast("double"), F.col("_rows").cast("double")
     )

@@ -206,3 +206,10 @@ def test_daily_job_writes_every_output(spark, sf_dir):
     assert spark.read.parquet(result["dashboard"]["kpi_cards"]).count() == 4
     assert spark.read.parquet(result["dashboard"]["revenue_growth"]).count() == 80
     assert len(result["snapshots"]) == 1
+
+
+def test_duplicate_ratio_estimate_is_close(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    exact = K.duplicate_ratio(li, ["l_orderkey", "l_linenumber"]).collect()[0]["observed"]
+    est = K.duplicate_ratio(li, ["l_orderkey", "l_linenumber"], exact=False).collect()[0]["observed"]
+    assert abs(est - exact) < 0.03
