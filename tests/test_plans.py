@@ -82,3 +82,13 @@ def test_small_joined_dimensions_are_still_broadcast(spark, sf_dir):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "SortMergeJoin" not in final
     assert final.count("BroadcastHashJoin") >= 3
+
+
+def test_spread_only_small_single_split_inputs(spark, sf_dir, monkeypatch):
+    from ledgerlens.sources import tables
+
+    small = tables.read_table(spark, sf_dir, "lineitem", spread=True)
+    assert "RoundRobinPartitioning" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tables, "SPREAD_MAX_BYTES", 1)  # pretend the input is large
+    large = tables.read_table(spark, sf_dir, "lineitem", spread=True)
+    assert "RoundRobinPartitioning" not in large._jdf.queryExecution().executedPlan().toString()
