@@ -126,8 +126,13 @@ def regional_share(sales: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- D5
 def day_hour_heatmap(events: DataFrame, event_type: str = "purchase") -> DataFrame:
-    """Weekday (Monday first) x hour activity with intensity in percent of
-    the busiest cell.  Only cells with at least one event are emitted."""
+    """Weekday (Monday first) x hour grid of activity, all 7 x 24 cells, with
+    intensity in percent of the busiest cell (empty cells show 0).
+
+    The events are aggregated to at most 168 cells first; the full grid is a
+    168-row spine (``spark.range``) left-joined to them, so nothing but the
+    aggregated cells meets the spine.
+    """
     cells = (
         events.filter(F.col("event_type") == event_type)
         .groupBy(
@@ -135,19 +140,26 @@ def day_hour_heatmap(events: DataFrame, event_type: str = "purchase") -> DataFra
             F.hour("ts").alias("hour"),
         )
         .agg(
-            F.count(F.lit(1)).alias("events"),
+            F.count(F.lit(1)).alias("_events"),
             F.sum(F.col("value").cast("decimal(14,2)")).alias("_value"),
-            F.min("ts").alias("_any_ts"),
         )
     )
-    peak = F.max("_value").over(Window.partitionBy())  # <= 168 rows
-    return cells.select(
+    spine = events.sparkSession.range(7 * 24).select(
+        (F.col("id") / 24).cast("int").alias("day_index"), (F.col("id") % 24).cast("int").alias("hour")
+    )
+    grid = spine.join(F.broadcast(cells), ["day_index", "hour"], "left")
+    value = F.coalesce(F.col("_value"), F.lit(0).cast("decimal(24,2)"))
+    peak = F.max(value).over(Window.partitionBy())  # 168 rows
+    monday = F.lit(dt.date(2024, 1, 1))  # a Monday: names the weekday index
+    return grid.select(
         "day_index",
-        F.date_format("_any_ts", "EEEE").alias("day_name"),
+        F.date_format(F.date_add(monday, F.col("day_index")), "EEEE").alias("day_name"),
         "hour",
-        "events",
-        N.as_double("_value").alias("activity"),
-        N.round_ratio(F.col("_value") * F.lit(100), peak, 1, 2).cast("double").alias("intensity_pct"),
+        F.coalesce(F.col("_events"), F.lit(0).cast("bigint")).alias("events"),
+        N.as_double(value).alias("activity"),
+        F.coalesce(N.round_ratio(value * F.lit(100), peak, 1, 2), F.lit(0).cast("decimal(38,1)"))
+        .cast("double")
+        .alias("intensity_pct"),
     ).orderBy("day_index", "hour")
 
 

@@ -793,14 +793,22 @@ def q_regional_share(spark, sf_dir):
     "day_hour_heatmap",
     f"""
 WITH c AS (
-    SELECT CAST(isodow(ts) - 1 AS INTEGER) AS day_index, strftime(ts, '%A') AS day_name,
-           CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS events,
-           SUM(CAST(value AS DECIMAL(14,2))) AS v
-    FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3
-)
-SELECT day_index, day_name, hour, events, CAST(v AS DOUBLE) AS activity,
-       CAST({O.round_ratio('v * 100', 'MAX(v) OVER ()', 1, 2)} AS DOUBLE) AS intensity_pct
-FROM c
+    SELECT CAST(isodow(ts) - 1 AS INTEGER) AS day_index, CAST(hour(ts) AS INTEGER) AS hour,
+           COUNT(*) AS events, SUM(CAST(value AS DECIMAL(14,2))) AS v
+    FROM events WHERE event_type = 'purchase' GROUP BY 1, 2
+),
+grid AS (
+    SELECT CAST(i // 24 AS INTEGER) AS day_index, CAST(i % 24 AS INTEGER) AS hour
+    FROM range(168) t(i)
+),
+g AS (
+    SELECT grid.day_index, grid.hour, COALESCE(c.events, 0) AS events, COALESCE(c.v, 0) AS v
+    FROM grid LEFT JOIN c ON grid.day_index = c.day_index AND grid.hour = c.hour
+)
+SELECT day_index, strftime(DATE '2024-01-01' + day_index, '%A') AS day_name, hour, events,
+       CAST(v AS DOUBLE) AS activity,
+       CAST(COALESCE({O.round_ratio('v * 100', 'MAX(v) OVER ()', 1, 2)}, 0) AS DOUBLE) AS intensity_pct
+FROM g
 """,
 )
 def q_day_hour_heatmap(spark, sf_dir):

@@ -334,3 +334,20 @@ def test_regional_shares_sum_to_100(spark, sf_dir):
     out = rows(E.queries()["regional_share"](spark, sf_dir))
     assert abs(sum(r["share_pct"] for r in out) - 100) < 0.05
     assert len({r["grand_total"] for r in out}) == 1
+
+
+def test_heatmap_is_a_full_grid(spark):
+    from ledgerlens.operators import dashboard as DB
+
+    ev = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 3, 14, 5), 1, "purchase", 2.5, "{}"),
+         (2, dt.datetime(2024, 1, 3, 14, 50), 1, "purchase", 2.5, "{}"),
+         (3, dt.datetime(2024, 1, 7, 9, 0), 1, "purchase", 1.0, "{}"),
+         (4, dt.datetime(2024, 1, 7, 9, 0), 1, "view", 99.0, "{}")],
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    )
+    out = rows(DB.day_hour_heatmap(ev))
+    assert len(out) == 168
+    busy = {(r["day_name"], r["hour"]): (r["events"], r["intensity_pct"]) for r in out if r["events"]}
+    assert busy == {("Wednesday", 14): (2, 100.0), ("Sunday", 9): (1, 20.0)}
+    assert out[0]["day_name"] == "Monday" and out[0]["intensity_pct"] == 0.0
