@@ -35,7 +35,13 @@ CHURN_SEGMENTS = ("At Risk", "Lost Customers")
 
 
 # ---------------------------------------------------------------- D1 / R1
-def daily_revenue(sales: DataFrame) -> DataFrame:
+def daily_revenue(
+    sales: DataFrame, as_of: dt.datetime | None = None, days: int | None = None
+) -> DataFrame:
+    """Revenue and transactions per day; with ``as_of`` and ``days`` only the
+    days on or after ``as_of - days`` (the dashboard's 30-day series)."""
+    if as_of is not None and days is not None:
+        sales = sales.filter(D.on_or_after("transaction_date", D.window_start(as_of, days)))
     return (
         sales.groupBy("transaction_date")
         .agg(F.sum("total_amount").alias("_rev"), F.count(F.lit(1)).alias("transaction_count"))

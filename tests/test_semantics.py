@@ -351,3 +351,12 @@ def test_heatmap_is_a_full_grid(spark):
     busy = {(r["day_name"], r["hour"]): (r["events"], r["intensity_pct"]) for r in out if r["events"]}
     assert busy == {("Wednesday", 14): (2, 100.0), ("Sunday", 9): (1, 20.0)}
     assert out[0]["day_name"] == "Monday" and out[0]["intensity_pct"] == 0.0
+
+
+def test_daily_revenue_window(spark):
+    from ledgerlens.operators import dashboard as DB
+
+    s = sales_df(spark, [sale(1, 1, "2024-05-30", amount="1"), sale(1, 1, "2024-05-31", amount="2"),
+                         sale(1, 1, "2024-06-30", amount="3")])
+    assert len(rows(DB.daily_revenue(s))) == 3
+    assert [r["revenue"] for r in rows(DB.daily_revenue(s, AS_OF, 30))] == [2.0, 3.0]
