@@ -43,18 +43,18 @@ def int_div(a: Column, b: Column) -> Column:
 
 
 def round_ratio(numerator, denominator, digits: int, numerator_scale: int = 0) -> Column:
-    """round_half_up(numerator / denominator, digits), computed exactly.
+    """round(numerator / denominator, digits), half away from zero, exactly.
 
-    ``numerator`` is a non-negative exact number with at most
-    ``numerator_scale`` decimals (an integer count or a DECIMAL sum);
-    ``denominator`` is a non-negative exact number with the same bound on
-    its decimals.  Returns DECIMAL(38, digits); NULL when the denominator is
-    0 or NULL.
+    ``numerator`` is an exact number with at most ``numerator_scale``
+    decimals (an integer count or a DECIMAL sum); ``denominator`` is a
+    positive exact number with the same bound on its decimals.  Returns
+    DECIMAL(38, digits); NULL when the denominator is 0 or NULL.
     """
     num = (_c(numerator) * F.lit(10 ** (numerator_scale + digits))).cast("decimal(38,0)")
     den = (_c(denominator) * F.lit(10**numerator_scale)).cast("decimal(38,0)")
     den = F.when(den > 0, den)
-    whole = int_div(num * 2 + den, den * 2)
+    magnitude = int_div(F.abs(num) * 2 + den, den * 2)
+    whole = F.when(num < 0, -magnitude).otherwise(magnitude)
     return scale_down(whole, digits)
 
 

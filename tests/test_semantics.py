@@ -271,6 +271,16 @@ def test_round_ratio_half_up_and_zero_denominator(spark):
     assert got == [0.13, None, 2.5, 0.33]
 
 
+def test_round_ratio_negative_rounds_half_away_from_zero(spark, duck_con):
+    from ledgerlens.plans import oracle as O
+
+    df = spark.createDataFrame([(-1, 8), (-5, 2), (-1, 3), (0, 7)], "n BIGINT, d BIGINT")
+    got = [r[0] for r in df.select(N.round_ratio("n", "d", 2).cast("double")).collect()]
+    assert got == [-0.13, -2.5, -0.33, 0.0]
+    sql = "SELECT CAST(" + O.round_ratio("n", "d", 2) + " AS DOUBLE) FROM (VALUES (-1, 8), (-5, 2), (-1, 3), (0, 7)) t(n, d)"
+    assert [r[0] for r in duck_con.execute(sql).fetchall()] == got
+
+
 def test_money_text_and_division_by_zero(spark):
     df = spark.createDataFrame([(None,), (Decimal("0.125"),)], "x DECIMAL(10,3)")
     assert [r[0] for r in df.select(N.money_text("x")).collect()] == ["$0.00", "$0.13"]
