@@ -10,7 +10,7 @@ write is its own job, so a failure re-runs only the write that failed.
 
 Usage::
 
-    spark-submit ledgerlens/jobs.py --input /data/raw --output /data/reports
+    spark-submit ledgerlens/jobs.py --input /data/raw --output /data/reports [--cluster-defaults]
 """
 
 from __future__ import annotations
@@ -83,9 +83,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--keep-days", type=int, default=7)
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat, default=None)
+    parser.add_argument(
+        "--cluster-defaults",
+        action="store_true",
+        help="apply ledgerlens.session.CLUSTER_CONF (large-cluster starting points)",
+    )
     args = parser.parse_args(argv)
     builder = SparkSession.builder.appName("ledgerlens-daily")
-    for key, value in {**SESSION_CONF, **CLUSTER_CONF}.items():
+    conf = {**SESSION_CONF, **(CLUSTER_CONF if args.cluster_defaults else {})}
+    for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     result = daily_job(spark, args.input, args.output, args.keep_days, args.as_of)

@@ -213,3 +213,19 @@ def test_duplicate_ratio_estimate_is_close(spark, sf_dir):
     exact = K.duplicate_ratio(li, ["l_orderkey", "l_linenumber"]).collect()[0]["observed"]
     est = K.duplicate_ratio(li, ["l_orderkey", "l_linenumber"], exact=False).collect()[0]["observed"]
     assert abs(est - exact) < 0.03
+
+
+def test_daily_job_command_line(spark, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = shared_dir(spark, "t-daily-cli").replace("file:", "")
+    proc = subprocess.run(
+        [sys.executable, "-m", "ledgerlens.jobs", "--input", "/root/testdata/sf0.001", "--output", out],
+        cwd=root, capture_output=True, text=True, timeout=600,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert "failed_checks" in proc.stdout
+    assert os.path.isdir(os.path.join(out, "dashboard", "kpi_cards"))
