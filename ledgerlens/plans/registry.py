@@ -3,14 +3,27 @@ where the query is expressible in SQL, to a DuckDB oracle statement."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import dates as Dt
 from ledgerlens.operators import analytics as A
+from ledgerlens.operators import cleaning as E
+from ledgerlens.operators import dashboard as DB
+from ledgerlens.operators import derived as DV
+from ledgerlens.operators import quality as K
+from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
+from ledgerlens.session import shared_dir
+from ledgerlens.sources import landing as L
 from ledgerlens.sources.retail import RetailSource
+from ledgerlens.sources.tables import TABLE_SCHEMAS
+from ledgerlens.sources.warehouse import materialize
+from ledgerlens.streaming.landing_stream import ingest_available
+from ledgerlens.streaming.rollup_stream import read_rollup, refresh_daily_rollup
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -293,7 +306,7 @@ def q_sales_rep_performance(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------- Q8
-_SEASON_AGG = f"SUM(total_amount) AS rev, COUNT(*) AS transaction_count"
+_SEASON_AGG = "SUM(total_amount) AS rev, COUNT(*) AS transaction_count"
 
 
 @register(
@@ -392,14 +405,6 @@ def q_executive_summary(spark, sf_dir):
 
 
 # ============================================================ functions
-from ledgerlens.operators import cleaning as E  # noqa: E402
-from ledgerlens.operators import dashboard as DB  # noqa: E402
-from ledgerlens.operators import derived as DV  # noqa: E402
-from ledgerlens.operators import quality as K  # noqa: E402
-from ledgerlens.session import shared_dir  # noqa: E402
-from ledgerlens.sources import landing as L  # noqa: E402
-from ledgerlens.sources.tables import TABLE_SCHEMAS  # noqa: E402
-from ledgerlens.streaming.landing_stream import ingest_available  # noqa: E402
 
 
 @register(
@@ -667,8 +672,6 @@ FROM sales_transactions
     ),
 )
 def q_clean_load_roundtrip(spark, sf_dir):
-    from ledgerlens.functions import dates as Dt
-
     sales = _src(spark, sf_dir).sales()
     path = shared_dir(spark, "sales-by-month")
     L.clean_load(sales.withColumn("year_month", Dt.year_month("transaction_date")), path, "year_month")
@@ -693,8 +696,6 @@ FROM order_transactions WHERE CAST(transaction_date AS DATE) <= (SELECT d FROM a
 
 @register("snapshot_retention", _snapshot_sql())
 def q_snapshot_retention(spark, sf_dir):
-    import datetime as dt
-
     src = _src(spark, sf_dir)
     as_of = src.as_of()
     path = shared_dir(spark, "order-snapshots")
@@ -930,8 +931,6 @@ def q_monthly_revenue_12m(spark, sf_dir):
 @register("warehouse_revenue_growth", ORACLE["revenue_growth"])
 def q_warehouse_revenue_growth(spark, sf_dir):
     """ETL then query: materialise the joined sales once, run Q1 on it."""
-    from ledgerlens.sources.warehouse import materialize
-
     wh = materialize(_src(spark, sf_dir), shared_dir(spark, "warehouse"))
     return A.revenue_growth(wh.sales())
 
@@ -940,8 +939,6 @@ def q_warehouse_revenue_growth(spark, sf_dir):
 @register("seasonal_analysis_rollup", ORACLE["seasonal_analysis"])
 def q_seasonal_analysis_rollup(spark, sf_dir):
     """Q8 served from the daily rollup (one pass over the facts)."""
-    from ledgerlens.operators import rollups as R
-
     return R.seasonal_from_rollup(R.daily_rollup(_src(spark, sf_dir).sales(region=True)))
 
 
@@ -950,9 +947,6 @@ def q_seasonal_analysis_rollup(spark, sf_dir):
 def q_daily_revenue_streamed(spark, sf_dir):
     """D1 from the incrementally refreshed rollup: line items land as files,
     an ``availableNow`` stream folds them into the rollup, D1 reads it."""
-    from ledgerlens.operators import rollups as R
-    from ledgerlens.streaming.rollup_stream import read_rollup, refresh_daily_rollup
-
     sales = _src(spark, sf_dir).sales(region=True)
     landing = shared_dir(spark, "sales-landing")
     rollup = shared_dir(spark, "daily-rollup")
