@@ -57,6 +57,27 @@ def landing_ingest(
     return reader.load(path)
 
 
+# The landing sub-directories of the original pipeline.
+LANDING_SOURCES = ("sales", "customers", "products")
+
+
+def ingest_landing_sources(
+    spark: SparkSession,
+    root: str,
+    schemas: dict[str, StructType | str],
+    fmt: str = "csv",
+) -> dict[str, DataFrame]:
+    """One typed DataFrame per landing sub-directory (``root/<source>``).
+
+    Only the sources given in ``schemas`` are read, each with its own fixed
+    schema; the reads are lazy, so nothing is scanned until used.
+    """
+    return {
+        name: landing_ingest(spark, f"{root.rstrip('/')}/{name}", fmt, schema)
+        for name, schema in schemas.items()
+    }
+
+
 def clean_load(df: DataFrame, path: str, partition_by: str) -> None:
     """Write ``df`` as parquet partitioned by ``partition_by``.
 

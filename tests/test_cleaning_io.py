@@ -229,3 +229,16 @@ def test_daily_job_command_line(spark, tmp_path):
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert "failed_checks" in proc.stdout
     assert os.path.isdir(os.path.join(out, "dashboard", "kpi_cards"))
+
+
+def test_three_landing_sources(spark, sf_dir):
+    from ledgerlens.sources.tables import TABLE_SCHEMAS
+
+    root = shared_dir(spark, "t-landing-root")
+    tables = {"sales": "orders", "customers": "customer", "products": "part"}
+    for source, table in tables.items():
+        L.write_landing(spark.read.parquet(f"{sf_dir}/{table}.parquet"), f"{root}/{source}", "csv")
+    frames = L.ingest_landing_sources(spark, root, {s: TABLE_SCHEMAS[t] for s, t in tables.items()})
+    assert set(frames) == set(L.LANDING_SOURCES)
+    for source, table in tables.items():
+        assert frames[source].count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
