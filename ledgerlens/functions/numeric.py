@@ -50,8 +50,9 @@ def round_ratio(numerator, denominator, digits: int, numerator_scale: int = 0) -
     positive exact number with the same bound on its decimals.  Returns
     DECIMAL(38, digits); NULL when the denominator is 0 or NULL.
     """
-    num = (_c(numerator) * F.lit(10 ** (numerator_scale + digits))).cast("decimal(38,0)")
-    den = (_c(denominator) * F.lit(10**numerator_scale)).cast("decimal(38,0)")
+    wide = f"decimal(38,{numerator_scale})"  # exact for both operands, no integer overflow
+    num = (_c(numerator).cast(wide) * F.lit(10 ** (numerator_scale + digits))).cast("decimal(38,0)")
+    den = (_c(denominator).cast(wide) * F.lit(10**numerator_scale)).cast("decimal(38,0)")
     den = F.when(den > 0, den)
     magnitude = int_div(F.abs(num) * 2 + den, den * 2)
     whole = F.when(num < 0, -magnitude).otherwise(magnitude)

@@ -250,7 +250,9 @@ def rfm_segments(
         N.share_pct("customer_count", total).alias("percentage"),
         N.round_ratio("_spent", "customer_count", 2, 2).cast("double").alias("avg_customer_value"),
         N.round_ratio("_freq", "customer_count", 1).cast("double").alias("avg_purchase_frequency"),
-        N.round_ratio("_micros", F.col("customer_count") * F.lit(D.MICROS_PER_DAY), 0)
+        N.round_ratio(
+            "_micros", F.col("customer_count").cast("decimal(38,0)") * F.lit(D.MICROS_PER_DAY), 0
+        )
         .cast("double")
         .alias("avg_days_since_last_purchase"),
     ).orderBy(F.col("customer_count").desc(), "customer_segment")

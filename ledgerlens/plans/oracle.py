@@ -51,8 +51,8 @@ def with_views(body: str) -> str:
 
 def round_ratio(num: str, den: str, digits: int, num_scale: int = 0) -> str:
     """SQL twin of numeric.round_ratio -> DECIMAL(38, digits)."""
-    n = f"CAST(({num}) * {10 ** (num_scale + digits)} AS HUGEINT)"
-    d = f"NULLIF(CAST(({den}) * {10 ** num_scale} AS HUGEINT), 0)"
+    n = f"CAST(CAST(({num}) AS DECIMAL(38,{num_scale})) * {10 ** (num_scale + digits)} AS HUGEINT)"
+    d = f"NULLIF(CAST(CAST(({den}) AS DECIMAL(38,{num_scale})) * {10 ** num_scale} AS HUGEINT), 0)"
     whole = f"(sign({n}) * ((abs({n}) * 2 + {d}) // ({d} * 2)))"
     if digits == 0:
         return f"CAST({whole} AS DECIMAL(38,0))"

@@ -232,7 +232,7 @@ SELECT customer_segment, customer_count,
        {O.share_pct('customer_count', 'SUM(customer_count) OVER ()')} AS percentage,
        CAST({O.round_ratio('spent', 'customer_count', 2, 2)} AS DOUBLE) AS avg_customer_value,
        CAST({O.round_ratio('freq', 'customer_count', 1)} AS DOUBLE) AS avg_purchase_frequency,
-       CAST({O.round_ratio('micros', 'customer_count * 86400000000', 0)} AS DOUBLE)
+       CAST({O.round_ratio('micros', 'CAST(customer_count AS HUGEINT) * 86400000000', 0)} AS DOUBLE)
          AS avg_days_since_last_purchase
 FROM g ORDER BY customer_count DESC
 """
