@@ -28,8 +28,10 @@ from ledgerlens.operators.bases import (
 )
 from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
-# Reporting ranges of the dashboard filter buttons.
+# Reporting ranges of the dashboard filter buttons and the
+# KPI card titles.
 REPORTING_RANGES = (("7d", 7), ("30d", 30), ("90d", 90), ("1y", 365))
+CARD_METRICS = ("Total Revenue", "Active Customers", "Avg Order Value", "Churn Rate")
 TOP_REPORT_PRODUCTS = 10
 CHURN_SEGMENTS = ("At Risk", "Lost Customers")
 
@@ -217,16 +219,15 @@ def kpi_cards(orders: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFram
         F.sum(F.when(F.col("prev_total_transactions") > 0, churned(prev_seg))).alias("prev_churn"),
         F.count(F.when(F.col("prev_total_transactions") > 0, F.lit(1))).alias("prev_all"),
     )
-    rev = lambda c: N.as_double(c)
     aov = lambda r, n: N.round_ratio(r, n, 2, 2).cast("double")
-    rate = lambda part, whole: N.share_pct(part, whole)
+    revenue_m, customers_m, aov_m, churn_m = CARD_METRICS
     cards = g.select(
         F.stack(
             F.lit(4),
-            F.lit("Total Revenue"), rev("cur_rev"), rev("prev_rev"),
-            F.lit("Active Customers"), F.col("cur_cust").cast("double"), F.col("prev_cust").cast("double"),
-            F.lit("Avg Order Value"), aov("cur_rev", "cur_n"), aov("prev_rev", "prev_n"),
-            F.lit("Churn Rate"), rate("cur_churn", "cur_all"), rate("prev_churn", "prev_all"),
+            F.lit(revenue_m), N.as_double("cur_rev"), N.as_double("prev_rev"),
+            F.lit(customers_m), F.col("cur_cust").cast("double"), F.col("prev_cust").cast("double"),
+            F.lit(aov_m), aov("cur_rev", "cur_n"), aov("prev_rev", "prev_n"),
+            F.lit(churn_m), N.share_pct("cur_churn", "cur_all"), N.share_pct("prev_churn", "prev_all"),
         ).alias("metric", "current_value", "previous_value")
     )
     change = F.try_divide(
