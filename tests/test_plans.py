@@ -92,3 +92,21 @@ def test_spread_only_small_single_split_inputs(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(tables, "SPREAD_MAX_BYTES", 1)  # pretend the input is large
     large = tables.read_table(spark, sf_dir, "lineitem", spread=True)
     assert "RoundRobinPartitioning" not in large._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_facts_join_without_shuffle(spark, sf_dir):
+    from ledgerlens.session import shared_dir
+    from ledgerlens.sources.bucketed import BucketedSource, write_bucketed
+
+    root = shared_dir(spark, "t-bucketed")
+    write_bucketed(RetailSource(spark, sf_dir), root, buckets=8, prefix="t_bk")
+    raw = RetailSource(spark, sf_dir, broadcast_rows=10)
+    bucketed = BucketedSource(spark, sf_dir, broadcast_rows=10, prefix="t_bk")
+    a, b = A.revenue_growth(raw.sales()), A.revenue_growth(bucketed.sales())
+    assert sorted(a.collect()) == sorted(b.collect())
+    plan = b._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    join_at = plan.index("SortMergeJoin")
+    below = plan[join_at:]
+    assert "SortMergeJoin [l_orderkey" in plan
+    # no hash exchange on the order key under the join: both sides are bucketed
+    assert "hashpartitioning(l_orderkey" not in below and "hashpartitioning(o_orderkey" not in below
