@@ -110,3 +110,11 @@ def test_bucketed_facts_join_without_shuffle(spark, sf_dir):
     assert "SortMergeJoin [l_orderkey" in plan
     # no hash exchange on the order key under the join: both sides are bucketed
     assert "hashpartitioning(l_orderkey" not in below and "hashpartitioning(o_orderkey" not in below
+    # a new session re-registers the same folders and keeps the bucket layout
+    from ledgerlens.sources.bucketed import register_bucketed
+
+    register_bucketed(spark, root.replace("file:", ""), buckets=8, prefix="t_bk2")
+    again = A.revenue_growth(BucketedSource(spark, sf_dir, broadcast_rows=10, prefix="t_bk2").sales())
+    assert sorted(again.collect()) == sorted(a.collect())
+    plan2 = again._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(l_orderkey" not in plan2
