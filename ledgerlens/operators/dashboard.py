@@ -137,35 +137,35 @@ def day_hour_heatmap(events: DataFrame, event_type: str = "purchase") -> DataFra
     """Weekday (Monday first) x hour grid of activity, all 7 x 24 cells, with
     intensity in percent of the busiest cell (empty cells show 0).
 
-    The events are aggregated to at most 168 cells first; the full grid is a
-    168-row spine (``spark.range``) left-joined to them, so nothing but the
-    aggregated cells meets the spine.
+    The 168 grid cells (``spark.range``) are unioned into the event rows as
+    zero-weight rows before the one aggregation, so every cell exists after
+    it - no join and no second pass over the events.
     """
-    cells = (
-        events.filter(F.col("event_type") == event_type)
-        .groupBy(
-            D.weekday_index_monday_first("ts").alias("day_index"),
-            F.hour("ts").alias("hour"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("_events"),
-            F.sum(F.col("value").cast("decimal(14,2)")).alias("_value"),
-        )
+    keyed = events.filter(F.col("event_type") == event_type).select(
+        D.weekday_index_monday_first("ts").alias("day_index"),
+        F.hour("ts").alias("hour"),
+        F.col("value").cast("decimal(14,2)").alias("value"),
+        F.lit(1).alias("_event"),
     )
     spine = events.sparkSession.range(7 * 24).select(
-        (F.col("id") / 24).cast("int").alias("day_index"), (F.col("id") % 24).cast("int").alias("hour")
+        (F.col("id") / 24).cast("int").alias("day_index"),
+        (F.col("id") % 24).cast("int").alias("hour"),
+        F.lit(None).cast("decimal(14,2)").alias("value"),
+        F.lit(None).cast("int").alias("_event"),
+    )
+    cells = keyed.unionByName(spine).groupBy("day_index", "hour").agg(
+        F.count("_event").alias("events"),
+        F.coalesce(F.sum("value"), F.lit(0).cast("decimal(24,2)")).alias("_value"),
     )
-    grid = spine.join(F.broadcast(cells), ["day_index", "hour"], "left")
-    value = F.coalesce(F.col("_value"), F.lit(0).cast("decimal(24,2)"))
-    peak = F.max(value).over(Window.partitionBy())  # 168 rows
+    peak = F.max("_value").over(Window.partitionBy())  # 168 rows
     monday = F.lit(dt.date(2024, 1, 1))  # a Monday: names the weekday index
-    return grid.select(
+    return cells.select(
         "day_index",
         F.date_format(F.date_add(monday, F.col("day_index")), "EEEE").alias("day_name"),
         "hour",
-        F.coalesce(F.col("_events"), F.lit(0).cast("bigint")).alias("events"),
-        N.as_double(value).alias("activity"),
-        F.coalesce(N.round_ratio(value * F.lit(100), peak, 1, 2), F.lit(0).cast("decimal(38,1)"))
+        "events",
+        N.as_double("_value").alias("activity"),
+        F.coalesce(N.round_ratio(F.col("_value") * F.lit(100), peak, 1, 2), F.lit(0).cast("decimal(38,1)"))
         .cast("double")
         .alias("intensity_pct"),
     ).orderBy("day_index", "hour")
