@@ -41,7 +41,9 @@ def refresh_daily_rollup(
     def write_contribution(batch: DataFrame, batch_id: int) -> None:
         (
             daily_rollup(batch, lg_k)
-            .coalesce(1)  # a batch contribution is days x regions rows
+            # a contribution has one row per (day, region) in the batch: its
+            # size is bounded by the calendar, not by the number of facts
+            .coalesce(1)
             .write.mode("overwrite")
             .parquet(f"{root}/batch_id={batch_id}")
         )
