@@ -79,7 +79,11 @@ def ts_literal(value: dt.datetime | dt.date) -> Column:
 
 
 def micros_between(start, end) -> Column:
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    """Microseconds from ``start`` to ``end``; DATE and TIMESTAMP_NTZ inputs
+    are compared as wall-clock times (no session time zone involved)."""
+    return F.timestamp_diff(
+        "MICROSECOND", _c(start).cast("timestamp_ntz"), _c(end).cast("timestamp_ntz")
+    )
 
 
 def days_since(d, as_of: dt.datetime) -> Column:

@@ -370,3 +370,16 @@ def test_daily_revenue_window(spark):
                          sale(1, 1, "2024-06-30", amount="3")])
     assert len(rows(DB.daily_revenue(s))) == 3
     assert [r["revenue"] for r in rows(DB.daily_revenue(s, AS_OF, 30))] == [2.0, 3.0]
+
+
+def test_days_since_is_time_zone_free_for_dates(spark):
+    from ledgerlens.functions import dates as Dt
+
+    df = spark.createDataFrame([(dt.date(2024, 6, 20),)], "d DATE")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(Dt.days_since("d", AS_OF)).first()[0] == 10.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
