@@ -27,3 +27,12 @@ def test_entry_smoke(spark):
         "avg_transaction_value", "prev_month_revenue", "prev_year_revenue",
         "mom_growth_rate", "yoy_growth_rate",
     ]
+
+
+def test_every_query_builds_with_a_stable_schema(spark):
+    for key, build in E.queries().items():
+        first = build(spark, "/root/testdata/sf0.001").schema
+        second = build(spark, "/root/testdata/sf0.001").schema
+        names = [f.name for f in first.fields]
+        assert len(names) == len(set(names)), key
+        assert first == second, key
