@@ -21,7 +21,6 @@ from ledgerlens.operators.bases import (
     FREQUENCY_LIMITS,
     MONETARY_LIMITS,
     RECENCY_LIMITS,
-    SEGMENTS,
     customer_base,
     rfm_scored,
     segment_of,
@@ -311,7 +310,6 @@ def monthly_revenue_12m(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 __all__ = [
-    "SEGMENTS",
     "daily_revenue",
     "day_hour_heatmap",
     "kpi_by_range",

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import dates as D
 from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS
 from ledgerlens.sources.landing import partition_values
-from ledgerlens.sources.retail import RetailSource, products_from_part
+from ledgerlens.sources.retail import RetailSource
 
 PARTITION = "year_month"
 
@@ -101,4 +101,4 @@ class WarehouseSource:
         return self._as_of
 
 
-__all__ = ["materialize", "WarehouseSource", "products_from_part"]
+__all__ = ["materialize", "WarehouseSource"]
