@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import token_files
+from ledgerlens.llm import packing, token_files
 from ledgerlens.llm.common import table
 
 
@@ -15,8 +15,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.read_token_files(files))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=0, capacity=2048, split="lead")
+    return packing.pack(parts, capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op4_best_fit_packing": op4_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
