@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import packing, token_files
+from ledgerlens.llm import packing, token_files, url_filter
 from ledgerlens.llm.common import table
 
 
@@ -15,6 +15,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.read_token_files(files))
 
 
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=0, capacity=2048, split="lead")
     return packing.pack(parts, capacity=2048)
@@ -22,6 +29,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_url_filter": op2_url_filter,
     "op4_best_fit_packing": op4_best_fit_packing,
 }
 
