@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import packing, token_files, url_filter
-from ledgerlens.llm.common import table
+from ledgerlens.llm import packing, token_files, toxicity, url_filter
+from ledgerlens.llm.common import crc_mod, table
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +28,18 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, capacity=2048)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    scored = toxicity.score(docs.withColumn("held_out", crc_mod("doc_id", 4) == 2), model, 0.3, ["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("sentences").alias("n_sentences"), F.array_max("sentences.score").alias("worst_sentence"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_url_filter": op2_url_filter,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
