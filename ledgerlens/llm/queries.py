@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import packing, token_files, toxicity, url_filter
+from ledgerlens.llm import kneser_ney, packing, token_files, toxicity, url_filter
 from ledgerlens.llm.common import crc_mod, table
 
 
@@ -23,6 +23,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs, crc_mod("doc_id", 5) != 1, order=2)
+    return kneser_ney.score(docs, model, crc_mod("doc_id", 5) == 1)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=0, capacity=2048, split="lead")
     return packing.pack(parts, capacity=2048)
@@ -38,6 +44,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_url_filter": op2_url_filter,
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
 }
