@@ -37,34 +37,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, filesystem, spill, text_slices, uri, write_file
+from ledgerlens.llm.hashing import WORDS, U, hash_of, mix, split_words
 from ledgerlens.session import shared_dir
 
 SLICE_CHARS = 12_000_000  # counted at a time
 SCORE_CHARS = 6_000_000
 SHARD_CHARS = 6_000_000
 MAX_SHARDS = 4096
-WORDS_KEPT = 500_000  # of a worker's memory; results don't depend on it
 HOT_SAMPLE = 0.01
 BEGIN, END = b" begin", b" end"  # no word has a space
-U = np.uint64
-
-
-class Words(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_WORDS = Words()
 
 
 def tokens(texts: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,27 +58,12 @@ def tokens(texts: list[str], pad: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.empty(len(texts), np.int64)
     begin = [BEGIN] * pad
     for i, x in enumerate(texts):
-        words = x.encode("utf-8", "replace").lower().split()  # ASCII letters and white space only
+        words = split_words(x)
         counts[i] = len(words) + 1
         flat += begin
         flat += words
         flat.append(END)
-    return np.fromiter(map(_WORDS.__getitem__, flat), U, len(flat)), counts
-
-
-def mix(h: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """Hash of a sequence from that of its beginning and its next hash."""
-    h = (h ^ (h >> U(29))) * U(0x9E3779B97F4A7C15) + more
-    h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> U(27))) * U(0x94D049BB133111EB)
-    return h ^ (h >> U(31))
-
-
-def hash_of(columns: list[np.ndarray]) -> np.ndarray:
-    h = np.full(len(columns[0]) if columns else 0, 0x243F6A8885A308D3, U)
-    for c in columns:
-        h = mix(h, c)
-    return h
+    return np.fromiter(map(WORDS.__getitem__, flat), U, len(flat)), counts
 
 
 def is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -202,7 +172,7 @@ def train(docs: DataFrame, usable: Column, order: int = 2, doc_id: str = "doc_id
     folder = shared_dir(spark, "kneser-ney")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin = U(_WORDS[BEGIN])
+        begin = U(WORDS[BEGIN])
         for _, texts in text_slices(batches, "text", SLICE_CHARS):
             h, _ = tokens(texts, order - 1)
             if order == 1:
