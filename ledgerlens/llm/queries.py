@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import jaccard_join, kneser_ney, packing, token_files, toxicity, url_filter
+from ledgerlens.llm import fingerprints, jaccard_join, kneser_ney, packing, token_files, toxicity, url_filter
 from ledgerlens.llm.common import crc_mod, table
 
 
@@ -41,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("sentences").alias("n_sentences"), F.array_max("sentences.score").alias("worst_sentence"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_similar(table(spark, sf_dir, "documents"))[0]
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kneser_ney": op3_kneser_ney,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
+    "op9_fingerprints": op9_fingerprints,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
