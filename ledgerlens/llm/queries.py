@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, jaccard_join, kneser_ney, packing, token_files, toxicity, url_filter
+from ledgerlens.llm import fingerprints, jaccard_join, kneser_ney, packing, secret_scan, token_files, toxicity, url_filter
 from ledgerlens.llm.common import crc_mod, table
 
 
@@ -41,6 +41,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("sentences").alias("n_sentences"), F.array_max("sentences.score").alias("worst_sentence"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    kinds = F.col("base.kind")
+    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *count, F.sha2(secret_scan.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), secret_scan.spans_text(F.col("spans")).alias("spans"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents"))
 
@@ -55,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kneser_ney": op3_kneser_ney,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_secret_scan": op6_secret_scan,
     "op9_fingerprints": op9_fingerprints,
     "op10_jaccard_join": op10_jaccard_join,
 }
