@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import fingerprints, jaccard_join, kneser_ney, packing, secret_scan, token_files, toxicity, url_filter
+from ledgerlens.llm import fingerprints, jaccard_join, kneser_ney, mixing, packing, secret_scan, token_files, topk_search, toxicity, url_filter
 from ledgerlens.llm.common import crc_mod, table
 
 
@@ -48,6 +48,30 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(secret_scan.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), secret_scan.spans_text(F.col("spans")).alias("spans"))
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5, lambda x: F.floor(x * 256.0))
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
+OP7_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumns({c: F.coalesce(c, F.lit("")) for c in ("source", "lang")})
+    return mixing.mix(docs, ["doc_id", "source", "lang"])
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents"))
 
@@ -63,8 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op6_secret_scan": op6_secret_scan,
+    "op7_topk_search": op7_topk_search,
+    "op8_source_mixing": op8_source_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk_search": OP7_SQL,
+    "op8_source_mixing": mixing.sql(),
+}
