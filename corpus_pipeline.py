@@ -1,12 +1,69 @@
-"""Placeholder until the stages are there."""
+"""Training-data pipeline over ``documents``.
+
+Stages, each on what its predecessor kept: toxic documents go; of each
+group of similar documents the one with the smallest id stays; secrets are
+replaced by a mark; documents are sampled to the target mix; what remains
+is tokenised, cut and packed into sequences.  All stages but the last
+return the columns of documents, n_chars counted anew where a text changed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import jaccard_join, mixing, packing, secret_scan, toxicity
+from ledgerlens.llm.common import spill, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    return toxicity.score(docs, model, 0.3, COLUMNS).filter("predicted = 0").select(COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A group keeps its smallest doc_id, and one row of those that share it; rows without doc_id stay."""
+    classes, _ = jaccard_join.join_similar(docs)
+    leavers = classes.filter("doc_id != component_id").select("doc_id").distinct()
+    rest = docs.join(leavers, "doc_id", "left_anti").select(COLUMNS)
+    named = rest.filter("doc_id is not null").withColumn("row", F.struct("text", "lang", "source", "n_chars"))
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    once = named.join(repeated, "doc_id", "left_anti").select(COLUMNS)
+    first = named.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*").select(COLUMNS)
+    return once.unionByName(first).unionByName(rest.filter("doc_id is null"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(docs, COLUMNS)
+    changed = F.size("spans") > 0
+    text = F.when(changed, secret_scan.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    return found.withColumn("text", text).withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, COLUMNS).filter("selected").select(COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(docs, "byte_bpe_50k.json", end_id=0, capacity=2048, split="lead"), capacity=2048)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_duplicates),
+    ("secret_scan", redact_secrets),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
-STAGES: list = []
+#: Noisy-or training, the test battery and the genetic algorithm are not SQL; tests/llm holds each stage against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = spill(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
