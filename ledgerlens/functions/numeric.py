@@ -18,6 +18,12 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Decimals of exact amounts: an order total, and a line's price times (1 -
+# discount) with both factors at six decimals.
+ORDER_SCALE = 6
+LINE_SCALE = 12
+
+
 def as_double(col) -> Column:
     return _c(col).cast("double")
 
@@ -38,8 +44,9 @@ def pct_change(current, previous) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Exact integral division ``a div b`` (BIGINT result)."""
-    return F.call_function("div", a, b)
+    """Exact integral division of DECIMAL(38,0) operands; a quotient of more
+    than 32 digits is an error in ANSI mode, never a wrapped number."""
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def round_ratio(numerator, denominator, digits: int, numerator_scale: int = 0) -> Column:
@@ -63,7 +70,7 @@ def scale_down(whole: Column, digits: int) -> Column:
     """An integer count of 10^-digits units as DECIMAL(38, digits)."""
     if digits == 0:
         return whole.cast("decimal(38,0)")
-    return (whole.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(
+    return (whole.cast("decimal(32,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(
         f"decimal(38,{digits})"
     )
 
@@ -78,6 +85,14 @@ def round_money(col, digits: int = 2) -> Column:
     return F.round(_c(col), digits)
 
 
+def percent_of(amount, percent, digits: int = 2) -> Column:
+    """round(amount * percent / 100, digits) of a line-scale amount and a
+    percentage with at most four decimals, exactly."""
+    units = (_c(amount).cast(f"decimal(38,{LINE_SCALE})") * F.lit(10**LINE_SCALE)).cast("decimal(38,0)")
+    rate = (_c(percent).cast("decimal(9,4)") * F.lit(10**4)).cast("decimal(38,0)")
+    return round_ratio(units * rate, F.lit(10 ** (LINE_SCALE + 6)), digits)
+
+
 def money_text(col) -> Column:
     """'$' + amount with two decimals; NULL reads as $0.00 (printf semantics)."""
     return F.concat(
@@ -88,4 +103,4 @@ def money_text(col) -> Column:
 
 def thousands_text(col, digits: int = 2) -> Column:
     """1234567.5 -> '1,234,567.50'."""
-    return F.format_number(_c(col), digits)
+    return F.format_number(F.round(_c(col), digits), digits)

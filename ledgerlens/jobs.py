@@ -20,6 +20,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.functions import dates as D
 from ledgerlens.operators import analytics as A
 from ledgerlens.operators import dashboard as DB
 from ledgerlens.operators import quality as K
@@ -37,11 +38,16 @@ def dashboard_frames(src) -> dict[str, DataFrame]:
         "customer_churn": A.customer_churn(src.orders(), as_of),
         "product_performance": A.product_performance(sales, src.products()),
         "rfm_segments": A.rfm_segments(src.orders(), as_of),
-        "regional_share": DB.regional_share(src.sales(region=True)),
+        "regional_share": DB.regional_share(sales, src.regions()),
         "daily_revenue": DB.daily_revenue(sales),
         "kpi_cards": DB.kpi_cards(src.orders(), as_of),
         "kpi_by_range": DB.kpi_by_range(src.orders(), as_of),
-        "inventory_insights": A.inventory_insights(sales, src.products(), as_of),
+        "inventory_insights": A.inventory_insights(src.sales(since=D.window_start(as_of, A.RECENT_DAYS)), src.products(), as_of),
+        "regional_growth": A.regional_growth(sales, src.regions()),
+        "category_trends": A.category_trends(sales, src.products()),
+        "sales_rep_performance": A.sales_rep_performance(src.sales(sales_rep=True)),
+        "seasonal_analysis": A.seasonal_analysis(sales),
+        "monthly_revenue_12m": DB.monthly_revenue_12m(src.sales(since=DB.first_of_12_months(as_of)), as_of),
         "executive_summary": A.executive_summary(sales, src.products(), as_of),
     }
 

@@ -9,8 +9,9 @@ Scale notes, applied throughout:
   key determines the dimension row (Q3, Q9), so joins see one row per key;
 * windows without PARTITION BY only ever run on already-aggregated rows
   (one row per month or per status), never on facts;
-* several exact distinct counts in one aggregate are planned by Spark as an
-  Expand whose first shuffle is on (group, value), which spreads a hot group.
+* facts are reduced to distinct (group, value) rows before several distinct
+  counts are taken, so no aggregate expands the raw facts;
+* averages divide by the number of non-NULL measures, as SQL AVG does.
 """
 
 from __future__ import annotations
@@ -22,8 +23,13 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
-from ledgerlens.operators.bases import customer_base, rfm_scored
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from ledgerlens.operators.bases import (
+    FREQUENCY_LIMITS,
+    MONETARY_LIMITS,
+    RECENCY_LIMITS,
+    customer_base,
+    rfm_scored,
+)
 
 # Fixed values of the reference analytics (thresholds and labels).
 CHURN_ACTIVE_DAYS = 30
@@ -48,9 +54,11 @@ def distinct_count(col: str, exact: bool = True, rsd: float = 0.01):
 
 
 def _money_aggs(amount: str = "total_amount"):
+    """Sum, rows, and rows with an amount (the divisor of an average)."""
     return [
         F.sum(amount).alias("_revenue"),
         F.count(F.lit(1)).alias("_n"),
+        F.count(amount).alias("_paid"),
     ]
 
 
@@ -74,7 +82,7 @@ def revenue_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
             revenue.alias("revenue"),
             F.col("_n").alias("transaction_count"),
             "unique_customers",
-            N.mean("_revenue", "_n").alias("avg_transaction_value"),
+            N.mean("_revenue", "_paid").alias("avg_transaction_value"),
         )
         .withColumns(
             {
@@ -106,7 +114,8 @@ def revenue_growth_calendar(sales: DataFrame) -> DataFrame:
     )
     idx = F.col("year").cast("int") * 12 + F.col("month").cast("int")
     w = Window.orderBy(idx)
-    prev = lambda k: F.max("revenue").over(w.rangeBetween(-k, -k))
+    # a NULL month has no calendar neighbour (its frame would be its peers)
+    prev = lambda k: F.when(idx.isNotNull(), F.max("revenue").over(w.rangeBetween(-k, -k)))
     return (
         parity.withColumns({"prev_month_revenue": prev(1), "prev_year_revenue": prev(12)})
         .withColumns(
@@ -137,6 +146,7 @@ def customer_churn(
     per_status = base.groupBy(status.alias("customer_status")).agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("total_spent").alias("_spent"),
+        F.count("total_spent").alias("_spenders"),
         F.sum("total_transactions").alias("_txns"),
     )
     # at most three rows: the empty OVER() is a trivially small window
@@ -145,54 +155,51 @@ def customer_churn(
         "customer_status",
         "customer_count",
         N.share_pct("customer_count", total).alias("percentage"),
-        N.mean("_spent", "customer_count").alias("avg_customer_value"),
+        N.mean("_spent", "_spenders").alias("avg_customer_value"),
         N.mean("_txns", "customer_count").alias("avg_transactions_per_customer"),
     )
 
 
 # ----------------------------------------------------------------------- Q3
-def product_performance(
-    sales: DataFrame,
-    products: DataFrame,
-    k: int = TOP_PRODUCTS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def product_performance(sales: DataFrame, products: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
     """Top-k products by revenue with estimated profit.
 
-    The fact side is aggregated per product first (partial aggregation makes
-    a hot product harmless), so the join sees one row per product.  Ties at
-    rank k are broken by product_id.
+    The facts are aggregated per product first (partial aggregation makes a
+    hot product harmless) and cut to the top k; distinct buyers are counted
+    for those k products only, found by a semi join with k ids (a broadcast
+    bounded by ``k``).  Ties at rank k are broken by product_id.
     """
     per_product = sales.groupBy("product_id").agg(
-        F.sum("quantity").alias("units_sold"),
-        F.sum("total_amount").alias("_revenue"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
-        F.count(F.lit(1)).alias("transaction_count"),
+        F.sum("quantity").alias("units_sold"), *_money_aggs()
     )
     dims = products.select("product_id", "category", "product_name", "brand", "profit_margin")
-    joined = per_product.join(maybe_broadcast(dims, broadcast_rows), "product_id")
-    profit = N.round_money(
-        F.col("_revenue").cast("decimal(20,4)")
-        * F.col("profit_margin").cast("decimal(20,4)")
-        * F.lit(0.01).cast("decimal(3,2)"),
-        2,
+    top = (
+        per_product.join(dims, "product_id")
+        .withColumn("total_revenue", N.as_double("_revenue"))
+        .orderBy(F.col("total_revenue").desc(), F.col("product_id").asc())
+        .limit(k)
+    )
+    buyers = (
+        sales.join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
+        .groupBy("product_id")
+        .agg(F.countDistinct("customer_id").alias("unique_buyers"))
     )
     return (
-        joined.select(
+        top.join(F.broadcast(buyers), "product_id", "left")
+        .select(
             "product_id",
             "category",
             "product_name",
             "brand",
             "units_sold",
-            N.as_double("_revenue").alias("total_revenue"),
+            "total_revenue",
             "unique_buyers",
-            "transaction_count",
-            N.mean("_revenue", "transaction_count").alias("avg_order_value"),
+            F.col("_n").alias("transaction_count"),
+            N.mean("_revenue", "_paid").alias("avg_order_value"),
             F.round("profit_margin", 2).alias("profit_margin"),
-            profit.cast("double").alias("estimated_profit"),
+            N.percent_of("_revenue", "profit_margin").cast("double").alias("estimated_profit"),
         )
         .orderBy(F.col("total_revenue").desc(), F.col("product_id").asc())
-        .limit(k)
         .drop("product_id")
     )
 
@@ -201,19 +208,18 @@ def product_performance(
 def category_trends(
     sales: DataFrame,
     products: DataFrame,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     exact_distinct: bool = True,
 ) -> DataFrame:
     """Category x month revenue, units, distinct customers, average."""
     cats = products.select("product_id", "category")
-    joined = sales.join(maybe_broadcast(cats, broadcast_rows), "product_id")
+    joined = sales.join(cats, "product_id")
     return (
         joined.groupBy("category", D.month_start("transaction_date").alias("_month"))
         .agg(
             F.sum("total_amount").alias("_revenue"),
             F.sum("quantity").alias("units_sold"),
             distinct_count("customer_id", exact_distinct).alias("unique_customers"),
-            F.count(F.lit(1)).alias("_n"),
+            F.count("total_amount").alias("_paid"),
         )
         .select(
             "category",
@@ -221,7 +227,7 @@ def category_trends(
             N.as_double("_revenue").alias("monthly_revenue"),
             "units_sold",
             "unique_customers",
-            N.mean("_revenue", "_n").alias("avg_transaction_value"),
+            N.mean("_revenue", "_paid").alias("avg_transaction_value"),
         )
         .orderBy("category", "month")
     )
@@ -231,27 +237,29 @@ def category_trends(
 def rfm_segments(
     orders: DataFrame,
     as_of: dt.datetime,
-    recency=(30, 60, 90, 180),
-    frequency=(20, 15, 10, 5),
-    monetary=(5000, 2000, 1000, 500),
+    recency=RECENCY_LIMITS,
+    frequency=FREQUENCY_LIMITS,
+    monetary=MONETARY_LIMITS,
 ) -> DataFrame:
     """RFM scores -> six segments, with share and rounded averages."""
     scored = rfm_scored(customer_base(orders, as_of), recency, frequency, monetary)
     per_segment = scored.groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("total_spent").alias("_spent"),
+        F.count("total_spent").alias("_spenders"),
         F.sum("total_transactions").alias("_freq"),
         F.sum("_micros_since").alias("_micros"),
+        F.count("_micros_since").alias("_dated"),
     )
     total = F.sum("customer_count").over(Window.partitionBy())  # <= 6 rows
     return per_segment.select(
         "customer_segment",
         "customer_count",
         N.share_pct("customer_count", total).alias("percentage"),
-        N.round_ratio("_spent", "customer_count", 2, 2).cast("double").alias("avg_customer_value"),
+        N.round_ratio("_spent", "_spenders", 2, N.ORDER_SCALE).cast("double").alias("avg_customer_value"),
         N.round_ratio("_freq", "customer_count", 1).cast("double").alias("avg_purchase_frequency"),
         N.round_ratio(
-            "_micros", F.col("customer_count").cast("decimal(38,0)") * F.lit(D.MICROS_PER_DAY), 0
+            "_micros", F.col("_dated").cast("decimal(38,0)") * F.lit(D.MICROS_PER_DAY), 0
         )
         .cast("double")
         .alias("avg_days_since_last_purchase"),
@@ -259,12 +267,20 @@ def rfm_segments(
 
 
 # ----------------------------------------------------------------------- Q6
-def regional_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Region x month revenue with month-on-month growth per region."""
-    monthly = sales.groupBy("region", D.month_start("transaction_date").alias("_month")).agg(
-        F.sum("total_amount").alias("_revenue"),
-        F.count(F.lit(1)).alias("transactions"),
-        distinct_count("customer_id", exact_distinct).alias("unique_customers"),
+def regional_growth(sales: DataFrame, regions: DataFrame) -> DataFrame:
+    """Region x month revenue with month-on-month growth per region.
+
+    The facts are reduced to (customer, month) before the customer's region
+    (``regions``: customer_id, region) is attached, so the dimension meets
+    no raw fact and distinct customers are plain counts.
+    """
+    per_customer = sales.groupBy("customer_id", D.month_start("transaction_date").alias("_month")).agg(
+        F.sum("total_amount").alias("_revenue"), F.count(F.lit(1)).alias("_n")
+    )
+    monthly = per_customer.join(regions, "customer_id", "left").groupBy("region", "_month").agg(
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_n").alias("transactions"),
+        F.count("customer_id").alias("unique_customers"),
     )
     w = Window.partitionBy("region").orderBy("month")
     return (
@@ -282,24 +298,37 @@ def regional_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- Q7
-def sales_rep_performance(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Per sales rep: volume, revenue, reach, revenue per customer, active span."""
-    agg = sales.groupBy("sales_rep").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("total_amount").alias("_revenue"),
-        distinct_count("customer_id", exact_distinct).alias("unique_customers"),
-        distinct_count("product_id", exact_distinct).alias("products_sold"),
+def sales_rep_performance(sales: DataFrame) -> DataFrame:
+    """Per sales rep: volume, revenue, reach, revenue per customer, active span.
+
+    Both distinct counts are taken over reduced rows: one per (rep, customer),
+    which also carries the sums, and one per (rep, product).
+    """
+    per_customer = sales.groupBy("sales_rep", "customer_id").agg(
+        *_money_aggs(),
         F.min("transaction_date").alias("_first"),
         F.max("transaction_date").alias("_last"),
     )
-    return agg.select(
+    agg = per_customer.groupBy("sales_rep").agg(
+        F.sum("_n").alias("total_transactions"),
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_paid").alias("_paid"),
+        F.count("customer_id").alias("unique_customers"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
+    reach = (
+        sales.select("sales_rep", "product_id").distinct()
+        .groupBy(F.col("sales_rep").alias("_rep")).agg(F.count("product_id").alias("products_sold"))
+    )
+    return agg.join(reach, F.col("sales_rep").eqNullSafe(F.col("_rep"))).select(
         "sales_rep",
         "total_transactions",
         N.as_double("_revenue").alias("total_revenue"),
-        N.mean("_revenue", "total_transactions").alias("avg_transaction_value"),
+        N.mean("_revenue", "_paid").alias("avg_transaction_value"),
         "unique_customers",
         "products_sold",
-        N.round_ratio("_revenue", "unique_customers", 2, 4).cast("double").alias("revenue_per_customer"),
+        N.round_ratio("_revenue", "unique_customers", 2, N.LINE_SCALE).cast("double").alias("revenue_per_customer"),
         D.year_month("_first").alias("first_sale_month"),
         D.year_month("_last").alias("latest_sale_month"),
     ).orderBy(F.col("total_revenue").desc(), "sales_rep")
@@ -307,40 +336,45 @@ def sales_rep_performance(sales: DataFrame, exact_distinct: bool = True) -> Data
 
 # ----------------------------------------------------------------------- Q8
 def seasonal_analysis(sales: DataFrame) -> DataFrame:
-    """Revenue by weekday, month and quarter in one scan (GROUPING SETS).
+    """Revenue by weekday, month and quarter in one scan.
+
+    The facts are summed per day first; weekday, month and quarter are
+    functions of the day.
+    """
+    return seasonal_from_days(sales.groupBy("transaction_date").agg(*_money_aggs()))
+
+
+def seasonal_from_days(days: DataFrame) -> DataFrame:
+    """GROUPING SETS over daily sums (``_revenue``, ``_n``, ``_paid``).
 
     grouping_id() tells a NULL weekday/month (NULL date) apart from the
     sets a row does not belong to; a NULL date lands in 'Q4'.
     """
-    keyed = sales.select(
+    keyed = days.select(
         D.weekday_name("transaction_date").alias("_dow"),
         D.month_name("transaction_date").alias("_mon"),
         D.quarter_label("transaction_date").alias("_qtr"),
-        "total_amount",
+        "_revenue",
+        "_n",
+        "_paid",
     )
     agg = keyed.groupingSets([["_dow"], ["_mon"], ["_qtr"]], "_dow", "_mon", "_qtr").agg(
         F.grouping_id().alias("_gid"),
-        F.sum("total_amount").alias("_revenue"),
-        F.count(F.lit(1)).alias("transaction_count"),
+        F.sum("_revenue").alias("_total"),
+        F.sum("_n").alias("transaction_count"),
+        F.sum("_paid").alias("_all_paid"),
     )
     # grouping_id bits: _dow=4, _mon=2, _qtr=1 (1 = not grouped by that column)
     by_weekday, by_month, by_quarter = PERIOD_TYPES
-    period_type = (
-        F.when(F.col("_gid") == 3, F.lit(by_weekday))
-        .when(F.col("_gid") == 5, F.lit(by_month))
-        .otherwise(F.lit(by_quarter))
-    )
-    period_value = (
-        F.when(F.col("_gid") == 3, F.col("_dow"))
-        .when(F.col("_gid") == 5, F.col("_mon"))
-        .otherwise(F.col("_qtr"))
-    )
+    gid = F.col("_gid")
     return agg.select(
-        period_type.alias("period_type"),
-        period_value.alias("period_value"),
-        N.as_double("_revenue").alias("total_revenue"),
+        F.when(gid == 3, F.lit(by_weekday)).when(gid == 5, F.lit(by_month))
+        .otherwise(F.lit(by_quarter)).alias("period_type"),
+        F.when(gid == 3, F.col("_dow")).when(gid == 5, F.col("_mon"))
+        .otherwise(F.col("_qtr")).alias("period_value"),
+        N.as_double("_total").alias("total_revenue"),
         "transaction_count",
-        N.mean("_revenue", "transaction_count").alias("avg_transaction_value"),
+        N.mean("_total", "_all_paid").alias("avg_transaction_value"),
     ).orderBy("period_type", "period_value")
 
 
@@ -365,20 +399,17 @@ def inventory_insights(
         .agg(
             F.sum("quantity").alias("units_sold_30_days"),
             F.sum(F.col("quantity").cast("double")).alias("_qsum"),
-            F.count(F.lit(1)).alias("_qn"),
+            F.count("quantity").alias("_qn"),
         )
         .select(
             "product_id",
             "units_sold_30_days",
-            (F.col("_qsum") / F.col("_qn")).alias("avg_daily_sales"),
+            N.mean("_qsum", "_qn").alias("avg_daily_sales"),
         )
     )
     active = products.filter(F.col("is_active") == 1).select(
         "product_id", "product_name", "category", "stock_quantity"
     )
-    # ``recent`` is an aggregate: probing it would compute it twice, and its
-    # size is only known once it runs.  AQE measures it at runtime and turns
-    # the join into a broadcast when it is small (a measured bound).
     joined = active.join(recent, "product_id", "left")
     avg = F.coalesce(F.col("avg_daily_sales"), F.lit(0.0))
     cover = F.try_divide(F.col("stock_quantity").cast("double"), F.col("avg_daily_sales"))
@@ -413,24 +444,30 @@ def executive_summary(
 ) -> DataFrame:
     """Four KPI rows, all-time vs. the last ``days`` days, values as text.
 
-    One scan of the facts with conditional aggregates replaces the seven
-    scans of the original (four UNION ALL branches + scalar subqueries); the
-    active-product count is a scalar subquery on the catalogue.
+    The facts are reduced to one row per customer with conditional sums, then
+    to one row; distinct products are counted over the recent facts only, and
+    the active-product count is a scalar subquery on the catalogue.
     """
     recent = D.on_or_after("transaction_date", D.window_start(as_of, days))
-    kpis = sales.agg(
-        F.sum("total_amount").alias("rev"),
-        F.count(F.lit(1)).alias("n"),
-        F.countDistinct("customer_id").alias("cust"),
-        F.sum(F.when(recent, F.col("total_amount"))).alias("rev_r"),
-        F.count(F.when(recent, F.lit(1))).alias("n_r"),
-        F.countDistinct(F.when(recent, F.col("customer_id"))).alias("cust_r"),
-        F.countDistinct(F.when(recent, F.col("product_id"))).alias("prod_r"),
+    per_customer = sales.groupBy("customer_id").agg(
+        *_money_aggs(),
+        F.sum(F.when(recent, F.col("total_amount"))).alias("_revenue_r"),
+        F.count(F.when(recent, F.col("total_amount"))).alias("_paid_r"),
+        F.count(F.when(recent, F.lit(1))).alias("_n_r"),
+    )
+    kpis = per_customer.agg(
+        F.sum("_revenue").alias("rev"),
+        F.sum("_paid").alias("n"),
+        F.count("customer_id").alias("cust"),
+        F.sum("_revenue_r").alias("rev_r"),
+        F.sum("_paid_r").alias("n_r"),
+        F.count(F.when(F.col("_n_r") > 0, F.col("customer_id"))).alias("cust_r"),
     )
+    recent_products = sales.filter(recent).agg(F.countDistinct("product_id")).scalar()
     active_products = (
         products.filter(F.col("is_active") == 1).agg(F.count(F.lit(1))).scalar()
     )
-    aov = lambda s, n: N.money_text(N.round_ratio(s, n, 2, 4))
+    aov = lambda s, n: N.money_text(N.round_ratio(s, n, 2, N.LINE_SCALE))
     revenue_m, customers_m, aov_m, products_m = SUMMARY_METRICS
     rows = kpis.select(
         F.stack(
@@ -438,7 +475,7 @@ def executive_summary(
             F.lit(revenue_m), N.money_text("rev"), N.money_text("rev_r"),
             F.lit(customers_m), F.col("cust").cast("string"), F.col("cust_r").cast("string"),
             F.lit(aov_m), aov("rev", "n"), aov("rev_r", "n_r"),
-            F.lit(products_m), active_products.cast("string"), F.col("prod_r").cast("string"),
+            F.lit(products_m), active_products.cast("string"), recent_products.cast("string"),
         ).alias("metric", "current_value", "last_30_days")
     )
     return rows.withColumn("growth_rate", F.lit(None).cast("double"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 
 def dedupe_transactions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -58,7 +57,10 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
     return tagged.filter(~F.col("is_valid"))
 
 
-def sales_rules(as_of, max_amount: int = 10000) -> dict[str, Column]:
+MAX_AMOUNT = 10000  # fixed value: largest plausible sale
+
+
+def sales_rules(as_of, max_amount: int = MAX_AMOUNT) -> dict[str, Column]:
     """Default validation rules for line-item sales."""
     return {
         "missing_customer": F.col("customer_id").isNotNull(),
@@ -71,22 +73,15 @@ def sales_rules(as_of, max_amount: int = 10000) -> dict[str, Column]:
     }
 
 
-def enrich_metrics(
-    sales: DataFrame, products: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def enrich_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Line-level derived metrics: month, unit price, margin and profit.
 
     ``estimated_profit`` = round(amount * margin / 100, 2) in exact decimal;
     sales without a catalogue row keep NULL margin and profit.
     """
     margins = products.select("product_id", "profit_margin")
-    joined = sales.join(maybe_broadcast(margins, broadcast_rows), "product_id", "left")
-    profit = N.round_money(
-        F.col("total_amount").cast("decimal(20,4)")
-        * F.col("profit_margin").cast("decimal(20,4)")
-        * F.lit(0.01).cast("decimal(3,2)"),
-        2,
-    )
+    joined = sales.join(margins, "product_id", "left")
+    profit = N.percent_of("total_amount", "profit_margin")
     return joined.select(
         "customer_id",
         "product_id",

@@ -25,7 +25,6 @@ from ledgerlens.operators.bases import (
     rfm_scored,
     segment_of,
 )
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 # Reporting ranges of the dashboard filter buttons and the
 # KPI card titles.
@@ -33,6 +32,7 @@ REPORTING_RANGES = (("7d", 7), ("30d", 30), ("90d", 90), ("1y", 365))
 CARD_METRICS = ("Total Revenue", "Active Customers", "Avg Order Value", "Churn Rate")
 TOP_REPORT_PRODUCTS = 10
 CHURN_SEGMENTS = ("At Risk", "Lost Customers")
+EVENT_VALUE = f"decimal(24,{N.ORDER_SCALE})"
 
 
 # ---------------------------------------------------------------- D1 / R1
@@ -62,6 +62,7 @@ def kpi_revenue_trends(orders: DataFrame) -> DataFrame:
         .agg(
             F.sum("total_amount").alias("_rev"),
             F.count(F.lit(1)).alias("order_count"),
+            F.count("total_amount").alias("_paid"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(
@@ -69,7 +70,7 @@ def kpi_revenue_trends(orders: DataFrame) -> DataFrame:
             N.as_double("_rev").alias("revenue"),
             "order_count",
             "unique_customers",
-            N.round_ratio("_rev", "order_count", 2, 2).cast("double").alias("avg_order_value"),
+            N.round_ratio("_rev", "_paid", 2, N.ORDER_SCALE).cast("double").alias("avg_order_value"),
         )
         .orderBy("year_month")
     )
@@ -80,7 +81,6 @@ def kpi_top_products(
     sales: DataFrame,
     products: DataFrame,
     k: int = TOP_REPORT_PRODUCTS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Top-k products by revenue, with units sold (ties by product_id)."""
     per_product = sales.groupBy("product_id").agg(
@@ -88,7 +88,7 @@ def kpi_top_products(
     )
     names = products.select("product_id", "product_name", "category")
     return (
-        per_product.join(maybe_broadcast(names, broadcast_rows), "product_id")
+        per_product.join(names, "product_id")
         .select(
             "product_id",
             "product_name",
@@ -107,26 +107,37 @@ def kpi_customer_segments(orders: DataFrame, as_of: dt.datetime) -> DataFrame:
     scored = rfm_scored(customer_base(orders, as_of))
     return (
         scored.groupBy("customer_segment")
-        .agg(F.count(F.lit(1)).alias("customer_count"), F.sum("total_spent").alias("_spent"))
+        .agg(
+            F.count(F.lit(1)).alias("customer_count"),
+            F.sum("total_spent").alias("_spent"),
+            F.count("total_spent").alias("_spenders"),
+        )
         .select(
             "customer_segment",
             "customer_count",
             N.as_double("_spent").alias("total_purchase_value"),
-            N.round_ratio("_spent", "customer_count", 2, 2).cast("double").alias("avg_purchase_value"),
+            N.round_ratio("_spent", "_spenders", 2, N.ORDER_SCALE).cast("double").alias("avg_purchase_value"),
         )
         .orderBy(F.col("customer_count").desc(), "customer_segment")
     )
 
 
 # ---------------------------------------------------------------- D4
-def regional_share(sales: DataFrame) -> DataFrame:
-    """Revenue per region, its share of the total and the grand total."""
-    per_region = sales.groupBy("region").agg(F.sum("total_amount").alias("_rev"))
+def regional_share(sales: DataFrame, regions: DataFrame) -> DataFrame:
+    """Revenue per region, its share of the total and the grand total; the
+    region (``regions``: customer_id, region) joins per-customer sums."""
+    per_customer = sales.groupBy("customer_id").agg(F.sum("total_amount").alias("_rev"))
+    per_region = per_customer.join(regions, "customer_id", "left").groupBy("region").agg(F.sum("_rev").alias("_rev"))
+    return share_of_regions(per_region)
+
+
+def share_of_regions(per_region: DataFrame) -> DataFrame:
+    """region, ``_rev`` with shares of the total."""
     total = F.sum("_rev").over(Window.partitionBy())  # one row per region
     return per_region.select(
         "region",
         N.as_double("_rev").alias("revenue"),
-        N.round_ratio(F.col("_rev") * F.lit(100), total, 2, 4).cast("double").alias("share_pct"),
+        N.share_pct("_rev", total, 2, N.LINE_SCALE).alias("share_pct"),
         total.cast("double").alias("grand_total"),
     ).orderBy(F.col("revenue").desc(), "region")
 
@@ -143,18 +154,18 @@ def day_hour_heatmap(events: DataFrame, event_type: str = "purchase") -> DataFra
     keyed = events.filter(F.col("event_type") == event_type).select(
         D.weekday_index_monday_first("ts").alias("day_index"),
         F.hour("ts").alias("hour"),
-        F.col("value").cast("decimal(14,2)").alias("value"),
+        F.col("value").cast(EVENT_VALUE).alias("value"),
         F.lit(1).alias("_event"),
     )
     spine = events.sparkSession.range(7 * 24).select(
         (F.col("id") / 24).cast("int").alias("day_index"),
         (F.col("id") % 24).cast("int").alias("hour"),
-        F.lit(None).cast("decimal(14,2)").alias("value"),
+        F.lit(None).cast(EVENT_VALUE).alias("value"),
         F.lit(None).cast("int").alias("_event"),
     )
     cells = keyed.unionByName(spine).groupBy("day_index", "hour").agg(
         F.count("_event").alias("events"),
-        F.coalesce(F.sum("value"), F.lit(0).cast("decimal(24,2)")).alias("_value"),
+        F.coalesce(F.sum("value"), F.lit(0).cast(EVENT_VALUE)).alias("_value"),
     )
     peak = F.max("_value").over(Window.partitionBy())  # 168 rows
     monday = F.lit(dt.date(2024, 1, 1))  # a Monday: names the weekday index
@@ -164,7 +175,7 @@ def day_hour_heatmap(events: DataFrame, event_type: str = "purchase") -> DataFra
         "hour",
         "events",
         N.as_double("_value").alias("activity"),
-        F.coalesce(N.round_ratio(F.col("_value") * F.lit(100), peak, 1, 2), F.lit(0).cast("decimal(38,1)"))
+        F.coalesce(N.round_ratio(F.col("_value") * F.lit(100), peak, 1, N.ORDER_SCALE), F.lit(0).cast("decimal(38,1)"))
         .cast("double")
         .alias("intensity_pct"),
     ).orderBy("day_index", "hour")
@@ -191,8 +202,10 @@ def kpi_cards(orders: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFram
     amt = F.col("total_amount")
     per_customer = orders.groupBy("customer_id").agg(
         F.sum(F.when(in_cur, amt)).alias("cur_rev"),
+        F.count(F.when(in_cur, amt)).alias("cur_paid"),
         F.count(F.when(in_cur, F.lit(1))).alias("cur_n"),
         F.sum(F.when(in_prev, amt)).alias("prev_rev"),
+        F.count(F.when(in_prev, amt)).alias("prev_paid"),
         F.count(F.when(in_prev, F.lit(1))).alias("prev_n"),
         F.max(date).alias("last_purchase_date"),
         F.count(F.lit(1)).alias("total_transactions"),
@@ -206,19 +219,22 @@ def kpi_cards(orders: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFram
     cur_seg = _segment_expr("last_purchase_date", "total_transactions", "total_spent", as_of)
     prev_seg = _segment_expr("prev_last", "prev_total_transactions", "prev_total_spent", prev_as_of)
     churned = lambda seg: F.when(seg.isin(*CHURN_SEGMENTS), F.lit(1)).otherwise(F.lit(0))
+    # A NULL customer keeps its revenue but is no customer.
+    known = F.col("customer_id").isNotNull()
+    had_prev = known & (F.col("prev_total_transactions") > 0)
     g = per_customer.agg(
         F.sum("cur_rev").alias("cur_rev"),
-        F.sum("cur_n").alias("cur_n"),
-        F.count(F.when(F.col("cur_n") > 0, F.lit(1))).alias("cur_cust"),
+        F.sum("cur_paid").alias("cur_n"),
+        F.count(F.when(known & (F.col("cur_n") > 0), F.lit(1))).alias("cur_cust"),
         F.sum("prev_rev").alias("prev_rev"),
-        F.sum("prev_n").alias("prev_n"),
-        F.count(F.when(F.col("prev_n") > 0, F.lit(1))).alias("prev_cust"),
-        F.sum(churned(cur_seg)).alias("cur_churn"),
-        F.count(F.lit(1)).alias("cur_all"),
-        F.sum(F.when(F.col("prev_total_transactions") > 0, churned(prev_seg))).alias("prev_churn"),
-        F.count(F.when(F.col("prev_total_transactions") > 0, F.lit(1))).alias("prev_all"),
+        F.sum("prev_paid").alias("prev_n"),
+        F.count(F.when(known & (F.col("prev_n") > 0), F.lit(1))).alias("prev_cust"),
+        F.sum(F.when(known, churned(cur_seg))).alias("cur_churn"),
+        F.count("customer_id").alias("cur_all"),
+        F.sum(F.when(had_prev, churned(prev_seg))).alias("prev_churn"),
+        F.count(F.when(had_prev, F.lit(1))).alias("prev_all"),
     )
-    aov = lambda r, n: N.round_ratio(r, n, 2, 2).cast("double")
+    aov = lambda r, n: N.round_ratio(r, n, 2, N.ORDER_SCALE).cast("double")
     revenue_m, customers_m, aov_m, churn_m = CARD_METRICS
     cards = g.select(
         F.stack(
@@ -255,14 +271,16 @@ def kpi_by_range(
         aggs += [
             F.sum(F.when(inside, F.col("total_amount"))).alias(f"_rev{i}"),
             F.count(F.when(inside, F.lit(1))).alias(f"_n{i}"),
+            F.count(F.when(inside, F.col("total_amount"))).alias(f"_paid{i}"),
         ]
     per_customer = orders.groupBy("customer_id").agg(*aggs)
     totals = []
     for i, (_, days) in enumerate(ranges):
-        active = D.on_or_after("_last", D.window_start(as_of, days))
+        active = F.col("customer_id").isNotNull() & D.on_or_after("_last", D.window_start(as_of, days))
         totals += [
             F.sum(f"_rev{i}").alias(f"rev{i}"),
             F.sum(f"_n{i}").alias(f"n{i}"),
+            F.sum(f"_paid{i}").alias(f"paid{i}"),
             F.count(F.when(active, F.lit(1))).alias(f"c{i}"),
         ]
     g = per_customer.agg(*totals)
@@ -271,10 +289,10 @@ def kpi_by_range(
         stacked += [
             F.lit(label),
             F.lit(days),
-            N.as_double(F.coalesce(F.col(f"rev{i}"), F.lit(0).cast("decimal(38,2)"))),
+            F.coalesce(N.as_double(f"rev{i}"), F.lit(0.0)),
             F.coalesce(F.col(f"n{i}"), F.lit(0).cast("bigint")),
             F.col(f"c{i}"),
-            N.round_ratio(f"rev{i}", f"n{i}", 2, 2).cast("double"),
+            N.round_ratio(f"rev{i}", f"paid{i}", 2, N.ORDER_SCALE).cast("double"),
         ]
     return g.select(
         F.stack(F.lit(len(ranges)), *stacked).alias(
@@ -284,24 +302,34 @@ def kpi_by_range(
 
 
 # ---------------------------------------------------------------- D9
+def first_of_12_months(as_of: dt.datetime) -> dt.date:
+    months = as_of.year * 12 + as_of.month - 1 - 11
+    return dt.date(months // 12, months % 12 + 1, 1)
+
+
 def monthly_revenue_12m(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Revenue per month for the 12 calendar months ending with ``as_of``'s."""
-    first = as_of.date().replace(day=1)
-    y, m = first.year, first.month - 11
-    while m <= 0:
-        y, m = y - 1, m + 12
-    start = dt.date(y, m, 1)
+    """Revenue per month for the 12 calendar months ending with ``as_of``'s;
+    a month without sales has 0 (its empty row joins the sales before the
+    one aggregation, so the axis is complete without a join)."""
+    start = first_of_12_months(as_of)
+    rows = sales.filter(D.on_or_after("transaction_date", start)).select(
+        D.month_start("transaction_date").alias("_month"), "total_amount", "customer_id", F.lit(1).alias("_sale")
+    )
+    spine = sales.sparkSession.range(12).select(
+        F.add_months(F.lit(start), F.col("id").cast("int")).cast(rows.schema["_month"].dataType).alias("_month"),
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("total_amount", "customer_id", "_sale")],
+    )
     return (
-        sales.filter(D.on_or_after("transaction_date", start))
-        .groupBy(D.month_start("transaction_date").alias("_month"))
+        rows.unionByName(spine)
+        .groupBy("_month")
         .agg(
             F.sum("total_amount").alias("_rev"),
-            F.count(F.lit(1)).alias("transaction_count"),
+            F.count("_sale").alias("transaction_count"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(
             D.year_month("_month").alias("year_month"),
-            N.as_double("_rev").alias("revenue"),
+            F.coalesce(N.as_double("_rev"), F.lit(0.0)).alias("revenue"),
             "transaction_count",
             "unique_customers",
         )
@@ -323,12 +351,13 @@ __all__ = [
 
 
 # ---------------------------------------------------------------- S7 report
-def kpi_report(sales: DataFrame, orders: DataFrame, products: DataFrame, as_of: dt.datetime,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
+def kpi_report(
+    sales: DataFrame, orders: DataFrame, products: DataFrame, as_of: dt.datetime
+) -> dict[str, DataFrame]:
     """The three report frames (revenue trends, top products, segments)."""
     return {
         "revenue_trends": kpi_revenue_trends(orders),
-        "top_products": kpi_top_products(sales, products, broadcast_rows=broadcast_rows),
+        "top_products": kpi_top_products(sales, products),
         "customer_segments": kpi_customer_segments(orders, as_of),
     }
 

@@ -13,22 +13,24 @@ the panels below are served from it without touching the facts again:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
-from ledgerlens.operators.analytics import PERIOD_TYPES
+from ledgerlens.operators.analytics import seasonal_from_days
+from ledgerlens.operators.dashboard import share_of_regions
 
 HLL_LG_K = 12  # sketch size 2^12 registers: ~1.6% standard error
 
 
 def daily_rollup(sales: DataFrame, lg_k: int = HLL_LG_K) -> DataFrame:
     """transaction_date, region, revenue (exact DECIMAL), transaction_count,
-    customers_sketch (HLL, binary)."""
+    paid_count (rows with an amount), customers_sketch (HLL, binary)."""
     return sales.groupBy("transaction_date", "region").agg(
         F.sum("total_amount").alias("revenue"),
         F.count(F.lit(1)).alias("transaction_count"),
+        F.count("total_amount").alias("paid_count"),
         F.hll_sketch_agg("customer_id", lg_k).alias("customers_sketch"),
     )
 
@@ -43,40 +45,17 @@ def daily_revenue_from_rollup(rollup: DataFrame) -> DataFrame:
 
 
 def regional_share_from_rollup(rollup: DataFrame) -> DataFrame:
-    per_region = rollup.groupBy("region").agg(F.sum("revenue").alias("_rev"))
-    total = F.sum("_rev").over(Window.partitionBy())
-    return per_region.select(
-        "region",
-        N.as_double("_rev").alias("revenue"),
-        N.round_ratio(F.col("_rev") * F.lit(100), total, 2, 4).cast("double").alias("share_pct"),
-        total.cast("double").alias("grand_total"),
-    ).orderBy(F.col("revenue").desc(), "region")
+    return share_of_regions(rollup.groupBy("region").agg(F.sum("revenue").alias("_rev")))
 
 
 def seasonal_from_rollup(rollup: DataFrame) -> DataFrame:
-    keyed = rollup.select(
-        D.weekday_name("transaction_date").alias("_dow"),
-        D.month_name("transaction_date").alias("_mon"),
-        D.quarter_label("transaction_date").alias("_qtr"),
-        "revenue",
-        "transaction_count",
-    )
-    agg = keyed.groupingSets([["_dow"], ["_mon"], ["_qtr"]], "_dow", "_mon", "_qtr").agg(
-        F.grouping_id().alias("_gid"),
-        F.sum("revenue").alias("_revenue"),
-        F.sum("transaction_count").alias("transaction_count"),
+    return seasonal_from_days(
+        rollup.groupBy("transaction_date").agg(
+            F.sum("revenue").alias("_revenue"),
+            F.sum("transaction_count").alias("_n"),
+            F.sum("paid_count").alias("_paid"),
+        )
     )
-    by_weekday, by_month, by_quarter = PERIOD_TYPES
-    gid = F.col("_gid")
-    return agg.select(
-        F.when(gid == 3, F.lit(by_weekday)).when(gid == 5, F.lit(by_month))
-        .otherwise(F.lit(by_quarter)).alias("period_type"),
-        F.when(gid == 3, F.col("_dow")).when(gid == 5, F.col("_mon"))
-        .otherwise(F.col("_qtr")).alias("period_value"),
-        N.as_double("_revenue").alias("total_revenue"),
-        "transaction_count",
-        N.mean("_revenue", "transaction_count").alias("avg_transaction_value"),
-    ).orderBy("period_type", "period_value")
 
 
 def monthly_from_rollup(rollup: DataFrame) -> DataFrame:

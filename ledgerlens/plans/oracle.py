@@ -28,8 +28,8 @@ sales_transactions AS (
     SELECT o.o_custkey AS customer_id, l.l_partkey AS product_id,
            CAST(o.o_orderdate AS DATE) AS transaction_date,
            l.l_quantity AS quantity,
-           CAST(l.l_extendedprice AS DECIMAL(12,2))
-             * (CAST(1 AS DECIMAL(3,2)) - CAST(l.l_discount AS DECIMAL(3,2))) AS total_amount,
+           CAST(l.l_extendedprice AS DECIMAL(18,6))
+             * (1 - CAST(l.l_discount AS DECIMAL(9,6))) AS total_amount,
            cr.region, s.s_name AS sales_rep
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -38,7 +38,7 @@ sales_transactions AS (
 ),
 order_transactions AS (
     SELECT o_custkey AS customer_id, o_orderdate AS transaction_date,
-           CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
+           CAST(o_totalprice AS DECIMAL(20,6)) AS total_amount
     FROM orders
 ),
 as_of AS (SELECT MAX(o_orderdate) AS ts, CAST(MAX(o_orderdate) AS DATE) AS d FROM orders)
@@ -51,12 +51,12 @@ def with_views(body: str) -> str:
 
 def round_ratio(num: str, den: str, digits: int, num_scale: int = 0) -> str:
     """SQL twin of numeric.round_ratio -> DECIMAL(38, digits)."""
-    n = f"CAST(CAST(({num}) AS DECIMAL(38,{num_scale})) * {10 ** (num_scale + digits)} AS HUGEINT)"
+    n = f"(CAST(CAST(({num}) AS DECIMAL(38,{num_scale})) * {10 ** num_scale} AS HUGEINT) * {10 ** digits})"
     d = f"NULLIF(CAST(CAST(({den}) AS DECIMAL(38,{num_scale})) * {10 ** num_scale} AS HUGEINT), 0)"
     whole = f"(sign({n}) * ((abs({n}) * 2 + {d}) // ({d} * 2)))"
     if digits == 0:
         return f"CAST({whole} AS DECIMAL(38,0))"
-    return f"CAST(CAST({whole} AS DECIMAL(20,0)) * CAST(1e-{digits} AS DECIMAL({digits + 1},{digits})) AS DECIMAL(38,{digits}))"
+    return f"CAST(CAST({whole} AS DECIMAL(32,0)) * CAST(1e-{digits} AS DECIMAL({digits + 1},{digits})) AS DECIMAL(38,{digits}))"
 
 
 def share_pct(part: str, total: str, digits: int = 2) -> str:
@@ -67,6 +67,11 @@ def mean(total: str, count: str) -> str:
     return f"(CAST({total} AS DOUBLE) / NULLIF(CAST({count} AS DOUBLE), 0))"
 
 
+def percent_of(amount: str, percent: str, digits: int = 2) -> str:
+    units = f"CAST(({amount}) * 1000000000000 AS HUGEINT)"
+    return round_ratio(f"{units} * CAST(({percent}) * 10000 AS HUGEINT)", str(10**18), digits)
+
+
 def pct_change(cur: str, prev: str) -> str:
     return f"CASE WHEN {prev} IS NOT NULL THEN ({cur} - {prev}) / NULLIF({prev}, 0) * 100.0 ELSE 0.0 END"
 

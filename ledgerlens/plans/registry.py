@@ -19,7 +19,7 @@ from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
 from ledgerlens.session import shared_dir
 from ledgerlens.sources import landing as L
-from ledgerlens.sources.retail import RetailSource
+from ledgerlens.sources.retail import LINE_MONEY, RetailSource
 from ledgerlens.sources.tables import TABLE_SCHEMAS
 from ledgerlens.sources.warehouse import materialize
 from ledgerlens.streaming.landing_stream import ingest_available
@@ -53,15 +53,16 @@ def _src(spark: SparkSession, sf_dir: str) -> RetailSource:
 monthly AS (
     SELECT strftime(transaction_date, '%Y-%m') AS year_month,
            SUM(total_amount) AS rev, COUNT(*) AS n,
+           COUNT(total_amount) AS paid,
            COUNT(DISTINCT customer_id) AS unique_customers
     FROM sales_transactions GROUP BY 1
 ),
 lagged AS (
     SELECT substr(year_month, 1, 4) AS year, substr(year_month, 6, 2) AS month,
            year_month, CAST(rev AS DOUBLE) AS revenue, n AS transaction_count,
-           unique_customers, {O.mean('rev', 'n')} AS avg_transaction_value,
-           LAG(CAST(rev AS DOUBLE), 1) OVER (ORDER BY year_month) AS prev_month_revenue,
-           LAG(CAST(rev AS DOUBLE), 12) OVER (ORDER BY year_month) AS prev_year_revenue
+           unique_customers, {O.mean('rev', 'paid')} AS avg_transaction_value,
+           LAG(CAST(rev AS DOUBLE), 1) OVER (ORDER BY year_month NULLS FIRST) AS prev_month_revenue,
+           LAG(CAST(rev AS DOUBLE), 12) OVER (ORDER BY year_month NULLS FIRST) AS prev_year_revenue
     FROM monthly
 )
 SELECT *, {O.pct_change('revenue', 'prev_month_revenue')} AS mom_growth_rate,
@@ -81,13 +82,14 @@ def q_revenue_growth(spark, sf_dir):
 monthly AS (
     SELECT strftime(transaction_date, '%Y-%m') AS year_month,
            SUM(total_amount) AS rev, COUNT(*) AS n,
+           COUNT(total_amount) AS paid,
            COUNT(DISTINCT customer_id) AS unique_customers
     FROM sales_transactions GROUP BY 1
 ),
 m AS (
     SELECT substr(year_month, 1, 4) AS year, substr(year_month, 6, 2) AS month,
            year_month, CAST(rev AS DOUBLE) AS revenue, n AS transaction_count,
-           unique_customers, {O.mean('rev', 'n')} AS avg_transaction_value,
+           unique_customers, {O.mean('rev', 'paid')} AS avg_transaction_value,
            CAST(substr(year_month, 1, 4) AS INTEGER) * 12
              + CAST(substr(year_month, 6, 2) AS INTEGER) AS idx
     FROM monthly
@@ -120,13 +122,13 @@ base AS (
 st AS (
     SELECT CASE WHEN days_since <= 30 THEN 'Active'
                 WHEN days_since <= 90 THEN 'At Risk' ELSE 'Churned' END AS customer_status,
-           COUNT(*) AS customer_count, SUM(total_spent) AS spent,
+           COUNT(*) AS customer_count, SUM(total_spent) AS spent, COUNT(total_spent) AS spenders,
            SUM(total_transactions) AS txns
     FROM base GROUP BY 1
 )
 SELECT customer_status, customer_count,
        {O.share_pct('customer_count', 'SUM(customer_count) OVER ()')} AS percentage,
-       {O.mean('spent', 'customer_count')} AS avg_customer_value,
+       {O.mean('spent', 'spenders')} AS avg_customer_value,
        {O.mean('txns', 'customer_count')} AS avg_transactions_per_customer
 FROM st
 """
@@ -146,22 +148,22 @@ agg AS (
     SELECT p.product_id, p.category, p.product_name, p.brand,
            SUM(st.quantity) AS units_sold, SUM(st.total_amount) AS rev,
            COUNT(DISTINCT st.customer_id) AS unique_buyers, COUNT(*) AS transaction_count,
+           COUNT(st.total_amount) AS paid,
            p.profit_margin
     FROM sales_transactions st JOIN products p ON st.product_id = p.product_id
     GROUP BY p.product_id, p.category, p.product_name, p.brand, p.profit_margin
 )
 SELECT category, product_name, brand, units_sold, CAST(rev AS DOUBLE) AS total_revenue,
-       unique_buyers, transaction_count, {O.mean('rev', 'transaction_count')} AS avg_order_value,
+       unique_buyers, transaction_count, {O.mean('rev', 'paid')} AS avg_order_value,
        ROUND(profit_margin, 2) AS profit_margin,
-       CAST(ROUND(CAST(rev AS DECIMAL(20,4)) * CAST(profit_margin AS DECIMAL(20,4))
-                  * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS estimated_profit
+       CAST({O.percent_of('rev', 'profit_margin')} AS DOUBLE) AS estimated_profit
 FROM agg ORDER BY CAST(rev AS DOUBLE) DESC, product_id ASC LIMIT 50
 """
     ),
 )
 def q_product_performance(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return A.product_performance(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+    return A.product_performance(src.sales(), src.products())
 
 
 # ---------------------------------------------------------------------- Q4
@@ -172,23 +174,48 @@ def q_product_performance(spark, sf_dir):
 agg AS (
     SELECT p.category, strftime(st.transaction_date, '%Y-%m') AS month,
            SUM(st.total_amount) AS rev, SUM(st.quantity) AS units_sold,
-           COUNT(DISTINCT st.customer_id) AS unique_customers, COUNT(*) AS n
+           COUNT(DISTINCT st.customer_id) AS unique_customers, COUNT(st.total_amount) AS paid
     FROM sales_transactions st JOIN products p ON st.product_id = p.product_id
     GROUP BY 1, 2
 )
 SELECT category, month, CAST(rev AS DOUBLE) AS monthly_revenue, units_sold,
-       unique_customers, {O.mean('rev', 'n')} AS avg_transaction_value
+       unique_customers, {O.mean('rev', 'paid')} AS avg_transaction_value
 FROM agg ORDER BY category, month
 """
     ),
 )
 def q_category_trends(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return A.category_trends(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+    return A.category_trends(src.sales(), src.products())
 
 
 # ---------------------------------------------------------------------- Q5
-def _rfm_ctes(m=(5000, 2000, 1000, 500)) -> str:
+# The score thresholds and segment rules.
+_MONETARY = (5000, 2000, 1000, 500)
+
+
+def _scores_sql(recency: str, frequency: str, monetary: str, suffix: str = "", m=_MONETARY) -> str:
+    return f"""
+      CASE WHEN {recency} <= 30 THEN 5 WHEN {recency} <= 60 THEN 4
+           WHEN {recency} <= 90 THEN 3 WHEN {recency} <= 180 THEN 2 ELSE 1 END AS r{suffix},
+      CASE WHEN {frequency} >= 20 THEN 5 WHEN {frequency} >= 15 THEN 4
+           WHEN {frequency} >= 10 THEN 3 WHEN {frequency} >= 5 THEN 2 ELSE 1 END AS f{suffix},
+      CASE WHEN {monetary} >= {m[0]} THEN 5 WHEN {monetary} >= {m[1]} THEN 4
+           WHEN {monetary} >= {m[2]} THEN 3 WHEN {monetary} >= {m[3]} THEN 2 ELSE 1 END AS m{suffix}"""
+
+
+def _segment_sql(suffix: str = "") -> str:
+    r, f, m = (f"{x}{suffix}" for x in "rfm")
+    return f"""CASE
+        WHEN {r} >= 4 AND {f} >= 4 AND {m} >= 4 THEN 'Champions'
+        WHEN {r} >= 3 AND {f} >= 3 AND {m} >= 3 THEN 'Loyal Customers'
+        WHEN {r} >= 4 AND {f} <= 2 THEN 'New Customers'
+        WHEN {r} <= 2 AND {f} >= 3 AND {m} >= 3 THEN 'At Risk'
+        WHEN {r} <= 2 AND {f} <= 2 THEN 'Lost Customers'
+        ELSE 'Potential Loyalists' END"""
+
+
+def _rfm_ctes(m=_MONETARY) -> str:
     """base -> scores -> seg CTEs: per-customer RFM at order grain."""
     return f"""
 base AS (
@@ -197,42 +224,25 @@ base AS (
            {O.DAYS_SINCE.format(col='MAX(transaction_date)')} AS recency_days
     FROM order_transactions GROUP BY customer_id
 ),
-scores AS (
-    SELECT *,
-      CASE WHEN recency_days <= 30 THEN 5 WHEN recency_days <= 60 THEN 4
-           WHEN recency_days <= 90 THEN 3 WHEN recency_days <= 180 THEN 2 ELSE 1 END AS r,
-      CASE WHEN frequency >= 20 THEN 5 WHEN frequency >= 15 THEN 4
-           WHEN frequency >= 10 THEN 3 WHEN frequency >= 5 THEN 2 ELSE 1 END AS f,
-      CASE WHEN monetary_value >= {m[0]} THEN 5 WHEN monetary_value >= {m[1]} THEN 4
-           WHEN monetary_value >= {m[2]} THEN 3 WHEN monetary_value >= {m[3]} THEN 2 ELSE 1 END AS m
-    FROM base
-),
-seg AS (
-    SELECT *, CASE
-        WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
-        WHEN r >= 3 AND f >= 3 AND m >= 3 THEN 'Loyal Customers'
-        WHEN r >= 4 AND f <= 2 THEN 'New Customers'
-        WHEN r <= 2 AND f >= 3 AND m >= 3 THEN 'At Risk'
-        WHEN r <= 2 AND f <= 2 THEN 'Lost Customers'
-        ELSE 'Potential Loyalists' END AS customer_segment
-    FROM scores
-),"""
-
-
-def _rfm_sql(m=(5000, 2000, 1000, 500)) -> str:
+scores AS (SELECT *, {_scores_sql('recency_days', 'frequency', 'monetary_value', m=m)} FROM base),
+seg AS (SELECT *, {_segment_sql()} AS customer_segment FROM scores),"""
+
+
+def _rfm_sql(m=_MONETARY) -> str:
     return O.with_views(
         _rfm_ctes(m)
         + f"""
 g AS (
     SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent,
+           COUNT(monetary_value) AS spenders, COUNT(micros) AS dated,
            SUM(frequency) AS freq, SUM(CAST(micros AS HUGEINT)) AS micros
     FROM seg GROUP BY 1
 )
 SELECT customer_segment, customer_count,
        {O.share_pct('customer_count', 'SUM(customer_count) OVER ()')} AS percentage,
-       CAST({O.round_ratio('spent', 'customer_count', 2, 2)} AS DOUBLE) AS avg_customer_value,
+       CAST({O.round_ratio('spent', 'spenders', 2, 6)} AS DOUBLE) AS avg_customer_value,
        CAST({O.round_ratio('freq', 'customer_count', 1)} AS DOUBLE) AS avg_purchase_frequency,
-       CAST({O.round_ratio('micros', 'CAST(customer_count AS HUGEINT) * 86400000000', 0)} AS DOUBLE)
+       CAST({O.round_ratio('micros', 'CAST(dated AS HUGEINT) * 86400000000', 0)} AS DOUBLE)
          AS avg_days_since_last_purchase
 FROM g ORDER BY customer_count DESC
 """
@@ -267,7 +277,7 @@ rm AS (
     FROM sales_transactions GROUP BY 1, 2
 ),
 lg AS (
-    SELECT *, LAG(revenue, 1) OVER (PARTITION BY region ORDER BY month) AS prev_month_revenue
+    SELECT *, LAG(revenue, 1) OVER (PARTITION BY region ORDER BY month NULLS FIRST) AS prev_month_revenue
     FROM rm
 )
 SELECT *, {O.pct_change('revenue', 'prev_month_revenue')} AS growth_rate
@@ -276,7 +286,7 @@ FROM lg ORDER BY region, month
     ),
 )
 def q_regional_growth(spark, sf_dir):
-    return A.regional_growth(_src(spark, sf_dir).sales(region=True))
+    return A.regional_growth(_src(spark, sf_dir).sales(), _src(spark, sf_dir).regions())
 
 
 # ---------------------------------------------------------------------- Q7
@@ -286,15 +296,16 @@ def q_regional_growth(spark, sf_dir):
         f"""
 agg AS (
     SELECT sales_rep, COUNT(*) AS total_transactions, SUM(total_amount) AS rev,
+           COUNT(total_amount) AS paid,
            COUNT(DISTINCT customer_id) AS unique_customers,
            COUNT(DISTINCT product_id) AS products_sold,
            MIN(transaction_date) AS first_d, MAX(transaction_date) AS last_d
     FROM sales_transactions GROUP BY sales_rep
 )
 SELECT sales_rep, total_transactions, CAST(rev AS DOUBLE) AS total_revenue,
-       {O.mean('rev', 'total_transactions')} AS avg_transaction_value,
+       {O.mean('rev', 'paid')} AS avg_transaction_value,
        unique_customers, products_sold,
-       CAST({O.round_ratio('rev', 'unique_customers', 2, 4)} AS DOUBLE) AS revenue_per_customer,
+       CAST({O.round_ratio('rev', 'unique_customers', 2, 12)} AS DOUBLE) AS revenue_per_customer,
        strftime(first_d, '%Y-%m') AS first_sale_month,
        strftime(last_d, '%Y-%m') AS latest_sale_month
 FROM agg ORDER BY total_revenue DESC
@@ -306,7 +317,7 @@ def q_sales_rep_performance(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------- Q8
-_SEASON_AGG = "SUM(total_amount) AS rev, COUNT(*) AS transaction_count"
+_SEASON_AGG = "SUM(total_amount) AS rev, COUNT(*) AS transaction_count, COUNT(total_amount) AS paid"
 
 
 @register(
@@ -327,7 +338,7 @@ parts AS (
            {_SEASON_AGG} FROM sales_transactions GROUP BY 2
 )
 SELECT period_type, period_value, CAST(rev AS DOUBLE) AS total_revenue, transaction_count,
-       {O.mean('rev', 'transaction_count')} AS avg_transaction_value
+       {O.mean('rev', 'paid')} AS avg_transaction_value
 FROM parts ORDER BY period_type, period_value
 """
     ),
@@ -343,7 +354,7 @@ def q_seasonal_analysis(spark, sf_dir):
         """
 recent AS (
     SELECT product_id, SUM(quantity) AS units_sold_30_days,
-           SUM(quantity * 1.0) / COUNT(*) AS avg_daily_sales
+           AVG(quantity) AS avg_daily_sales
     FROM sales_transactions
     WHERE transaction_date >= (SELECT d FROM as_of) - 30
     GROUP BY product_id
@@ -366,7 +377,8 @@ ORDER BY days_of_inventory ASC
 )
 def q_inventory_insights(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return A.inventory_insights(src.sales(), src.products(), src.as_of())
+    since = Dt.window_start(src.as_of(), A.RECENT_DAYS)
+    return A.inventory_insights(src.sales(since=since), src.products(), src.as_of())
 
 
 # --------------------------------------------------------------------- Q10
@@ -379,9 +391,9 @@ def _recent(col: str = "transaction_date") -> str:
     O.with_views(
         f"""
 k AS (
-    SELECT SUM(total_amount) AS rev, COUNT(*) AS n, COUNT(DISTINCT customer_id) AS cust,
+    SELECT SUM(total_amount) AS rev, COUNT(total_amount) AS n, COUNT(DISTINCT customer_id) AS cust,
            SUM(total_amount) FILTER (WHERE {_recent()}) AS rev_r,
-           COUNT(*) FILTER (WHERE {_recent()}) AS n_r,
+           COUNT(total_amount) FILTER (WHERE {_recent()}) AS n_r,
            COUNT(DISTINCT customer_id) FILTER (WHERE {_recent()}) AS cust_r,
            COUNT(DISTINCT product_id) FILTER (WHERE {_recent()}) AS prod_r
     FROM sales_transactions
@@ -391,8 +403,8 @@ SELECT 'Total Revenue' AS metric, {O.money_text('rev')} AS current_value,
 UNION ALL
 SELECT 'Total Customers', CAST(cust AS VARCHAR), CAST(cust_r AS VARCHAR), NULL FROM k
 UNION ALL
-SELECT 'Average Order Value', {O.money_text(O.round_ratio('rev', 'n', 2, 4))},
-       {O.money_text(O.round_ratio('rev_r', 'n_r', 2, 4))}, NULL FROM k
+SELECT 'Average Order Value', {O.money_text(O.round_ratio('rev', 'n', 2, 12))},
+       {O.money_text(O.round_ratio('rev_r', 'n_r', 2, 12))}, NULL FROM k
 UNION ALL
 SELECT 'Active Products', CAST((SELECT COUNT(*) FROM products WHERE is_active = 1) AS VARCHAR),
        CAST(prod_r AS VARCHAR), NULL FROM k
@@ -443,7 +455,7 @@ SELECT customer_id, transaction_date, CAST(total_amount AS DOUBLE) AS total_amou
        CAST(ROUND(total_amount, 1) AS DOUBLE) AS amount_round1,
        CAST(ROUND(total_amount, 2) AS DOUBLE) AS amount_round2,
        {O.money_text('total_amount')} AS money_text,
-       format('{{:,.2f}}', total_amount) AS thousands_text,
+       format('{{:,.2f}}', ROUND(total_amount, 2)) AS thousands_text,
        CAST(customer_id AS VARCHAR) AS customer_text,
        'C-' || CAST(customer_id AS VARCHAR) || '/' || strftime(transaction_date, '%Y-%m') AS label
 FROM order_transactions
@@ -497,6 +509,35 @@ def q_quality_checks(spark, sf_dir):
     return K.quality_checks(src.orders(), src.as_of())
 
 
+STALE_HOURS = 30.5  # hours after the last order: all three checks may fail
+
+
+@register(
+    "quality_checks_stale",
+    ORACLE["quality_checks"].replace(
+        "(SELECT MAX(o_orderdate) AS ts, CAST(MAX(o_orderdate) AS DATE) AS d FROM orders)",
+        "(SELECT MAX(o_orderdate) + INTERVAL 1830 MINUTE AS ts, "
+        "CAST(MAX(o_orderdate) + INTERVAL 1830 MINUTE AS DATE) AS d FROM orders)",
+    ),
+)
+def q_quality_checks_stale(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return K.quality_checks(src.orders(), src.as_of() + dt.timedelta(hours=STALE_HOURS))
+
+
+@register(
+    "daily_volume_sql",
+    O.with_views(
+        f"u AS (SELECT COUNT(*) AS daily_count, CAST(MAX(total_amount) AS DOUBLE) AS max_amount "
+        f"FROM order_transactions WHERE {_today()}) SELECT * FROM u"
+    ),
+)
+def q_daily_volume_sql(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    found = K.daily_volume_sql(spark, src.orders(), src.as_of().date())
+    return found.withColumn("max_amount", F.col("max_amount").cast("double"))
+
+
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 
@@ -521,6 +562,22 @@ def q_duplicate_ratio(spark, sf_dir):
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
+# The raw events have no missing values, so both missing-value keys read them
+# with some blanked out: the share of rows that lack each column differs.
+EVENT_GAPS = {"ts": 50, "event_type": 7, "value": 5, "props": 11}
+
+
+def _events_with_gaps(spark, sf_dir):
+    events = _src(spark, sf_dir).events()
+    return events.withColumns({c: F.when(F.col("event_id") % n != 0, F.col(c)) for c, n in EVENT_GAPS.items()})
+
+
+_GAPS_SQL = (
+    "gaps AS (SELECT event_id, user_id, "
+    + ", ".join(f"CASE WHEN event_id % {n} <> 0 THEN {c} END AS {c}" for c, n in EVENT_GAPS.items())
+    + " FROM events)"
+)
+
 
 def _missing_sql() -> str:
     parts = []
@@ -530,14 +587,14 @@ def _missing_sql() -> str:
         parts.append(
             f"SELECT 'missing_ratio:{c}' AS check_name, {ratio} AS observed, CAST(0.1 AS DOUBLE) AS threshold, "
             f"{passed} AS passed, CASE WHEN {passed} THEN 'OK' "
-            f"ELSE 'too many missing values in {c}' END AS message FROM events"
+            f"ELSE 'too many missing values in {c}' END AS message FROM gaps"
         )
-    return "\nUNION ALL\n".join(parts)
+    return f"WITH {_GAPS_SQL}\n" + "\nUNION ALL\n".join(parts)
 
 
 @register("missing_ratio", _missing_sql())
 def q_missing_ratio(spark, sf_dir):
-    return K.missing_ratio(_src(spark, sf_dir).events(), EVENT_COLUMNS)
+    return K.missing_ratio(_events_with_gaps(spark, sf_dir), EVENT_COLUMNS)
 
 
 # ============================================================ cleaning
@@ -569,20 +626,21 @@ EVENT_REQUIRED = ["event_id", "ts"]
 
 @register(
     "fill_missing",
-    """
+    f"""
+WITH {_GAPS_SQL}
 SELECT event_id, ts, user_id, COALESCE(event_type, 'unknown') AS event_type,
-       COALESCE(value, 0.0) AS value, COALESCE(props, '{}') AS props
-FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL
+       COALESCE(value, 0.0) AS value, COALESCE(props, '{{}}') AS props
+FROM gaps WHERE event_id IS NOT NULL AND ts IS NOT NULL
 """,
 )
 def q_fill_missing(spark, sf_dir):
-    return E.fill_missing(_src(spark, sf_dir).events(), EVENT_FILLS, EVENT_REQUIRED)
+    return E.fill_missing(_events_with_gaps(spark, sf_dir), EVENT_FILLS, EVENT_REQUIRED)
 
 
 @register(
     "validate_split",
     O.with_views(
-        """
+        f"""
 r AS (
     SELECT customer_id, product_id, transaction_date, quantity, total_amount,
            concat_ws(';',
@@ -592,7 +650,7 @@ r AS (
              CASE WHEN NOT COALESCE(transaction_date <= (SELECT d FROM as_of), FALSE) THEN 'future_date' END,
              CASE WHEN NOT COALESCE(quantity > 0, FALSE) THEN 'non_positive_quantity' END,
              CASE WHEN NOT COALESCE(total_amount >= 0, FALSE) THEN 'negative_amount' END,
-             CASE WHEN NOT COALESCE(total_amount <= 10000, FALSE) THEN 'amount_over_limit' END
+             CASE WHEN NOT COALESCE(total_amount <= {E.MAX_AMOUNT}, FALSE) THEN 'amount_over_limit' END
            ) AS reject_reason
     FROM sales_transactions
 )
@@ -611,21 +669,20 @@ def q_validate_split(spark, sf_dir):
 @register(
     "enrich_metrics",
     O.with_views(
-        """
+        f"""
 SELECT s.customer_id, s.product_id, s.transaction_date,
        strftime(s.transaction_date, '%Y-%m') AS year_month, s.quantity,
        CAST(s.total_amount AS DOUBLE) AS total_amount,
        CAST(s.total_amount AS DOUBLE) / NULLIF(s.quantity, 0) AS unit_price,
        p.profit_margin,
-       CAST(ROUND(CAST(s.total_amount AS DECIMAL(20,4)) * CAST(p.profit_margin AS DECIMAL(20,4))
-                  * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS estimated_profit
+       CAST({O.percent_of('s.total_amount', 'p.profit_margin')} AS DOUBLE) AS estimated_profit
 FROM sales_transactions s LEFT JOIN products p ON s.product_id = p.product_id
 """
     ),
 )
 def q_enrich_metrics(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return E.enrich_metrics(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+    return E.enrich_metrics(src.sales(), src.products())
 
 
 # ============================================================ sources / sinks
@@ -657,7 +714,7 @@ def q_landing_ingest_stream(spark, sf_dir):
 
 _LOADED_SCHEMA = (
     "customer_id BIGINT, product_id BIGINT, transaction_date DATE, quantity DOUBLE, "
-    "total_amount DECIMAL(17,4), year_month STRING"
+    f"total_amount {LINE_MONEY}, year_month STRING"
 )
 
 
@@ -679,7 +736,7 @@ def q_clean_load_roundtrip(spark, sf_dir):
     return back.withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
-SNAPSHOT_OFFSETS = (0, 3, 6, 9, 12)  # daily runs kept for 7 days
+SNAPSHOT_OFFSETS = (9, 3, 0)  # days before the last run; runs are kept for 7 days
 SNAPSHOT_KEEP_DAYS = 7
 
 
@@ -688,7 +745,7 @@ def _snapshot_sql() -> str:
     parts = [
         f"""SELECT (SELECT d FROM as_of) - {o} AS snapshot_date, COUNT(*) AS row_count,
        CAST(SUM(total_amount) AS DOUBLE) AS total_amount
-FROM order_transactions WHERE CAST(transaction_date AS DATE) <= (SELECT d FROM as_of) - {o}"""
+FROM order_transactions"""
         for o in kept
     ]
     return O.with_views("u AS (" + "\nUNION ALL\n".join(parts) + ")\nSELECT * FROM u WHERE row_count > 0")
@@ -699,11 +756,9 @@ def q_snapshot_retention(spark, sf_dir):
     src = _src(spark, sf_dir)
     as_of = src.as_of()
     path = shared_dir(spark, "order-snapshots")
-    days = [as_of.date() - dt.timedelta(days=o) for o in SNAPSHOT_OFFSETS]
-    L.write_snapshots(src.orders(), path, days, "transaction_date")
-    L.expire_snapshots(spark, path, as_of, SNAPSHOT_KEEP_DAYS)
-    schema = "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(18,2)"
-    return L.snapshot_summary(spark, path, schema, "total_amount")
+    for offset in SNAPSHOT_OFFSETS:  # one run a day, each backs up the whole table
+        kept = L.snapshot_retention(src.orders(), path, as_of - dt.timedelta(days=offset), SNAPSHOT_KEEP_DAYS)
+    return kept
 
 
 # ============================================================ dashboard / KPI report
@@ -726,11 +781,12 @@ def q_daily_revenue(spark, sf_dir):
         f"""
 m AS (
     SELECT strftime(transaction_date, '%Y-%m') AS year_month, SUM(total_amount) AS rev,
-           COUNT(*) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers
+           COUNT(*) AS order_count, COUNT(total_amount) AS paid,
+           COUNT(DISTINCT customer_id) AS unique_customers
     FROM order_transactions GROUP BY 1
 )
 SELECT year_month, CAST(rev AS DOUBLE) AS revenue, order_count, unique_customers,
-       CAST({O.round_ratio('rev', 'order_count', 2, 2)} AS DOUBLE) AS avg_order_value
+       CAST({O.round_ratio('rev', 'paid', 2, 6)} AS DOUBLE) AS avg_order_value
 FROM m ORDER BY 1
 """
     ),
@@ -753,7 +809,7 @@ ORDER BY total_revenue DESC, a.product_id LIMIT 10
 )
 def q_kpi_top_products(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return DB.kpi_top_products(src.sales(), src.products(), broadcast_rows=src.broadcast_rows)
+    return DB.kpi_top_products(src.sales(), src.products())
 
 
 @register(
@@ -761,10 +817,11 @@ def q_kpi_top_products(spark, sf_dir):
     O.with_views(
         _rfm_ctes()
         + f"""
-g AS (SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent
+g AS (SELECT customer_segment, COUNT(*) AS customer_count, SUM(monetary_value) AS spent,
+             COUNT(monetary_value) AS spenders
       FROM seg GROUP BY 1)
 SELECT customer_segment, customer_count, CAST(spent AS DOUBLE) AS total_purchase_value,
-       CAST({O.round_ratio('spent', 'customer_count', 2, 2)} AS DOUBLE) AS avg_purchase_value
+       CAST({O.round_ratio('spent', 'spenders', 2, 6)} AS DOUBLE) AS avg_purchase_value
 FROM g
 """
     ),
@@ -780,14 +837,14 @@ def q_kpi_customer_segments(spark, sf_dir):
         f"""
 a AS (SELECT region, SUM(total_amount) AS rev FROM sales_transactions GROUP BY 1)
 SELECT region, CAST(rev AS DOUBLE) AS revenue,
-       CAST({O.round_ratio('rev * 100', 'SUM(rev) OVER ()', 2, 4)} AS DOUBLE) AS share_pct,
+       CAST({O.round_ratio('rev * 100', 'SUM(rev) OVER ()', 2, 12)} AS DOUBLE) AS share_pct,
        CAST(SUM(rev) OVER () AS DOUBLE) AS grand_total
 FROM a
 """
     ),
 )
 def q_regional_share(spark, sf_dir):
-    return DB.regional_share(_src(spark, sf_dir).sales(region=True))
+    return DB.regional_share(_src(spark, sf_dir).sales(), _src(spark, sf_dir).regions())
 
 
 @register(
@@ -795,7 +852,7 @@ def q_regional_share(spark, sf_dir):
     f"""
 WITH c AS (
     SELECT CAST(isodow(ts) - 1 AS INTEGER) AS day_index, CAST(hour(ts) AS INTEGER) AS hour,
-           COUNT(*) AS events, SUM(CAST(value AS DECIMAL(14,2))) AS v
+           COUNT(*) AS events, SUM(CAST(value AS DECIMAL(24,6))) AS v
     FROM events WHERE event_type = 'purchase' GROUP BY 1, 2
 ),
 grid AS (
@@ -808,7 +865,7 @@ g AS (
 )
 SELECT day_index, strftime(DATE '2024-01-01' + day_index, '%A') AS day_name, hour, events,
        CAST(v AS DOUBLE) AS activity,
-       CAST(COALESCE({O.round_ratio('v * 100', 'MAX(v) OVER ()', 1, 2)}, 0) AS DOUBLE) AS intensity_pct
+       CAST(COALESCE({O.round_ratio('v * 100', 'MAX(v) OVER ()', 1, 6)}, 0) AS DOUBLE) AS intensity_pct
 FROM g
 """,
 )
@@ -823,19 +880,7 @@ def _kpi_cards_sql(days: int = 30) -> str:
 
     def seg(last, n, spent, at):
         rd = f"(date_diff('microsecond', {last}, {at}) / 86400000000.0)"
-        return f"""CASE
-        WHEN r_{last} >= 4 AND f_{last} >= 4 AND m_{last} >= 4 THEN 'Champions'
-        WHEN r_{last} >= 3 AND f_{last} >= 3 AND m_{last} >= 3 THEN 'Loyal Customers'
-        WHEN r_{last} >= 4 AND f_{last} <= 2 THEN 'New Customers'
-        WHEN r_{last} <= 2 AND f_{last} >= 3 AND m_{last} >= 3 THEN 'At Risk'
-        WHEN r_{last} <= 2 AND f_{last} <= 2 THEN 'Lost Customers'
-        ELSE 'Potential Loyalists' END""", f"""
-      CASE WHEN {rd} <= 30 THEN 5 WHEN {rd} <= 60 THEN 4
-           WHEN {rd} <= 90 THEN 3 WHEN {rd} <= 180 THEN 2 ELSE 1 END AS r_{last},
-      CASE WHEN {n} >= 20 THEN 5 WHEN {n} >= 15 THEN 4
-           WHEN {n} >= 10 THEN 3 WHEN {n} >= 5 THEN 2 ELSE 1 END AS f_{last},
-      CASE WHEN {spent} >= 5000 THEN 5 WHEN {spent} >= 2000 THEN 4
-           WHEN {spent} >= 1000 THEN 3 WHEN {spent} >= 500 THEN 2 ELSE 1 END AS m_{last}"""
+        return _segment_sql(f"_{last}"), _scores_sql(rd, n, spent, f"_{last}")
 
     cur_seg, cur_scores = seg("last_d", "n_all", "spent_all", "(SELECT ts FROM as_of)")
     prev_seg, prev_scores = seg(
@@ -847,9 +892,9 @@ def _kpi_cards_sql(days: int = 30) -> str:
 pc AS (
     SELECT customer_id,
            SUM(total_amount) FILTER (WHERE {cur}) AS cur_rev,
-           COUNT(*) FILTER (WHERE {cur}) AS cur_n,
+           COUNT(*) FILTER (WHERE {cur}) AS cur_n, COUNT(total_amount) FILTER (WHERE {cur}) AS cur_paid,
            SUM(total_amount) FILTER (WHERE {prev}) AS prev_rev,
-           COUNT(*) FILTER (WHERE {prev}) AS prev_n,
+           COUNT(*) FILTER (WHERE {prev}) AS prev_n, COUNT(total_amount) FILTER (WHERE {prev}) AS prev_paid,
            MAX(transaction_date) AS last_d, COUNT(*) AS n_all, SUM(total_amount) AS spent_all,
            MAX(transaction_date) FILTER (WHERE {upto}) AS prev_last,
            COUNT(*) FILTER (WHERE {upto}) AS prev_n_all,
@@ -859,12 +904,14 @@ pc AS (
 sc AS (SELECT *, {cur_scores}, {prev_scores} FROM pc),
 sg AS (SELECT *, {cur_seg} AS cur_seg, {prev_seg} AS prev_seg FROM sc),
 g AS (
-    SELECT SUM(cur_rev) AS cur_rev, SUM(cur_n) AS cur_n, COUNT(*) FILTER (WHERE cur_n > 0) AS cur_cust,
-           SUM(prev_rev) AS prev_rev, SUM(prev_n) AS prev_n,
-           COUNT(*) FILTER (WHERE prev_n > 0) AS prev_cust,
-           SUM(CASE WHEN cur_seg {churn} THEN 1 ELSE 0 END) AS cur_churn, COUNT(*) AS cur_all,
-           SUM(CASE WHEN prev_n_all > 0 THEN CASE WHEN prev_seg {churn} THEN 1 ELSE 0 END END) AS prev_churn,
-           COUNT(*) FILTER (WHERE prev_n_all > 0) AS prev_all
+    SELECT SUM(cur_rev) AS cur_rev, SUM(cur_paid) AS cur_n,
+           COUNT(DISTINCT customer_id) FILTER (WHERE cur_n > 0) AS cur_cust,
+           SUM(prev_rev) AS prev_rev, SUM(prev_paid) AS prev_n,
+           COUNT(DISTINCT customer_id) FILTER (WHERE prev_n > 0) AS prev_cust,
+           COUNT(DISTINCT customer_id) FILTER (WHERE cur_seg {churn}) AS cur_churn,
+           COUNT(DISTINCT customer_id) AS cur_all,
+           COUNT(DISTINCT customer_id) FILTER (WHERE prev_n_all > 0 AND prev_seg {churn}) AS prev_churn,
+           COUNT(DISTINCT customer_id) FILTER (WHERE prev_n_all > 0) AS prev_all
     FROM sg
 ),
 cards AS (
@@ -872,8 +919,8 @@ cards AS (
            CAST(prev_rev AS DOUBLE) AS previous_value FROM g
     UNION ALL SELECT 'Active Customers', CAST(cur_cust AS DOUBLE), CAST(prev_cust AS DOUBLE) FROM g
     UNION ALL SELECT 'Avg Order Value',
-           CAST({O.round_ratio('cur_rev', 'cur_n', 2, 2)} AS DOUBLE),
-           CAST({O.round_ratio('prev_rev', 'prev_n', 2, 2)} AS DOUBLE) FROM g
+           CAST({O.round_ratio('cur_rev', 'cur_n', 2, 6)} AS DOUBLE),
+           CAST({O.round_ratio('prev_rev', 'prev_n', 2, 6)} AS DOUBLE) FROM g
     UNION ALL SELECT 'Churn Rate', {O.share_pct('cur_churn', 'cur_all')},
            {O.share_pct('prev_churn', 'prev_all')} FROM g
 )
@@ -897,7 +944,7 @@ def _kpi_by_range_sql() -> str:
        CAST(COALESCE(SUM(total_amount) FILTER (WHERE {w}), 0) AS DOUBLE) AS revenue,
        COUNT(*) FILTER (WHERE {w}) AS order_count,
        COUNT(DISTINCT customer_id) FILTER (WHERE {w}) AS customer_count,
-       CAST({O.round_ratio(f'SUM(total_amount) FILTER (WHERE {w})', f'COUNT(*) FILTER (WHERE {w})', 2, 2)}
+       CAST({O.round_ratio(f'SUM(total_amount) FILTER (WHERE {w})', f'COUNT(total_amount) FILTER (WHERE {w})', 2, 6)}
             AS DOUBLE) AS avg_order_value
 FROM order_transactions"""
         )
@@ -914,17 +961,26 @@ def q_kpi_by_range(spark, sf_dir):
     "monthly_revenue_12m",
     O.with_views(
         """
-SELECT strftime(transaction_date, '%Y-%m') AS year_month, CAST(SUM(total_amount) AS DOUBLE) AS revenue,
-       COUNT(*) AS transaction_count, COUNT(DISTINCT customer_id) AS unique_customers
-FROM sales_transactions
-WHERE transaction_date >= date_trunc('month', (SELECT d FROM as_of)) - INTERVAL 11 MONTH
-GROUP BY 1 ORDER BY 1
+axis AS (
+    SELECT strftime(date_trunc('month', (SELECT d FROM as_of)) - to_months(CAST(11 - i AS INTEGER)), '%Y-%m') AS year_month
+    FROM range(12) t(i)
+),
+m AS (
+    SELECT strftime(transaction_date, '%Y-%m') AS year_month, SUM(total_amount) AS rev,
+           COUNT(*) AS n, COUNT(DISTINCT customer_id) AS customers
+    FROM sales_transactions
+    WHERE transaction_date >= date_trunc('month', (SELECT d FROM as_of)) - INTERVAL 11 MONTH
+    GROUP BY 1
+)
+SELECT year_month, COALESCE(CAST(rev AS DOUBLE), 0.0) AS revenue, COALESCE(n, 0) AS transaction_count,
+       COALESCE(customers, 0) AS unique_customers
+FROM axis LEFT JOIN m USING (year_month) ORDER BY 1
 """
     ),
 )
 def q_monthly_revenue_12m(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return DB.monthly_revenue_12m(src.sales(), src.as_of())
+    return DB.monthly_revenue_12m(src.sales(since=DB.first_of_12_months(src.as_of())), src.as_of())
 
 
 # ============================================================ warehouse path

@@ -7,6 +7,8 @@ has none, which is the case in local tests.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -61,8 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Falls back to a fresh local folder only when the session has none
-    configured (local tests); the fallback is registered as the checkpoint
-    dir so ``DataFrame.checkpoint()`` lands in the same place.
+    configured and runs on one machine (local tests); the fallback is
+    registered as the checkpoint dir so ``DataFrame.checkpoint()`` lands in
+    the same place, and is removed when the process ends.  On a cluster a
+    missing setting is an error: executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,7 +76,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    own = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 

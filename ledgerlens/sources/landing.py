@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-TEXT_OPTIONS = {"csv": {"header": "true"}, "json": {}}
+# Line breaks inside quoted fields are data; an empty string and a missing
+# value are told apart; a row that does not fit the schema is an error.
+NULL_TEXT = "\\N"
+TEXT_OPTIONS = {
+    "csv": {"header": "true", "multiLine": "true", "escape": '"', "nullValue": NULL_TEXT, "mode": "FAILFAST"},
+    "json": {"mode": "FAILFAST"},
+}
 
 
 def write_landing(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -51,10 +57,7 @@ def landing_ingest(
             out_path or shared_dir(spark, "ingested"),
             checkpoint_path or shared_dir(spark, "ingest-checkpoint"),
         )
-    reader = spark.read.schema(schema).format(fmt).options(**TEXT_OPTIONS.get(fmt, {}))
-    if fmt in ("csv", "json"):
-        reader = reader.option("mode", "FAILFAST")
-    return reader.load(path)
+    return spark.read.schema(schema).format(fmt).options(**TEXT_OPTIONS.get(fmt, {})).load(path)
 
 
 # The landing sub-directories of the original pipeline.
@@ -103,26 +106,6 @@ def read_loaded(spark: SparkSession, path: str, schema: StructType | str) -> Dat
 SNAPSHOT_COLUMN = "snapshot_date"
 
 
-def write_snapshots(df: DataFrame, path: str, dates: list[dt.date], date_col: str) -> None:
-    """One job writes the table as it stood at the end of each snapshot day.
-
-    Each row is replicated to every snapshot it belongs to (date_col on or
-    before the snapshot day) with ``explode``; the snapshot day becomes a
-    partition folder ``snapshot_date=YYYY-MM-DD``.
-    """
-    snap = F.explode(F.array(*[F.lit(d) for d in sorted(dates)]))
-    exploded = df.select("*", snap.alias(SNAPSHOT_COLUMN)).filter(
-        F.to_date(F.col(date_col)) <= F.col(SNAPSHOT_COLUMN)
-    )
-    (
-        exploded.hint("rebalance", SNAPSHOT_COLUMN)
-        .sortWithinPartitions(SNAPSHOT_COLUMN)
-        .write.mode("overwrite")
-        .partitionBy(SNAPSHOT_COLUMN)
-        .parquet(path)
-    )
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -158,35 +141,34 @@ def expire_snapshots(
     return expired
 
 
+def write_snapshot(df: DataFrame, path: str, day: dt.date) -> None:
+    """Write the whole table as the snapshot of ``day``, replacing only that
+    day's partition; rows with a NULL or future date are part of it."""
+    (
+        df.withColumn(SNAPSHOT_COLUMN, F.lit(day))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SNAPSHOT_COLUMN)
+        .parquet(path)
+    )
+
+
 def snapshot_retention(
     df: DataFrame,
     path: str,
     as_of: dt.datetime,
     keep_days: int = 7,
-    date_col: str = "transaction_date",
     amount_col: str = "total_amount",
 ) -> DataFrame:
     """Daily snapshot run: write today's snapshot, drop expired ones and
     return rows / total per snapshot still kept."""
     spark = df.sparkSession
-    write_snapshots_append(df, path, as_of.date(), date_col)
+    write_snapshot(df, path, as_of.date())
     expire_snapshots(spark, path, as_of, keep_days)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return snapshot_summary(spark, path, schema, amount_col)
 
 
-def write_snapshots_append(df: DataFrame, path: str, day: dt.date, date_col: str) -> None:
-    """Write one snapshot day, replacing only that day's partition."""
-    (
-        df.filter(F.to_date(F.col(date_col)) <= F.lit(day))
-        .withColumn(SNAPSHOT_COLUMN, F.lit(day))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT_COLUMN)
-        .parquet(path)
-    )
-
-
 def snapshot_summary(spark: SparkSession, path: str, schema: str, amount_col: str) -> DataFrame:
     """Rows and total amount per remaining snapshot."""
     snaps = spark.read.schema(f"{schema}, {SNAPSHOT_COLUMN} DATE").parquet(path)

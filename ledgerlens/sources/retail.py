@@ -6,7 +6,7 @@ Three logical tables feed every operator:
   transaction_date (DATE), quantity, total_amount (exact DECIMAL) and, only
   when asked for, region and sales_rep.
 * ``orders``   - one row per order: customer_id, transaction_date
-  (TIMESTAMP_NTZ), total_amount DECIMAL(18,2).
+  (TIMESTAMP_NTZ), total_amount DECIMAL(20,6).
 * ``products`` - the catalogue with profit margin, stock and active flag
   derived deterministically from the part key.
 
@@ -25,19 +25,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast, row_count_at_most
+from ledgerlens.functions import numeric as N
 from ledgerlens.sources.tables import read_table
 
-_AS_OF: dict[str, dt.datetime] = {}
-
-MONEY_LINE = "decimal(12,2)"
-RATE = "decimal(3,2)"
-ORDER_MONEY = "decimal(18,2)"
+PRICE = "decimal(18,6)"
+RATE = "decimal(9,6)"
+LINE_MONEY = f"decimal(29,{N.LINE_SCALE})"
+ORDER_MONEY = f"decimal(20,{N.ORDER_SCALE})"
+NO_ORDERS = dt.datetime(1970, 1, 1)  # the reporting instant of an empty order table
 
 
 def line_amount(price: Column, discount: Column) -> Column:
-    """Exact net line amount: price * (1 - discount), DECIMAL(17,4)."""
-    return price.cast(MONEY_LINE) * (F.lit(1).cast(RATE) - discount.cast(RATE))
+    """Exact net line amount: price * (1 - discount), each at six decimals;
+    amounts are rounded once, after they are summed."""
+    return (price.cast(PRICE) * (F.lit(1).cast(RATE) - discount.cast(RATE))).cast(LINE_MONEY)
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
@@ -58,33 +59,36 @@ class RetailSource:
     """The retail views over the raw tables under ``base``.
 
     ``as_of`` may be given (the run's reporting instant); otherwise it is the
-    latest order timestamp, computed once per folder and process.
+    latest order timestamp, one scalar computed once per source object (the
+    epoch when there are no orders).
+
+    Joins carry no hints: AQE broadcasts a side it has measured to be below
+    ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions of
+    the others.
     """
 
     spark: SparkSession
     base: str
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     as_of_value: dt.datetime | None = None
     _as_of: dt.datetime | None = field(default=None, repr=False)
 
-    def table(self, name: str, spread: bool = False) -> DataFrame:
-        return read_table(self.spark, self.base, name, spread)
+    def table(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.base, name)
 
     # ------------------------------------------------------------------ as_of
     def as_of(self) -> dt.datetime:
-        """The reporting instant: the latest order timestamp (one scalar,
-        computed once per input folder and process)."""
-        if self._as_of is None and self.as_of_value is not None:
-            self._as_of = self.as_of_value
+        """The reporting instant."""
         if self._as_of is None:
-            if self.base not in _AS_OF:
-                _AS_OF[self.base] = (
-                    self.table("orders").agg(F.max("o_orderdate").alias("m")).first()["m"]
-                )
-            self._as_of = _AS_OF[self.base]
+            self._as_of = self.as_of_value or (
+                self.table("orders").agg(F.max("o_orderdate").alias("m")).first()["m"] or NO_ORDERS
+            )
         return self._as_of
 
     # ------------------------------------------------------------ dimensions
+    def regions(self) -> DataFrame:
+        """customer_id, region of every customer."""
+        return self.customer_region().withColumnRenamed("c_custkey", "customer_id")
+
     def customer_region(self) -> DataFrame:
         geo = self.table("nation").join(
             F.broadcast(self.table("region")),  # 5 rows by definition
@@ -114,38 +118,24 @@ class RetailSource:
             F.col("o_totalprice").cast(ORDER_MONEY).alias("total_amount"),
         )
 
-    def sales(self, region: bool = False, sales_rep: bool = False) -> DataFrame:
+    def sales(
+        self, region: bool = False, sales_rep: bool = False, since: dt.date | None = None
+    ) -> DataFrame:
+        """The line-item facts; with ``since`` only those of orders on or after
+        that day, filtered before the join so that few orders join as such."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        scans = [orders]
+        if since is not None:
+            orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
         if region:
-            customers = self.table("customer").select("c_custkey", "c_nationkey")
             orders = orders.join(
-                self._checked(self.customer_region(), "customer_region", [customers]),
-                F.col("o_custkey") == F.col("c_custkey"),
-                "left",
+                self.customer_region(), F.col("o_custkey") == F.col("c_custkey"), "left"
             )
-            scans.append(customers)
-        # The order side is broadcast only below the row bound; above it both
-        # facts are shuffled on the order key (sort-merge join).
-        order_key = (self.base, "orders" + ("+region" if region else ""))
-        orders_small = row_count_at_most(
-            orders, self.broadcast_rows, order_key, probe_inputs=scans
-        )
-        orders = F.broadcast(orders) if orders_small else orders.hint("shuffle_merge")
-        # The line-item fact carries the per-row work (join, exact amounts).
-        # When the join is a broadcast (no shuffle of the line items), spread
-        # a scan that has fewer splits than the cluster has cores; with a
-        # sort-merge join the hash shuffle already spreads the rows.
-        lines = self.table("lineitem", spread=orders_small).select(
+        lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount",
         )
         if sales_rep:
-            lines = lines.join(
-                self._checked(self.sales_reps(), "sales_reps"),
-                F.col("l_suppkey") == F.col("s_suppkey"),
-                "left",
-            )
+            lines = lines.join(self.sales_reps(), F.col("l_suppkey") == F.col("s_suppkey"), "left")
         joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         cols = [
             F.col("o_custkey").alias("customer_id"),
@@ -162,10 +152,3 @@ class RetailSource:
 
     def events(self) -> DataFrame:
         return self.table("events")
-
-    def _checked(self, df: DataFrame, name: str, scans: list[DataFrame] | None = None) -> DataFrame:
-        """``df`` behind the row-bounded broadcast check (memoised per input);
-        ``scans`` are the table scans the probe reads when ``df`` has joins."""
-        return maybe_broadcast(
-            df, self.broadcast_rows, memo_key=(self.base, name), probe_inputs=scans
-        )

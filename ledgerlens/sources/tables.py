@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.plans.joins import estimated_bytes
-
 # No schema inference: every table is read with a fixed schema so a changed
 # file type fails loudly instead of silently re-typing a column.
 TABLE_SCHEMAS: dict[str, str] = {
@@ -40,38 +38,6 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
-# Split count of each scanned path, so the check below plans each scan once.
-_SPLITS: dict[str, int] = {}
-
-# Largest input worth a round-robin spread: above this, re-shuffling the
-# table costs more than running its scan on fewer tasks.
-SPREAD_MAX_BYTES = 1024**3
-
-
-def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
-    """Typed scan of one table.
-
-    Parquet cannot split a row group, so a table stored as a few large
-    files (or one file with one row group) yields fewer scan tasks than the
-    cluster has cores, and every operator before the first shuffle then runs
-    on those few tasks.  With ``spread`` such a scan is redistributed
-    round-robin to the default parallelism, but only when the input is small
-    (estimated under ``SPREAD_MAX_BYTES``): a table with at least as many
-    splits as cores, or a large one, is returned untouched, so this never
-    adds a shuffle of a large input.  Filters and column pruning are still
-    pushed below the repartition into the scan.
-    """
-    path = table_path(base, name)
-    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
-    if not spread:
-        return df
-    try:
-        target = spark.sparkContext.defaultParallelism
-        if path not in _SPLITS:
-            _SPLITS[path] = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API (Spark Connect): leave as is
-        return df
-    if _SPLITS[path] >= target:
-        return df
-    size = estimated_bytes(df)
-    return df.repartition(target) if size is not None and size <= SPREAD_MAX_BYTES else df
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Typed scan of one table."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(base, name))

@@ -21,18 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
-from ledgerlens.plans.joins import DEFAULT_BROADCAST_ROWS
 from ledgerlens.sources.landing import partition_values
-from ledgerlens.sources.retail import RetailSource
+from ledgerlens.sources.retail import LINE_MONEY, NO_ORDERS, ORDER_MONEY, RetailSource
 
 PARTITION = "year_month"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
 
 SALES_SCHEMA = (
     "customer_id BIGINT, product_id BIGINT, transaction_date DATE, quantity DOUBLE, "
-    "total_amount DECIMAL(17,4), region STRING, sales_rep STRING, year_month STRING"
+    f"total_amount {LINE_MONEY}, region STRING, sales_rep STRING, year_month STRING"
 )
 ORDERS_SCHEMA = (
-    "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(18,2), "
+    f"customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount {ORDER_MONEY}, "
     "year_month STRING"
 )
 PRODUCTS_SCHEMA = (
@@ -58,24 +58,35 @@ def materialize(src: RetailSource, path: str) -> "WarehouseSource":
     _write_partitioned(src.sales(region=True, sales_rep=True), f"{root}/sales")
     _write_partitioned(src.orders(), f"{root}/orders")
     src.products().write.mode("overwrite").parquet(f"{root}/products")
-    return WarehouseSource(src.spark, root, src.broadcast_rows, as_of_value=src.as_of_value)
+    src.regions().write.mode("overwrite").parquet(f"{root}/regions")
+    return WarehouseSource(src.spark, root, as_of_value=src.as_of_value)
 
 
 @dataclass
 class WarehouseSource:
     spark: SparkSession
     root: str
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     as_of_value: dt.datetime | None = None
     _as_of: dt.datetime | None = field(default=None, repr=False)
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
-    def sales(self, region: bool = False, sales_rep: bool = False) -> DataFrame:
+    def sales(
+        self, region: bool = False, sales_rep: bool = False, since: dt.date | None = None
+    ) -> DataFrame:
+        """With ``since``, months before it are not even listed."""
         cols = ["customer_id", "product_id", "transaction_date", "quantity", "total_amount"]
         cols += ["region"] * region + ["sales_rep"] * sales_rep
-        return self._read("sales", SALES_SCHEMA).select(*cols)
+        sales = self._read("sales", SALES_SCHEMA)
+        if since is not None:
+            sales = sales.filter(
+                (F.col(PARTITION) >= f"{since:%Y-%m}") & (F.col("transaction_date") >= F.lit(since))
+            )
+        return sales.select(*cols)
+
+    def regions(self) -> DataFrame:
+        return self._read("regions", "customer_id BIGINT, region STRING")
 
     def orders(self) -> DataFrame:
         return self._read("orders", ORDERS_SCHEMA).select(
@@ -92,11 +103,12 @@ class WarehouseSource:
             self._as_of = self.as_of_value
         if self._as_of is None:
             orders = self._read("orders", ORDERS_SCHEMA)
-            last_month = partition_values(self.spark, f"{self.root}/orders", PARTITION)[-1]
+            months = partition_values(self.spark, f"{self.root}/orders", PARTITION)
+            dated = [m for m in months if m != NO_MONTH]
             self._as_of = (
-                orders.filter(F.col(PARTITION) == last_month)
-                .agg(F.max("transaction_date"))
-                .first()[0]
+                orders.filter(F.col(PARTITION) == dated[-1]).agg(F.max("transaction_date")).first()[0]
+                if dated
+                else NO_ORDERS
             )
         return self._as_of
 

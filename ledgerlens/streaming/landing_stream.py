@@ -26,7 +26,12 @@ def ingest_available(
     max_files_per_trigger: int = 1000,
     timeout_s: float | None = None,
 ) -> DataFrame:
-    """Process every landing file not yet ingested, then return the table."""
+    """Process every landing file not yet ingested, then return the table.
+
+    Broken rows fail the ingest as they do in the batch path.  With a
+    ``timeout_s`` that is too short the stream is stopped and TimeoutError
+    raised: files already committed stay, the next run goes on from there.
+    """
     stream = (
         spark.readStream.schema(schema)
         .format(fmt)
@@ -40,7 +45,9 @@ def ingest_available(
         .trigger(availableNow=True)
         .start(out_path)
     )
-    query.awaitTermination(timeout_s)
+    if not query.awaitTermination(timeout_s) and timeout_s is not None:
+        query.stop()
+        raise TimeoutError(f"landing files were left after {timeout_s} s")
     if query.exception() is not None:
         raise query.exception()
     return spark.read.schema(schema).parquet(out_path)

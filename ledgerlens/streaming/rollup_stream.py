@@ -20,8 +20,8 @@ from pyspark.sql.types import StructType
 from ledgerlens.operators.rollups import HLL_LG_K, daily_rollup
 
 ROLLUP_SCHEMA = (
-    "transaction_date DATE, region STRING, revenue DECIMAL(27,4), "
-    "transaction_count BIGINT, customers_sketch BINARY, batch_id BIGINT"
+    "transaction_date DATE, region STRING, revenue DECIMAL(38,12), "
+    "transaction_count BIGINT, paid_count BIGINT, customers_sketch BINARY, batch_id BIGINT"
 )
 
 
@@ -40,10 +40,7 @@ def refresh_daily_rollup(
 
     def write_contribution(batch: DataFrame, batch_id: int) -> None:
         (
-            daily_rollup(batch, lg_k)
-            # a contribution has one row per (day, region) in the batch: its
-            # size is bounded by the calendar, not by the number of facts
-            .coalesce(1)
+            daily_rollup(batch, lg_k)  # AQE coalesces its few rows after the reduce side has run
             .write.mode("overwrite")
             .parquet(f"{root}/batch_id={batch_id}")
         )
@@ -69,5 +66,6 @@ def read_rollup(spark: SparkSession, rollup_path: str) -> DataFrame:
     return parts.groupBy("transaction_date", "region").agg(
         F.sum("revenue").alias("revenue"),
         F.sum("transaction_count").alias("transaction_count"),
+        F.sum("paid_count").alias("paid_count"),
         F.hll_union_agg("customers_sketch").alias("customers_sketch"),
     )

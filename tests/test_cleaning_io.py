@@ -2,6 +2,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import order, orders_df, sale, sales_df
@@ -104,19 +105,21 @@ def test_clean_load_partitions_and_prunes(spark):
     assert "PartitionFilters: [isnotnull(year_month" in plan
 
 
-def test_snapshot_retention(spark):
+def test_snapshots_copy_every_row_and_keep_other_days(spark):
     as_of = dt.datetime(2024, 6, 30)
-    o = orders_df(spark, [order(1, "2024-06-01"), order(2, "2024-06-25"), order(3, "2024-06-29")])
+    o = orders_df(spark, [order(1, "2024-06-01"), order(2, None), order(3, "2030-01-01")])
     path = shared_dir(spark, "t-snap")
-    days = [as_of.date() - dt.timedelta(days=k) for k in (0, 3, 6, 9, 12)]
-    L.write_snapshots(o, path, days, "transaction_date")
-    assert L.list_snapshots(spark, path) == sorted(days)
+    days = [as_of.date() - dt.timedelta(days=k) for k in (12, 9, 6, 3, 0)]
+    for day in days:
+        L.write_snapshot(o, path, day)
+    L.write_snapshot(o, path, days[-1])  # a second run of a day replaces that day only
+    assert L.list_snapshots(spark, path) == days
     expired = L.expire_snapshots(spark, path, as_of, keep_days=7)
-    assert expired == sorted(days[3:])
+    assert expired == days[:2]
     summary = {r["snapshot_date"]: r["row_count"] for r in L.snapshot_summary(
         spark, path, "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(18,2)",
         "total_amount").collect()}
-    assert summary == {dt.date(2024, 6, 30): 3, dt.date(2024, 6, 27): 2, dt.date(2024, 6, 24): 1}
+    assert summary == {d: 3 for d in days[2:]}
 
 
 def test_kpi_report_written_and_read_back(spark, sf_dir):
@@ -135,10 +138,10 @@ def test_approximate_distinct_is_close(spark, sf_dir):
     from ledgerlens.operators import analytics as A
     from ledgerlens.sources.retail import RetailSource
 
-    s = RetailSource(spark, sf_dir).sales(sales_rep=True)
-    exact = {r["sales_rep"]: r["unique_customers"] for r in A.sales_rep_performance(s).collect()}
-    approx = {r["sales_rep"]: r["unique_customers"]
-              for r in A.sales_rep_performance(s, exact_distinct=False).collect()}
+    s = RetailSource(spark, sf_dir).sales()
+    exact = {r["year_month"]: r["unique_customers"] for r in A.revenue_growth(s).collect()}
+    approx = {r["year_month"]: r["unique_customers"]
+              for r in A.revenue_growth(s, exact_distinct=False).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(3, 0.05 * exact[k]) for k in exact)
 
@@ -151,7 +154,7 @@ def test_snapshot_retention_daily_runs(spark):
         out = L.snapshot_retention(o, path, as_of, keep_days=7)
     kept = [r["snapshot_date"] for r in out.collect()]
     assert kept == [dt.date(2024, 6, 25), dt.date(2024, 6, 29), dt.date(2024, 7, 2)]
-    assert [r["row_count"] for r in out.collect()] == [2, 3, 3]
+    assert [r["row_count"] for r in out.collect()] == [3, 3, 3]
 
 
 def test_stream_flag_on_landing_ingest(spark):
@@ -182,7 +185,7 @@ def test_warehouse_source_gives_the_same_answers(spark, sf_dir):
     wh = materialize(raw, shared_dir(spark, "t-warehouse"))
     assert wh.as_of() == raw.as_of()
     pairs = [
-        (A.regional_growth(raw.sales(region=True)), A.regional_growth(wh.sales(region=True))),
+        (A.regional_growth(raw.sales(), raw.regions()), A.regional_growth(wh.sales(), wh.regions())),
         (A.sales_rep_performance(raw.sales(sales_rep=True)), A.sales_rep_performance(wh.sales(sales_rep=True))),
         (A.inventory_insights(raw.sales(), raw.products(), raw.as_of()),
          A.inventory_insights(wh.sales(), wh.products(), wh.as_of())),
@@ -242,3 +245,99 @@ def test_three_landing_sources(spark, sf_dir):
     assert set(frames) == set(L.LANDING_SOURCES)
     for source, table in tables.items():
         assert frames[source].count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+
+
+def test_warehouse_as_of_skips_the_folder_of_missing_dates(spark):
+    from ledgerlens.sources.warehouse import WarehouseSource, _write_partitioned
+
+    root = shared_dir(spark, "t-wh-null")
+    rows = [(1, dt.datetime(2024, 5, 1), Decimal("1")), (2, None, Decimal("2"))]
+    _write_partitioned(spark.createDataFrame(rows, "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(20,6)"), f"{root}/orders")
+    assert WarehouseSource(spark, root).as_of() == dt.datetime(2024, 5, 1)
+
+
+def test_empty_orders_have_an_answer(spark):
+    from ledgerlens.operators import analytics as A
+    from ledgerlens.sources.retail import NO_ORDERS, RetailSource
+    from ledgerlens.sources.tables import TABLE_SCHEMAS
+
+    base = shared_dir(spark, "t-empty").replace("file:", "")
+    spark.createDataFrame([], TABLE_SCHEMAS["orders"]).write.parquet(f"{base}/orders.parquet")
+    src = RetailSource(spark, base)
+    assert src.as_of() == NO_ORDERS
+    assert A.customer_churn(src.orders(), src.as_of()).collect() == []
+
+
+def test_as_of_follows_new_orders(spark):
+    from ledgerlens.sources.retail import RetailSource
+    from ledgerlens.sources.tables import TABLE_SCHEMAS
+
+    base = shared_dir(spark, "t-as-of").replace("file:", "")
+    for day in (dt.datetime(2024, 1, 1), dt.datetime(2030, 1, 1)):
+        spark.createDataFrame([(1, 1, "O", 1.0, day, "x")], TABLE_SCHEMAS["orders"]).write.mode("append").parquet(f"{base}/orders.parquet")
+        assert RetailSource(spark, base).as_of() == day
+
+
+def test_line_amounts_keep_all_decimals(spark):
+    from ledgerlens.sources.retail import line_amount
+
+    df = spark.createDataFrame([(100.005, 0.075)], "p DOUBLE, d DOUBLE")
+    assert df.select(line_amount(F.col("p"), F.col("d")).alias("a")).first()["a"] == Decimal("92.504625")
+
+
+def test_round_ratio_of_twenty_digits(spark):
+    from ledgerlens.functions import numeric as N
+
+    df = spark.createDataFrame([(Decimal("12345678901234567890.12"),)], "x DECIMAL(38,2)")
+    assert df.select(N.round_ratio("x", F.lit(1), 2, 2).alias("r")).first()["r"] == Decimal("12345678901234567890.12")
+
+
+def test_averages_skip_missing_measures(spark):
+    from ledgerlens.operators import analytics as A
+    from ledgerlens.operators import dashboard as DB
+
+    day = dt.date(2024, 6, 30)
+    sales = spark.createDataFrame(
+        [(1, 1, day, 2.0, Decimal("10")), (None, 1, day, None, None)],
+        "customer_id BIGINT, product_id BIGINT, transaction_date DATE, quantity DOUBLE, total_amount DECIMAL(29,12)",
+    )
+    assert A.revenue_growth(sales).first()["avg_transaction_value"] == 10.0
+    products = spark.createDataFrame(
+        [(1, "p", "c", "b", 10.0, 20, 1)],
+        "product_id BIGINT, product_name STRING, category STRING, brand STRING, profit_margin DOUBLE, stock_quantity BIGINT, is_active INT",
+    )
+    stock = A.inventory_insights(sales, products, dt.datetime(2024, 6, 30)).first()
+    assert stock["days_of_inventory"] == 10.0 and stock["reorder_recommendation"] == "Reorder Required"
+    orders = spark.createDataFrame(
+        [(1, dt.datetime(2024, 6, 30), Decimal("10")), (None, dt.datetime(2024, 6, 30), None)],
+        "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, total_amount DECIMAL(20,6)",
+    )
+    for row in DB.kpi_by_range(orders, dt.datetime(2024, 6, 30)).collect():
+        assert (row["customer_count"], row["order_count"], row["avg_order_value"]) == (1, 2, 10.0)
+
+
+def test_broken_landing_rows_fail_both_ways(spark):
+    schema = "customer_id BIGINT, note STRING"
+    landing = shared_dir(spark, "t-land-bad").replace("file:", "")
+    spark.createDataFrame([("1", "a"), ("x", "b")], "customer_id STRING, note STRING").write.csv(landing, header=True)
+    for stream in (False, True):
+        with pytest.raises(Exception):
+            L.landing_ingest(spark, landing, "csv", schema, stream=stream).collect()
+
+
+def test_csv_landing_keeps_line_breaks_and_empty_text(spark):
+    schema = "k BIGINT, note STRING"
+    rows = [(1, "two\nlines, \"quoted\""), (2, ""), (3, None)]
+    landing = shared_dir(spark, "t-land-csv")
+    L.write_landing(spark.createDataFrame(rows, schema), landing, "csv")
+    assert sorted(tuple(r) for r in L.landing_ingest(spark, landing, "csv", schema).collect()) == rows
+
+
+def test_timed_out_ingest_is_an_error(spark):
+    schema = "k BIGINT"
+    landing = shared_dir(spark, "t-land-slow")
+    spark.range(200, numPartitions=40).selectExpr("id AS k").write.json(landing)
+    from ledgerlens.streaming.landing_stream import ingest_available
+
+    with pytest.raises(TimeoutError):
+        ingest_available(spark, landing, "json", schema, shared_dir(spark, "t-slow-out"), shared_dir(spark, "t-slow-cp"), max_files_per_trigger=1, timeout_s=0.5)
