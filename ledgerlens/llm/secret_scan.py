@@ -104,9 +104,18 @@ def _kinds(letters: Column) -> list[tuple[Column, str]]:
     return [(F.length(F.regexp_replace(letters, other, "")), other) for other in ("[^0-9]", "[^A-Z]", "[^a-z]", "[0-9A-Za-z]")]
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is looked at."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def p_value(body: Column, letters: Column) -> Column:
     """Four times the least p-value of the tests; ``body`` of at least two characters."""
-    n, k = F.length(body).cast("double"), F.length(letters).cast("double")
+    run = F.struct(body.alias("body"), letters.alias("letters"), F.length(body).cast("double").alias("n"), F.length(letters).cast("double").alias("k"))
+    return _bound(run, lambda r: _p_value(r["body"], r["letters"], r["n"], r["k"]))
+
+
+def _p_value(body: Column, letters: Column, n: Column, k: Column) -> Column:
     symbols = F.transform(F.sequence(F.lit(1), F.length(letters)), lambda i: F.length(body) - F.length(F.replace(body, F.substring(letters, i, F.lit(1)), F.lit(""))))
     squares = F.aggregate(symbols, F.lit(0.0), lambda a, c: a + c.cast("double") * c)
     z_symbols = (k / n * squares - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
@@ -153,12 +162,17 @@ def p_value(body: Column, letters: Column) -> Column:
 def candidates(text: Column) -> Column:
     """start, end, p and length stratum of the runs that have an encoding."""
 
+    def trimmed(m: Column) -> Column:
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.regexp_replace(m["text"], "=+$", "").alias("body"))
+
+    def encoded(m: Column) -> Column:
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["body"].alias("body"), F.length(m["body"]).alias("length"), _alphabet(m["body"]).alias("letters"))
+
     def tested(m: Column) -> Column:
-        body = F.regexp_replace(m["text"], "=+$", "")
-        letters = _alphabet(body)
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.length(body).alias("length"), F.when((F.length(body) >= LEAST) & letters.isNotNull(), p_value(body, letters)).alias("p"))
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["length"].alias("length"), p_value(m["body"], m["letters"]).alias("p"))
 
-    return F.filter(F.transform(matches(text, RUN, 3), tested), lambda c: c["p"].isNotNull())
+    runs = F.transform(F.transform(matches(text, RUN, 3), trimmed), encoded)
+    return F.transform(F.filter(runs, lambda m: (m["length"] >= LEAST) & m["letters"].isNotNull()), tested)
 
 
 def stratum(length: Column) -> Column:
