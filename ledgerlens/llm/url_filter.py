@@ -9,7 +9,8 @@ else, start, end), which bounds the counts to 42^4 per model whatever the
 input.  A URL without a rule is allowed if the difference of both models'
 log-likelihoods per symbol reaches a cut.  The cut is calibrated on one
 fifth of the ruled URLs (by crc32), which the models have not seen: it has
-the best mean of both classes' accuracies, ties to the smaller.
+the best mean of both classes' accuracies, ties to the smaller, and lies in
+the middle of the gap between the scores that it parts.
 
 Nulls: a null url, or one without ``://``, has an empty host and path, no
 rule, and is scored as its text (null: empty).  With no ruled URL of one
@@ -149,16 +150,16 @@ def judge(pages: DataFrame, rules: Sequence[Rule], page_id: str = "page_id", url
 
 
 def best_cut(histogram: list[tuple[str, int, int]]) -> float:
-    """Lower border of the step from which on URLs are allowed."""
+    """The score from which on URLs are allowed: amid the gap between the steps that it parts."""
     total = {kind: sum(n for k, _, n in histogram if k == kind) for kind in ("allow", "block")}
     if not all(total.values()):
         return 0.0
     steps = sorted({s for _, s, _ in histogram})
     best, at, below = -1.0, 0.0, {"allow": 0, "block": 0}
-    for s in [*steps, steps[-1] + 1]:
+    for before, s in zip([steps[0] - 1, *steps], [*steps, steps[-1] + 1], strict=True):
         share = (1 - below["allow"] / total["allow"] + below["block"] / total["block"]) / 2
         if share > best + 1e-12:
-            best, at = share, s * STEP
+            best, at = share, (before + 1 + s) / 2 * STEP
         for k, other, n in histogram:
             if other == s:
                 below[k] += n
