@@ -272,7 +272,7 @@ class Reader:
     def _selector(self):
         from pyarrow import fs
 
-        return fs.FileSelector(self._store()[1])
+        return fs.FileSelector(self._store()[1], allow_not_found=True)
 
     def _map(self, name: str) -> np.ndarray:
         if name not in self.files:
