@@ -66,13 +66,20 @@ def daily_job(
     out = output_dir.rstrip("/")
     raw = RetailSource(spark, input_dir, as_of_value=as_of)
     src = materialize(raw, f"{out}/warehouse")
-    checks = K.quality_checks(src.orders(), src.as_of())
-    checks.write.mode("overwrite").json(f"{out}/quality_checks")  # three rows
+    checks = (
+        K.quality_checks(src.orders(), src.as_of())
+        .unionByName(K.duplicate_ratio(raw.table("lineitem"), ["l_orderkey", "l_linenumber"]))
+        .unionByName(K.missing_ratio(src.orders()))
+    )
+    checks.write.mode("overwrite").json(f"{out}/quality_checks")  # a row per check
     report = DB.write_report(
         DB.kpi_report(src.sales(), src.orders(), src.products(), src.as_of()), f"{out}/kpi_report"
     )
     panels = DB.write_report(dashboard_frames(src), f"{out}/dashboard")
-    snapshots = L.snapshot_retention(src.orders(), f"{out}/snapshots", src.as_of(), keep_days)
+    snapshots = L.snapshot_retention(src.orders(), f"{out}/snapshots/orders", src.as_of(), keep_days)
+    for name, table in (("sales", src.sales()), ("products", src.products())):
+        L.write_snapshot(table, f"{out}/snapshots/{name}", src.as_of().date())
+        L.expire_snapshots(spark, f"{out}/snapshots/{name}", src.as_of(), keep_days)
     return {
         "quality_checks": [r.asDict() for r in spark.read.json(f"{out}/quality_checks").collect()],
         "kpi_report": report,

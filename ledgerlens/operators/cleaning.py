@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
+from ledgerlens.sources.landing import clean_load
 
 
 def dedupe_transactions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -73,6 +74,16 @@ def sales_rules(as_of, max_amount: int = MAX_AMOUNT) -> dict[str, Column]:
     }
 
 
+def load_sales(tagged: DataFrame, products: DataFrame, path: str) -> tuple[str, str]:
+    """Load a validated table: valid rows enriched and partitioned by month
+    under ``path/loaded``, rejected ones with their reasons under
+    ``path/rejected``.  Returns both folders."""
+    loaded, rejected = f"{path.rstrip('/')}/loaded", f"{path.rstrip('/')}/rejected"
+    clean_load(enrich_metrics(valid_rows(tagged), products), loaded, "year_month")
+    rejected_rows(tagged).write.mode("overwrite").parquet(rejected)
+    return loaded, rejected
+
+
 def enrich_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Line-level derived metrics: month, unit price, margin and profit.
 

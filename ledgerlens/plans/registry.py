@@ -736,6 +736,70 @@ def q_clean_load_roundtrip(spark, sf_dir):
     return back.withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
+_ETL_FILLS = {"l_discount": 0.0, "l_tax": 0.0}
+_ETL_REQUIRED = ["l_orderkey", "l_linenumber"]
+
+
+@register(
+    "etl_pipeline",
+    O.with_views(
+        f"""
+kept AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                     ORDER BY {', '.join(LINE_ORDER + _LINE_REST)}) AS rn
+        FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+    ) WHERE rn = 1
+),
+s AS (
+    SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey, k.l_partkey, k.l_quantity,
+           CAST(k.l_extendedprice AS DECIMAL(18,6)) * (1 - CAST(COALESCE(k.l_discount, 0.0) AS DECIMAL(9,6))) AS amount
+    FROM kept k JOIN orders o ON k.l_orderkey = o.o_orderkey
+),
+t AS (
+    SELECT *, COALESCE(o_custkey IS NOT NULL AND l_partkey IS NOT NULL AND d <= (SELECT d FROM as_of)
+                       AND l_quantity > 0 AND amount >= 0 AND amount <= {E.MAX_AMOUNT}, FALSE) AS ok
+    FROM s
+)
+SELECT CASE WHEN ok THEN 'loaded' ELSE 'rejected' END AS outcome, strftime(d, '%Y-%m') AS year_month,
+       COUNT(*) AS row_count, SUM(l_quantity) AS quantity
+FROM t GROUP BY 1, 2
+"""
+    ),
+)
+def q_etl_pipeline(spark, sf_dir):
+    """Land lines as CSV, then dedupe, fill, validate, enrich and load them."""
+    src = _src(spark, sf_dir)
+    landing = shared_dir(spark, "landing-lines")
+    L.write_landing(src.table("lineitem"), landing, "csv")
+    landed = L.landing_ingest(spark, landing, "csv", TABLE_SCHEMAS["lineitem"])
+    lines = E.fill_missing(E.dedupe_transactions(landed, LINE_KEYS, LINE_ORDER), _ETL_FILLS, _ETL_REQUIRED)
+    tagged = E.validate_split(src.sales(lines=lines), E.sales_rules(src.as_of()))
+    loaded, rejected = E.load_sales(tagged, src.products(), shared_dir(spark, "etl"))
+    good = spark.read.schema("year_month STRING, quantity DOUBLE").parquet(loaded)
+    bad = spark.read.schema("transaction_date DATE, quantity DOUBLE").parquet(rejected)
+    both = good.select(F.lit("loaded").alias("outcome"), "year_month", "quantity").unionByName(
+        bad.select(F.lit("rejected").alias("outcome"), Dt.year_month("transaction_date").alias("year_month"), "quantity")
+    )
+    return both.groupBy("outcome", "year_month").agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity"))
+
+
+@register("landing_customers", "SELECT * FROM customer")
+def q_landing_customers(spark, sf_dir):
+    return _landed(spark, sf_dir, "customers", "customer")
+
+
+@register("landing_products", "SELECT * FROM part")
+def q_landing_products(spark, sf_dir):
+    return _landed(spark, sf_dir, "products", "part")
+
+
+def _landed(spark, sf_dir, source, table):
+    root = shared_dir(spark, "landing")
+    L.write_landing(_src(spark, sf_dir).table(table), f"{root}/{source}", "csv")
+    return L.ingest_landing_sources(spark, root, {source: TABLE_SCHEMAS[table]})[source]
+
+
 SNAPSHOT_OFFSETS = (9, 3, 0)  # days before the last run; runs are kept for 7 days
 SNAPSHOT_KEEP_DAYS = 7
 

@@ -119,10 +119,15 @@ class RetailSource:
         )
 
     def sales(
-        self, region: bool = False, sales_rep: bool = False, since: dt.date | None = None
+        self,
+        region: bool = False,
+        sales_rep: bool = False,
+        since: dt.date | None = None,
+        lines: DataFrame | None = None,
     ) -> DataFrame:
-        """The line-item facts; with ``since`` only those of orders on or after
-        that day, filtered before the join so that few orders join as such."""
+        """The line-item facts, of ``lines`` if given; with ``since`` only those
+        of orders on or after that day, filtered before the join so that few
+        orders join as such."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if since is not None:
             orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
@@ -130,7 +135,7 @@ class RetailSource:
             orders = orders.join(
                 self.customer_region(), F.col("o_custkey") == F.col("c_custkey"), "left"
             )
-        lines = self.table("lineitem").select(
+        lines = (self.table("lineitem") if lines is None else lines).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount",
         )

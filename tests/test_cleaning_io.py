@@ -205,7 +205,9 @@ def test_daily_job_writes_every_output(spark, sf_dir):
     out = shared_dir(spark, "t-daily-job")
     result = daily_job(spark, sf_dir, out)
     assert {c["check_name"] for c in result["quality_checks"]} == {
-        "daily_volume", "amount_outlier", "freshness"}
+        "daily_volume", "amount_outlier", "freshness", "duplicate_ratio",
+        "missing_ratio:customer_id", "missing_ratio:transaction_date", "missing_ratio:total_amount"}
+    assert L.list_snapshots(spark, f"{out}/snapshots/products") == L.list_snapshots(spark, f"{out}/snapshots/orders")
     assert spark.read.parquet(result["dashboard"]["kpi_cards"]).count() == 4
     assert spark.read.parquet(result["dashboard"]["revenue_growth"]).count() == 80
     assert len(result["snapshots"]) == 1
