@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, filesystem, spill, text_slices, write_file
-from ledgerlens.llm.tokenise import encoder
+from ledgerlens.llm.tokenise import chunk_table
 from ledgerlens.session import shared_dir
 
 MAGIC = b"TOKSEG01"
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 SHARD_TOKENS = 4_000_000  # aimed at per range of ids
 SEGMENT_TOKENS = 8_000_000  # most that a writer holds, but for one longer document
 READ_TOKENS = 1_000_000
@@ -55,31 +55,50 @@ def pack(numbers: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[byt
     """Control and data bytes of documents; ``numbers`` holds theirs one after another."""
     counts = np.asarray(counts, np.int64)
     padded = (counts + 3) // 4 * 4
-    start = np.cumsum(padded) - padded
-    at = np.repeat(start - (np.cumsum(counts) - counts), counts) + np.arange(len(numbers))
+    ends = np.cumsum(padded)
     full = np.zeros(int(padded.sum()), np.uint32)
-    full[at] = numbers
-    code = (full > 0xFF).astype(np.uint8) + (full > 0xFFFF) + (full > 0xFFFFFF)
-    control = (code.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
-    data = full.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
-    data_end = np.concatenate([[0], np.cumsum(code + np.int64(1))])[np.concatenate([[0], np.cumsum(padded)])].tolist()
-    control_end = np.concatenate([[0], np.cumsum(padded // 4)]).tolist()
+    full[_real(counts, padded, ends)] = numbers
+    most = int(full.max()) if len(full) else 0
+    wide = 1 + (most > 0xFF) + (most > 0xFFFF) + (most > 0xFFFFFF)
+    code = np.zeros(len(full), np.uint8)
+    for k in range(1, wide):
+        code += full >= 1 << (8 * k)
+    four = code.reshape(-1, 4)
+    control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+    rows = full.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
+    keep = np.ones(rows.shape, bool)
+    for k in range(1, wide):
+        keep[:, k] = code >= k
+    data = rows[keep].tobytes()
+    total = np.concatenate([[0], np.cumsum(code, dtype=np.int64)])
+    at = np.concatenate([[0], ends])
+    data_end, control_end = (total[at] + at).tolist(), (at // 4).tolist()
     return [control[a:b] for a, b in zip(control_end, control_end[1:], strict=False)], [data[a:b] for a, b in zip(data_end, data_end[1:], strict=False)]
 
 
+def _real(counts: np.ndarray, padded: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which places hold numbers, not the zeros that fill up a document's last control byte."""
+    out = np.ones(int(padded.sum()), bool)
+    for k in (1, 2, 3):
+        out[(ends - k)[padded - counts >= k]] = False
+    return out
+
+
 def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers of documents that stand one after another in both streams."""
-    begin = np.cumsum(_TOTAL[control]) - _TOTAL[control]
-    at = (begin[:, None] + _BEGINS[control]).ravel()
-    wide = np.concatenate([data, np.zeros(3, np.uint8)])
-    value = wide[at].astype(np.uint32)
-    for k in (1, 2, 3):
-        value |= wide[at + k].astype(np.uint32) << np.uint32(8 * k)
-    value &= _MASKS[control].ravel()
+    total = _TOTAL[control]
+    at = ((np.cumsum(total) - total)[:, None] + _BEGINS[control]).ravel()
     counts = np.asarray(counts, np.int64)
     padded = (counts + 3) // 4 * 4
-    keep = np.arange(len(value)) - np.repeat(np.cumsum(padded) - padded, padded) < np.repeat(counts, padded)
-    return value[keep]
+    real = _real(counts, padded, np.cumsum(padded))
+    at, masks = at[real], _MASKS[control].ravel()[real]
+    long = np.concatenate([data, np.zeros(3, np.uint8)])
+    value = long[at].astype(np.uint32)
+    most = int(masks.max()) if len(masks) else 0
+    for k in (1, 2, 3):
+        if most >> (8 * k):
+            value |= long[at + k].astype(np.uint32) << np.uint32(8 * k)
+    return value & masks
 
 
 @dataclass(frozen=True)
@@ -88,72 +107,38 @@ class TokenFiles:
     manifest: DataFrame  # file, base (ids before it), n_docs, n_tokens
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int, split: str = "whole", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_tokens and its ids (little-endian unsigned 32-bit, or 16-bit where all fit) with ``end_id`` last."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, split)
-        end = np.array([end_id], enc.dtype).tobytes()
-        for part, texts in text_slices(batches, "text", SLICE_CHARS):
-            ids = [x + end for x in enc.encode(texts)]
-            yield arrow_rows(schema, [column(part, "doc_id"), [len(x) // enc.dtype.itemsize for x in ids], ids])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
-
-
-def id_counts(encoded: DataFrame, dtype: str) -> DataFrame:
-    """(id, count) over all documents, summed within tasks first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for x in column(batch, "ids"):
-                more = np.bincount(np.frombuffer(x.as_buffer(), dtype))
-                if len(more) > len(total):
-                    total, more = more, total
-                total[: len(more)] += more
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
-
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-
-
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str = "whole", doc_id: str = "doc_id", text: str = "text") -> TokenFiles:
     """Encode whole texts and write them as segment files in ascending doc_id order."""
-    from ledgerlens.llm.tokenise import Encoder
-
     spark = docs.sparkSession
-    about = Encoder(tokenizer, split)
-    dtype, size = about.dtype.str, max(about.vocabulary, end_id + 1)
-    encoded = spill(encode(docs, tokenizer, end_id, split, doc_id, text), "token-ids")
-    counts = id_counts(encoded, dtype).collect()  # at most the vocabulary
-    seen = np.zeros(size, np.int64)
-    for r in counts:
-        seen[r["id"]] = r["n"]
-    of_rank = np.lexsort((np.arange(size), -seen)).astype(np.uint32)
-    rank_of = np.empty(size, np.uint32)
-    rank_of[of_rank] = np.arange(size, dtype=np.uint32)
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    table, counts = chunk_table(docs.select("text"), tokenizer, split)
+    seen = np.zeros(max(len(counts), end_id + 1), np.int64)
+    seen[: len(counts)] = counts
+    seen[end_id] += docs.count()
+    of_rank = np.lexsort((np.arange(len(seen)), -seen)).astype(np.uint32)
+    rank_of = np.empty(len(seen), np.uint32)
+    rank_of[of_rank] = np.arange(len(seen), dtype=np.uint32)
     folder = shared_dir(spark, "token-files")
     write_file(folder, "ranks.u32", [of_rank.astype("<u4").tobytes()])
 
     shards = max(int(seen.sum()) // SHARD_TOKENS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    borders = np.unique(np.array(encoded.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards)), np.float64)).astype(np.int64)
+    borders = docs.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards))
+    borders = np.unique(np.array(borders, np.float64)).astype(np.int64)
     coded = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = np.asarray(column(batch, "n_tokens"))
-            total, at = np.cumsum(n), 0
-            while at < len(n):
-                end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + READ_TOKENS, side="right")))
-                part = batch.slice(at, end - at)
-                ids = np.concatenate([np.frombuffer(x.as_buffer(), dtype) for x in column(part, "ids")])
-                control, data = pack(rank_of[ids], n[at:end])
-                key = column(part, "doc_id")
-                shard = np.searchsorted(borders, np.asarray(pa.compute.fill_null(key, np.iinfo(np.int64).min)), side="left")
-                yield arrow_rows(coded, [shard, key, n[at:end], control, data])
-                at = end
+        reader = table.reader()
+        for part, texts in text_slices(batches, "text", SLICE_CHARS):
+            ids, n = reader.encode(texts)
+            ends = np.cumsum(n + 1)
+            real = np.ones(int(ends[-1]), bool)
+            real[ends - 1] = False
+            ranks = np.full(len(real), rank_of[end_id], np.uint32)
+            ranks[real] = rank_of[ids]
+            control, data = pack(ranks, n + 1)
+            key = column(part, "doc_id")
+            shard = np.searchsorted(borders, np.asarray(pa.compute.fill_null(key, np.iinfo(np.int64).min)), side="left")
+            yield arrow_rows(coded, [shard.astype(np.int32), key, n + 1, control, data])
 
     files = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -182,7 +167,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
         if held:
             yield flush()
 
-    by_range = encoded.mapInArrow(code, "shard int, doc_id long, n_tokens long, control binary, data binary")
+    by_range = docs.mapInArrow(code, "shard int, doc_id long, n_tokens long, control binary, data binary")
     by_range = by_range.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "control", "data")
     written = spill(by_range.mapInArrow(write, "shard int, segment int, file string, n_docs long, n_tokens long"), "token-manifest")
     before = Window.orderBy("shard", "segment").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
