@@ -7,13 +7,15 @@ with its transpose, in blocks of n-grams, cut down by size-derived bounds:
    sets are one row, named by a hash of the set.
 2. Columns that can matter.  With a similarity of at least t, two sets of
    sizes a <= b need a >= t b, and their first n - ceil(t n) + 1 n-grams in
-   any common order share one.  The order puts n-grams first that repeat
-   rarely (a table of fixed size holds their rounded counts), so that
-   passages of many documents stay out of the prefixes.
+   any common order share one; of the smaller set it is even among the first
+   n - ceil(2 t / (1 + t) n) + 1.  The order puts n-grams first that repeat
+   rarely (a table of bounded size holds rounded counts of all n-grams), so
+   that passages of many documents stay out of the prefixes; n-grams that
+   occur in one set only fill places there, but are sent nowhere.
 3. Blocks.  Prefix postings go to shards by n-gram; a shard keeps the
    columns with two rows or more.
 4. Products.  Pairs of a column are checked against the exact overlap of
-   their sets, as sorted arrays: first every row with the column's pivot,
+   their sets: first every row with the column's pivot,
    then, over columns that still touch several components, with a pivot
    that differs by column, last all pairs of different components that the
    size bound and the triangle inequality for Jaccard distances (to the
@@ -36,17 +38,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm import token_files
 from ledgerlens.llm.common import arrow_rows, column, spill, text_slices
 from ledgerlens.llm.hashing import U, hash_of, mix, shingles
 
 SLICE_CHARS = 8_000_000
 SHARD_CHARS = 6_000_000
-SLOTS = 1 << 22  # of the table of rounded counts, and of the filter of wanted documents
+SLOTS = 1 << 22  # of the filter of wanted documents
+SLOT_BITS = 25  # of the table of rounded counts: 32 MB
+HELD_COUNTED = 6_000_000  # n-grams that a counting task holds before it sends them
 WIDTH = 5
 PERCENT = 75
+HELD_HASHES = 4_000_000  # of sets that a checking task keeps, 32 MB
 SMALL = 4  # rows of a column whose pairs are all formed at once
 
 
@@ -54,6 +61,11 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def early_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix that suffices for the smaller set of a pair."""
+    return n - -(-n * 2 * percent // (100 + percent)) + 1
+
+
 def sets_of(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes of each text, one text after another, each ascending; sizes; set names."""
     h, counts = shingles(texts, width)
@@ -70,27 +82,90 @@ def sets_of(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return h, n, mix(name, n.astype(U))
 
 
-_FACTS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("slot", pa.int64()), ("seen", pa.int64())])
+_FACTS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+FACTS = "doc_id long, n long, s long, part int, data binary"
+
 
+def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
+    """Per document (data null): doc_id, set size, set name; per part of the hash space: the order class of its slots.
+
+    Tasks send the upper 32 bits of their sets' hashes, sorted and coded as differences; a slot's class is the binary logarithm of how many sets its most frequent n-gram is in, 0 if none is in two.
+    """
 
-def facts(docs: DataFrame, width: int) -> DataFrame:
-    """Per document (slot null): doc_id, set size, set name; per slot: how often repeated n-grams were seen."""
+    def send(held: list[np.ndarray]) -> pa.RecordBatch:
+        high = np.sort(np.concatenate(held))
+        edges = np.searchsorted(high, np.arange(1 << bits, dtype=np.uint64) << U(32 - bits)).tolist() + [len(high)]
+        out, parts = [], []
+        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            if b > a:
+                steps = np.diff(high[a:b], prepend=np.uint32(0)).astype(np.uint32)
+                control, data = token_files.pack(steps, np.array([b - a]))
+                parts.append(k)
+                out.append(np.array([b - a], "<u4").tobytes() + control[0] + data[0])
+        none = pa.nulls(len(parts), pa.int64())
+        return arrow_rows(_FACTS, [none, none, none, parts, out])
+
+    def read(data: bytes) -> np.ndarray:
+        n = int(np.frombuffer(data, "<u4", 1)[0])
+        at = 4 + (n + 3) // 4
+        steps = token_files.unpack(np.frombuffer(data, np.uint8, at - 4, 4), np.frombuffer(data, np.uint8, -1, at), np.array([n]))
+        return np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
-            none = pa.nulls(len(n), pa.int64())
-            yield arrow_rows(_FACTS, [column(part, "doc_id"), n, name.view(np.int64), none, none])
+            where = (name.view(np.int64) % (1 << bits)).astype(np.int32)  # dealt like the counts
+            yield arrow_rows(_FACTS, [column(part, "doc_id"), n, name.view(np.int64), where, pa.nulls(len(n), pa.binary())])
             first = np.unique(name, return_index=True)[1]  # copies count once
             once = np.zeros(len(n), bool)
             once[first] = True
-            found, c = np.unique(h[np.repeat(once, n)], return_counts=True)
-            slot, at = np.unique(found[c > 1] % U(SLOTS), return_inverse=True)
-            seen = np.bincount(at, c[c > 1], len(slot)).astype(np.int64)
-            none = pa.nulls(len(slot), pa.int64())
-            yield arrow_rows(_FACTS, [none, none, none, slot.view(np.int64), seen])
+            held.append((h[np.repeat(once, n)] >> U(32)).astype(np.uint32))
+            size += len(held[-1])
+            if size > HELD_COUNTED:
+                yield send(held)
+                held, size = [], 0
+        if size:
+            yield send(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:  # sorted by part
+            is_doc = pa.compute.is_null(column(batch, "data"))
+            if pa.compute.any(is_doc).as_py():
+                yield batch.filter(is_doc)
+            rest = batch.filter(pa.compute.invert(is_doc))
+            for part, data in zip(column(rest, "part").to_pylist(), column(rest, "data").to_pylist(), strict=True):
+                if held and part not in held:
+                    yield classes(*held.popitem())
+                held.setdefault(part, []).append(read(data))
+        if held:
+            yield classes(*held.popitem())
+
+    def classes(part: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        high = np.sort(np.concatenate(found))
+        at = np.flatnonzero(np.concatenate([[True], high[1:] != high[:-1]]))
+        times = np.diff(np.append(at, len(high)))
+        often = times > 1
+        out = np.zeros(1 << (SLOT_BITS - bits), np.uint8)
+        slot = (high[at[often]] >> np.uint32(32 - SLOT_BITS)).astype(np.int64) - (part << (SLOT_BITS - bits))
+        np.maximum.at(out, slot, np.log2(times[often]).astype(np.uint8))
+        return arrow_rows(_FACTS, [*[pa.nulls(1, pa.int64())] * 3, [part], [zlib.compress(out.tobytes(), 1)]])
+
+    sent = docs.mapInArrow(run, FACTS).repartition(1 << bits, "part").sortWithinPartitions("part")
+    return sent.mapInArrow(merge, FACTS)
+
 
-    return docs.mapInArrow(run, "doc_id long, n long, s long, slot long, seen long")
+def repeated(found: DataFrame, bits: int) -> np.ndarray:
+    """The order class of every slot."""
+    out = np.zeros((1 << bits, 1 << (SLOT_BITS - bits)), np.uint8)
+    for r in found.select("part", "data").collect():  # a row per part, 2^SLOT_BITS bytes in all
+        out[r["part"]] = np.frombuffer(zlib.decompress(r["data"]), np.uint8)
+    return out.ravel()
+
+
+def class_of(h: np.ndarray, often: np.ndarray) -> np.ndarray:
+    return often[(h >> U(64 - SLOT_BITS)).astype(np.int64)]
 
 
 _POSTINGS = pa.schema([("shard", pa.int64()), ("data", pa.binary())])
@@ -108,31 +183,32 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
             keep = np.repeat(once, n)
             doc = np.repeat(np.arange(len(n)), n)[keep]
             h = h[keep]
-            order = np.lexsort((h, often[(h % U(SLOTS)).view(np.int64)], doc))
-            h, doc = h[order], doc[order]
+            kind = class_of(h, often)
+            order = np.lexsort((h, kind, doc))
+            h, doc, kind = h[order], doc[order], kind[order]
             size = np.where(once, n, 0)
             place = np.arange(len(h)) - (np.cumsum(size) - size)[doc]
-            keep = place < prefix_length(n, percent)[doc]
-            h, doc = h[keep], doc[keep]
+            keep = (place < prefix_length(n, percent)[doc]) & (kind > 0)  # no other set has those of class 0
+            h, doc, early = h[keep], doc[keep], (place < early_length(n, percent)[doc])[keep]
             order = np.argsort(h, kind="stable")
-            h, doc = h[order], doc[order]
+            h, doc, early = h[order], doc[order], early[order]
             shard = h >> U(64 - bits) if bits else np.zeros_like(h)
             edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(h)]]) if len(h) else np.zeros(1, int)
             out = []
             for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
                 who, at = np.unique(doc[a:b], return_inverse=True)
-                small = zlib.compress(n[who].astype("<u4").tobytes() + at.astype("<u4").tobytes(), 1)
+                small = zlib.compress(n[who].astype("<u4").tobytes() + (2 * at + early[a:b]).astype("<u4").tobytes(), 1)
                 out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + small)
             yield arrow_rows(_POSTINGS, [shard[edges[:-1]].view(np.int64) if len(h) else [], out])
 
     return docs.mapInArrow(run, "shard long, data binary")
 
 
-_COLUMNS = pa.schema([("h", pa.int64()), ("s", pa.int64()), ("n", pa.int64())])
+_COLUMNS = pa.schema([("h", pa.int64()), ("s", pa.int64()), ("n", pa.int64()), ("early", pa.bool_())])
 
 
 def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
-    """(h, s, n): the rows of every n-gram that is in the prefix of two sets or more."""
+    """(h, s, n, early): the rows of every n-gram that is in the prefix of two sets or more, and early in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -151,50 +227,54 @@ def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
             h, name = np.frombuffer(x, "<u8", rows, 8), np.frombuffer(x, "<u8", sets, 8 + 8 * rows)
             small = np.frombuffer(zlib.decompress(x[8 + 8 * rows + 8 * sets :]), "<u4")
             at = small[sets:]
-            parts.append((h, name[at], small[:sets][at]))
-        h, s, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            parts.append((h, name[at >> 1], small[:sets][at >> 1], at & 1))
+        h, s, n, early = (np.concatenate([p[k] for p in parts]) for k in range(4))
         order = np.lexsort((s, h))
-        h, s, n = h[order], s[order], n[order]
+        h, s, n, early = h[order], s[order], n[order], early[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
-        h, s, n = h[new], s[new], n[new]
-        twice = np.zeros(len(h), bool)
-        twice[1:] = h[1:] == h[:-1]
-        twice[:-1] |= twice[1:]
-        return arrow_rows(_COLUMNS, [x[twice].astype(U).view(np.int64) for x in (h, s, n)])
+        h, s, n, early = h[new], s[new], n[new], early[new] == 1
+        first = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
+        size = np.diff(np.append(first, len(h)))
+        keep = np.repeat((size > 1) & np.logical_or.reduceat(early, first), size)
+        return arrow_rows(_COLUMNS, [*(x[keep].astype(U).view(np.int64) for x in (h, s, n)), early[keep]])
 
-    return blocks.repartition(1 << bits, "shard").sortWithinPartitions("shard").mapInArrow(run, "h long, s long, n long")
+    return blocks.repartition(1 << bits, "shard").sortWithinPartitions("shard").mapInArrow(run, "h long, s long, n long, early boolean")
 
 
 PAIR = pa.schema([("s", pa.int64()), ("pivot", pa.int64())])
 
 
 def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
-    """Distinct (pivot, s) of the columns in ``groups``: h, s, n, comp, d (distance to the column's first pivot; null: unknown).
+    """Distinct (pivot, s) of the columns in ``groups``: h, s, n, early, comp, d (distance to the column's first pivot; null: unknown).
 
     Round 0 pairs each row with the column's pivot, round 1 those of other components with another pivot, round 2 all of different components that the bounds leave.
     """
     limit = percent / 100
 
-    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) if len(a) else np.zeros(0, bool)
+    def close(n: np.ndarray, early: np.ndarray, i: int) -> np.ndarray:
+        """Which rows the sizes let link with row i, and the smaller has the column early."""
+        fits = 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+        return fits & np.where(n < n[i], early, np.where(n > n[i], early[i], early & early[i]))
 
-    def pairs(h: int, s: np.ndarray, n: np.ndarray, comp: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(h: int, s: np.ndarray, n: np.ndarray, early: np.ndarray, comp: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len(s) <= SMALL:
             for i in range(len(s) - 1):
-                ok = close(n[i + 1 :], n[i : i + 1]) & (comp[i + 1 :] != comp[i])
+                ok = close(n, early, i)[i + 1 :] & (comp[i + 1 :] != comp[i])
                 yield np.full(ok.sum(), s[i]), s[i + 1 :][ok]
         elif number < 2:
             rank = mix(s, np.full(len(s), h * number, U))
             p = int(np.argmin(rank))
-            ok = close(n, n[p : p + 1]) & (comp != comp[p]) if number else np.arange(len(s)) != p  # round 0: distances for the bound of round 2
+            ok = close(n, early, p) & (comp != comp[p]) if number else np.arange(len(s)) != p  # round 0: distances for the bound of round 2
             yield np.full(ok.sum(), s[p]), s[ok]
         else:
             order = np.argsort(d, kind="stable")
-            s, n, comp, d = s[order], n[order], comp[order], d[order]
+            s, n, early, comp, d = s[order], n[order], early[order], comp[order], d[order]
             ends = np.searchsorted(d, d + (1 - limit) + 1e-9, side="right")
             for i, end in enumerate(ends.tolist()):
-                ok = close(n[i + 1 : end], n[i : i + 1]) & (comp[i + 1 : end] != comp[i])
+                if end <= i + 1:
+                    continue
+                ok = close(n[i:end], early[i:end], 0)[1:] & (comp[i + 1 : end] != comp[i])
                 if ok.any():
                     yield np.full(ok.sum(), s[i]), s[i + 1 : end][ok]
 
@@ -202,7 +282,7 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
         seen: set[tuple[int, int]] = set()
 
         def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            h, s, n, comp, d = rows
+            h, s, n, comp, d, early = rows
             edges = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]])
             out: list[tuple[int, int]] = []
             for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
@@ -210,7 +290,7 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
                     continue
                 if number and (comp[a:b] == comp[a]).all():
                     continue
-                for x, y in pairs(int(h[a]), s[a:b], n[a:b], comp[a:b], d[a:b]):
+                for x, y in pairs(int(h[a]), s[a:b], n[a:b], early[a:b], comp[a:b], d[a:b]):
                     for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True) if number == 2 else zip(x.tolist(), y.tolist(), strict=True):
                         if pair not in seen:
                             if len(seen) > 1_000_000:
@@ -230,6 +310,7 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
         for batch in batches:  # sorted by h; a column may cross batches
             rows = [np.asarray(column(batch, c)).view(U) for c in ("h", "s", "n", "comp")]
             rows.append(np.asarray(pa.compute.fill_null(column(batch, "d"), 1.0)))
+            rows.append(np.asarray(column(batch, "early")))
             rows = [np.concatenate([a, b]) for a, b in zip(rest, rows, strict=True)] if rest else rows
             if not len(rows[0]):
                 continue
@@ -241,29 +322,51 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
             yield from emit(rest)
 
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = groups.select("h", "s", "n", "comp", "d").repartition(parts, "h").sortWithinPartitions("h", "s")
+    dealt = groups.select("h", "s", "n", "early", "comp", "d").repartition(parts, "h").sortWithinPartitions("h", "s")
     return dealt.mapInArrow(run, "s long, pivot long").distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(pivot, s, n_pivot, n_s, overlap) with the exact overlap of both sets."""
+def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(pivot, s, a, b, overlap): the sizes of both sets and their exact overlap, from the texts."""
     schema = pa.schema([("pivot", pa.int64()), ("s", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("overlap", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large = zstandard.ZstdDecompressor()
+        held: dict[int, np.ndarray] = {}  # sets used last, oldest first
+        size = 0
+
+        def set_of(name: int, data: bytes) -> np.ndarray:
+            nonlocal size
+            found = held.pop(name, None)
+            if found is None:
+                found = sets_of([large.decompress(data).decode("utf-8", "replace")], width)[0]
+                size += len(found)
+                while size > HELD_HASHES and held:
+                    size -= len(held.pop(next(iter(held))))
+            held[name] = found
+            return found
+
         for batch in batches:
             a, b, both = [], [], []
-            for x, y in zip(column(batch, "set_p"), column(batch, "set_s"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+            for p, q, x, y in zip(*(column(batch, c).to_pylist() for c in ("pivot", "s", "text_p", "text_s")), strict=True):
+                x, y = set_of(p, x), set_of(q, y)
                 a.append(len(x))
                 b.append(len(y))
-                both.append(len(x) + len(y) - len(np.unique(np.concatenate([x, y]))))
+                both.append(int(is_in(x, y).sum()) if len(x) < len(y) else int(is_in(y, x).sum()))
             yield arrow_rows(schema, [column(batch, "pivot"), column(batch, "s"), a, b, both])
 
-    joined = pairs.join(sets.select(F.col("s").alias("pivot"), F.col("data").alias("set_p")), "pivot")
-    joined = joined.join(sets.select("s", F.col("data").alias("set_s")), "s")
+    joined = pairs.join(texts.select(F.col("s").alias("pivot"), F.col("data").alias("text_p")), "pivot")
+    joined = joined.join(texts.select("s", F.col("data").alias("text_s")), "s")
     return joined.mapInArrow(run, "pivot long, s long, a long, b long, overlap long")
 
 
+def is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values a sorted array holds."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
 def components(links: DataFrame) -> DataFrame:
     """(s, comp) of the linked: the smallest name reachable."""
     edges = spill(links.select("s", "pivot").union(links.select("pivot", "s")).toDF("s", "other").distinct(), "links")
@@ -278,33 +381,29 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def wanted_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(s, data): sorted n-gram hashes of one document of each wanted set.
+def wanted_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(s, data): the compressed text of one document of each wanted set.
 
     A filter of fixed size on doc_id skips most other documents before they are read into words; those it lets through are dropped by the join.
     """
     slot = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(SLOTS))
     hits = np.zeros(SLOTS, bool)
     hits[[r[0] for r in wanted.select(slot).distinct().collect()]] = True  # at most SLOTS rows
-    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("data", pa.binary())])
+    schema = pa.schema([("s", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary())])
     hits = np.packbits(hits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def some() -> Iterator[pa.RecordBatch]:
-            open_ = np.unpackbits(hits).astype(bool)
-            for batch in batches:
-                yield batch.filter(pa.array(open_[np.asarray(column(batch, "slot"))]))
-
-        for part, texts in text_slices(some(), "text", SLICE_CHARS):
-            h, n, name = sets_of(texts, width)
-            ends = np.cumsum(n)
-            data = h.tobytes()
-            cut = [data[8 * (e - k) : 8 * e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-            yield arrow_rows(schema, [column(part, "doc_id"), name.view(np.int64), cut])
+        small = zstandard.ZstdCompressor(level=3)
+        open_ = np.unpackbits(hits).astype(bool)
+        some = (b.filter(pa.array(open_[np.asarray(column(b, "slot"))])) for b in batches)
+        for part, texts in text_slices(some, "text", SLICE_CHARS):
+            name = sets_of(texts, width)[2].view(np.int64)
+            once = {(s, i): k for k, (s, i) in enumerate(zip(name.tolist(), column(part, "doc_id").to_pylist(), strict=True))}
+            yield arrow_rows(schema, [*zip(*once, strict=True), [small.compress(texts[k].encode("utf-8", "replace")) for k in once.values()]])
 
-    made = docs.withColumn("slot", slot).mapInArrow(run, "doc_id long, s long, data binary")
-    same = F.col("w.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("w.s") == F.col("m.s"))
-    return made.alias("m").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["s"]).select("s", "data")
+    made = docs.withColumn("slot", slot).mapInArrow(run, "s long, doc_id long, data binary")
+    same = (F.col("w.s") == F.col("m.s")) & F.col("w.doc_id").eqNullSafe(F.col("m.doc_id"))
+    return made.alias("m").join(wanted.alias("w"), same, "left_semi").select("s", "data").dropDuplicates(["s"])
 
 
 def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -314,41 +413,38 @@ def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, do
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = spill(facts(docs, width), "shingle-sets")
-    rows = found.filter("slot is null").select("doc_id", "n", "s")
-    counts = found.filter("slot is not null").groupBy("slot").agg(F.sum("seen").alias("seen"))
-    counts = counts.select("slot", F.floor(F.log2("seen")).cast("int").alias("c")).filter("c > 2").toPandas()  # at most SLOTS rows
-    often = np.zeros(SLOTS, np.int8)
-    often[counts["slot"].to_numpy()] = counts["c"].to_numpy()
-    chars = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * 6
+    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = min(14, math.ceil(math.log2(shards)))
+    found = spill(facts(docs, width, bits), "shingle-sets")
+    rows = found.filter("data is null").select("doc_id", "n", "s")
+    often = repeated(found.filter("data is not null"), bits)
     cols = spill(shared_columns(postings(docs, width, percent, bits, often), bits), "shared-columns")
 
     classes = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
     wanted = classes.join(cols.select("s").distinct(), "s", "left_semi")
-    sets = spill(wanted_sets(docs, spill(wanted, "wanted-sets"), width), "sets")
+    texts = spill(wanted_texts(docs, spill(wanted, "wanted-sets"), width), "wanted-texts")
 
     similar = F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("a") + F.col("b") - F.col("overlap"))
     distance = 1 - F.col("overlap") / (F.col("a") + F.col("b") - F.col("overlap"))
-    groups = cols.select("h", "s", "n", F.col("s").alias("comp"), F.lit(None).cast("double").alias("d"))
-    checked = spill(verify(candidates(groups, 0, percent), sets), "pairs")
+    groups = cols.select("h", "s", "n", "early", F.col("s").alias("comp"), F.lit(None).cast("double").alias("d"))
+    checked = spill(verify(candidates(groups, 0, percent), texts, width), "pairs")
     links = checked.filter(similar).select("pivot", "s")
     comps = components(links)
     to_pivot = checked.select("pivot", "s", distance.alias("d"))
     for number in (1, 2):
-        open_ = cols.join(comps, "s", "left").select("h", "s", "n", F.coalesce("comp", "s").alias("comp"))
+        open_ = cols.join(comps, "s", "left").select("h", "s", "n", "early", F.coalesce("comp", "s").alias("comp"))
         several = open_.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most").select("h")
         open_ = open_.join(several, "h", "left_semi")
         if number == 2:  # distances to the columns' first pivots
             open_ = spill(open_, "open-columns")
             pivots = _first_pivots(open_)
-            open_ = open_.join(pivots, "h").join(to_pivot, ["pivot", "s"], "left").select("h", "s", "n", "comp", F.when(F.col("pivot") == F.col("s"), 0.0).otherwise(F.col("d")).alias("d"))
+            open_ = open_.join(pivots, "h").join(to_pivot, ["pivot", "s"], "left").select("h", "s", "n", "early", "comp", F.when(F.col("pivot") == F.col("s"), 0.0).otherwise(F.col("d")).alias("d"))
         else:
             open_ = open_.withColumn("d", F.lit(None).cast("double"))
         pairs = candidates(open_, number, percent)
         done = checked.select("pivot", "s").union(checked.select(F.col("s").alias("pivot"), F.col("pivot").alias("s")))
-        more = spill(verify(pairs.join(done, ["pivot", "s"], "left_anti"), sets), "pairs")
+        more = spill(verify(pairs.join(done, ["pivot", "s"], "left_anti"), texts, width), "pairs")
         if not more.limit(1).count():
             continue
         checked = checked.union(more)
