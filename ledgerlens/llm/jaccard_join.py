@@ -55,6 +55,8 @@ WIDTH = 5
 PERCENT = 75
 HELD_HASHES = 4_000_000  # of sets that a checking task keeps, 32 MB
 SMALL = 4  # rows of a column whose pairs are all formed at once
+THIN_ROWS = 256  # columns of several times as many rows offer a pair with a pivot in some of its columns only
+THIN_MOST = 8
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -266,17 +268,22 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
             rank = mix(s, np.full(len(s), h * number, U))
             p = int(np.argmin(rank))
             ok = close(n, early, p) & (comp != comp[p]) if number else np.arange(len(s)) != p  # round 0: distances for the bound of round 2
+            thin = min(THIN_MOST, len(s) // THIN_ROWS)
+            if thin > 1:  # copies share many columns, and round 2 sees all that stay open
+                ok &= mix(s, np.full(len(s), 2 * h + 1 & (1 << 64) - 1, U)) % U(thin) == 0
             yield np.full(ok.sum(), s[p]), s[ok]
         else:
             order = np.argsort(d, kind="stable")
             s, n, early, comp, d = s[order], n[order], early[order], comp[order], d[order]
-            ends = np.searchsorted(d, d + (1 - limit) + 1e-9, side="right")
-            for i, end in enumerate(ends.tolist()):
-                if end <= i + 1:
-                    continue
-                ok = close(n[i:end], early[i:end], 0)[1:] & (comp[i + 1 : end] != comp[i])
+            known = int((~np.isnan(d)).sum())  # unknown distances stand last, and rule nothing out
+            ends = np.searchsorted(d[:known], d[:known] + (1 - limit) + 1e-9, side="right")
+            later = np.arange(len(s))
+            for i in range(len(s) - 1):
+                ok = close(n, early, i) & (comp != comp[i]) & (later > i)
+                if i < known:
+                    ok &= (later < ends[i]) | (later >= known)
                 if ok.any():
-                    yield np.full(ok.sum(), s[i]), s[i + 1 : end][ok]
+                    yield np.full(ok.sum(), s[i]), s[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -309,7 +316,7 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
         rest: list[np.ndarray] = []
         for batch in batches:  # sorted by h; a column may cross batches
             rows = [np.asarray(column(batch, c)).view(U) for c in ("h", "s", "n", "comp")]
-            rows.append(np.asarray(pa.compute.fill_null(column(batch, "d"), 1.0)))
+            rows.append(np.asarray(pa.compute.fill_null(column(batch, "d"), np.nan)))
             rows.append(np.asarray(column(batch, "early")))
             rows = [np.concatenate([a, b]) for a, b in zip(rest, rows, strict=True)] if rest else rows
             if not len(rows[0]):

@@ -218,8 +218,10 @@ def brute_components(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-def test_similarity_join_equals_brute_force(spark):
+def test_similarity_join_equals_brute_force(spark, monkeypatch):
     for seed in (5, 6):
+        if seed == 6:  # thinned columns, some distances unknown
+            monkeypatch.setattr(jaccard_join, "THIN_ROWS", 8)
         rows = family_rows(seed)
         got = jaccard_join.join_similar(frame(spark, rows))[0].collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows)
