@@ -46,7 +46,7 @@ ASSIGN = (
 ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]{16,}"  # maximal runs, so the same spans as shorter matches dropped
 KINDS = ("assign", "access", "hex", "random")
-RUN = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+RUN = f"[A-Za-z0-9+/_-]{{{LEAST},}}+(?:=+(?![A-Za-z0-9+/_=-]))?"  # "=" only as padding: before a run it ends a label
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = (  # pattern of a run's characters, alphabet in order; the first that fits

@@ -50,6 +50,19 @@ def test_secret_spans(spark):
         assert "random" not in of[x]["all"], x
 
 
+def test_secret_values_behind_labels(spark):
+    """A random value glued to any label is found, the label and its sign stay; padding is part of the value."""
+    glued = [f"{before}{x}{after}" for x in RANDOMS for before, after in (("sig=", ""), ("AUTH=", "\nNEXT=1"), ("export private_key=", ""), ("https://a.example/b?access=", "&page=2"), ("a_label_longer_than_twenty=", " x"), ("k==", ""))]
+    plain = [f"sig={x}" for x in PLAIN] + [f"{x}={x}" for x in PLAIN] + ["=" * 60, "a=b=c=d=e=f=g=h=i=j=k=l=m=n=o=p"]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(glued + plain)]
+    got = {r["doc_id"]: (r["spans"], r["clean"]) for r in secret_scan.scan(frame(spark, rows), ["doc_id", "text"]).select("doc_id", "spans", secret_scan.redact(F.col("text"), F.col("spans")).alias("clean")).collect()}
+    values = [x for x in RANDOMS for _ in range(6)]
+    for i, (t, x) in enumerate(zip(glued, values)):
+        assert got[i][1] == t.replace(x, "[SECRET]"), t
+    for i, t in enumerate(plain, len(glued)):
+        assert all(s["kind"] != 3 for s in got[i][0]), t
+
+
 def test_secret_edges(spark):
     found = secret_scan.scan(frame(spark, edge_rows()), ["doc_id"])
     assert found.count() == len(edge_rows())
