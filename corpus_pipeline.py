@@ -2,8 +2,8 @@
 
 Stages, each on what its predecessor kept: toxic documents go; of each
 group of similar documents the one with the smallest id stays; secrets are
-replaced by a mark; documents are sampled to the target mix; what remains
-is tokenised, cut and packed into sequences.  All stages but the last
+replaced by a mark; documents are sampled to the target mix, ``BUDGET`` of
+the tokens, with rare cells whole; what remains is tokenised, cut and packed into sequences.  All stages but the last
 return the columns of documents, n_chars counted anew where a text changed.
 """
 
@@ -16,6 +16,7 @@ from ledgerlens.llm import jaccard_join, mixing, packing, secret_scan, toxicity
 from ledgerlens.llm.common import spill, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BUDGET = 0.6  # share of the tokens that mixing keeps, whatever the cells
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, COLUMNS).filter("selected").select(COLUMNS)
+    return mixing.mix(docs, COLUMNS, budget=BUDGET).filter("selected").select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

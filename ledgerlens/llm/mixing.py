@@ -8,7 +8,10 @@ driver.  Targets are tempered shares (share^``temper``, rescaled) unless a
 table of shares is given.  A document's probability is its cell's raked
 weight per token over the greatest of any cell, and it is kept if a number
 in [0, 1) from the md5 of its id lies below: expected tokens have the raked
-marginals, and a rerun keeps the same documents.
+marginals, and a rerun keeps the same documents.  With a ``budget`` (share of
+the tokens to keep) the probability is the weight times a common factor, 1 at
+most, and the factor is such that the expected tokens are the budget: rare
+cells are kept whole, and no single cell sets the rate of the others.
 
 Topics are the first rule that a text meets, else "general".  Tokens are
 runs without ASCII white space.
@@ -67,7 +70,22 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return cells
 
 
-def mix(docs: DataFrame, keep: list[str], targets: dict[str, DataFrame] | None = None, temper: float = TEMPER, sweeps: int = SWEEPS) -> DataFrame:
+def budget_factor(weights: DataFrame, budget: float) -> float:
+    """The factor at which tokens * least(1, factor * weight) sum to the share ``budget`` of the tokens.
+
+    Newton steps from below, an aggregation to one row each: cells that are whole stay so, and it ends when no more become so.
+    """
+    factor, known = 0.0, -1
+    while True:
+        whole = F.col("weight") * factor >= 1
+        spread = F.when(whole, 0.0).otherwise(F.col("tokens") * F.col("weight"))
+        total, full, open_, n = weights.agg(F.sum("tokens"), F.sum(F.when(whole, F.col("tokens")).otherwise(0)), F.sum(spread), F.count_if(whole)).first()
+        if n == known or not open_:
+            return factor
+        factor, known = max(factor, (budget * total - full) / open_), n
+
+
+def mix(docs: DataFrame, keep: list[str], targets: dict[str, DataFrame] | None = None, temper: float = TEMPER, sweeps: int = SWEEPS, budget: float | None = None) -> DataFrame:
     """The columns ``keep`` with topic, n_tokens, weight (tokens wanted per token there is), probability and selected."""
     text = F.coalesce("text", F.lit(""))
     kept = F.struct(*keep).alias("kept")
@@ -79,9 +97,14 @@ def mix(docs: DataFrame, keep: list[str], targets: dict[str, DataFrame] | None =
     wanted = cells.filter("tokens > 0")
     raked = rake(wanted, targets or {d: tempered(wanted, d, temper) for d in DIMENSIONS}, sweeps)
     total = wanted.agg(F.sum("tokens").alias("total"))
-    weights = raked.join(F.broadcast(total)).select(*DIMENSIONS, (F.col("raked") * F.col("total") / F.col("tokens")).alias("weight"))
-    most = weights.agg(F.max("weight").alias("most"))
-    weights = spill(weights.join(F.broadcast(most)).select(*DIMENSIONS, F.round("weight", 9).alias("weight"), F.round(F.col("weight") / F.col("most"), 9).alias("probability")), "mixing-weights")
+    weights = raked.join(F.broadcast(total)).select(*DIMENSIONS, "tokens", (F.col("raked") * F.col("total") / F.col("tokens")).alias("weight"))
+    if budget is None:
+        weights = weights.join(F.broadcast(weights.agg(F.max("weight").alias("most"))))
+        rate = F.col("weight") / F.col("most")
+    else:
+        weights = spill(weights, "mixing-cells")
+        rate = F.least(F.lit(1.0), F.col("weight") * budget_factor(weights, budget))
+    weights = spill(weights.select(*DIMENSIONS, F.round("weight", 9).alias("weight"), F.round(rate, 9).alias("probability")), "mixing-weights")
     found = rows.join(weights, list(DIMENSIONS), "left")
     probability = F.coalesce("probability", F.lit(1.0))
     return found.select("kept.*", F.col("topic"), "n_tokens", F.coalesce("weight", F.lit(1.0)).alias("weight"), probability.alias("probability"), (F.col("draw") < probability).alias("selected"))

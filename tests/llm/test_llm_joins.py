@@ -152,6 +152,24 @@ def test_mixing_edges(spark):
     assert mixing.mix(empty(spark), ["doc_id"]).count() == 0
 
 
+def test_stray_document_leaves_the_budget(spark):
+    r = random.Random(7)
+    rows = [(i, "word " * r.randint(1, 40), r.choice(["en", "en", "fr"]), r.choice("aaab"), 1) for i in range(3000)]
+    stray = (5000, "alone", "xx", "stray", 5)
+    tokens = lambda xs: sum(len(x[1].split()) for x in xs)
+    for docs in (rows, [*rows, stray], [*rows, *[(i, "word " * 40, "en", "a", 1) for i in range(6000, 30000)], stray]):
+        at = frame(spark, docs)
+        kept = corpus_pipeline.mix_sources(spark, at, "").collect()
+        assert abs(tokens((None, x["text"]) for x in kept) / tokens(docs) - corpus_pipeline.BUDGET) < 0.04
+        assert (stray[0] in {x["doc_id"] for x in kept}) == (stray in docs)
+        got = mixing.mix(at, ["doc_id"], budget=0.6).toPandas()
+        assert abs((got.probability * got.n_tokens).sum() / got.n_tokens.sum() - 0.6) < 1e-6
+        open_ = got[got.probability < 1]
+        assert np.ptp(open_.probability / open_.weight) < 1e-6 and (got[got.probability == 1].weight >= open_.weight.max()).all()
+    assert mixing.mix(at, ["doc_id"], budget=1.0).filter("selected").count() == len(docs)
+    assert mixing.mix(empty(spark), ["doc_id"], budget=0.6).count() == 0
+
+
 def word_set(text, width=5):
     w = (text or "").encode().lower().split()
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
