@@ -8,9 +8,14 @@ similarity.  A text without words has the fingerprint of all ones, like
 only to others of the kind.
 
 ``near_copies`` joins signature bands in Spark: equal fingerprints first
-become one row, each band bucket then pairs its rows with two pivots (never
-with each other), and pairs are kept if the exact Jaccard similarity of
-their shingle sets reaches the threshold.
+become one row, each band bucket then pairs its rows with two pivots, and
+pairs are kept if the exact Jaccard similarity of their shingle sets reaches
+the threshold.  Buckets that still touch several components of the kept
+pairs go on, first with another pivot, then with all pairs of different
+components that the size bound and the triangle inequality for Jaccard
+distances (to the two pivots) leave.  Pairs inside a component are not
+formed, so a large group of copies costs a few checks per copy; the
+components are those of all similar pairs that share a band.
 
 ``edits`` compares each document with an edited text and with the next
 document in descending doc_id order (after the last: the first).  Documents
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, spill, text_slices
 from ledgerlens.llm.hashing import U, shingles
+from ledgerlens.llm.jaccard_join import components
 
 PERMUTATIONS = 128
 BANDS = 32
@@ -178,7 +184,7 @@ def edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def near_copies(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """Documents with the class of their fingerprint, and verified pairs of classes.
 
-    First: doc_id, class_id (the least doc_id with that fingerprint); second: a, b (class ids, a < b), jaccard (exact).
+    First: doc_id, class_id (the least doc_id with that fingerprint); second: a, b (class ids, a < b), jaccard (exact), enough to link all similar classes that share a band.
     """
     docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     marked = spill(fingerprints(docs), "fingerprints")
@@ -189,9 +195,8 @@ def near_copies(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFram
     worded = least.filter(F.col("fingerprint") != "f" * 4 * PERMUTATIONS)
     buckets = worded.select("class_id", band.alias("b")).select("class_id", "b.band", "b.value")
     pivots = buckets.groupBy("band", "value").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).filter("low < high")
-    pairs = buckets.join(pivots, ["band", "value"]).select("class_id", F.explode(F.array("low", "high")).alias("other")).filter("class_id != other")
-    pairs = spill(pairs.select(F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")).distinct(), "band-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    shared = spill(buckets.join(pivots, ["band", "value"]).select("band", "value", "class_id", "low", "high"), "band-buckets")
+    wanted = shared.select(F.col("class_id").alias("doc_id")).distinct()
     schema = pa.schema([("doc_id", pa.int64()), ("words", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +205,43 @@ def near_copies(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFram
             yield arrow_rows(schema, [column(part, "doc_id"), [np.unique(x).view(np.int64) for x in np.split(h, np.cumsum(counts)[:-1])]])
 
     shingled = spill(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, words array<long>"), "shingles")
-    both = pairs.join(shingled.toDF("a", "x"), "a").join(shingled.toDF("b", "y"), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    both = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y") - common).alias("all"))
-    return members, both.filter(F.col("n") * 100 >= F.col("all") * percent).select("a", "b", (F.col("n") / F.col("all")).alias("jaccard"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """(a, b, n, all): exact sizes of the intersection and the union."""
+        both = pairs.join(shingled.toDF("a", "x"), "a").join(shingled.toDF("b", "y"), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return spill(both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y") - common).alias("all")), "band-pairs")
+
+    ordered = (F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b"))
+    similar = F.col("n") * 100 >= F.col("all") * percent
+    first = shared.select("class_id", F.explode(F.array("low", "high")).alias("other")).filter("class_id != other")
+    checked = to_pivots = compared(first.select(*ordered).distinct())
+    links = checked.filter(similar)
+    for number in (1, 2):
+        named = components(links.select(F.col("a").alias("s"), F.col("b").alias("pivot"))).toDF("class_id", "comp")
+        labelled = shared.join(named, "class_id", "left").withColumn("comp", F.coalesce("comp", "class_id"))
+        rank = F.struct(F.xxhash64("class_id", "band"), "class_id")  # another pivot in every band
+        several = labelled.groupBy("band", "value").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.min_by(F.struct("class_id", "comp"), rank).alias("pivot")).filter("least != most")
+        open_ = labelled.join(several.select("band", "value", "pivot"), ["band", "value"])
+        if number == 1:
+            pairs = open_.filter("comp != pivot.comp").select("class_id", F.col("pivot.class_id").alias("other")).select(*ordered)
+        else:
+            pairs = _open_pairs(open_, to_pivots, shingled, percent)
+        more = compared(pairs.distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"))
+        checked, links = checked.union(more), links.union(more.filter(similar))
+    return members, links.select("a", "b", (F.col("n") / F.col("all")).alias("jaccard"))
+
+
+def _open_pairs(open_: DataFrame, to_pivots: DataFrame, shingled: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all members of a bucket in different components, but those that the sizes or the distances to the bucket's two pivots rule out."""
+    distance = 1 - F.col("n") / F.col("all")
+    rows = open_.select("band", "value", "class_id", "comp", "low", "high").join(shingled.select(F.col("doc_id").alias("class_id"), F.size("words").alias("size")), "class_id")
+    rows = rows.join(to_pivots.select(F.col("a").alias("low"), F.col("b").alias("class_id"), distance.alias("d_low")), ["low", "class_id"], "left")
+    rows = rows.join(to_pivots.select(F.col("b").alias("high"), F.col("a").alias("class_id"), distance.alias("d_high")), ["high", "class_id"], "left")
+    rows = spill(rows.select("band", "value", "class_id", "comp", "size", *(F.coalesce(d, F.lit(0.0)).alias(d) for d in ("d_low", "d_high"))), "open-buckets")  # only a pivot has no distance to itself
+    x, y = (rows.toDF("band", "value", *(f"{c}_{side}" for c in rows.columns[2:])) for side in "xy")
+    far = 1 - percent / 100 + 1e-9
+    near = (F.abs(F.col("d_low_x") - F.col("d_low_y")) <= far) & (F.abs(F.col("d_high_x") - F.col("d_high_y")) <= far)
+    fits = 100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")
+    both = x.join(y, ["band", "value"]).filter((F.col("class_id_x") < F.col("class_id_y")) & (F.col("comp_x") != F.col("comp_y")) & fits & near)
+    return both.select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"))

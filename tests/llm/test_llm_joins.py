@@ -282,6 +282,25 @@ def test_band_join_finds_near_copies(spark):
         assert abs(jaccard(sets[p["a"]], sets[p["b"]]) - p["jaccard"]) < 1e-9 and p["jaccard"] >= 0.75
 
 
+def test_band_join_misses_no_link(spark):
+    """Pairs that share bands only where many unlike documents of one template do."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice(string.ascii_lowercase) for _ in range(6))
+    template, texts = [word() for _ in range(104)], []
+    for _ in range(40):  # alike by 105 of 139 shingles, otherwise by 100 of 144
+        own = [word() for _ in range(5)]
+        texts += [" ".join(template + own + [word() for _ in range(17)]) for _ in range(2)]
+    order = r.sample(range(len(texts)), len(texts))
+    rows = [(i, t, "en", "a", 1) for i, t in zip(order, texts)]
+    members, pairs = fingerprints.near_copies(frame(spark, rows))
+    assert all(x["doc_id"] == x["class_id"] for x in members.collect())
+    bands = dict(zip(order, fingerprints.signatures(texts).reshape(len(texts), fingerprints.BANDS, -1)))
+    sets = {i: word_set(t) for i, t, *_ in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.75 and (bands[a] == bands[b]).all(axis=1).any()}
+    assert len(want) > 30
+    assert {(x["a"], x["b"]) for x in pairs.collect()} == want  # components of two: links are all pairs
+
+
 def test_oracles_match(spark, sf_dir, duck_con):
     for key, sql in ORACLE.items():
         problems, _ = compare(QUERIES[key](spark, sf_dir), duck_con, sql)
