@@ -1,10 +1,12 @@
 """Training-data pipeline over ``documents``.
 
 Stages, each on what its predecessor kept: toxic documents go; of each
-group of similar documents the one with the smallest id stays; secrets are
-replaced by a mark; documents are sampled to the target mix, ``BUDGET`` of
-the tokens, with rare cells whole; what remains is tokenised, cut and packed into sequences.  All stages but the last
-return the columns of documents, n_chars counted anew where a text changed.
+group of similar documents the one with the smallest id stays (rows are
+judged each, whether they share an id or have none); secrets are replaced by
+a mark; documents are sampled to the target mix, ``BUDGET`` of the tokens,
+with rare cells whole; what remains is tokenised, cut and packed into
+sequences.  All stages but the last return the columns of documents, n_chars
+counted anew where a text changed.
 """
 
 from __future__ import annotations
@@ -25,15 +27,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A group keeps its smallest doc_id, and one row of those that share it; rows without doc_id stay."""
-    classes, _ = jaccard_join.join_similar(docs)
-    leavers = classes.filter("doc_id != component_id").select("doc_id").distinct()
-    rest = docs.join(leavers, "doc_id", "left_anti").select(COLUMNS)
-    named = rest.filter("doc_id is not null").withColumn("row", F.struct("text", "lang", "source", "n_chars"))
-    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    once = named.join(repeated, "doc_id", "left_anti").select(COLUMNS)
-    first = named.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*").select(COLUMNS)
-    return once.unionByName(first).unionByName(rest.filter("doc_id is null"))
+    """A group keeps its row of smallest doc_id, one without doc_id only if no other is there; rows without words stay, repeated ones once."""
+    rows = spill(docs.select(F.monotonically_increasing_id().alias("key"), *COLUMNS), "keyed-documents")
+    classes, _ = jaccard_join.join_similar(rows, doc_id="key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "lang", "source", "n_chars", "key").alias("row")
+    named = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256)).select("key", "doc_id", "digest", order)
+    worded = F.col("n_shingles") > 0
+    group = (F.when(worded, F.col("component_id")).alias("c"), F.when(~worded, F.col("doc_id")).alias("i"), F.when(~worded, F.col("digest")).alias("d"))
+    first = named.join(classes.withColumnRenamed("doc_id", "key"), "key").groupBy(worded, *group).agg(F.min("row").alias("row")).select("row.key")
+    return rows.join(first, "key", "left_semi").select(COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

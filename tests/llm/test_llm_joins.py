@@ -307,6 +307,19 @@ def test_oracles_match(spark, sf_dir, duck_con):
         assert not problems, (key, problems)
 
 
+def test_near_duplicates_leave_by_row(spark):
+    """Ids that unlike texts share, and rows without an id."""
+    r = random.Random(3)
+    text = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(40))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    stay = [(1, a), (2, b), (2, c), (3, d), (None, e), (None, f), (4, None), (5, None), (5, " "), (None, "")]
+    leave = [(2, a + " x"), (9, b), (3, d), (None, a), (None, c + " x"), (None, e), (5, None), (None, "")]
+    rows = [(i, t, "en", "a", 1) for i, t in stay + leave]
+    r.shuffle(rows)
+    got = [(x["doc_id"], x["text"]) for x in corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), "").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, stay))
+
+
 def test_pipeline_stages(spark, tmp_path):
     from test_llm_models import toxic_rows
 
