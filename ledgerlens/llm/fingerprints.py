@@ -103,12 +103,20 @@ _SENT = pa.schema([("shard", pa.int32()), ("guest", pa.bool_()), ("doc_id", pa.i
 def _neighbours(docs: DataFrame) -> DataFrame:
     """Compressed texts in ranges of ids, each with the documents of the border id below it, in descending order."""
     spark = docs.sparkSession
-    chars, last = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.max("doc_id")).first()
+    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    borders = docs.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards))
-    borders = np.unique(np.array(borders, np.float64).astype(np.int64))
-    if last is not None:
-        borders = np.append(borders[borders < last], last)
+    rough = docs.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards))
+    rough = np.unique(np.array([int(x) for x in rough if x < 2.0**63], np.int64))  # by way of doubles: above 2^53 not always ids
+
+    def greatest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.sort(np.asarray(column(batch, "doc_id")))
+            at = np.searchsorted(rough, ids, side="left")
+            last = np.flatnonzero(np.append(at[1:] != at[:-1], True)) if len(ids) else []
+            yield pa.RecordBatch.from_pydict({"at": pa.array(at[last], pa.int64()), "top": pa.array(ids[last], pa.int64())})
+
+    tops = docs.select("doc_id").filter("doc_id is not null").mapInArrow(greatest, "at long, top long").groupBy("at").agg(F.max("top").alias("top"))
+    borders = np.array(sorted(r["top"] for r in tops.collect()), np.int64)  # an id for each range
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=1)

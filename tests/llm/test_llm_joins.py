@@ -195,6 +195,18 @@ def test_edits_equal_brute_force(spark):
         assert abs(got[i]["near_next"] - jaccard(word_set(t), word_set(after))) < 0.2
 
 
+def test_edits_of_ids_that_doubles_round(spark):
+    r = random.Random(12)
+    ids = sorted((r.choice([1, -1]) * ((1 << 62) + r.randrange(1 << 61)) for _ in range(300)), reverse=True) + [-(1 << 63)]
+    ids = [(1 << 63) - 1, (1 << 63) - 2, *ids]
+    rows = [(i, " ".join(f"w{r.randrange(50)}" for _ in range(30)), "en", "a", 1) for i in ids]
+    got = {x["doc_id"]: x for x in fingerprints.edits(frame(spark, rows)).collect()}
+    for k, (i, t, *_) in enumerate(rows):
+        m = len(t) // 3
+        assert got[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - m] + rows[(k + 1) % len(rows)][1][:m]).encode()).hexdigest()
+        assert got[i]["near_next"] is not None
+
+
 def test_fingerprint_edges(spark):
     got = fingerprints.edits(frame(spark, edge_rows())).collect()
     assert len(got) == len(edge_rows())
