@@ -159,7 +159,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, value=lambda x: x, vec_
                     found, scores = found[top], scores[top]
                     if len(top) == k:
                         bound = max(bound, float(scores[-1]))
-                keep = scores >= least[i]
+                keep = scores >= least[i] - SLACK * sizes[i] * lengths.max()  # the seed's products may be rounded otherwise
                 if keep.any():
                     out.append((np.full(keep.sum(), q_ids[i]), found[keep], scores[keep]))
             if out:

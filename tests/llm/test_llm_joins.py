@@ -112,6 +112,16 @@ def test_topk_equals_brute_force(spark, monkeypatch):
     assert topk_search.search(df.limit(0), F.col("vec_id") == 0, 5).count() == 0
 
 
+def test_topk_of_doubles_is_whole(spark):
+    """All rows are seeds, so each bound is a result's own score, maybe rounded otherwise."""
+    g = np.random.default_rng(15)
+    rows = [(i, g.normal(size=61).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = topk_search.search(df, F.col("vec_id") >= 0, 5).collect()
+    want = brute_topk(rows, lambda i: True, 5)
+    assert sorted((x["query_id"], x["rank"], x["vec_id"]) for x in got) == [(a, b, c) for a, b, c, _ in want]
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     g = np.random.default_rng(3)
     for _ in range(200):
