@@ -8,6 +8,7 @@ the same file again.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -96,3 +97,20 @@ def slices_of(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
     data, width = values.tobytes(), values.itemsize
     starts = np.concatenate([[0], ends[:-1]])
     return [data[a * width : b * width] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def bitmap(df: DataFrame, key: str, most_bits: int) -> np.ndarray:
+    """A set of the low bits of the long column ``key`` as a bitmap: 32 places a row, but 2^``most_bits`` at most."""
+    bits = min(most_bits, max(15, math.ceil(math.log2(32 * df.count() + 1))))
+    place = F.pmod(F.col(key), F.lit(1 << bits)) + 1  # the functions count from one
+    rows = df.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("part"))
+    out = np.zeros((max(1, (1 << bits) >> 15), 4096), np.uint8)
+    for r in rows.collect():  # at most 2^most_bits bits
+        out[r["bucket"] - 1] = np.frombuffer(r["part"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(keys: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Which of the keys may be in the set."""
+    place = keys.view(np.int64) & np.int64(8 * len(there) - 1)
+    return (there[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
