@@ -28,11 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spill(df: DataFrame, name: str) -> DataFrame:
+def spill(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: later reads don't recompute it."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -114,3 +114,16 @@ def in_bitmap(keys: np.ndarray, there: np.ndarray) -> np.ndarray:
     """Which of the keys may be in the set."""
     place = keys.view(np.int64) & np.int64(8 * len(there) - 1)
     return (there[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def dealt_in_pairs(rows: DataFrame, group: list[str], member: str, most: int) -> DataFrame:
+    """``rows`` with lo, hi and side, so that any two of a group meet where these agree, and groups of more than ``most`` rows are dealt over many places.
+
+    Where lo = hi all pairs count, elsewhere those of different sides.  A row stands as often as its group has parts.
+    """
+    sizes = rows.groupBy(*group).count().filter(F.col("count") > most)
+    large = spill(sizes.select(*group, F.ceil(F.col("count") / most).cast("int").alias("parts")), "large-groups")
+    slot = F.pmod(F.xxhash64(member, F.lit(1)), F.col("parts")).cast("int")
+    split = rows.join(large, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("slot", slot)
+    split = split.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return split.select(*rows.columns, F.least("slot", "k").alias("lo"), F.greatest("slot", "k").alias("hi"), (F.col("slot") > F.col("k")).alias("side"))

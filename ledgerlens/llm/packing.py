@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, spill, text_slices
-from ledgerlens.llm.tokenise import chunk_table
+from ledgerlens.llm.tokenise import encoder
 
 SLICE_CHARS = 2_000_000
 BLOCK_PIECES = 2048
@@ -53,25 +53,19 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, split: s
     """Pieces of at most ``capacity`` ids: only longer documents are cut, and the first piece takes the remainder."""
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    table, _ = chunk_table(docs.select("text"), tokenizer, split)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = table.reader()
+        enc = encoder(tokenizer, split)
         end = np.array([end_id], "<u4").tobytes()
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
-            ids, counts = reader.encode(texts)
-            data, at = memoryview(ids.astype("<u4").tobytes()), 0
             out: list[tuple] = []
-            for key, n in zip(column(part, "doc_id").to_pylist(), (counts + 1).tolist(), strict=True):
+            for key, ids in zip(column(part, "doc_id").to_pylist(), enc.encode(texts), strict=True):
+                data = memoryview(np.frombuffer(ids, enc.dtype).astype("<u4").tobytes() + end)
+                n = len(data) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
-                for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    crc = zlib.crc32(data[4 * (at + a) : 4 * (at + b - (b == n))])
-                    out.append((key, i, a, b - a, zlib.crc32(end, crc) if b == n else crc))
-                at += n - 1
+                out += [(key, i, a, b - a, zlib.crc32(data[4 * a : 4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
             yield arrow_rows(schema, list(zip(*out, strict=True)))
 
-    return docs.mapInArrow(run, PIECE)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECE)
 
 
 class Bins:

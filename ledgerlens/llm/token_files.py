@@ -17,9 +17,15 @@ A segment file holds the documents of one range of ids, ascending:
 ``ranks.u32`` beside them holds the id of each number.  Ids before a
 segment are in the manifest, a table of the segments.
 
+Texts are encoded once, in one pass whose ids are written compressed to the
+shared folder with the counts of ids; the numbers follow from the counts,
+and a second pass codes and sorts the documents.  A doc_id that many rows
+share is spread over as many ranges as it fills.
+
 Nulls: a null text is empty, a null doc_id sorts first.  Repeated rows are
-documents of their own, equal doc_ids in the order of their coded bytes.
-An empty table gives no segment.  Extra columns are not read.
+documents of their own, equal doc_ids in the order of a hash of their ids,
+then of their coded bytes.  An empty table gives no segment.  Extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -30,11 +36,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, filesystem, spill, text_slices, write_file
-from ledgerlens.llm.tokenise import chunk_table
+from ledgerlens.llm.tokenise import encoder
 from ledgerlens.session import shared_dir
 
 MAGIC = b"TOKSEG01"
@@ -107,14 +114,34 @@ class TokenFiles:
     manifest: DataFrame  # file, base (ids before it), n_docs, n_tokens
 
 
+def encoded(docs: DataFrame, tokenizer: str, split: str) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, n, ids (binary) of whole texts, written to the shared folder, and how often each id occurs."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer, split)
+        total = np.zeros(enc.vocabulary, np.int64)
+        for part, texts in text_slices(batches, "text", SLICE_CHARS):
+            ids = enc.encode(texts)
+            total += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=enc.vocabulary)
+            yield arrow_rows(schema, [column(part, "doc_id"), [len(x) // enc.dtype.itemsize for x in ids], ids])
+        seen = np.flatnonzero(total)
+        yield arrow_rows(schema, [seen, total[seen], pa.nulls(len(seen), pa.binary())])  # ids null: the count of an id
+
+    rows = spill(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary"), "token-ids", compression="zstd")
+    counted = rows.filter("ids is null").groupBy("doc_id").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
+    return rows.filter("ids is not null"), {r["doc_id"]: r["n"] for r in counted}
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str = "whole", doc_id: str = "doc_id", text: str = "text") -> TokenFiles:
     """Encode whole texts and write them as segment files in ascending doc_id order."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    table, counts = chunk_table(docs.select("text"), tokenizer, split)
-    seen = np.zeros(max(len(counts), end_id + 1), np.int64)
-    seen[: len(counts)] = counts
-    seen[end_id] += docs.count()
+    rows, counts = encoded(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), tokenizer, split)
+    dtype = encoder(tokenizer, split).dtype
+    seen = np.zeros(max([*counts, end_id]) + 1, np.int64)
+    for k, n in counts.items():
+        seen[k] = n
+    seen[end_id] += rows.count()
     of_rank = np.lexsort((np.arange(len(seen)), -seen)).astype(np.uint32)
     rank_of = np.empty(len(seen), np.uint32)
     rank_of[of_rank] = np.arange(len(seen), dtype=np.uint32)
@@ -122,23 +149,35 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
     write_file(folder, "ranks.u32", [of_rank.astype("<u4").tobytes()])
 
     shards = max(int(seen.sum()) // SHARD_TOKENS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    borders = docs.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards))
-    borders = np.unique(np.array(borders, np.float64)).astype(np.int64)
-    coded = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
+    borders = rows.approxQuantile("doc_id", [(i + 1) / shards for i in range(shards - 1)], min(0.01, 0.25 / shards))
+    borders = np.array(sorted(int(x) for x in borders if x < 2.0**63), np.int64)  # an id stands here as often as it fills ranges
+    coded = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("mixed", pa.int64()), ("n_tokens", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = table.reader()
-        for part, texts in text_slices(batches, "text", SLICE_CHARS):
-            ids, n = reader.encode(texts)
-            ends = np.cumsum(n + 1)
-            real = np.ones(int(ends[-1]), bool)
-            real[ends - 1] = False
-            ranks = np.full(len(real), rank_of[end_id], np.uint32)
-            ranks[real] = rank_of[ids]
-            control, data = pack(ranks, n + 1)
-            key = column(part, "doc_id")
-            shard = np.searchsorted(borders, np.asarray(pa.compute.fill_null(key, np.iinfo(np.int64).min)), side="left")
-            yield arrow_rows(coded, [shard.astype(np.int32), key, n + 1, control, data])
+        for batch in batches:
+            found = column(batch, "ids")
+            sizes = np.cumsum(np.asarray(pa.compute.binary_length(found)))
+            at = 0
+            while at < batch.num_rows:
+                done = sizes[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(sizes, done + dtype.itemsize * READ_TOKENS, side="right")))
+                part = batch.slice(at, end - at)
+                data = column(part, "ids").to_pylist()
+                n = np.asarray(column(part, "n"))
+                ends = np.cumsum(n + 1)
+                real = np.ones(int(ends[-1]), bool)
+                real[ends - 1] = False
+                ranks = np.full(len(real), rank_of[end_id], np.uint32)
+                ranks[real] = rank_of[np.frombuffer(b"".join(data), dtype)]
+                control, numbers = pack(ranks, n + 1)
+                key = column(part, "doc_id")
+                whole = np.asarray(pa.compute.fill_null(key, np.iinfo(np.int64).min))
+                mixed = np.fromiter((xxhash.xxh3_64_intdigest(x) >> 1 for x in data), np.int64, len(data))
+                low, high = (np.searchsorted(borders, whole, side=side) for side in ("left", "right"))
+                own = np.maximum(high - low, 1)  # ranges of this id; its rows are in the order of their hashes
+                shard = low + np.minimum((mixed / 2.0**63 * own).astype(np.int64), own - 1)
+                yield arrow_rows(coded, [shard.astype(np.int32), key, mixed, n + 1, control, numbers])
+                at = end
 
     files = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -167,8 +206,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
         if held:
             yield flush()
 
-    by_range = docs.mapInArrow(code, "shard int, doc_id long, n_tokens long, control binary, data binary")
-    by_range = by_range.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "control", "data")
+    by_range = rows.mapInArrow(code, "shard int, doc_id long, mixed long, n_tokens long, control binary, data binary")
+    by_range = by_range.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "mixed", "n_tokens", "control", "data")
     written = spill(by_range.mapInArrow(write, "shard int, segment int, file string, n_docs long, n_tokens long"), "token-manifest")
     before = Window.orderBy("shard", "segment").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     manifest = written.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("base"), "n_docs", "n_tokens")

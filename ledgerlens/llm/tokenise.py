@@ -1,46 +1,37 @@
-"""Ids of whole texts by a public tokenizer file, each distinct chunk of the corpus encoded once.
-
-Both tokenizers of the queries decide token borders at spaces: one drops
-white space, the other puts a single space before the word that follows it.
-A text cut at single spaces between two other characters therefore gives
-the same ids as the whole text.  Its chunks (words with their punctuation)
-repeat so often that Spark first gathers the corpus' distinct chunks with
-their counts, in shards by hash; a shard task encodes its chunks with the
-tokenizer and writes their ids as a file of sorted hashes.  Tasks that need
-ids map these files into memory.  Chunks whose 64-bit hashes collide stay
-out of the files and are encoded where they occur.  ``split="whole"``
-encodes texts uncut, for tokenizers without that property.
+"""Ids of whole texts by a public tokenizer file.
+
+Both tokenizers of the queries first cut a text by a pattern and then
+encode every piece by itself.  For texts within Latin-1 the patterns are
+written out here, and a worker keeps the ids of the pieces it has met: a
+text is cut, and its pieces are looked up; only new ones go to the
+tokenizer's model.  Other texts, and those with the name of a special
+token, go through the whole tokenizer.  What workers keep is bounded, and
+ids don't depend on it.  ``split`` says which pattern a file has:
+
+* "drop": lower-cased words, single digits and runs of marks; white space
+  gives no ids;
+* "lead": words, numbers and runs of marks, each with the space before it;
+* "whole": any other, encoded by the tokenizer as it is.
 """
 
 from __future__ import annotations
 
-import math
 import os
 import re
-import tempfile
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from array import array
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-import zstandard
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ledgerlens.llm.common import arrow_rows, column, filesystem, text_slices, uri, write_file
-from ledgerlens.session import shared_dir
 
-END = "<|endoftext|>"
-SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-SPACES = [chr(i) for i in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
-GROUP = 32
-SLICE_CHARS = 4_000_000
-HELD_CHUNKS = 300_000  # counted before they are sent on
-SHARD_CHARS = 8_000_000
-HASHES_KEPT = 300_000  # of a worker's memory; results don't depend on it
-U = np.uint64
+# The Latin-1 part of the two pre-tokenizers' patterns.
+_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACE = "\t-\r \x85\xa0"
+PATTERNS = {
+    "drop": re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}{_LETTER}{_NUMBER}]+"),
+    "lead": re.compile(f" ?[{_LETTER}]+| ?[{_NUMBER}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"),
+}
+SPECIAL = "<|"
+PIECES_KEPT = 500_000  # of a worker's memory: met last, and as many before them
 
 
 def tokenizer_file(name: str) -> str:
@@ -52,238 +43,60 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """split: "drop" (spaces give no ids), "lead" (a space belongs to the word after it) or "whole"."""
+class Pieces(dict):
+    """The ids of pieces, made when they are first asked for."""
 
+    def __init__(self, model, code: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.model, self.code, self.before = model, code, {}
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= PIECES_KEPT:
+            self.before = dict(self)
+            self.clear()
+        found = self.before.get(piece)
+        if found is None:
+            found = array(self.code, [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+        self[piece] = found
+        return found
+
+
+class Encoder:
     def __init__(self, name: str, split: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
-        self.end = self.tokenizer.token_to_id(END)
-        self.split = split if self.end is not None else "whole"
+        self.split = split
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.pieces = Pieces(self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I")
 
-    def chunks(self, text: str) -> list[str]:
-        if self.split == "drop":
-            return text.split(" ")
-        odd = text[:1] == " " or text[-1:] == " " or any(s in text and (s + " " in text or " " + s in text) for s in SPACES)
-        parts = SINGLE_SPACE.split(text) if odd else text.split(" ")
-        return parts[:1] + [" " + x for x in parts[1:]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        """Many chunks at a time, the end mark between them: the tokenizer cuts it out before anything else."""
-        plain = [k for k, x in enumerate(chunks) if END not in x]
-        out: list = [None] * len(chunks)
-        groups = [plain[i : i + GROUP] for i in range(0, len(plain), GROUP)]
-        for at in range(0, len(groups), 512):
-            some = groups[at : at + 512]
-            joined = [END.join([*(chunks[k] for k in g), ""]) for g in some]
-            for g, x in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-                ids = np.array(x.ids, self.dtype)
-                a = 0
-                for k, b in zip(g, np.flatnonzero(ids == self.end).tolist(), strict=True):
-                    out[k] = ids[a:b]
-                    a = b + 1
-        for k in set(range(len(chunks))).difference(plain):
-            out[k] = self.encode([chunks[k]])[0]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each whole text, as ``dtype``."""
+        out: list = [None] * len(texts)
+        other = []
+        of, cut = self.pieces.__getitem__, PATTERNS.get(self.split)
+        for i, x in enumerate(texts):
+            if cut is None or SPECIAL in x or not x.isascii() and max(x) > "\xff":
+                other.append(i)
+            else:
+                out[i] = b"".join(map(of, cut.findall(x.lower() if self.split == "drop" else x)))
+        for i, found in zip(other, self.tokenizer.encode_batch_fast([texts[i] for i in other], add_special_tokens=False), strict=True):
+            out[i] = np.array(found.ids, self.dtype).tobytes()
         return out
 
 
-class Hashes(dict):
-    def __missing__(self, chunk: str) -> int:
-        if len(self) > HASHES_KEPT:
-            self.clear()
-        found = self[chunk] = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"))
-        return found
-
-
-_HASHES = Hashes()
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
-_READERS: dict[str, "Reader"] = {}
 
 
 def encoder(name: str, split: str) -> Encoder:
     """This process's: a tokenizer file takes a second to read and tens of MB to hold."""
     if (name, split) not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[name, split] = Encoder(name, split)
     return _ENCODERS[name, split]
-
-
-@dataclass(frozen=True)
-class ChunkTable:
-    """Where the ids of a corpus' chunks are."""
-
-    tokenizer: str
-    split: str
-    folder: str
-    bits: int
-
-    def reader(self) -> "Reader":
-        """This worker's."""
-        if self.folder not in _READERS:
-            _READERS.clear()
-            _READERS[self.folder] = Reader(self)
-        return _READERS[self.folder]
-
-
-_CHUNKS = pa.schema([("shard", pa.int32()), ("data", pa.binary())])
-_COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
-
-
-def _pack(chunks: list[bytes], counts: list[int]) -> bytes:
-    head = np.array([len(chunks)], "<u8").tobytes() + np.array([len(x) for x in chunks], "<u4").tobytes() + np.array(counts, "<u8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(chunks))
-
-
-def _unpack(data: bytes) -> Iterator[tuple[bytes, int]]:
-    data = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(data, "<u8", 1)[0])
-    ends = 8 + 12 * n + np.cumsum(np.frombuffer(data, "<u4", n, 8).astype(np.int64))
-    a = 8 + 12 * n
-    for b, c in zip(ends.tolist(), np.frombuffer(data, "<u8", n, 8 + 4 * n).tolist(), strict=True):
-        yield data[a:b], c
-        a = b
-
-
-def chunk_table(texts: DataFrame, tokenizer: str, split: str) -> tuple[ChunkTable, np.ndarray]:
-    """The table over a column ``text``, and how often the corpus has each id."""
-    spark = texts.sparkSession
-    folder = shared_dir(spark, "chunk-ids")
-    chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bits = min(12, math.ceil(math.log2(shards)))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, split)
-        held: Counter[str] = Counter()
-        for _, part in text_slices(batches, "text", SLICE_CHARS):
-            if enc.split == "whole":
-                total = sum((np.bincount(x, minlength=enc.vocabulary) for x in enc.encode(part)), np.zeros(enc.vocabulary, np.int64))
-                yield arrow_rows(_CHUNKS, [[-1], [total.astype("<i8").tobytes()]])
-                continue
-            for x in part:
-                held.update(enc.chunks(x))
-                if len(held) > HELD_CHUNKS:
-                    yield send(held)
-                    held = Counter()
-        if held:
-            yield send(held)
-
-    def send(held: Counter) -> pa.RecordBatch:
-        chunks = list(held)
-        shard = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in chunks), U, len(chunks)) >> U(63 - bits) >> U(1)
-        order = np.argsort(shard, kind="stable")
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(shard[order])) + 1, [len(chunks)]]).tolist()
-        out = [[chunks[i] for i in order[a:b].tolist()] for a, b in zip(edges, edges[1:], strict=False)]
-        return arrow_rows(_CHUNKS, [shard[order][edges[:-1]].astype(np.int32), [_pack([x.encode("utf-8", "surrogatepass") for x in part], [held[x] for x in part]) for part in out]])
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, split)
-        total = np.zeros(enc.vocabulary, np.int64)
-        held: dict[int, Counter] = {}
-        for batch in batches:  # sorted by shard
-            for shard, data in zip(column(batch, "shard").to_pylist(), column(batch, "data").to_pylist(), strict=True):
-                if shard < 0:
-                    total += np.frombuffer(data, "<i8")
-                    continue
-                if held and shard not in held:
-                    finish(enc, total, *held.popitem())
-                counts = held.setdefault(shard, Counter())
-                for chunk, n in _unpack(data):
-                    counts[chunk] += n
-        if held:
-            finish(enc, total, *held.popitem())
-        seen = np.flatnonzero(total)
-        yield arrow_rows(_COUNTS, [seen, total[seen]])
-
-    def finish(enc: Encoder, total: np.ndarray, shard: int, counts: Counter) -> None:
-        chunks = list(counts)
-        ids = enc.encode_chunks([x.decode("utf-8", "surrogatepass") for x in chunks])
-        sizes = np.array([len(x) for x in ids], np.int64)
-        total += np.bincount(np.concatenate(ids), np.repeat(np.array([counts[x] for x in chunks], np.float64), sizes), len(total)).astype(np.int64)
-        key = np.fromiter(map(xxhash.xxh3_64_intdigest, chunks), U, len(chunks))
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        twice = np.zeros(len(key), bool)
-        twice[1:] = key[1:] == key[:-1]
-        twice[:-1] |= twice[1:]
-        order, key = order[~twice], key[~twice]
-        flat = np.concatenate([np.zeros(0, enc.dtype), *(ids[i] for i in order.tolist())])
-        write_file(folder, f"chunks-{shard:05d}", [np.array([len(key)], "<u8").tobytes(), key.tobytes(), np.cumsum(sizes[order]).astype("<u8").tobytes(), flat.astype(enc.dtype).tobytes()])
-
-    sent = texts.select("text").mapInArrow(gather, "shard int, data binary").repartition(1 << bits, "shard").sortWithinPartitions("shard")
-    counted = sent.mapInArrow(encode, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
-    counts = np.zeros(encoder(tokenizer, split).vocabulary, np.int64)
-    for r in counted:
-        counts[r["id"]] = r["n"]
-    return ChunkTable(tokenizer, split, folder, bits), counts
-
-
-class Reader:
-    """A chunk table's files mapped into memory."""
-
-    def __init__(self, table: ChunkTable):
-        self.table, self.encoder, self.files = table, encoder(table.tokenizer, table.split), {}
-        self.dtype = self.encoder.dtype
-
-    def _file(self, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if shard not in self.files:
-            store, base = filesystem(self.table.folder)
-            name, path = f"chunks-{shard:05d}", uri(self.table.folder)
-            if path.startswith("file://"):
-                data = np.memmap(f"{path[7:]}/{name}", np.uint8, "r")
-            else:
-                copy = tempfile.TemporaryFile()
-                with store.open_input_stream(f"{base}/{name}") as f:
-                    while part := f.read(1 << 22):
-                        copy.write(part)
-                copy.flush()
-                data = np.memmap(copy, np.uint8, "r")
-            n = int(data[:8].view("<u8")[0])
-            self.files[shard] = data[8 : 8 + 8 * n].view("<u8"), data[8 + 8 * n : 8 + 16 * n].view("<u8"), data[8 + 16 * n :].view(self.dtype)
-        return self.files[shard]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and how many each has."""
-        if self.encoder.split == "whole":
-            ids = self.encoder.encode(texts)
-            return np.concatenate([np.zeros(0, self.dtype), *ids]), np.array([len(x) for x in ids], np.int64)
-        flat: list[str] = []
-        pieces = np.empty(len(texts), np.int64)
-        for i, x in enumerate(texts):
-            found = self.encoder.chunks(x)
-            pieces[i] = len(found)
-            flat += found
-        key, back = np.unique(np.fromiter(map(_HASHES.__getitem__, flat), U, len(flat)), return_inverse=True)
-        size = np.zeros(len(key), np.int64)
-        start = np.zeros(len(key), np.int64)
-        missing = np.zeros(len(key), bool)
-        pool: list[np.ndarray] = []
-        pooled = 0
-        shard = (key >> U(63 - self.table.bits) >> U(1)).astype(np.int64)
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(key)]]).tolist() if len(key) else [0]
-        for a, b in zip(edges, edges[1:], strict=False):
-            stored, ends, ids = self._file(int(shard[a]))
-            at = np.minimum(np.searchsorted(stored, key[a:b]), max(len(stored) - 1, 0))
-            hit = stored[at] == key[a:b] if len(stored) else np.zeros(b - a, bool)
-            at = at[hit]
-            begin = np.where(at > 0, ends[np.maximum(at, 1) - 1], 0).astype(np.int64)
-            n = ends[at].astype(np.int64) - begin
-            here = np.cumsum(n) - n
-            pool.append(ids[np.repeat(begin - here, n) + np.arange(n.sum())])
-            size[a:b][hit], start[a:b][hit] = n, pooled + here
-            pooled += len(pool[-1])
-            missing[a:b] = ~hit
-        n, at = size[back], start[back]
-        for k in np.flatnonzero(missing[back]).tolist():  # chunks whose hashes collide
-            pool.append(self.encoder.encode_chunks([flat[k]])[0])
-            n[k], at[k] = len(pool[-1]), pooled
-            pooled += len(pool[-1])
-        own = np.concatenate([np.zeros(0, self.dtype), *pool])
-        ids = own[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        return ids, np.add.reduceat(n, np.cumsum(pieces) - pieces) if len(texts) else pieces

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from llm_cases import edge_rows, empty, frame
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import packing, token_files
+from ledgerlens.llm import packing, token_files, tokenise
 from ledgerlens.llm.tokenise import tokenizer_file
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -48,6 +48,40 @@ def test_token_files_hold_all_ids_in_order(spark):
         assert all(crc[r["start"]] == zlib.crc32(r["ids"]) for r in got)
 
 
+def test_whole_latin_texts_are_cut_as_the_tokenizers_do():
+    every = [chr(i) for i in range(1, 256)]
+    texts = ["".join(every) * 2, " ".join(every), "  ".join(every), "\n".join(every), "don't they'LL it's \"'s\" y's 'x '", "a\n\nb c \t d", " a" * 5 + "\u2019s", "x\x1c y\x1f\n\n z \xa0 \xa0q", "12,5\xb2 \xbd", "<|endoftext|>, x <|startoftext|>. <|", "\u0130.a \ufb01,x e\u0301", ""]
+    rnd = np.random.default_rng(3)
+    texts += ["".join(rnd.choice(["a", "Éx", " ", "'", "s", "\n", "4", ",", "\xa0", "!"], 40)) for _ in range(300)]
+    for name, split in ((WORD, "drop"), (BYTE, "lead")):
+        enc = tokenise.Encoder(name, split)
+        want = expected(name, [(i, t) for i, t in enumerate(texts)], 7)
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == [ids[:-1] for _, ids in want]
+
+
+def test_bounded_memory_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(tokenise, "PIECES_KEPT", 3)
+    texts = ["one two three four five one six two", "six five four one", "two seven"] * 3
+    enc = tokenise.Encoder(WORD, "drop")
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == [ids[:-1] for _, ids in expected(WORD, list(enumerate(texts)), 7)]
+    assert len(enc.pieces) <= 3
+
+
+def test_one_id_with_most_rows_fills_many_segments(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_TOKENS", 40)
+    monkeypatch.setattr(token_files, "READ_TOKENS", 30)
+    rows = [(i % 5 if i % 2 else 7, f"word{i} the of", "en", "a", 10) for i in range(200)] + [(7, "the of", "en", "a", 10)] * 5
+    files = token_files.write_token_files(frame(spark, rows), WORD, 1, "drop")
+    shards = {}
+    for x in files.manifest.collect():
+        shards.setdefault(x["file"][:14], []).append(x["n_docs"])
+    assert len(shards) > 12 and max(map(sum, shards.values())) < 60
+    got = sorted(token_files.read_token_files(files).collect(), key=lambda x: x["start"])
+    assert sorted((x["doc_id"], np.frombuffer(x["ids"], "<u4").tolist()) for x in got) == sorted(expected(WORD, rows, 1))
+    assert [x["doc_id"] for x in got] == sorted(x["doc_id"] for x in got)
+    assert [x["start"] for x in got] == [0, *np.cumsum([x["n_tokens"] for x in got])[:-1].tolist()]
+
+
 def test_frequent_ids_take_one_byte(spark):
     files = token_files.write_token_files(frame(spark, [(i, "the of the", "en", "a", 10) for i in range(9)]), WORD, 1, "drop")
     from ledgerlens.llm.common import filesystem
