@@ -7,12 +7,14 @@ Only documents carry labels; the gradient of their log-loss reaches the
 words through the noisy-or, so the model learns which sentences made a
 document toxic, and names them.
 
-Sentences end at ``. ! ?`` and line ends; words are lower-cased runs of
-letters and digits.  The fit uses at most ``max_documents`` labelled
-documents, chosen by a hash of text (a documented bound; whole texts), and
-runs in one task; features in fewer than ``min_documents`` of them are left
-out, and at most ``max_features`` are kept, by document count.  Scores
-cover every text whole and never use ids, sources, languages or labels.
+Sentences end at ``. ! ?`` and line ends; words are lower-cased and end at
+white space and ASCII marks.  The fit uses at most ``max_documents``
+labelled documents, chosen by a hash of the id (a documented bound; whole
+texts), and runs in one task, which keeps numbers of words only; features
+in fewer than ``min_documents`` of them are left out.  Scores cover every
+text whole and never use ids, sources, languages or labels.  A document
+that reaches the cut names the likeliest sentences that make up ``SHARE``
+of its score.
 
 Nulls: a null text is empty; an empty text has one sentence without words
 and gets the model's base probability.  Null labels don't train.  Documents
@@ -24,18 +26,20 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow_rows, column, text_slices
 
 MAX_DOCUMENTS = 8000
-MAX_FEATURES = 60_000
+SHARE = 0.75  # of a document's log(1 - score) that the located sentences make up
 BEGINNINGS = (4, 5, 6, 7, 8)  # characters
 MIN_DOCUMENTS = 4
 SLICE_CHARS = 2_000_000
@@ -47,8 +51,8 @@ SPARSE = 1.5e-4  # pull of a weight to zero
 
 _BREAK = "\x01"
 _SENTENCE = re.compile(r"[^.!?\n\r]+")
-_WORD = re.compile(r"[^\W_]+")
 _MARKS = {i: " " for i in range(128) if not chr(i).isalnum()} | {ord(c): f" {_BREAK} " for c in ".!?\n\r"}
+_MARKS[ord("ς")] = "σ"  # lower() writes a sigma by what follows it, be it the next sentence
 
 
 @dataclass(frozen=True)
@@ -83,55 +87,84 @@ def words(text: str) -> list[str]:
     return text.lower().translate(_MARKS).split()
 
 
-def fit(documents: list[str], labels: np.ndarray, max_features: int = MAX_FEATURES, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> Model:
-    labels = labels.astype(float)
-    if not len(labels) or labels.min() == labels.max():
-        return Model(30.0 if len(labels) and labels.min() else -30.0, {})
-    parts: dict[str, list[str]] = {}
-    bags: list[list[set[str]]] = []  # the words of each sentence
-    seen: dict[str, int] = {}
-    for text in documents:
-        bag: list[set[str]] = [set()]
-        for w in words(text):
+class Bags:
+    """Labelled documents as numbers: which distinct words each sentence has, and which sentences each document."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.sentence_words, self.sizes = array("i"), array("i")  # words of all sentences, how many each has
+        self.sentences, self.labels = array("i"), array("b")  # per document
+
+    def add(self, text: str, label: int) -> None:
+        number, before = self.number, len(self.sizes)
+        bag: set[int] = set()
+        for w in [*words(text), _BREAK]:
             if w == _BREAK:
-                bag.append(set())
+                self.sentence_words.extend(sorted(bag))
+                self.sizes.append(len(bag))
+                bag.clear()
             else:
-                bag[-1].add(w)
-        bags.append(bag)
-        for f in {f for w in set().union(*bag) for f in parts.setdefault(w, features(w))}:
-            seen[f] = seen.get(f, 0) + 1
-    kept = sorted((w for w, n in seen.items() if n >= min_documents), key=lambda w: (-seen[w], w))[:max_features]
-    of = {w: k for k, w in enumerate(kept)}
-    known = {w: [of[f] for f in fs if f in of] for w, fs in parts.items()}
-    document = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    n = len(document)
-    feature, sentence = [], []
-    for k, bag in enumerate(s for b in bags for s in b):
-        for w in sorted(bag):
-            feature += known[w]
-            sentence += [k] * len(known[w])
-    feature, sentence = np.array(feature, np.int64), np.array(sentence, np.int64)
+                bag.add(number.setdefault(w, len(number)))
+        self.sentences.append(len(self.sizes) - before)
+        self.labels.append(label)
+
+
+def fit(bags: Bags, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> Model:
+    """Gradient steps on the noisy-or; the features that ``min_documents`` documents have, all of them."""
+    labels = np.array(bags.labels, float)
+    if not len(labels) or labels.min() == labels.max():
+        return Model(30.0 if len(labels) and labels.min() else -30.0, {})
+    word = np.array(bags.sentence_words)
+    sentence = np.repeat(np.arange(len(bags.sizes), dtype=np.int32), np.array(bags.sizes))
+    document = np.repeat(np.arange(len(labels), dtype=np.int32), np.array(bags.sentences))
+    n, kinds = len(document), len(bags.number)
+    hashes, counts = array("Q"), array("b")  # of each word's features
+    for w in bags.number:  # in the order of the numbers
+        found = features(w)
+        hashes.extend(xxhash.xxh3_64_intdigest(f) for f in found)
+        counts.append(len(found))
+    _, feature = np.unique(np.array(hashes), return_inverse=True)
+    feature, counts = feature.astype(np.int32), np.array(counts, np.int64)
+    first = np.cumsum(counts) - counts
+    seen = np.zeros(int(feature.max()) + 1, np.int32)  # documents
+    ends = np.searchsorted(sentence, np.searchsorted(document, np.arange(len(labels) + 1)))
+    for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False):
+        own = np.unique(word[a:b])
+        size = counts[own]
+        at = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        seen[np.unique(feature[at])] += 1
+    keep = seen[feature] >= min_documents
+    kept, feature = np.unique(feature[keep], return_inverse=True)
+    feature, of_word = feature.astype(np.int32), np.repeat(np.arange(kinds, dtype=np.int32), counts)[keep]
     weights, base = np.zeros(len(kept)), -5.0
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     for step in range(1, steps + 1):
-        z = base + np.bincount(sentence, weights[feature], minlength=n)
-        p = 1 / (1 + np.exp(-z))
-        none = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(bags))
+        added = np.bincount(of_word, weights[feature], minlength=kinds)  # by each word
+        p = 1 / (1 + np.exp(-base - np.bincount(sentence, added[word], minlength=n)))
+        none = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(labels))
         whole = np.maximum(-np.expm1(none), 1e-12)
-        pull = np.where(labels[document] > 0, -(np.exp(none) / whole)[document], 1.0) * p / len(bags)
-        grad = np.append(np.bincount(feature, pull[sentence], minlength=len(kept)) + DECAY / 10 * weights, pull.sum())
+        pull = np.where(labels[document] > 0, -(np.exp(none) / whole)[document], 1.0) * p / len(labels)
+        by_word = np.bincount(word, pull[sentence], minlength=kinds)
+        grad = np.append(np.bincount(feature, by_word[of_word], minlength=len(kept)) + DECAY / 10 * weights, pull.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         weights -= move[:-1]
         base -= move[-1]
         strength = RATE * SPARSE / (np.sqrt(v[:-1] / (1 - 0.99**step)) + 1e-6)
         weights = np.sign(weights) * np.maximum(np.abs(weights) - strength, 0)
-    return Model(float(base), {w: float(x) for w, x in zip(kept, weights, strict=True) if x})
+    names: dict[str, float] = {}
+    at = np.flatnonzero(keep)
+    for w, begin in zip(bags.number, first.tolist(), strict=True):
+        found = features(w)
+        for k in range(np.searchsorted(at, begin), np.searchsorted(at, begin + len(found))):
+            if x := weights[feature[k]]:
+                names[found[at[k] - begin]] = float(x)
+    return Model(float(base), names)
 
 
-def score_texts(model: Model, texts: list[str]) -> np.ndarray:
+def score_texts(model: Model, texts: list[str], weight: WordWeights | None = None) -> np.ndarray:
     """Probability of each text: noisy-or of its sentences."""
-    weight = model.of_words()
+    weight = model.of_words() if weight is None else weight
     base = _log_none(model.base)
     none = np.empty(len(texts))
     for i, text in enumerate(texts):
@@ -152,14 +185,20 @@ def _log_none(z: float) -> float:
     return -math.log1p(math.exp(z)) if z < 30 else -z
 
 
-def worst_sentences(model: Model, text: str, at_least: float) -> list[tuple[int, int, float]]:
-    """(start, end, probability) in code points of the sentences that reach ``at_least``, in order."""
-    out, weight = [], model.of_words()
+def worst_sentences(model: Model, text: str, share: float = SHARE, weight: WordWeights | None = None) -> list[tuple[int, int, float]]:
+    """(start, end, probability) in code points, in order, of the likeliest sentences that together make up ``share`` of the noisy-or's logarithm: one at least, if the text has any."""
+    weight = model.of_words() if weight is None else weight
+    found = []
     for s in _SENTENCE.finditer(text):
-        z = model.base + sum(weight[w] for w in {x.group() for x in _WORD.finditer(s.group().lower())})
-        if (p := float(1 / (1 + np.exp(-z)))) >= at_least:
-            out.append((s.start(), s.end(), p))
-    return out
+        none = _log_none(model.base + sum(weight[w] for w in set(words(s.group()))))
+        found.append((none, s.start(), s.end()))
+    found.sort()
+    wanted, at = share * sum(f[0] for f in found), 0
+    total = 0.0
+    while at < len(found) and (not at or total > wanted):
+        total += found[at][0]
+        at += 1
+    return [(a, b, -math.expm1(none)) for none, a, b in sorted(found[:at], key=lambda f: f[1])]
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", max_documents: int = MAX_DOCUMENTS) -> Model:
@@ -170,17 +209,21 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
     schema = pa.schema([("word", pa.string()), ("weight", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(((d, x, y) for b in batches for d, x, y in zip(*(column(b, c).to_pylist() for c in ("doc_id", "text", "label")), strict=True)))
-        model = fit([x for _, x, _ in rows], np.array([y for _, _, y in rows]))
+        bags = Bags()
+        for batch in batches:
+            text, label_ = column(batch, "text"), column(batch, "label")
+            for i in range(batch.num_rows):  # one text at a time
+                bags.add(text[i].as_py(), label_[i].as_py())
+        model = fit(bags)
         yield arrow_rows(schema, [[None, *model.weights], [model.base, *model.weights.values()]])
 
-    found = texts.coalesce(1).mapInArrow(run, "word string, weight double").collect()  # at most max_features and one
+    found = texts.coalesce(1).sortWithinPartitions("doc_id").mapInArrow(run, "word string, weight double").collect()  # features of the bounded sample
     base = [r["weight"] for r in found if r["word"] is None]
     return Model(base[0] if base else -30.0, {r["word"]: r["weight"] for r in found if r["word"] is not None})
 
 
 def score(docs: DataFrame, model: Model, cut: float, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with score, predicted and the sentences (start, end, score) that reach the cut; every text whole."""
+    """The columns ``keep`` with score, predicted and, of what reaches the cut, the sentences (start, end, score) that make it up; every text whole."""
     rows = docs.select(*keep, F.col(text).alias("_scored_text"))
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
@@ -191,9 +234,10 @@ def score(docs: DataFrame, model: Model, cut: float, keep: list[str], text: str
     out = StructType([*kept, *StructType.fromDDL("score double, predicted int, sentences array<struct<start:int,end:int,score:double>>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = model.of_words()
         for part, texts in text_slices(batches, "_scored_text", SLICE_CHARS):
-            p = np.clip(score_texts(model, texts), 0.0, 1.0)
-            spans = [[dict(zip(("start", "end", "score"), s, strict=True)) for s in worst_sentences(model, x, cut)] if y >= cut else [] for x, y in zip(texts, p, strict=True)]
+            p = np.clip(score_texts(model, texts, weight), 0.0, 1.0)
+            spans = [[dict(zip(("start", "end", "score"), s, strict=True)) for s in worst_sentences(model, x, SHARE, weight)] if y >= cut else [] for x, y in zip(texts, p, strict=True)]
             yield arrow_rows(schema, [*(column(part, c) for c in kept.names), p, (p >= cut).astype(np.int32), spans])
 
     return rows.mapInArrow(run, out)

@@ -184,4 +184,51 @@ def test_toxicity_edges(spark):
     scored = toxicity.score(docs, model, 0.3, ["doc_id"]).collect()
     assert len(scored) == len(edge_rows()) and all(r["predicted"] == 0 for r in scored)
     assert toxicity.score(empty(spark), model, 0.3, ["doc_id"]).count() == 0
-    assert toxicity.fit(["a b"], np.array([1])).base > 0
+    assert toxicity.fit(bags([("a b", 1)])).base > 0
+
+
+def bags(rows):
+    out = toxicity.Bags()
+    for text, label in rows:
+        out.add(text, label)
+    return out
+
+
+def test_fit_equals_the_formulas():
+    """Against gradient steps on dense matrices of every feature."""
+    rows, labels = toxic_rows(40)
+    rows = [(r[1], x[2]) for r, x in zip(rows, labels)]
+    sentences = [[set(s.replace("\x01", "").split()) for s in " ".join(toxicity.words(t)).split("\x01")] for t, _ in rows]
+    counts = Counter(f for d in sentences for f in {f for s in d for w in s for f in toxicity.features(w)})
+    kept = sorted(f for f, n in counts.items() if n >= 4)
+    x = np.array([[sum(f in toxicity.features(w) for w in s) for f in kept] for d in sentences for s in d], float)
+    doc = np.repeat(np.arange(len(rows)), [len(d) for d in sentences])
+    y = np.array([label for _, label in rows])
+    w, base, m, v = np.zeros(len(kept)), -5.0, 0.0, 0.0
+    for step in range(1, 61):
+        p = 1 / (1 + np.exp(-base - x @ w))
+        keep = np.array([np.prod(1 - p[doc == d]) for d in range(len(rows))])
+        slope = np.where(y > 0, -keep / (1 - keep), 1.0)[doc] * p / len(rows)
+        grad = np.append(x.T @ slope + toxicity.DECAY / 10 * w, slope.sum())
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+        move = toxicity.RATE * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        w, base = w - move[:-1], base - move[-1]
+        w = np.sign(w) * np.maximum(np.abs(w) - toxicity.RATE * toxicity.SPARSE / (np.sqrt(v[:-1] / (1 - 0.99**step)) + 1e-6), 0)
+    got = toxicity.fit(bags(rows), steps=60)
+    assert abs(got.base - base) < 1e-6
+    assert set(got.weights) == {f for f, k in zip(kept, w) if k}
+    assert all(abs(got.weights[f] - k) < 1e-6 for f, k in zip(kept, w) if k)
+
+
+def test_every_flagged_text_names_sentences():
+    model = toxicity.Model(-2.2, {"b": 0.3, "bad": 3.0})
+    weak = "a. b. c. d"
+    assert toxicity.score_texts(model, [weak])[0] > 0.3
+    found = toxicity.worst_sentences(model, weak, 0.6)
+    assert len(found) >= 2 and any(weak[a:b].strip() == "b" for a, b, _ in found)
+    strong = "Calm. \u201cBad\u201d (bad) ΒΑΣ.Β day! Calm"
+    [(a, b, p)] = toxicity.worst_sentences(model, "Calm. (bad) day! Calm")
+    assert "Calm. (bad) day! Calm"[a:b] == " (bad) day" and p > 0.6
+    alone = [toxicity.score_texts(model, [strong[a:b]])[0] for a, b, _ in toxicity.worst_sentences(model, strong, 1.0)]
+    assert np.isclose(1 - np.prod(1 - np.array(alone)), toxicity.score_texts(model, [strong])[0])
+    assert toxicity.worst_sentences(model, "") == []
