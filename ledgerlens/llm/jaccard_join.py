@@ -5,24 +5,29 @@ with its transpose, in blocks of n-grams, cut down by size-derived bounds:
 
 1. Sets.  A document's row is the set of its n-gram hashes (64 bits); equal
    sets are one row, named by a hash of the set.
-2. Columns that can matter.  With a similarity of at least t, two sets of
+2. First components.  Rows with an equal least n-gram, under each of a few
+   orders, are checked against one of them.  Most copies are in one
+   component from then on, and what a component shares only with itself
+   needs no further work; nothing is ruled out by this step.
+3. Columns that can matter.  With a similarity of at least t, two sets of
    sizes a <= b need a >= t b, and their first n - ceil(t n) + 1 n-grams in
    any common order share one; of the smaller set it is even among the first
    n - ceil(2 t / (1 + t) n) + 1.  The order puts n-grams first that repeat
    rarely (a table of bounded size holds rounded counts of all n-grams), so
    that passages of many documents stay out of the prefixes; n-grams that
    occur in one set only fill places there, but are sent nowhere.
-3. Blocks.  Prefix postings go to shards by n-gram; a shard keeps the
-   columns with two rows or more.
-4. Products.  Pairs of a column are checked against the exact overlap of
-   their sets: first every row with the column's pivot,
-   then, over columns that still touch several components, with a pivot
-   that differs by column, last all pairs of different components that the
-   size bound and the triangle inequality for Jaccard distances (to the
-   column's first pivot) leave.  Pairs inside a component are never formed,
-   so a large group of copies costs a few checks per copy, and no link
-   between components is lost.
-5. Components of the links by label propagation with shortcuts.
+4. Blocks.  Prefix postings go to shards by n-gram; a shard keeps the
+   columns that touch two components or more.
+5. Products.  Pairs of a column are checked against the exact overlap of
+   their sets: first every row with the column's pivot; then, in columns
+   that still touch several components, with another pivot, for as long as
+   that unites something worth while; last all pairs of different components
+   that the size bound, the triangle inequality for Jaccard distances (to
+   the first pivot) and a bitmap of the sets leave (bits that differ are
+   n-grams that differ, so they bound the overlap).  Pairs inside a component are never formed, so a
+   large group of copies costs a few checks per copy, and no link between
+   components is lost.
+6. Components of the links by label propagation with shortcuts.
 
 Nulls: a null text has the empty set, which links with nothing; a null
 doc_id takes part, but names a component only where it has no other id.
@@ -43,20 +48,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import token_files
-from ledgerlens.llm.common import arrow_rows, column, spill, text_slices
+from ledgerlens.llm.common import arrow_rows, bitmap, column, dealt_in_pairs, in_bitmap, spill, text_slices
 from ledgerlens.llm.hashing import U, hash_of, mix, shingles
 
 SLICE_CHARS = 8_000_000
 SHARD_CHARS = 6_000_000
-SLOTS = 1 << 22  # of the filter of wanted documents
+WANTED_BITS = 27  # of the filter of wanted documents, at most
 SLOT_BITS = 25  # of the table of rounded counts: 32 MB
 HELD_COUNTED = 6_000_000  # n-grams that a counting task holds before it sends them
 WIDTH = 5
 PERCENT = 75
 HELD_HASHES = 4_000_000  # of sets that a checking task keeps, 32 MB
-SMALL = 4  # rows of a column whose pairs are all formed at once
-THIN_ROWS = 256  # columns of several times as many rows offer a pair with a pivot in some of its columns only
-THIN_MOST = 8
+COLUMN_ROWS = 4096  # of a column that one task compares
+WORTH = 8  # further pivots are tried while one in so many pairs links
+ORDERS = np.random.default_rng(7).integers(0, 1 << 63, 4, dtype=np.uint64) * U(2) + U(1)  # multipliers of the least n-grams
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -72,8 +77,9 @@ def sets_of(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     """Distinct hashes of each text, one text after another, each ascending; sizes; set names."""
     h, counts = shingles(texts, width)
     doc = np.repeat(np.arange(len(texts)), counts)
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+    ends = np.cumsum(counts)
+    for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     h, doc = h[new], doc[new]
@@ -84,12 +90,34 @@ def sets_of(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return h, n, mix(name, n.astype(U))
 
 
-_FACTS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
-FACTS = "doc_id long, n long, s long, part int, data binary"
+BITS = 1024  # of a set's bitmap
+LOWEST = 8  # of a row's early columns that it carries along, so that a pair is sent from few of those it shares
+LEAST = [f"least_{k}" for k in range(len(ORDERS))]
+_FACTS = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), *((c, pa.int64()) for c in LEAST), ("bits", pa.binary()), ("part", pa.int32()), ("data", pa.binary())])
+FACTS = "doc_id long, t long, n long, s long, " + "".join(f"{c} long, " for c in LEAST) + "bits binary, part int, data binary"
+
+
+def bits_of(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Each set's bitmap."""
+    out = np.zeros((len(n), BITS), bool)
+    out[np.repeat(np.arange(len(n)), n), (h % U(BITS)).astype(np.int64)] = True
+    return [x.tobytes() for x in np.packbits(out, axis=1)]
+
+
+def least_of(h: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Each set's least n-gram under every order; 0 for empty sets."""
+    some = np.flatnonzero(n)
+    out = []
+    for factor in ORDERS:
+        least = np.zeros(len(n), U)
+        if len(some):
+            least[some] = np.minimum.reduceat(h * factor, (np.cumsum(n) - n)[some])
+        out.append(least.view(np.int64))
+    return out
 
 
 def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """Per document (data null): doc_id, set size, set name; per part of the hash space: the order class of its slots.
+    """Per document (data null): doc_id, t, set size, set name, least n-grams; per part of the hash space: the order class of its slots.
 
     Tasks send the upper 32 bits of their sets' hashes, sorted and coded as differences; a slot's class is the binary logarithm of how many sets its most frequent n-gram is in, 0 if none is in two.
     """
@@ -105,7 +133,7 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 parts.append(k)
                 out.append(np.array([b - a], "<u4").tobytes() + control[0] + data[0])
         none = pa.nulls(len(parts), pa.int64())
-        return arrow_rows(_FACTS, [none, none, none, parts, out])
+        return arrow_rows(_FACTS, [*[none] * (4 + len(LEAST)), pa.nulls(len(parts), pa.binary()), parts, out])
 
     def read(data: bytes) -> np.ndarray:
         n = int(np.frombuffer(data, "<u4", 1)[0])
@@ -118,7 +146,7 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
             where = (name.view(np.int64) % (1 << bits)).astype(np.int32)  # dealt like the counts
-            yield arrow_rows(_FACTS, [column(part, "doc_id"), n, name.view(np.int64), where, pa.nulls(len(n), pa.binary())])
+            yield arrow_rows(_FACTS, [column(part, "doc_id"), column(part, "t"), n, name.view(np.int64), *least_of(h, n), bits_of(h, n), where, pa.nulls(len(n), pa.binary())])
             first = np.unique(name, return_index=True)[1]  # copies count once
             once = np.zeros(len(n), bool)
             once[first] = True
@@ -152,7 +180,7 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
         out = np.zeros(1 << (SLOT_BITS - bits), np.uint8)
         slot = (high[at[often]] >> np.uint32(32 - SLOT_BITS)).astype(np.int64) - (part << (SLOT_BITS - bits))
         np.maximum.at(out, slot, np.log2(times[often]).astype(np.uint8))
-        return arrow_rows(_FACTS, [*[pa.nulls(1, pa.int64())] * 3, [part], [zlib.compress(out.tobytes(), 1)]])
+        return arrow_rows(_FACTS, [*[pa.nulls(1, pa.int64())] * (4 + len(LEAST)), pa.nulls(1, pa.binary()), [part], [zlib.compress(out.tobytes(), 1)]])
 
     sent = docs.mapInArrow(run, FACTS).repartition(1 << bits, "part").sortWithinPartitions("part")
     return sent.mapInArrow(merge, FACTS)
@@ -174,11 +202,12 @@ _POSTINGS = pa.schema([("shard", pa.int64()), ("data", pa.binary())])
 
 
 def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.ndarray) -> DataFrame:
-    """Prefix n-grams by shard, in blocks of (n-gram, set name, size)."""
+    """Prefix n-grams by shard, in blocks of (n-gram, set name, component, size).  ``docs``: text, comp (null: the set's own name)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_slices(batches, "text", SLICE_CHARS):
+        for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
+            comp = np.where(np.asarray(pa.compute.is_null(column(part, "comp"))), name, np.asarray(pa.compute.fill_null(column(part, "comp"), 0)).view(U))
             first = np.unique(name, return_index=True)[1]
             once = np.zeros(len(n), bool)
             once[first] = n[first] > 0
@@ -186,10 +215,13 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
             doc = np.repeat(np.arange(len(n)), n)[keep]
             h = h[keep]
             kind = class_of(h, often)
-            order = np.lexsort((h, kind, doc))
-            h, doc, kind = h[order], doc[order], kind[order]
             size = np.where(once, n, 0)
-            place = np.arange(len(h)) - (np.cumsum(size) - size)[doc]
+            ends = np.cumsum(size)
+            order = np.arange(len(h))
+            for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True):
+                order[a:b] = a + np.argsort(kind[a:b], kind="stable")
+            h, kind = h[order], kind[order]
+            place = np.arange(len(h)) - (ends - size)[doc]
             keep = (place < prefix_length(n, percent)[doc]) & (kind > 0)  # no other set has those of class 0
             h, doc, early = h[keep], doc[keep], (place < early_length(n, percent)[doc])[keep]
             order = np.argsort(h, kind="stable")
@@ -200,7 +232,7 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
             for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
                 who, at = np.unique(doc[a:b], return_inverse=True)
                 small = zlib.compress(n[who].astype("<u4").tobytes() + (2 * at + early[a:b]).astype("<u4").tobytes(), 1)
-                out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + small)
+                out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + comp[who].tobytes() + small)
             yield arrow_rows(_POSTINGS, [shard[edges[:-1]].view(np.int64) if len(h) else [], out])
 
     return docs.mapInArrow(run, "shard long, data binary")
@@ -210,7 +242,7 @@ _COLUMNS = pa.schema([("h", pa.int64()), ("s", pa.int64()), ("n", pa.int64()), (
 
 
 def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
-    """(h, s, n, early): the rows of every n-gram that is in the prefix of two sets or more, and early in one."""
+    """(h, s, n, early): the rows of every n-gram that is in prefixes of two components or more, and early in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -227,18 +259,20 @@ def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
         for x in data:
             rows, sets = np.frombuffer(x, "<u4", 2).astype(int).tolist()
             h, name = np.frombuffer(x, "<u8", rows, 8), np.frombuffer(x, "<u8", sets, 8 + 8 * rows)
-            small = np.frombuffer(zlib.decompress(x[8 + 8 * rows + 8 * sets :]), "<u4")
+            comp = np.frombuffer(x, "<u8", sets, 8 + 8 * rows + 8 * sets)
+            small = np.frombuffer(zlib.decompress(x[8 + 8 * rows + 16 * sets :]), "<u4")
             at = small[sets:]
-            parts.append((h, name[at >> 1], small[:sets][at >> 1], at & 1))
-        h, s, n, early = (np.concatenate([p[k] for p in parts]) for k in range(4))
+            parts.append((h, name[at >> 1], small[:sets][at >> 1], at & 1, comp[at >> 1]))
+        h, s, n, early, comp = (np.concatenate([p[k] for p in parts]) for k in range(5))
         order = np.lexsort((s, h))
-        h, s, n, early = h[order], s[order], n[order], early[order]
+        h, s, n, early, comp = h[order], s[order], n[order], early[order], comp[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
-        h, s, n, early = h[new], s[new], n[new], early[new] == 1
+        h, s, n, early, comp = h[new], s[new], n[new], early[new] == 1, comp[new]
         first = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
         size = np.diff(np.append(first, len(h)))
-        keep = np.repeat((size > 1) & np.logical_or.reduceat(early, first), size)
+        several = np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first)
+        keep = np.repeat(several & np.logical_or.reduceat(early, first), size)
         return arrow_rows(_COLUMNS, [*(x[keep].astype(U).view(np.int64) for x in (h, s, n)), early[keep]])
 
     return blocks.repartition(1 << bits, "shard").sortWithinPartitions("shard").mapInArrow(run, "h long, s long, n long, early boolean")
@@ -247,81 +281,70 @@ def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
 PAIR = pa.schema([("s", pa.int64()), ("pivot", pa.int64())])
 
 
-def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
-    """Distinct (pivot, s) of the columns in ``groups``: h, s, n, early, comp, d (distance to the column's first pivot; null: unknown).
-
-    Round 0 pairs each row with the column's pivot, round 1 those of other components with another pivot, round 2 all of different components that the bounds leave.
-    """
+def open_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Distinct (pivot, s) of different components that sizes, distances and bitmaps leave; ``groups``: h, s, n, early, comp, d (distance to the column's pivot), bits, low (the least of the columns that the set has early, ascending)."""
     limit = percent / 100
 
-    def close(n: np.ndarray, early: np.ndarray, i: int) -> np.ndarray:
-        """Which rows the sizes let link with row i, and the smaller has the column early."""
-        fits = 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-        return fits & np.where(n < n[i], early, np.where(n > n[i], early[i], early & early[i]))
-
-    def pairs(h: int, s: np.ndarray, n: np.ndarray, early: np.ndarray, comp: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if len(s) <= SMALL:
-            for i in range(len(s) - 1):
-                ok = close(n, early, i)[i + 1 :] & (comp[i + 1 :] != comp[i])
-                yield np.full(ok.sum(), s[i]), s[i + 1 :][ok]
-        elif number < 2:
-            rank = mix(s, np.full(len(s), h * number, U))
-            p = int(np.argmin(rank))
-            ok = close(n, early, p) & (comp != comp[p]) if number else np.arange(len(s)) != p  # round 0: distances for the bound of round 2
-            thin = min(THIN_MOST, len(s) // THIN_ROWS)
-            if thin > 1:  # copies share many columns, and round 2 sees all that stay open
-                ok &= mix(s, np.full(len(s), 2 * h + 1 & (1 << 64) - 1, U)) % U(thin) == 0
-            yield np.full(ok.sum(), s[p]), s[ok]
-        else:
-            order = np.argsort(d, kind="stable")
-            s, n, early, comp, d = s[order], n[order], early[order], comp[order], d[order]
-            known = int((~np.isnan(d)).sum())  # unknown distances stand last, and rule nothing out
-            ends = np.searchsorted(d[:known], d[:known] + (1 - limit) + 1e-9, side="right")
-            later = np.arange(len(s))
-            for i in range(len(s) - 1):
-                ok = close(n, early, i) & (comp != comp[i]) & (later > i)
-                if i < known:
-                    ok &= (later < ends[i]) | (later >= known)
-                if ok.any():
-                    yield np.full(ok.sum(), s[i]), s[ok]
+    def pairs(h: int, rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        order = np.argsort(rows[5], kind="stable")
+        s, n, early, comp, side, d, bits, low = (x[order] for x in rows)
+        ends = np.searchsorted(d, d + (1 - limit) + 1e-9, side="right")
+        split = side.any() and not side.all()
+        low = np.where(low < h, low, np.iinfo(np.int64).max)
+        for i in range(len(s) - 1):
+            near = slice(i + 1, ends[i])
+            fits = 100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i])
+            first = np.where(n[near] < n[i], early[near], np.where(n[near] > n[i], early[i], early[near] & early[i]))  # the smaller has the column early
+            ok = fits & first & (comp[near] != comp[i])
+            if split:
+                ok &= side[near] != side[i]
+            at = i + 1 + np.flatnonzero(ok)
+            both = (n[at] + n[i] - np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)) // 2
+            at = at[100 * both >= percent * (n[at] + n[i] - both)]
+            if len(at):
+                mine = low[i][low[i] < np.iinfo(np.int64).max]
+                at = at[~np.isin(low[at], mine).any(axis=1)]  # a lesser column that both have sends them
+            if len(at):
+                yield np.full(len(at), s[i]), s[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
 
         def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            h, s, n, comp, d, early = rows
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]])
+            h, lo, hi, *rest = rows
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(h) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1, [len(h)]])
             out: list[tuple[int, int]] = []
             for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
-                if b - a < 2:
+                side = rest[4][a:b]
+                if b - a < 2 or lo[a] != hi[a] and (side.all() or not side.any()):
                     continue
-                if number and (comp[a:b] == comp[a]).all():
-                    continue
-                for x, y in pairs(int(h[a]), s[a:b], n[a:b], early[a:b], comp[a:b], d[a:b]):
-                    for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True) if number == 2 else zip(x.tolist(), y.tolist(), strict=True):
+                for x, y in pairs(int(h[a]), [c[a:b] for c in rest]):
+                    for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True):
                         if pair not in seen:
                             if len(seen) > 1_000_000:
                                 seen.clear()
                             seen.add(pair)
                             out.append(pair)
-                if len(out) > 100_000:
-                    yield made(out)
-                    out = []
+                    if len(out) > 100_000:
+                        yield made(out)
+                        out = []
             yield made(out)
 
         def made(out: list[tuple[int, int]]) -> pa.RecordBatch:
-            both = np.array(out, U).reshape(-1, 2).view(np.int64)
+            both = np.array(out, np.int64).reshape(-1, 2)
             return arrow_rows(PAIR, [both[:, 1].copy(), both[:, 0].copy()])
 
         rest: list[np.ndarray] = []
-        for batch in batches:  # sorted by h; a column may cross batches
-            rows = [np.asarray(column(batch, c)).view(U) for c in ("h", "s", "n", "comp")]
-            rows.append(np.asarray(pa.compute.fill_null(column(batch, "d"), np.nan)))
-            rows.append(np.asarray(column(batch, "early")))
+        for batch in batches:  # sorted by column, which may cross batches
+            rows = [column(batch, c).to_numpy(zero_copy_only=False) for c in ("h", "lo", "hi", "s", "n", "early", "comp", "side", "d")]
+            rows.append(np.frombuffer(b"".join(column(batch, "bits").to_pylist()), U).reshape(batch.num_rows, BITS // 64))
+            rows.append(np.array([x + [np.iinfo(np.int64).max] * (LOWEST - len(x)) for x in column(batch, "low").to_pylist()], np.int64).reshape(batch.num_rows, LOWEST))
             rows = [np.concatenate([a, b]) for a, b in zip(rest, rows, strict=True)] if rest else rows
             if not len(rows[0]):
                 continue
-            last = int(np.searchsorted(rows[0].view(np.int64), rows[0].view(np.int64)[-1]))
+            last = len(rows[0]) - 1
+            same = (rows[0] == rows[0][last]) & (rows[1] == rows[1][last]) & (rows[2] == rows[2][last])
+            last = int(np.flatnonzero(same)[0])
             if last:
                 yield from emit([x[:last] for x in rows])
             rest = [x[last:] for x in rows]
@@ -329,8 +352,15 @@ def candidates(groups: DataFrame, number: int, percent: int) -> DataFrame:
             yield from emit(rest)
 
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = groups.select("h", "s", "n", "early", "comp", "d").repartition(parts, "h").sortWithinPartitions("h", "s")
-    return dealt.mapInArrow(run, "s long, pivot long").distinct()
+    dealt = dealt_in_pairs(groups.select("h", "s", "n", "early", "comp", "d", "bits", "low"), ["h"], "s", COLUMN_ROWS)
+    return dealt.repartition(parts, "h", "lo", "hi").sortWithinPartitions("h", "lo", "hi", "s").mapInArrow(run, "s long, pivot long").distinct()
+
+
+def open_columns(cols: DataFrame, comps: DataFrame) -> DataFrame:
+    """h, s, n, early, comp of the columns that touch several components."""
+    named = cols.join(comps, "s", "left").select("h", "s", "n", "early", F.coalesce("comp", "s").alias("comp"))
+    several = named.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most").select("h")
+    return named.join(several, "h", "left_semi")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -389,92 +419,100 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def wanted_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(s, data): the compressed text of one document of each wanted set.
+    """(s, data): the compressed text of one document of each wanted set (s, doc_id, t).
 
-    A filter of fixed size on doc_id skips most other documents before they are read into words; those it lets through are dropped by the join.
+    A filter of bounded size skips most other documents before they are read into words; those it lets through are dropped by the join.
     """
-    slot = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(SLOTS))
-    hits = np.zeros(SLOTS, bool)
-    hits[[r[0] for r in wanted.select(slot).distinct().collect()]] = True  # at most SLOTS rows
+    mark = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "t")
+    hits = bitmap(wanted.select(mark.alias("mark")), "mark", WANTED_BITS)
     schema = pa.schema([("s", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary())])
-    hits = np.packbits(hits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3)
-        open_ = np.unpackbits(hits).astype(bool)
-        some = (b.filter(pa.array(open_[np.asarray(column(b, "slot"))])) for b in batches)
+        some = (b.filter(pa.array(in_bitmap(np.asarray(column(b, "mark")), hits))) for b in batches)
         for part, texts in text_slices(some, "text", SLICE_CHARS):
             name = sets_of(texts, width)[2].view(np.int64)
             once = {(s, i): k for k, (s, i) in enumerate(zip(name.tolist(), column(part, "doc_id").to_pylist(), strict=True))}
             yield arrow_rows(schema, [*zip(*once, strict=True), [small.compress(texts[k].encode("utf-8", "replace")) for k in once.values()]])
 
-    made = docs.withColumn("slot", slot).mapInArrow(run, "s long, doc_id long, data binary")
+    made = docs.withColumn("mark", mark).mapInArrow(run, "s long, doc_id long, data binary")
     same = (F.col("w.s") == F.col("m.s")) & F.col("w.doc_id").eqNullSafe(F.col("m.doc_id"))
     return made.alias("m").join(wanted.alias("w"), same, "left_semi").select("s", "data").dropDuplicates(["s"])
 
 
+def first_pairs(classes: DataFrame) -> DataFrame:
+    """(pivot, s): every set with the least-named one of those that have an equal least n-gram, under each order."""
+    keyed = classes.select("s", F.posexplode(F.array(*LEAST)).alias("k", "least"))
+    pivots = keyed.groupBy("k", "least").agg(F.min("s").alias("pivot"), F.count("*").alias("sets")).filter("sets > 1").drop("sets")
+    return keyed.join(pivots, ["k", "least"]).filter("s != pivot").select("pivot", "s").distinct()
+
+
 def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Documents with their classes, and the verified links between sets.
+    """Documents with their classes, and verified links between sets: enough to connect every component.
 
     The first table has a row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach, its own included).
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bits = min(14, math.ceil(math.log2(shards)))
+    bits = min(SLOT_BITS, math.ceil(math.log2(shards)))
     found = spill(facts(docs, width, bits), "shingle-sets")
-    rows = found.filter("data is null").select("doc_id", "n", "s")
-    often = repeated(found.filter("data is not null"), bits)
-    cols = spill(shared_columns(postings(docs, width, percent, bits, often), bits), "shared-columns")
-
-    classes = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
-    wanted = classes.join(cols.select("s").distinct(), "s", "left_semi")
-    texts = spill(wanted_texts(docs, spill(wanted, "wanted-sets"), width), "wanted-texts")
-
+    rows = found.filter("data is null").select("doc_id", "t", "n", "s", *LEAST, "bits")
+    least = F.min(F.struct("doc_id", "t"))  # of the ids, if there is one
+    named = rows.filter("n > 0").groupBy("s").agg(least.alias("any"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "t"))).alias("row"), *(F.min(c).alias(c) for c in (*LEAST, "bits")))
+    classes = spill(named.withColumn("row", F.coalesce("row", "any")).select("s", "row.doc_id", "row.t", *LEAST, "bits"), "set-classes")
     similar = F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("a") + F.col("b") - F.col("overlap"))
     distance = 1 - F.col("overlap") / (F.col("a") + F.col("b") - F.col("overlap"))
-    groups = cols.select("h", "s", "n", "early", F.col("s").alias("comp"), F.lit(None).cast("double").alias("d"))
-    checked = spill(verify(candidates(groups, 0, percent), texts, width), "pairs")
+
+    pairs = spill(first_pairs(classes), "first-pairs")
+    met = pairs.select("s").union(pairs.select("pivot")).distinct()
+    texts = spill(wanted_texts(docs, spill(classes.join(met, "s", "left_semi").select("s", "doc_id", "t"), "wanted-sets"), width), "wanted-texts")
+    checked = spill(verify(pairs, texts, width), "pairs")
     links = checked.filter(similar).select("pivot", "s")
     comps = components(links)
-    to_pivot = checked.select("pivot", "s", distance.alias("d"))
-    for number in (1, 2):
-        open_ = cols.join(comps, "s", "left").select("h", "s", "n", "early", F.coalesce("comp", "s").alias("comp"))
-        several = open_.groupBy("h").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most").select("h")
-        open_ = open_.join(several, "h", "left_semi")
-        if number == 2:  # distances to the columns' first pivots
-            open_ = spill(open_, "open-columns")
-            pivots = _first_pivots(open_)
-            open_ = open_.join(pivots, "h").join(to_pivot, ["pivot", "s"], "left").select("h", "s", "n", "early", "comp", F.when(F.col("pivot") == F.col("s"), 0.0).otherwise(F.col("d")).alias("d"))
-        else:
-            open_ = open_.withColumn("d", F.lit(None).cast("double"))
-        pairs = candidates(open_, number, percent)
+
+    often = repeated(found.filter("data is not null"), bits)
+    of_text = rows.select("t", "s").join(comps, "s").select("t", "comp").distinct()
+    cols = spill(shared_columns(postings(docs.select("t", "text").join(of_text, "t", "left"), width, percent, bits, often), bits), "shared-columns")
+    more = classes.join(cols.select("s").distinct(), "s", "left_semi").join(texts.select("s"), "s", "left_anti").select("s", "doc_id", "t")
+    texts = texts.union(spill(wanted_texts(docs, spill(more, "wanted-sets"), width), "wanted-texts"))
+
+    def unchecked(pairs: DataFrame) -> DataFrame:
         done = checked.select("pivot", "s").union(checked.select(F.col("s").alias("pivot"), F.col("pivot").alias("s")))
-        more = spill(verify(pairs.join(done, ["pivot", "s"], "left_anti"), texts, width), "pairs")
-        if not more.limit(1).count():
-            continue
-        checked = checked.union(more)
-        new = more.filter(similar).select("pivot", "s")
-        if new.limit(1).count():
-            links = links.union(new)
+        return pairs.join(done, ["pivot", "s"], "left_anti")
+
+    number = 0
+    while True:  # a pivot for each column; the first one also meets its own component, for the distances
+        open_ = spill(open_columns(cols, comps), "open-columns")
+        chosen = open_.groupBy("h").agg(*(F.min_by(c, F.xxhash64("s", F.lit(number))).alias(to) for c, to in (("s", "pivot"), ("comp", "pivot_comp"))))
+        if not number:
+            cols, chosen = open_.drop("comp"), spill(chosen, "column-pivots")
+            first = chosen.select("h", "pivot")
+        met = open_.join(chosen, "h").filter(F.col("s") != F.col("pivot") if not number else F.col("comp") != F.col("pivot_comp"))
+        new = spill(verify(unchecked(met.select("pivot", "s").distinct()), texts, width), "pairs")
+        tried, united = new.agg(F.count("*"), F.count(F.when(similar, 1))).first()
+        if united:
+            links = spill(links.union(new.filter(similar).select("pivot", "s")), "links")
             comps = components(links)
+        if tried:
+            checked = spill(checked.union(new), "pairs")
+        number += 1
+        if united * WORTH <= tried:
+            break
+    known = checked.select("pivot", "s", distance.alias("d"))
+    known = known.union(known.select("s", "pivot", "d")).dropDuplicates(["pivot", "s"])
+    open_ = spill(open_columns(cols, comps), "open-columns")
+    low = open_.groupBy("s").agg(F.slice(F.sort_array(F.collect_list(F.when(F.col("early"), F.col("h")))), 1, LOWEST).alias("low"))
+    still = open_.join(first, "h").join(known, ["pivot", "s"], "left").join(low.join(classes.select("s", "bits"), "s"), "s")
+    still = still.select("h", "s", "n", "early", "comp", "bits", "low", F.when(F.col("pivot") == F.col("s"), 0.0).otherwise(F.col("d")).alias("d"))
+    new = spill(verify(unchecked(open_pairs(spill(still, "open-columns"), percent)), texts, width), "pairs").filter(similar).select("pivot", "s")
+    if not new.isEmpty():
+        links = links.union(new)
+        comps = components(links)
     named = classes.join(comps, "s", "left").select("s", "doc_id", F.coalesce("comp", "s").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.join(least, "comp").select("s", "component_id")
+    of_comp = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    of_set = named.join(of_comp, "comp").select("s", "component_id")
     full = rows.filter("n > 0").join(of_set, "s").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty), links
-
-
-def _first_pivots(columns: DataFrame) -> DataFrame:
-    """(h, pivot): the pivot that round 0 gave each column."""
-    schema = pa.schema([("h", pa.int64()), ("s", pa.int64()), ("rank", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = np.asarray(column(batch, "s")).view(U)
-            rank = mix(s, np.zeros(len(s), U)) ^ U(1 << 63)  # unsigned order as signed
-            yield arrow_rows(schema, [column(batch, "h"), column(batch, "s"), rank.view(np.int64)])
-
-    return columns.select("h", "s").mapInArrow(run, "h long, s long, rank long").groupBy("h").agg(F.min_by("s", "rank").alias("pivot"))

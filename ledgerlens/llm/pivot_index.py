@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from ledgerlens.llm.common import arrow_rows, column, spill
+from ledgerlens.llm.common import arrow_rows, column, dealt_in_pairs, spill
 from ledgerlens.llm.jaccard_join import components
 
 COSINE = 0.95
@@ -199,11 +199,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, pivots: int = PIVOT
             yield arrow_rows(_POSTED, [[x.tobytes() for x in names], column(batch, "cid").take(who), column(batch, "m").take(who), coded.take(who), column(batch, "v").take(who)])
 
     posted = permutations.mapInArrow(post, "list binary, cid long, m long, ranks binary, v binary")
-    large = posted.groupBy("list").count().filter(F.col("count") > LIST_ROWS).select("list", F.ceil(F.col("count") / LIST_ROWS).cast("int").alias("parts"))
-    slot = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    dealt = posted.join(spill(large, "long-lists"), "list", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("slot", slot)
-    dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("list", F.least("slot", "k").alias("lo"), F.greatest("slot", "k").alias("hi"), (F.col("slot") > F.col("k")).alias("side"), "cid", "m", "ranks", "v")
+    dealt = dealt_in_pairs(posted, ["list"], "cid", LIST_ROWS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = pa.schema([("cid", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
 
