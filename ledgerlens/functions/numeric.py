@@ -93,6 +93,15 @@ def percent_of(amount, percent, digits: int = 2) -> Column:
     return round_ratio(units * rate, F.lit(10 ** (LINE_SCALE + 6)), digits)
 
 
+def percent_of_line(amount, percent) -> Column:
+    """round(amount * percent / 100, 2) of one line's amount (fourteen digits
+    before the point, else an overflow error) and a percentage with at most
+    four decimals, exactly: the product fits 36 digits, so no division is
+    needed."""
+    cents = F.round(_c(amount).cast(f"decimal(26,{LINE_SCALE})") * _c(percent).cast("decimal(9,4)"), 0)
+    return cents.cast("decimal(21,0)") * F.lit(Decimal("0.01"))
+
+
 def money_text(col) -> Column:
     """'$' + amount with two decimals; NULL reads as $0.00 (printf semantics)."""
     return F.concat(

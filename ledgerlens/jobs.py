@@ -52,6 +52,11 @@ def dashboard_frames(src) -> dict[str, DataFrame]:
     }
 
 
+def activity_frames(raw: RetailSource) -> dict[str, DataFrame]:
+    """The panel that reads events, which are not part of the warehouse."""
+    return {"day_hour_heatmap": DB.day_hour_heatmap(raw.events())}
+
+
 def daily_job(
     spark: SparkSession,
     input_dir: str,
@@ -75,11 +80,10 @@ def daily_job(
     report = DB.write_report(
         DB.kpi_report(src.sales(), src.orders(), src.products(), src.as_of()), f"{out}/kpi_report"
     )
-    panels = DB.write_report(dashboard_frames(src), f"{out}/dashboard")
-    snapshots = L.snapshot_retention(src.orders(), f"{out}/snapshots/orders", src.as_of(), keep_days)
-    for name, table in (("sales", src.sales()), ("products", src.products())):
-        L.write_snapshot(table, f"{out}/snapshots/{name}", src.as_of().date())
-        L.expire_snapshots(spark, f"{out}/snapshots/{name}", src.as_of(), keep_days)
+    panels = DB.write_report({**dashboard_frames(src), **activity_frames(raw)}, f"{out}/dashboard")
+    tables = {"orders": src.orders(), "sales": src.sales(), "products": src.products()}
+    kept = {name: L.take_snapshot(table, f"{out}/snapshots/{name}", src.as_of(), keep_days) for name, table in tables.items()}
+    snapshots = kept["orders"].summary()
     return {
         "quality_checks": [r.asDict() for r in spark.read.json(f"{out}/quality_checks").collect()],
         "kpi_report": report,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
-from ledgerlens.sources.landing import clean_load
+from ledgerlens.sources.manifest import hadoop_fs
 
 
 def dedupe_transactions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -75,24 +75,30 @@ def sales_rules(as_of, max_amount: int = MAX_AMOUNT) -> dict[str, Column]:
 
 
 def load_sales(tagged: DataFrame, products: DataFrame, path: str) -> tuple[str, str]:
-    """Load a validated table: valid rows enriched and partitioned by month
-    under ``path/loaded``, rejected ones with their reasons under
-    ``path/rejected``.  Returns both folders."""
-    loaded, rejected = f"{path.rstrip('/')}/loaded", f"{path.rstrip('/')}/rejected"
-    clean_load(enrich_metrics(valid_rows(tagged), products), loaded, "year_month")
-    rejected_rows(tagged).write.mode("overwrite").parquet(rejected)
-    return loaded, rejected
-
-
-def enrich_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Load a validated table: its rows, enriched, are written once under
+    ``path`` by outcome and month, rejected ones with their reasons.  Returns
+    the folders of loaded and rejected rows."""
+    root = path.rstrip("/")
+    outcome = F.when(F.col("is_valid"), F.lit("loaded")).otherwise(F.lit("rejected")).alias("outcome")
+    rows = enrich_metrics(tagged, products, (outcome, F.col("reject_reason")))
+    rows = rows.hint("rebalance", "outcome", "year_month").sortWithinPartitions("outcome", "year_month")
+    rows.write.mode("overwrite").partitionBy("outcome", "year_month").parquet(root)
+    fs, _ = hadoop_fs(tagged.sparkSession, root)
+    folders = (f"{root}/outcome=loaded", f"{root}/outcome=rejected")
+    for folder in folders:  # there even if no row has that outcome
+        fs.mkdirs(hadoop_fs(tagged.sparkSession, folder)[1])
+    return folders
+
+
+def enrich_metrics(sales: DataFrame, products: DataFrame, more: tuple[Column, ...] = ()) -> DataFrame:
     """Line-level derived metrics: month, unit price, margin and profit.
 
     ``estimated_profit`` = round(amount * margin / 100, 2) in exact decimal;
-    sales without a catalogue row keep NULL margin and profit.
+    sales without a catalogue row keep NULL margin and profit.  ``more``
+    are columns of ``sales`` that come along.
     """
     margins = products.select("product_id", "profit_margin")
     joined = sales.join(margins, "product_id", "left")
-    profit = N.percent_of("total_amount", "profit_margin")
     return joined.select(
         "customer_id",
         "product_id",
@@ -102,5 +108,6 @@ def enrich_metrics(sales: DataFrame, products: DataFrame) -> DataFrame:
         N.as_double("total_amount").alias("total_amount"),
         F.try_divide(N.as_double("total_amount"), F.col("quantity")).alias("unit_price"),
         "profit_margin",
-        profit.cast("double").alias("estimated_profit"),
+        N.percent_of_line("total_amount", "profit_margin").cast("double").alias("estimated_profit"),
+        *more,
     )

@@ -55,6 +55,18 @@ def daily_revenue(
     )
 
 
+def daily_revenue_calendar(sales: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
+    """The last ``days`` days up to ``as_of``, every one of them: days without sales have no revenue and no transactions."""
+    first = as_of.date() - dt.timedelta(days=days - 1)
+    axis = sales.sparkSession.range(days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("transaction_date"))
+    found = daily_revenue(sales.filter((F.col("transaction_date") >= F.lit(first)) & (F.col("transaction_date") <= F.lit(as_of.date()))))
+    return (
+        axis.join(found, "transaction_date", "left")
+        .select("transaction_date", F.coalesce("revenue", F.lit(0.0)).alias("revenue"), F.coalesce("transaction_count", F.lit(0)).alias("transaction_count"))
+        .orderBy("transaction_date")
+    )
+
+
 def kpi_revenue_trends(orders: DataFrame) -> DataFrame:
     """Monthly sales, order volume and average order value (order grain)."""
     return (

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
+from ledgerlens.sources.manifest import Versions
 
 # The reference quality thresholds.
 MIN_DAILY_TRANSACTIONS = 100
@@ -56,12 +57,28 @@ def quality_checks(
     * freshness fails when more than ``fresh_hours`` passed between midnight
       of the latest transaction date and ``as_of``; no rows means no failure.
     """
+    k = orders.agg(*[m.alias(name) for name, m in check_metrics(as_of).items()])
+    return check_rows(k, as_of, min_daily, max_amount, fresh_hours)
+
+
+def check_metrics(as_of: dt.datetime) -> dict[str, Column]:
+    """What the checks measure, as aggregates of orders."""
     today = D.on_day("transaction_date", as_of.date())
-    k = orders.agg(
-        F.count(F.when(today, F.lit(1))).alias("daily_count"),
-        F.max(F.when(today, F.col("total_amount"))).alias("max_amount"),
-        F.max("transaction_date").alias("latest"),
-    )
+    return {
+        "daily_count": F.count(F.when(today, F.lit(1))),
+        "max_amount": F.max(F.when(today, F.col("total_amount"))),
+        "latest": F.max("transaction_date"),
+    }
+
+
+def check_rows(
+    k: DataFrame,
+    as_of: dt.datetime,
+    min_daily: int = MIN_DAILY_TRANSACTIONS,
+    max_amount: int = MAX_TRANSACTION_AMOUNT,
+    fresh_hours: int = DATA_FRESHNESS_HOURS,
+) -> DataFrame:
+    """The check rows of one row of metrics."""
     biggest = F.coalesce(F.col("max_amount"), F.lit(0))
     hours = D.hours_since(F.to_date("latest"), as_of)
     checks = (
@@ -160,3 +177,30 @@ def daily_volume_sql(spark, orders: DataFrame, day: dt.date) -> DataFrame:
         },
         orders=orders,
     )
+
+
+METRICS_SCHEMA = "daily_count BIGINT, max_amount DECIMAL(20,6), latest TIMESTAMP_NTZ"
+
+
+def publish_checked(
+    versions: Versions,
+    orders: DataFrame,
+    as_of: dt.datetime,
+    required: tuple[str, ...] = (),
+    **limits: int,
+) -> DataFrame:
+    """Publish ``orders`` as a version; the checks are measured by the write.
+
+    No scan besides the write reads the table.  If a check named in
+    ``required`` fails, the version in force stays and GateFailed is raised.
+    Returns the check rows.
+    """
+    spark = orders.sparkSession
+
+    def rows(found: dict) -> DataFrame:
+        return check_rows(spark.createDataFrame([tuple(found[k] for k in ("daily_count", "max_amount", "latest"))], METRICS_SCHEMA), as_of, **limits)
+
+    def gate(found: dict) -> list[str]:
+        return [r["message"] for r in rows(found).collect() if not r["passed"] and r["check_name"] in required]
+
+    return rows(versions.publish(orders, as_of, metrics=check_metrics(as_of), gate=gate if required else None))

@@ -19,10 +19,12 @@ from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
 from ledgerlens.session import shared_dir
 from ledgerlens.sources import landing as L
+from ledgerlens.sources.incremental import IncrementalTable
+from ledgerlens.sources.manifest import Versions
 from ledgerlens.sources.retail import LINE_MONEY, RetailSource
 from ledgerlens.sources.tables import TABLE_SCHEMAS
 from ledgerlens.sources.warehouse import materialize
-from ledgerlens.streaming.landing_stream import ingest_available
+from ledgerlens.streaming.landing_stream import ingest_available, ingest_available_with_quarantine
 from ledgerlens.streaming.rollup_stream import read_rollup, refresh_daily_rollup
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -775,15 +777,138 @@ def q_etl_pipeline(spark, sf_dir):
     landed = L.landing_ingest(spark, landing, "csv", TABLE_SCHEMAS["lineitem"])
     lines = E.fill_missing(E.dedupe_transactions(landed, LINE_KEYS, LINE_ORDER), _ETL_FILLS, _ETL_REQUIRED)
     tagged = E.validate_split(src.sales(lines=lines), E.sales_rules(src.as_of()))
-    loaded, rejected = E.load_sales(tagged, src.products(), shared_dir(spark, "etl"))
-    good = spark.read.schema("year_month STRING, quantity DOUBLE").parquet(loaded)
-    bad = spark.read.schema("transaction_date DATE, quantity DOUBLE").parquet(rejected)
-    both = good.select(F.lit("loaded").alias("outcome"), "year_month", "quantity").unionByName(
-        bad.select(F.lit("rejected").alias("outcome"), Dt.year_month("transaction_date").alias("year_month"), "quantity")
-    )
+    root = shared_dir(spark, "etl")
+    E.load_sales(tagged, src.products(), root)
+    both = spark.read.schema("quantity DOUBLE, outcome STRING, year_month STRING").parquet(root)
     return both.groupBy("outcome", "year_month").agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity"))
 
 
+# Lines whose discount, quantity or price is blanked out, by part key: the raw ones have no NULLs.
+LINE_GAPS = {"l_discount": 13, "l_quantity": 17, "l_extendedprice": 19}
+_GAP_LINES = ", ".join(f"CASE WHEN l_partkey % {LINE_GAPS[c]} <> 0 THEN {c} END AS {c}" if c in LINE_GAPS else c for c in _LINE_COLS)
+
+
+@register(
+    "etl_outcomes",
+    O.with_views(
+        f"""
+gaps AS (SELECT {_GAP_LINES} FROM lineitem),
+kept AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                     ORDER BY {', '.join(f'{c} NULLS FIRST' for c in LINE_ORDER + _LINE_REST)}) AS rn
+        FROM gaps
+    ) WHERE rn = 1
+),
+s AS (
+    SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey, k.l_partkey, k.l_quantity,
+           CAST(k.l_extendedprice AS DECIMAL(18,6)) * (1 - CAST(COALESCE(k.l_discount, 0.0) AS DECIMAL(9,6))) AS amount
+    FROM kept k JOIN orders o ON k.l_orderkey = o.o_orderkey
+),
+t AS (
+    SELECT s.*, p.profit_margin,
+           concat_ws(';',
+             CASE WHEN o_custkey IS NULL THEN 'missing_customer' END,
+             CASE WHEN l_partkey IS NULL THEN 'missing_product' END,
+             CASE WHEN d IS NULL THEN 'missing_date' END,
+             CASE WHEN NOT COALESCE(d <= (SELECT d FROM as_of), FALSE) THEN 'future_date' END,
+             CASE WHEN NOT COALESCE(l_quantity > 0, FALSE) THEN 'non_positive_quantity' END,
+             CASE WHEN NOT COALESCE(amount >= 0, FALSE) THEN 'negative_amount' END,
+             CASE WHEN NOT COALESCE(amount <= {E.MAX_AMOUNT}, FALSE) THEN 'amount_over_limit' END
+           ) AS reject_reason
+    FROM s LEFT JOIN products p ON s.l_partkey = p.product_id
+)
+SELECT CASE WHEN reject_reason = '' THEN 'loaded' ELSE 'rejected' END AS outcome, reject_reason, strftime(d, '%Y-%m') AS year_month,
+       COUNT(*) AS row_count, SUM(l_quantity) AS quantity,
+       CAST(SUM(CAST(CAST(amount AS DOUBLE) AS DECIMAL(18,6))) AS DOUBLE) AS amount,
+       CAST(SUM(CAST({O.percent_of('amount', 'profit_margin')} AS DECIMAL(18,2))) AS DOUBLE) AS profit
+FROM t GROUP BY 1, 2, 3
+"""
+    ),
+)
+def q_etl_outcomes(spark, sf_dir):
+    """The ETL flow on lines with missing values: amounts, profit and reasons of what was written."""
+    src = _src(spark, sf_dir)
+    landing = shared_dir(spark, "landing-lines")
+    gaps = {c: F.when(F.col("l_partkey") % n != 0, F.col(c)) for c, n in LINE_GAPS.items()}
+    L.write_landing(src.table("lineitem").withColumns(gaps), landing, "csv")
+    landed = L.landing_ingest(spark, landing, "csv", TABLE_SCHEMAS["lineitem"])
+    lines = E.fill_missing(E.dedupe_transactions(landed, LINE_KEYS, LINE_ORDER), _ETL_FILLS, _ETL_REQUIRED)
+    tagged = E.validate_split(src.sales(lines=lines), E.sales_rules(src.as_of()))
+    root = shared_dir(spark, "etl")
+    E.load_sales(tagged, src.products(), root)
+    rows = spark.read.schema("quantity DOUBLE, total_amount DOUBLE, estimated_profit DOUBLE, reject_reason STRING, outcome STRING, year_month STRING").parquet(root)
+    sums = [F.sum(F.col(c).cast(kind)).cast("double").alias(a) for c, kind, a in (("total_amount", "decimal(18,6)", "amount"), ("estimated_profit", "decimal(18,2)", "profit"))]
+    return rows.groupBy("outcome", "reject_reason", "year_month").agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity"), *sums)
+
+
+@register("incremental_load", ORACLE["dedupe_transactions"])
+def q_incremental_load(spark, sf_dir):
+    """Two landings that share a third of their keys: every key is loaded once."""
+    lines = _src(spark, sf_dir).table("lineitem")
+    table = IncrementalTable(spark, shared_dir(spark, "incremental-lines"), lines.schema, LINE_KEYS)
+    for left_out in (0, 1):
+        landing = shared_dir(spark, "landing-lines")
+        L.write_landing(lines.filter(F.col("l_orderkey") % 3 != left_out), landing, "csv")
+        table.load(L.landing_ingest(spark, landing, "csv", lines.schema), LINE_ORDER)
+    return table.read()
+
+
+ORDER_LIMIT = 400_000  # of an order's total; larger ones are rejected
+BROKEN_PRICE, BROKEN_LINE = 97, 101  # order keys that these divide land as lines that don't parse
+
+
+@register(
+    "landing_quarantine",
+    f"""
+WITH t AS (
+    SELECT CASE WHEN o_orderkey % {BROKEN_PRICE} = 0 OR o_orderkey % {BROKEN_LINE} = 0 THEN 'broken'
+                WHEN o_totalprice > {ORDER_LIMIT} THEN 'rejected' ELSE 'loaded' END AS outcome, o_totalprice
+    FROM orders
+)
+SELECT outcome, COUNT(*) AS row_count,
+       CAST(SUM(CASE WHEN outcome <> 'broken' THEN CAST(o_totalprice AS DECIMAL(20,6)) END) AS DOUBLE) AS amount
+FROM t GROUP BY 1
+""",
+)
+def q_landing_quarantine(spark, sf_dir):
+    """Orders land as text lines, some of them damaged: loaded, rejected and broken ones add up to all."""
+    orders = _src(spark, sf_dir).table("orders")
+    landing = shared_dir(spark, "landing-orders")
+    _damaged_lines(orders).write.text(landing)
+    rows, broken = L.ingest_with_quarantine(spark, landing, "csv", TABLE_SCHEMAS["orders"], shared_dir(spark, "quarantined"), header=False)
+    return _outcomes(rows, broken)
+
+
+@register("landing_quarantine_stream", ORACLE["landing_quarantine"])
+def q_landing_quarantine_stream(spark, sf_dir):
+    orders = _src(spark, sf_dir).table("orders")
+    landing = shared_dir(spark, "landing-orders")
+    _damaged_lines(orders).write.text(landing)
+    rows, broken = ingest_available_with_quarantine(
+        spark, landing, "csv", TABLE_SCHEMAS["orders"], shared_dir(spark, "quarantined"), shared_dir(spark, "quarantine-checkpoint"), header=False
+    )
+    return _outcomes(rows, broken)
+
+
+def _damaged_lines(orders: DataFrame) -> DataFrame:
+    """The landing's text: some lines have a price that is no number, some end early."""
+    price = F.when(F.col("o_orderkey") % BROKEN_PRICE == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    fields = [F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), price]
+    ends = [F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.col("o_orderpriority")]
+    line = F.when(F.col("o_orderkey") % BROKEN_LINE == 0, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, *ends))
+    return orders.select(line.alias("value"))
+
+
+def _outcomes(rows: DataFrame, broken: DataFrame) -> DataFrame:
+    rules = {"missing_customer": F.col("o_custkey").isNotNull(), "amount_over_limit": F.col("o_totalprice") <= ORDER_LIMIT}
+    tagged = E.validate_split(rows, rules)
+    outcome = F.when(F.col("is_valid"), F.lit("loaded")).otherwise(F.lit("rejected"))
+    amount = F.col("o_totalprice").cast("decimal(20,6)")
+    both = tagged.select(outcome.alias("outcome"), amount.alias("amount")).unionByName(broken.select(F.lit("broken").alias("outcome"), F.lit(None).cast("decimal(20,6)").alias("amount")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"), F.sum("amount").cast("double").alias("amount"))
+
+
 @register("landing_customers", "SELECT * FROM customer")
 def q_landing_customers(spark, sf_dir):
     return _landed(spark, sf_dir, "customers", "customer")
@@ -825,6 +950,38 @@ def q_snapshot_retention(spark, sf_dir):
     return kept
 
 
+SNAPSHOT_HOURS = (9 * 24, 3 * 24, 3 * 24 - 6, 0)  # before the last run; two of the runs are on one day
+
+
+@register(
+    "snapshot_history",
+    O.with_views(
+        "u AS ("
+        + "\nUNION ALL\n".join(
+            f"SELECT (SELECT ts FROM as_of) - INTERVAL {h} HOUR AS snapshot_at, COUNT(*) AS row_count, "
+            "CAST(SUM(total_amount) AS DOUBLE) AS total_amount FROM order_transactions"
+            for h in SNAPSHOT_HOURS
+            if h <= 24 * SNAPSHOT_KEEP_DAYS
+        )
+        + ")\nSELECT * FROM u"
+    ),
+)
+def q_snapshot_history(spark, sf_dir):
+    """Backups at second grain: runs of one day stand beside each other, old ones go."""
+    src = _src(spark, sf_dir)
+    path = shared_dir(spark, "order-versions")
+    for hours in SNAPSHOT_HOURS:
+        versions = L.take_snapshot(src.orders(), path, src.as_of() - dt.timedelta(hours=hours), SNAPSHOT_KEEP_DAYS)
+    return versions.summary()
+
+
+@register("quality_checks_published", ORACLE["quality_checks"])
+def q_quality_checks_published(spark, sf_dir):
+    """The checks, measured by the write that publishes the orders."""
+    src = _src(spark, sf_dir)
+    return K.publish_checked(Versions(spark, shared_dir(spark, "checked-orders")), src.orders(), src.as_of())
+
+
 # ============================================================ dashboard / KPI report
 @register(
     "daily_revenue",
@@ -839,6 +996,23 @@ def q_daily_revenue(spark, sf_dir):
     return DB.daily_revenue(_src(spark, sf_dir).sales())
 
 
+@register(
+    "daily_revenue_30d",
+    O.with_views(
+        """
+axis AS (SELECT CAST((SELECT d FROM as_of) - CAST(i AS INTEGER) AS DATE) AS transaction_date FROM range(30) t(i)),
+found AS (SELECT transaction_date, SUM(total_amount) AS rev, COUNT(*) AS n FROM sales_transactions GROUP BY 1)
+SELECT transaction_date, COALESCE(CAST(rev AS DOUBLE), 0.0) AS revenue, COALESCE(n, 0) AS transaction_count
+FROM axis LEFT JOIN found USING (transaction_date) ORDER BY 1
+"""
+    ),
+)
+def q_daily_revenue_30d(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    first = src.as_of().date() - dt.timedelta(days=29)
+    return DB.daily_revenue_calendar(src.sales(since=first), src.as_of(), 30)
+
+
 @register(
     "kpi_revenue_trends",
     O.with_views(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ledgerlens.sources.landing import TEXT_OPTIONS
+from ledgerlens.sources.landing import quarantine_options, split_outcomes, tag_broken, text_options, unescape_breaks, with_broken
 
 
 def ingest_available(
@@ -25,6 +25,7 @@ def ingest_available(
     checkpoint_path: str,
     max_files_per_trigger: int = 1000,
     timeout_s: float | None = None,
+    breaks: str = "escaped",
 ) -> DataFrame:
     """Process every landing file not yet ingested, then return the table.
 
@@ -35,10 +36,12 @@ def ingest_available(
     stream = (
         spark.readStream.schema(schema)
         .format(fmt)
-        .options(**TEXT_OPTIONS.get(fmt, {}))
+        .options(**text_options(fmt, breaks))
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(landing_path)
     )
+    if fmt == "csv" and breaks == "escaped":
+        stream = unescape_breaks(stream)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
@@ -51,3 +54,35 @@ def ingest_available(
     if query.exception() is not None:
         raise query.exception()
     return spark.read.schema(schema).parquet(out_path)
+
+
+def ingest_available_with_quarantine(
+    spark: SparkSession,
+    landing_path: str,
+    fmt: str,
+    schema: StructType | str,
+    out_path: str,
+    checkpoint_path: str,
+    max_files_per_trigger: int = 1000,
+    breaks: str = "escaped",
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Like ``ingest_available``, but lines that don't fit the schema are kept apart: (rows, broken lines with their file) of all runs so far.
+
+    One sink takes both kinds, in folders by outcome, so a restarted run
+    neither loses nor repeats a line of either.
+    """
+    options = quarantine_options(fmt, breaks, header)
+    raw = spark.readStream.schema(with_broken(schema)).format(fmt).options(**options).option("maxFilesPerTrigger", max_files_per_trigger).load(landing_path)
+    tagged = tag_broken(raw, fmt == "csv" and breaks == "escaped")
+    query = (
+        tagged.writeStream.format("parquet")
+        .partitionBy("outcome")
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start(out_path)
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return split_outcomes(spark, out_path, schema)

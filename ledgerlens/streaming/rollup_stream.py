@@ -5,7 +5,10 @@ dashboards read the rollup, never the facts.  Each micro-batch writes its
 own contribution (exact revenue and counts plus HLL customer sketches per
 (date, region)) to ``<rollup>/batch_id=<n>`` with overwrite, so a batch that
 is re-run after a failure replaces exactly what it wrote before: the refresh
-is exactly-once without a transactional table format.  ``read_rollup``
+is exactly-once without a transactional table format.  Batch numbers belong to
+one checkpoint: the rollup's manifest names it, and a refresh with another
+checkpoint (a lost one, say) is refused rather than counted twice.
+``read_rollup``
 merges the contributions (sums add, sketches union), which is cheap because
 the rollup has days x regions x batches rows.  ``availableNow`` processes
 what has landed and stops, matching a scheduled refresh.
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.operators.rollups import HLL_LG_K, daily_rollup
+from ledgerlens.sources.manifest import Manifest
 
 ROLLUP_SCHEMA = (
     "transaction_date DATE, region STRING, revenue DECIMAL(38,12), "
@@ -37,6 +41,12 @@ def refresh_daily_rollup(
 ) -> None:
     """Fold every not-yet-seen landing file into the rollup, then stop."""
     root = rollup_path.rstrip("/")
+    owner = Manifest(spark, f"{root}/_owner")  # a name with _ is not read as data
+    state = owner.load()
+    if state is None:
+        owner.commit({"checkpoint": checkpoint_path.rstrip("/")})
+    elif state["checkpoint"] != checkpoint_path.rstrip("/"):
+        raise ValueError(f"the rollup was built with the checkpoint {state['checkpoint']}; start a new rollup or use that one")
 
     def write_contribution(batch: DataFrame, batch_id: int) -> None:
         (

@@ -207,7 +207,11 @@ def test_daily_job_writes_every_output(spark, sf_dir):
     assert {c["check_name"] for c in result["quality_checks"]} == {
         "daily_volume", "amount_outlier", "freshness", "duplicate_ratio",
         "missing_ratio:customer_id", "missing_ratio:transaction_date", "missing_ratio:total_amount"}
-    assert L.list_snapshots(spark, f"{out}/snapshots/products") == L.list_snapshots(spark, f"{out}/snapshots/orders")
+    from ledgerlens.sources.manifest import Versions
+
+    at = [[v["at"] for v in Versions(spark, f"{out}/snapshots/{name}").list()] for name in ("orders", "sales", "products")]
+    assert at[0] == at[1] == at[2] and len(at[0]) == 1
+    assert spark.read.parquet(result["dashboard"]["day_hour_heatmap"]).count() == 168
     assert spark.read.parquet(result["dashboard"]["kpi_cards"]).count() == 4
     assert spark.read.parquet(result["dashboard"]["revenue_growth"]).count() == 80
     assert len(result["snapshots"]) == 1
@@ -330,9 +334,15 @@ def test_broken_landing_rows_fail_both_ways(spark):
 def test_csv_landing_keeps_line_breaks_and_empty_text(spark):
     schema = "k BIGINT, note STRING"
     rows = [(1, "two\nlines, \"quoted\""), (2, ""), (3, None)]
-    landing = shared_dir(spark, "t-land-csv")
+    rows += [(4, "back\\slash \\n \\\\n \\"), (5, "\r\n\\\n"), (6, "\\N"), (7, "\\\\N")]
+    for breaks in ("escaped", "quoted"):
+        landing = shared_dir(spark, "t-land-csv")
+        kept = [r for r in rows if breaks == "escaped" or r[0] not in (5, 6)]  # quoted text has one kind of line end, and no text that means NULL
+        L.write_landing(spark.createDataFrame(kept, schema), landing, "csv", breaks)
+        assert sorted(tuple(r) for r in L.landing_ingest(spark, landing, "csv", schema, breaks=breaks).collect()) == kept
+    landing, out, ckpt = (shared_dir(spark, p) for p in ("t-land-csv", "t-out-csv", "t-ckpt-csv"))
     L.write_landing(spark.createDataFrame(rows, schema), landing, "csv")
-    assert sorted(tuple(r) for r in L.landing_ingest(spark, landing, "csv", schema).collect()) == rows
+    assert sorted(tuple(r) for r in ingest_available(spark, landing, "csv", schema, out, ckpt).collect()) == rows
 
 
 def test_timed_out_ingest_is_an_error(spark):

@@ -29,3 +29,17 @@ def test_incremental_refresh_matches_batch(spark, sf_dir):
     merged = read_rollup(spark, rollup)
     assert sorted(R.daily_revenue_from_rollup(merged).collect()) == sorted(DB.daily_revenue(sales).collect())
     assert sorted(R.regional_share_from_rollup(merged).collect()) == sorted(DB.regional_share(sales, RetailSource(spark, sf_dir).regions()).collect())
+
+
+def test_rollup_refuses_another_checkpoint(spark):
+    import pytest
+
+    landing, rollup = shared_dir(spark, "t-own-land"), shared_dir(spark, "t-own-rollup")
+    rows = [(1, 1, dt.date(2024, 1, 1), 1.0, None, "EU")]
+    spark.createDataFrame(rows, SALES_SCHEMA).write.parquet(landing)
+    first = shared_dir(spark, "t-own-ckpt")
+    refresh_daily_rollup(spark, landing, SALES_SCHEMA, rollup, first)
+    with pytest.raises(ValueError):
+        refresh_daily_rollup(spark, landing, SALES_SCHEMA, rollup, shared_dir(spark, "t-own-other"))
+    refresh_daily_rollup(spark, landing, SALES_SCHEMA, rollup, first)
+    assert read_rollup(spark, rollup).agg(F.sum("transaction_count")).first()[0] == 1
