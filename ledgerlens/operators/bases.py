@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
@@ -28,12 +28,29 @@ SEGMENTS = (
 )
 
 
+def orders_where(orders: DataFrame, condition: Column | None = None) -> Column:
+    """How many orders meet a condition.  ``orders`` has a row per order, or is
+    a customer state (``sources.customer_state``), whose rows stand for
+    ``n_orders`` each."""
+    if "n_orders" not in orders.columns:
+        return F.count(F.lit(1) if condition is None else F.when(condition, F.lit(1)))
+    n = F.col("n_orders")
+    return F.coalesce(F.sum(n if condition is None else F.when(condition, n)), F.lit(0))
+
+
+def paid_where(orders: DataFrame, condition: Column) -> Column:
+    """How many of them have an amount."""
+    if "n_paid" not in orders.columns:
+        return F.count(F.when(condition, F.col("total_amount")))
+    return F.coalesce(F.sum(F.when(condition, F.col("n_paid"))), F.lit(0))
+
+
 def customer_base(orders: DataFrame, as_of: dt.datetime) -> DataFrame:
     """customer_id, last_purchase_date, total_transactions, total_spent,
     days_since (fractional) and the exact microsecond gap ``_micros_since``."""
     base = orders.groupBy("customer_id").agg(
         F.max("transaction_date").alias("last_purchase_date"),
-        F.count(F.lit(1)).alias("total_transactions"),
+        orders_where(orders).alias("total_transactions"),
         F.sum("total_amount").alias("total_spent"),
     )
     micros = D.micros_between("last_purchase_date", D.ts_literal(as_of))

@@ -22,6 +22,8 @@ from ledgerlens.operators.bases import (
     MONETARY_LIMITS,
     RECENCY_LIMITS,
     customer_base,
+    orders_where,
+    paid_where,
     rfm_scored,
     segment_of,
 )
@@ -214,16 +216,16 @@ def kpi_cards(orders: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFram
     amt = F.col("total_amount")
     per_customer = orders.groupBy("customer_id").agg(
         F.sum(F.when(in_cur, amt)).alias("cur_rev"),
-        F.count(F.when(in_cur, amt)).alias("cur_paid"),
-        F.count(F.when(in_cur, F.lit(1))).alias("cur_n"),
+        paid_where(orders, in_cur).alias("cur_paid"),
+        orders_where(orders, in_cur).alias("cur_n"),
         F.sum(F.when(in_prev, amt)).alias("prev_rev"),
-        F.count(F.when(in_prev, amt)).alias("prev_paid"),
-        F.count(F.when(in_prev, F.lit(1))).alias("prev_n"),
+        paid_where(orders, in_prev).alias("prev_paid"),
+        orders_where(orders, in_prev).alias("prev_n"),
         F.max(date).alias("last_purchase_date"),
-        F.count(F.lit(1)).alias("total_transactions"),
+        orders_where(orders).alias("total_transactions"),
         F.sum(amt).alias("total_spent"),
         F.max(F.when(upto_prev, date)).alias("prev_last"),
-        F.count(F.when(upto_prev, F.lit(1))).alias("prev_total_transactions"),
+        orders_where(orders, upto_prev).alias("prev_total_transactions"),
         F.sum(F.when(upto_prev, amt)).alias("prev_total_spent"),
     )
 
@@ -282,8 +284,8 @@ def kpi_by_range(
         inside = D.on_or_after(date, D.window_start(as_of, days))
         aggs += [
             F.sum(F.when(inside, F.col("total_amount"))).alias(f"_rev{i}"),
-            F.count(F.when(inside, F.lit(1))).alias(f"_n{i}"),
-            F.count(F.when(inside, F.col("total_amount"))).alias(f"_paid{i}"),
+            orders_where(orders, inside).alias(f"_n{i}"),
+            paid_where(orders, inside).alias(f"_paid{i}"),
         ]
     per_customer = orders.groupBy("customer_id").agg(*aggs)
     totals = []

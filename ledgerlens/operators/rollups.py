@@ -9,11 +9,17 @@ the panels below are served from it without touching the facts again:
   exact, because weekday, month and quarter are functions of the date;
 * unique customers per month come from merging the daily sketches
   (``hll_union_agg``) - an estimate, since distinct counts cannot be added.
+
+``daily_bitmaps`` keeps who bought on a day exactly, as bitmaps of customer
+numbers (4 kB for 32,768 consecutive numbers, where any of them bought);
+months, regions or any union of days then count distinct customers exactly,
+by OR.  Theta sketches estimate what bitmaps of sparse numbers would be too
+large for: who came back, who was lost.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
@@ -75,3 +81,36 @@ def monthly_from_rollup(rollup: DataFrame) -> DataFrame:
         )
         .orderBy("year_month")
     )
+
+
+def daily_bitmaps(sales: DataFrame, *groups: str) -> DataFrame:
+    """transaction_date, ``groups``, range_number, customers (bitmap): who bought on each day."""
+    rows = sales.filter(F.col("customer_id").isNotNull())
+    number = F.bitmap_bucket_number("customer_id").alias("range_number")
+    return rows.groupBy("transaction_date", *groups, number).agg(F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("customers"))
+
+
+def distinct_customers(bitmaps: DataFrame, **groups: Column) -> DataFrame:
+    """COUNT(DISTINCT customer_id) of any grouping of ``daily_bitmaps``, exactly."""
+    merged = bitmaps.groupBy(*[c.alias(name) for name, c in groups.items()], "range_number").agg(F.bitmap_or_agg("customers").alias("customers"))
+    return merged.groupBy(*groups).agg(F.sum(F.bitmap_count("customers")).alias("unique_customers"))
+
+
+def monthly_customers(bitmaps: DataFrame) -> DataFrame:
+    """Distinct customers per month, from the daily bitmaps."""
+    return distinct_customers(bitmaps, year_month=D.year_month("transaction_date")).orderBy("year_month")
+
+
+def daily_thetas(sales: DataFrame, lg_k: int = 14) -> DataFrame:
+    """transaction_date, customers (theta sketch)."""
+    return sales.filter(F.col("customer_id").isNotNull()).groupBy("transaction_date").agg(F.theta_sketch_agg("customer_id", lg_k).alias("customers"))
+
+
+def returning_customers(thetas: DataFrame, previous: Column, current: Column, lg_k: int = 14) -> DataFrame:
+    """One row of estimates from ``daily_thetas``: previous, current, returning (bought in both), lost (in the previous only), new (in the current only)."""
+    empty = F.lit(None).cast("long")
+    before = F.coalesce(F.theta_union_agg(F.when(previous, F.col("customers")), lg_k), F.theta_sketch_agg(empty, lg_k))
+    now = F.coalesce(F.theta_union_agg(F.when(current, F.col("customers")), lg_k), F.theta_sketch_agg(empty, lg_k))
+    k = thetas.agg(before.alias("before"), now.alias("now"))
+    parts = {"previous": F.col("before"), "current": F.col("now"), "returning": F.theta_intersection("before", "now"), "lost": F.theta_difference("before", "now"), "new": F.theta_difference("now", "before")}
+    return k.select(*[F.theta_sketch_estimate(x).alias(name) for name, x in parts.items()])

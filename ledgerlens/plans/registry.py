@@ -19,9 +19,10 @@ from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
 from ledgerlens.session import shared_dir
 from ledgerlens.sources import landing as L
+from ledgerlens.sources.customer_state import CustomerState
 from ledgerlens.sources.incremental import IncrementalTable
 from ledgerlens.sources.manifest import Versions
-from ledgerlens.sources.retail import LINE_MONEY, RetailSource
+from ledgerlens.sources.retail import LINE_MONEY, ORDER_MONEY, RetailSource
 from ledgerlens.sources.tables import TABLE_SCHEMAS
 from ledgerlens.sources.warehouse import materialize
 from ledgerlens.streaming.landing_stream import ingest_available, ingest_available_with_quarantine
@@ -1236,6 +1237,59 @@ def q_seasonal_analysis_rollup(spark, sf_dir):
     return R.seasonal_from_rollup(R.daily_rollup(_src(spark, sf_dir).sales(region=True)))
 
 
+@register(
+    "monthly_customers_rollup",
+    O.with_views(
+        """
+m AS (SELECT strftime(transaction_date, '%Y-%m') AS year_month, COUNT(DISTINCT customer_id) AS unique_customers
+      FROM order_transactions GROUP BY 1)
+SELECT year_month, unique_customers FROM m ORDER BY 1
+"""
+    ),
+)
+def q_monthly_customers_rollup(spark, sf_dir):
+    """Monthly distinct customers from daily bitmaps, exactly."""
+    orders = _src(spark, sf_dir).orders().withColumn("transaction_date", F.col("transaction_date").cast("date"))
+    return R.monthly_customers(R.daily_bitmaps(orders))
+
+
+# ============================================================ customer state
+def _state_of_deltas(spark, src) -> DataFrame:
+    """The customer state after three days' orders were merged one after another (a third of the keys each)."""
+    state = CustomerState(spark, shared_dir(spark, "customer-state"))
+    keyed = src.table("orders")
+    for k in range(3):
+        delta = keyed.filter(F.col("o_orderkey") % 3 == k).select(
+            F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("transaction_date"), F.col("o_totalprice").cast(ORDER_MONEY).alias("total_amount")
+        )
+        state.merge(delta, f"delta-{k}")
+    return state.read()
+
+
+@register("customer_churn_state", ORACLE["customer_churn"])
+def q_customer_churn_state(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return A.customer_churn(_state_of_deltas(spark, src), src.as_of())
+
+
+@register("rfm_segments_state", ORACLE["rfm_segments"])
+def q_rfm_segments_state(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return A.rfm_segments(_state_of_deltas(spark, src), src.as_of())
+
+
+@register("kpi_cards_state", ORACLE["kpi_cards"])
+def q_kpi_cards_state(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_cards(_state_of_deltas(spark, src), src.as_of())
+
+
+@register("kpi_by_range_state", ORACLE["kpi_by_range"])
+def q_kpi_by_range_state(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return DB.kpi_by_range(_state_of_deltas(spark, src), src.as_of())
+
+
 # ============================================================ streaming path
 @register("daily_revenue_streamed", ORACLE["daily_revenue"])
 def q_daily_revenue_streamed(spark, sf_dir):
