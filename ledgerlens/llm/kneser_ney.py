@@ -47,7 +47,7 @@ from ledgerlens.session import shared_dir
 SLICE_CHARS = 12_000_000  # counted at a time
 SCORE_CHARS = 6_000_000
 SHARD_CHARS = 6_000_000
-MAX_SHARDS = 4096
+MOST_BITS = 24  # of shard numbers: at SHARD_CHARS each, 100 TB of text
 HOT_SAMPLE = 0.01
 BEGIN, END = b" begin", b" end"  # no word has a space
 
@@ -167,7 +167,7 @@ def train(docs: DataFrame, usable: Column, order: int = 2, doc_id: str = "doc_id
     rows = docs.filter(usable).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     wanted = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bits = min(MAX_SHARDS, 1 << max(0, math.ceil(math.log2(wanted)))).bit_length() - 1
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(wanted))))
     hot = _frequent(rows, order, bits)
     folder = shared_dir(spark, "kneser-ney")
 
@@ -202,17 +202,17 @@ def train(docs: DataFrame, usable: Column, order: int = 2, doc_id: str = "doc_id
             del got
             _, key, context = shard_and_key(grams, bits, hot.get(n, np.zeros(0, U)))
             at = np.argsort(key)
-            parts = [np.array([len(at)], "<u8").tobytes(), key[at].tobytes(), np.minimum(c[at], 2**32 - 1).astype("<u4").tobytes()]
+            parts = [np.array([len(at)], "<u8").tobytes(), key[at].tobytes(), c[at].astype("<u8").tobytes()]
             if n == 1:
                 parts.append(raw[at].astype("<u8").tobytes())
-            write_file(folder, f"grams-{n}-{shard:05d}", parts)
+            write_file(folder, f"grams-{n}-{shard:08d}", parts)
             by = np.argsort(context, kind="stable")
             context, cc = context[by], c[by]
             first = np.concatenate([[0], np.flatnonzero(np.diff(context)) + 1])
             numbers = np.stack([np.add.reduceat(x, first) for x in (cc, cc == 1, cc == 2, cc > 2)]).astype(np.int64)
             context = context[first]
             alone = np.zeros(len(context), bool) if n == 1 else ~is_in(context, hot[n])
-            write_file(folder, f"contexts-{n}-{shard:05d}", [np.array([alone.sum()], "<u8").tobytes(), context[alone].tobytes(), numbers[0, alone].astype("<u8").tobytes(), numbers[1:, alone].astype("<u4").tobytes()])
+            write_file(folder, f"contexts-{n}-{shard:08d}", [np.array([alone.sum()], "<u8").tobytes(), context[alone].tobytes(), numbers[0, alone].astype("<u8").tobytes(), numbers[1:, alone].astype("<u8").tobytes()])
             seen = np.array([(c == k).sum() for k in (1, 2, 3, 4)] + [len(c), raw.sum()], "<i8")
             spread = b"".join(x.tobytes() for x in (context[~alone], *numbers[:, ~alone]))
             yield arrow_rows(_BLOCK, [[-1 - n], [seen.tobytes() + spread]])
@@ -292,14 +292,14 @@ class Reader:
         return self.files[name]
 
     def counts(self, n: int, shard: int) -> tuple[np.ndarray, ...]:
-        data = self._map(f"grams-{n}-{shard:05d}")
+        data = self._map(f"grams-{n}-{shard:08d}")
         k = int(data[:8].view("<u8")[0])
-        return data[8 : 8 + 8 * k].view("<u8"), data[8 + 8 * k : 8 + 12 * k].view("<u4"), data[8 + 12 * k :]
+        return data[8 : 8 + 8 * k].view("<u8"), data[8 + 8 * k : 8 + 16 * k].view("<u8"), data[8 + 16 * k :]
 
     def contexts(self, n: int, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        data = self._map(f"contexts-{n}-{shard:05d}")
+        data = self._map(f"contexts-{n}-{shard:08d}")
         k = int(data[:8].view("<u8")[0])
-        return data[8 : 8 + 8 * k].view("<u8"), data[8 + 8 * k : 8 + 16 * k].view("<u8"), data[8 + 16 * k : 8 + 28 * k].view("<u4").reshape(3, k)
+        return data[8 : 8 + 8 * k].view("<u8"), data[8 + 8 * k : 8 + 16 * k].view("<u8"), data[8 + 16 * k : 8 + 40 * k].view("<u8").reshape(3, k)
 
     def find(self, shards: np.ndarray, keys: np.ndarray, arrays, out: list[np.ndarray]) -> None:
         """Values of sorted keys, shard by shard; ``arrays`` gives a shard's sorted keys and values."""

@@ -132,6 +132,19 @@ def test_kneser_ney_equals_brute_force(spark, monkeypatch):
         assert sorted((str(r["doc_id"]), *(round(x, 6) if isinstance(x, float) else x for x in tuple(r)[1:])) for r in got) == sorted(want), (order, spread)
 
 
+def test_counts_beyond_four_bytes(tmp_path):
+    """What a shard's file holds is not clipped."""
+    from ledgerlens.llm.common import write_file
+
+    model = kneser_ney.Model(str(tmp_path), 2, 0, {2: np.zeros(0, np.uint64)}, {1: {}, 2: {}}, {1: (0.5, 0.5, 0.5), 2: (0.5, 0.5, 0.5)}, 10, 2)
+    parts = [np.array([1], "<u8"), np.array([7], "<u8"), np.array([2**40], "<u8")]
+    write_file(model.folder, "grams-2-00000000", [x.tobytes() for x in parts])
+    write_file(model.folder, "contexts-2-00000000", [x.tobytes() for x in [*parts, np.array([1, 2, 2**35], "<u8")]])
+    reader = kneser_ney.Reader(model)
+    assert reader.counts(2, 0)[1].tolist() == [2**40]
+    assert reader.contexts(2, 0)[1].tolist() == [2**40] and reader.contexts(2, 0)[2][:, 0].tolist() == [1, 2, 2**35]
+
+
 def test_kneser_ney_edges(spark):
     docs = frame(spark, edge_rows())
     untrained = kneser_ney.train(docs, F.lit(False), 2)
