@@ -8,9 +8,11 @@ the same file again.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +71,33 @@ def write_file(folder: str, name: str, parts: list[bytes]) -> None:
     store.move(mine, f"{base}/{name}")
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def kept_by_worker(name: str, clear: Callable[[], None]) -> None:
+    """Register what a Python worker keeps from task to task, by how it is dropped."""
+    _KEPT[name] = clear
+
+
+def use_only(*names: str) -> None:
+    """Drop what this worker has kept for other operators: workers outlive the stages of a pipeline."""
+    for name, clear in _KEPT.items():
+        if name not in names:
+            clear()
+    _return_free_memory()
+
+
+def give_back() -> None:
+    """At a task's end: drop what this worker has kept, and return free memory to the system, which the next stage may need."""
+    use_only()
+
+
+def _return_free_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

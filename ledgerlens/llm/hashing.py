@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-WORDS_KEPT = 500_000  # of a worker's memory; results don't depend on it
+from ledgerlens.llm.common import kept_by_worker
+
+WORDS_KEPT = 300_000  # of a worker's memory; results don't depend on it
 U = np.uint64
 
 
@@ -20,6 +22,7 @@ class Words(dict):
 
 
 WORDS = Words()
+kept_by_worker("words", WORDS.clear)
 
 
 def mix(h: np.ndarray, more: np.ndarray) -> np.ndarray:

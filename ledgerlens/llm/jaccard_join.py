@@ -48,14 +48,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import token_files
-from ledgerlens.llm.common import arrow_rows, bitmap, column, dealt_in_pairs, in_bitmap, spill, text_slices
+from ledgerlens.llm.common import arrow_rows, bitmap, column, dealt_in_pairs, give_back, in_bitmap, spill, text_slices, use_only
 from ledgerlens.llm.hashing import U, hash_of, mix, shingles
 
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 SHARD_CHARS = 6_000_000
 WANTED_BITS = 27  # of the filter of wanted documents, at most
 SLOT_BITS = 25  # of the table of rounded counts: 32 MB
-HELD_COUNTED = 6_000_000  # n-grams that a counting task holds before it sends them
+HELD_COUNTED = 4_000_000  # n-grams that a counting task holds before it sends them
 WIDTH = 5
 PERCENT = 75
 HELD_HASHES = 4_000_000  # of sets that a checking task keeps, 32 MB
@@ -142,6 +142,7 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
         return np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only("words")
         held, size = [], 0
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
@@ -157,6 +158,8 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 held, size = [], 0
         if size:
             yield send(held)
+        held = []
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
@@ -171,6 +174,7 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 held.setdefault(part, []).append(read(data))
         if held:
             yield classes(*held.popitem())
+        give_back()
 
     def classes(part: int, found: list[np.ndarray]) -> pa.RecordBatch:
         high = np.sort(np.concatenate(found))
@@ -205,6 +209,7 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
     """Prefix n-grams by shard, in blocks of (n-gram, set name, component, size).  ``docs``: text, comp (null: the set's own name)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only("words")
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
             comp = np.where(np.asarray(pa.compute.is_null(column(part, "comp"))), name, np.asarray(pa.compute.fill_null(column(part, "comp"), 0)).view(U))
@@ -234,6 +239,7 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
                 small = zlib.compress(n[who].astype("<u4").tobytes() + (2 * at + early[a:b]).astype("<u4").tobytes(), 1)
                 out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + comp[who].tobytes() + small)
             yield arrow_rows(_POSTINGS, [shard[edges[:-1]].view(np.int64) if len(h) else [], out])
+        give_back()
 
     return docs.mapInArrow(run, "shard long, data binary")
 
@@ -253,6 +259,7 @@ def shared_columns(blocks: DataFrame, bits: int) -> DataFrame:
                 held.setdefault(shard, []).append(data)
         if held:
             yield finish(held.popitem()[1])
+        give_back()
 
     def finish(data: list[bytes]) -> pa.RecordBatch:
         parts = []
@@ -391,6 +398,8 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 b.append(len(y))
                 both.append(int(is_in(x, y).sum()) if len(x) < len(y) else int(is_in(y, x).sum()))
             yield arrow_rows(schema, [column(batch, "pivot"), column(batch, "s"), a, b, both])
+        held.clear()
+        give_back()
 
     joined = pairs.join(texts.select(F.col("s").alias("pivot"), F.col("data").alias("text_p")), "pivot")
     joined = joined.join(texts.select("s", F.col("data").alias("text_s")), "s")
@@ -434,6 +443,7 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             name = sets_of(texts, width)[2].view(np.int64)
             once = {(s, i): k for k, (s, i) in enumerate(zip(name.tolist(), column(part, "doc_id").to_pylist(), strict=True))}
             yield arrow_rows(schema, [*zip(*once, strict=True), [small.compress(texts[k].encode("utf-8", "replace")) for k in once.values()]])
+        give_back()
 
     made = docs.withColumn("mark", mark).mapInArrow(run, "s long, doc_id long, data binary")
     same = (F.col("w.s") == F.col("m.s")) & F.col("w.doc_id").eqNullSafe(F.col("m.doc_id"))

@@ -22,6 +22,8 @@ from array import array
 
 import numpy as np
 
+from ledgerlens.llm.common import kept_by_worker
+
 # The Latin-1 part of the two pre-tokenizers' patterns.
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -92,6 +94,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
+kept_by_worker("encoder", _ENCODERS.clear)
 
 
 def encoder(name: str, split: str) -> Encoder:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import arrow_rows, column, text_slices
+from ledgerlens.llm.common import arrow_rows, column, give_back, text_slices, use_only
 
 MAX_DOCUMENTS = 8000
 SHARE = 0.75  # of a document's log(1 - score) that the located sentences make up
@@ -209,6 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
     schema = pa.schema([("word", pa.string()), ("weight", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only()
         bags = Bags()
         for batch in batches:
             text, label_ = column(batch, "text"), column(batch, "label")
@@ -234,10 +235,13 @@ def score(docs: DataFrame, model: Model, cut: float, keep: list[str], text: str
     out = StructType([*kept, *StructType.fromDDL("score double, predicted int, sentences array<struct<start:int,end:int,score:double>>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only()
         weight = model.of_words()
         for part, texts in text_slices(batches, "_scored_text", SLICE_CHARS):
             p = np.clip(score_texts(model, texts, weight), 0.0, 1.0)
             spans = [[dict(zip(("start", "end", "score"), s, strict=True)) for s in worst_sentences(model, x, SHARE, weight)] if y >= cut else [] for x, y in zip(texts, p, strict=True)]
             yield arrow_rows(schema, [*(column(part, c) for c in kept.names), p, (p >= cut).astype(np.int32), spans])
+        weight.clear()
+        give_back()
 
     return rows.mapInArrow(run, out)
