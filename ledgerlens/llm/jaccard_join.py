@@ -44,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import token_files
@@ -457,36 +457,18 @@ def first_pairs(classes: DataFrame) -> DataFrame:
     return keyed.join(pivots, ["k", "least"]).filter("s != pivot").select("pivot", "s").distinct()
 
 
-def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Documents with their classes, and verified links between sets: enough to connect every component.
+def reaches(percent: int) -> Column:
+    """Whether a verified pair is linked."""
+    return F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("a") + F.col("b") - F.col("overlap"))
 
-    The first table has a row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach, its own included).
-    """
-    spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
-    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bits = min(SLOT_BITS, math.ceil(math.log2(shards)))
-    found = spill(facts(docs, width, bits), "shingle-sets")
-    rows = found.filter("data is null").select("doc_id", "t", "n", "s", *LEAST, "bits")
-    least = F.min(F.struct("doc_id", "t"))  # of the ids, if there is one
-    named = rows.filter("n > 0").groupBy("s").agg(least.alias("any"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "t"))).alias("row"), *(F.min(c).alias(c) for c in (*LEAST, "bits")))
-    classes = spill(named.withColumn("row", F.coalesce("row", "any")).select("s", "row.doc_id", "row.t", *LEAST, "bits"), "set-classes")
-    similar = F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("a") + F.col("b") - F.col("overlap"))
-    distance = 1 - F.col("overlap") / (F.col("a") + F.col("b") - F.col("overlap"))
 
-    pairs = spill(first_pairs(classes), "first-pairs")
-    met = pairs.select("s").union(pairs.select("pivot")).distinct()
-    texts = spill(wanted_texts(docs, spill(classes.join(met, "s", "left_semi").select("s", "doc_id", "t"), "wanted-sets"), width), "wanted-texts")
-    checked = spill(verify(pairs, texts, width), "pairs")
-    links = checked.filter(similar).select("pivot", "s")
-    comps = components(links)
+def unite(cols: DataFrame, classes: DataFrame, texts: DataFrame, checked: DataFrame, links: DataFrame, comps: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (pivot, s) and components (s, comp) once no column (h, s, n, early) holds an unchecked pair of two components that can link.
 
-    often = repeated(found.filter("data is not null"), bits)
-    of_text = rows.select("t", "s").join(comps, "s").select("t", "comp").distinct()
-    cols = spill(shared_columns(postings(docs.select("t", "text").join(of_text, "t", "left"), width, percent, bits, often), bits), "shared-columns")
-    more = classes.join(cols.select("s").distinct(), "s", "left_semi").join(texts.select("s"), "s", "left_anti").select("s", "doc_id", "t")
-    texts = texts.union(spill(wanted_texts(docs, spill(more, "wanted-sets"), width), "wanted-texts"))
+    ``classes`` has s, bits; ``texts`` s, data of all sets in columns; ``checked`` what ``verify`` found so far, ``links`` and ``comps`` follow from it.
+    """
+    similar = reaches(percent)
+    distance = 1 - F.col("overlap") / (F.col("a") + F.col("b") - F.col("overlap"))
 
     def unchecked(pairs: DataFrame) -> DataFrame:
         done = checked.select("pivot", "s").union(checked.select(F.col("s").alias("pivot"), F.col("pivot").alias("s")))
@@ -520,6 +502,40 @@ def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, do
     if not new.isEmpty():
         links = links.union(new)
         comps = components(links)
+    return links, comps
+
+
+def join_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Documents with their classes, and verified links between sets: enough to connect every component.
+
+    The first table has a row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach, its own included).
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    shards = max(chars // SHARD_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bits = min(SLOT_BITS, math.ceil(math.log2(shards)))
+    found = spill(facts(docs, width, bits), "shingle-sets")
+    rows = found.filter("data is null").select("doc_id", "t", "n", "s", *LEAST, "bits")
+    least = F.min(F.struct("doc_id", "t"))  # of the ids, if there is one
+    named = rows.filter("n > 0").groupBy("s").agg(least.alias("any"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "t"))).alias("row"), *(F.min(c).alias(c) for c in (*LEAST, "bits")))
+    classes = spill(named.withColumn("row", F.coalesce("row", "any")).select("s", "row.doc_id", "row.t", *LEAST, "bits"), "set-classes")
+    similar = reaches(percent)
+
+    pairs = spill(first_pairs(classes), "first-pairs")
+    met = pairs.select("s").union(pairs.select("pivot")).distinct()
+    texts = spill(wanted_texts(docs, spill(classes.join(met, "s", "left_semi").select("s", "doc_id", "t"), "wanted-sets"), width), "wanted-texts")
+    checked = spill(verify(pairs, texts, width), "pairs")
+    links = checked.filter(similar).select("pivot", "s")
+    comps = components(links)
+
+    often = repeated(found.filter("data is not null"), bits)
+    of_text = rows.select("t", "s").join(comps, "s").select("t", "comp").distinct()
+    cols = spill(shared_columns(postings(docs.select("t", "text").join(of_text, "t", "left"), width, percent, bits, often), bits), "shared-columns")
+    more = classes.join(cols.select("s").distinct(), "s", "left_semi").join(texts.select("s"), "s", "left_anti").select("s", "doc_id", "t")
+    texts = texts.union(spill(wanted_texts(docs, spill(more, "wanted-sets"), width), "wanted-texts"))
+
+    links, comps = unite(cols, classes, texts, checked, links, comps, width, percent)
     named = classes.join(comps, "s", "left").select("s", "doc_id", F.coalesce("comp", "s").alias("comp"))
     of_comp = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_set = named.join(of_comp, "comp").select("s", "component_id")

@@ -75,7 +75,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edits(table(spark, sf_dir, "documents"))
+    return fingerprints.marked_edits(table(spark, sf_dir, "documents"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
