@@ -5,7 +5,9 @@ report -> backup with retention), expressed as one Spark application.
 The raw tables are joined once: the denormalised sales, orders and products
 are written to ``output_dir/warehouse`` first (a written table on shared
 storage cuts the lineage), and every panel then reads those files instead of
-re-joining the facts.  Every output is written under ``output_dir``; each
+re-joining the facts.  One pass over the sales makes the daily rollup, one over the
+orders the days' bitmaps of customers; the panels that are sums by day,
+season or region, or distinct customers by month, read these.  Every output is written under ``output_dir``; each
 write is its own job, so a failure re-runs only the write that failed.
 
 Usage::
@@ -19,18 +21,40 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
 from ledgerlens.operators import analytics as A
 from ledgerlens.operators import dashboard as DB
 from ledgerlens.operators import quality as K
+from ledgerlens.operators import rollups as R
 from ledgerlens.sources import landing as L
 from ledgerlens.sources.retail import RetailSource
 from ledgerlens.sources.warehouse import materialize
 
 
+def rollup_frames(rollup: DataFrame, bitmaps: DataFrame) -> dict[str, DataFrame]:
+    """The panels that the daily rollup and the bitmaps of customers answer exactly."""
+    return {
+        "regional_share": R.regional_share_from_rollup(rollup),
+        "daily_revenue": R.daily_revenue_from_rollup(rollup),
+        "seasonal_analysis": R.seasonal_from_rollup(rollup),
+        "monthly_customers": R.monthly_customers(bitmaps),
+    }
+
+
+def write_rollup(src, out: str) -> dict[str, DataFrame]:
+    """Write rollup and bitmaps of ``src`` to ``out``; returns the panels over these tables."""
+    tables = {"rollup": R.daily_rollup(src.sales(region=True)), "bitmaps": R.daily_bitmaps(src.orders().withColumn("transaction_date", F.col("transaction_date").cast("date")))}
+    written = {}
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        written[name] = src.spark.read.schema(df.schema).parquet(f"{out}/{name}")
+    return rollup_frames(written["rollup"], written["bitmaps"])
+
+
 def dashboard_frames(src) -> dict[str, DataFrame]:
-    """The dashboard panels from any source with sales / orders / products / as_of."""
+    """The other dashboard panels, from any source with sales / orders / products / as_of."""
     as_of = src.as_of()
     sales = src.sales()
     return {
@@ -38,15 +62,12 @@ def dashboard_frames(src) -> dict[str, DataFrame]:
         "customer_churn": A.customer_churn(src.orders(), as_of),
         "product_performance": A.product_performance(sales, src.products()),
         "rfm_segments": A.rfm_segments(src.orders(), as_of),
-        "regional_share": DB.regional_share(sales, src.regions()),
-        "daily_revenue": DB.daily_revenue(sales),
         "kpi_cards": DB.kpi_cards(src.orders(), as_of),
         "kpi_by_range": DB.kpi_by_range(src.orders(), as_of),
         "inventory_insights": A.inventory_insights(src.sales(since=D.window_start(as_of, A.RECENT_DAYS)), src.products(), as_of),
         "regional_growth": A.regional_growth(sales, src.regions()),
         "category_trends": A.category_trends(sales, src.products()),
         "sales_rep_performance": A.sales_rep_performance(src.sales(sales_rep=True)),
-        "seasonal_analysis": A.seasonal_analysis(sales),
         "monthly_revenue_12m": DB.monthly_revenue_12m(src.sales(since=DB.first_of_12_months(as_of)), as_of),
         "executive_summary": A.executive_summary(sales, src.products(), as_of),
     }
@@ -80,7 +101,7 @@ def daily_job(
     report = DB.write_report(
         DB.kpi_report(src.sales(), src.orders(), src.products(), src.as_of()), f"{out}/kpi_report"
     )
-    panels = DB.write_report({**dashboard_frames(src), **activity_frames(raw)}, f"{out}/dashboard")
+    panels = DB.write_report({**dashboard_frames(src), **write_rollup(src, f"{out}/daily"), **activity_frames(raw)}, f"{out}/dashboard")
     tables = {"orders": src.orders(), "sales": src.sales(), "products": src.products()}
     kept = {name: L.take_snapshot(table, f"{out}/snapshots/{name}", src.as_of(), keep_days) for name, table in tables.items()}
     snapshots = kept["orders"].summary()

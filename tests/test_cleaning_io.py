@@ -6,10 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import order, orders_df, sale, sales_df
+from ledgerlens.operators import analytics as A
 from ledgerlens.operators import cleaning as E
+from ledgerlens.operators import dashboard as DB
 from ledgerlens.operators import quality as K
 from ledgerlens.session import shared_dir
 from ledgerlens.sources import landing as L
+from ledgerlens.sources.retail import RetailSource
 from ledgerlens.streaming.landing_stream import ingest_available
 
 
@@ -215,6 +218,13 @@ def test_daily_job_writes_every_output(spark, sf_dir):
     assert spark.read.parquet(result["dashboard"]["kpi_cards"]).count() == 4
     assert spark.read.parquet(result["dashboard"]["revenue_growth"]).count() == 80
     assert len(result["snapshots"]) == 1
+    src = RetailSource(spark, sf_dir)
+    served = {"daily_revenue": DB.daily_revenue(src.sales()), "regional_share": DB.regional_share(src.sales(), src.regions()), "seasonal_analysis": A.seasonal_analysis(src.sales())}
+    for name, want in served.items():
+        assert sorted(spark.read.parquet(result["dashboard"][name]).collect(), key=str) == sorted(want.collect(), key=str), name
+    month = F.date_format("transaction_date", "yyyy-MM").alias("year_month")
+    want = src.orders().groupBy(month).agg(F.countDistinct("customer_id").alias("unique_customers"))
+    assert sorted(spark.read.parquet(result["dashboard"]["monthly_customers"]).collect()) == sorted(want.collect())
 
 
 def test_duplicate_ratio_estimate_is_close(spark, sf_dir):
