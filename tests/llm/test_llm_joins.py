@@ -403,6 +403,22 @@ def test_band_join_misses_no_link(spark):
     assert marked(spark, rows) == marked_by_hand(rows)
 
 
+def test_registered_fingerprints_over_the_whole_table(spark):
+    at = "/root/testdata/sf0.001"
+    rows = sorted(((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text").collect()), reverse=True)
+    got = QUERIES["op9_fingerprints"](spark, at).collect()
+    assert sorted(((x["doc_id"], x["component_id"], x["near_documents"]) for x in got), key=str) == marked_by_hand(rows)
+    of = {x["doc_id"]: x for x in got}
+    assert len(of) == len(rows) == len(got)
+    for k, (i, t) in enumerate(rows):
+        t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
+        m = len(t) // 3
+        new = t[: len(t) - m] + after[:m]
+        assert (of[i]["n_chars"], of[i]["edited_sha256"]) == (len(t), hashlib.sha256(new.encode()).hexdigest())
+        for near, other in (("near_edited", new), ("near_next", after)):
+            assert of[i][near] == (fingerprints.signatures([t]) == fingerprints.signatures([other])).mean()
+
+
 def test_oracles_match(spark, sf_dir, duck_con):
     for key, sql in ORACLE.items():
         problems, _ = compare(QUERIES[key](spark, sf_dir), duck_con, sql)
