@@ -19,6 +19,7 @@ from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
 from ledgerlens.session import shared_dir
 from ledgerlens.sources import landing as L
+from ledgerlens.sources.clustered import cluster_sales
 from ledgerlens.sources.customer_state import CustomerState
 from ledgerlens.sources.incremental import IncrementalTable
 from ledgerlens.sources.manifest import Versions
@@ -1230,6 +1231,14 @@ def q_warehouse_revenue_growth(spark, sf_dir):
     return A.revenue_growth(wh.sales())
 
 
+@register("inventory_insights_clustered", ORACLE["inventory_insights"])
+def q_inventory_insights_clustered(spark, sf_dir):
+    """Q9 on sales laid out along the curve of date, product and customer."""
+    src = cluster_sales(materialize(_src(spark, sf_dir), shared_dir(spark, "warehouse")), shared_dir(spark, "clustered"))
+    since = Dt.window_start(src.as_of(), A.RECENT_DAYS)
+    return A.inventory_insights(src.sales(since=since), src.products(), src.as_of())
+
+
 # ============================================================ rollup path
 @register("seasonal_analysis_rollup", ORACLE["seasonal_analysis"])
 def q_seasonal_analysis_rollup(spark, sf_dir):
