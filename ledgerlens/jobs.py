@@ -5,10 +5,12 @@ report -> backup with retention), expressed as one Spark application.
 The raw tables are joined once: the denormalised sales, orders and products
 are written to ``output_dir/warehouse`` first (a written table on shared
 storage cuts the lineage), and every panel then reads those files instead of
-re-joining the facts.  One pass over the sales makes the daily rollup, one over the
-orders the days' bitmaps of customers; the panels that are sums by day,
-season or region, or distinct customers by month, read these.  Every output is written under ``output_dir``; each
-write is its own job, so a failure re-runs only the write that failed.
+re-joining the facts.  One pass over the sales and one over the orders make
+base tables (``operators.panels``); most panels, the report, the daily rollup
+and the days' bitmaps of customers come from these.  Sales reps, categories
+and the buyers of the top products read the sales again.  Every output is
+written under ``output_dir``; each write is its own job, so a failure re-runs
+only the write that failed.
 
 Usage::
 
@@ -21,11 +23,10 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlens.functions import dates as D
 from ledgerlens.operators import analytics as A
 from ledgerlens.operators import dashboard as DB
+from ledgerlens.operators import panels as P
 from ledgerlens.operators import quality as K
 from ledgerlens.operators import rollups as R
 from ledgerlens.sources import landing as L
@@ -43,9 +44,9 @@ def rollup_frames(rollup: DataFrame, bitmaps: DataFrame) -> dict[str, DataFrame]
     }
 
 
-def write_rollup(src, out: str) -> dict[str, DataFrame]:
-    """Write rollup and bitmaps of ``src`` to ``out``; returns the panels over these tables."""
-    tables = {"rollup": R.daily_rollup(src.sales(region=True)), "bitmaps": R.daily_bitmaps(src.orders().withColumn("transaction_date", F.col("transaction_date").cast("date")))}
+def write_rollup(src, bases: P.Bases, out: str) -> dict[str, DataFrame]:
+    """Write rollup and bitmaps of the bases to ``out``; returns the panels over these tables."""
+    tables = {"rollup": P.rollup_of(bases, src.regions()), "bitmaps": P.bitmaps_of(bases)}
     written = {}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{out}/{name}")
@@ -53,23 +54,13 @@ def write_rollup(src, out: str) -> dict[str, DataFrame]:
     return rollup_frames(written["rollup"], written["bitmaps"])
 
 
-def dashboard_frames(src) -> dict[str, DataFrame]:
-    """The other dashboard panels, from any source with sales / orders / products / as_of."""
-    as_of = src.as_of()
+def dashboard_frames(src, bases: P.Bases) -> dict[str, DataFrame]:
+    """The other dashboard panels: those of the bases, and those that need every sale."""
     sales = src.sales()
     return {
-        "revenue_growth": A.revenue_growth(sales),
-        "customer_churn": A.customer_churn(src.orders(), as_of),
-        "product_performance": A.product_performance(sales, src.products()),
-        "rfm_segments": A.rfm_segments(src.orders(), as_of),
-        "kpi_cards": DB.kpi_cards(src.orders(), as_of),
-        "kpi_by_range": DB.kpi_by_range(src.orders(), as_of),
-        "inventory_insights": A.inventory_insights(src.sales(since=D.window_start(as_of, A.RECENT_DAYS)), src.products(), as_of),
-        "regional_growth": A.regional_growth(sales, src.regions()),
+        **P.base_panels(bases, sales, src.products(), src.regions(), src.as_of()),
         "category_trends": A.category_trends(sales, src.products()),
         "sales_rep_performance": A.sales_rep_performance(src.sales(sales_rep=True)),
-        "monthly_revenue_12m": DB.monthly_revenue_12m(src.sales(since=DB.first_of_12_months(as_of)), as_of),
-        "executive_summary": A.executive_summary(sales, src.products(), as_of),
     }
 
 
@@ -98,10 +89,9 @@ def daily_job(
         .unionByName(K.missing_ratio(src.orders()))
     )
     checks.write.mode("overwrite").json(f"{out}/quality_checks")  # a row per check
-    report = DB.write_report(
-        DB.kpi_report(src.sales(), src.orders(), src.products(), src.as_of()), f"{out}/kpi_report"
-    )
-    panels = DB.write_report({**dashboard_frames(src), **write_rollup(src, f"{out}/daily"), **activity_frames(raw)}, f"{out}/dashboard")
+    bases = P.write_bases(src.sales(), src.orders(), f"{out}/daily")
+    report = DB.write_report(P.base_report(bases, src.products(), src.as_of()), f"{out}/kpi_report")
+    panels = DB.write_report({**dashboard_frames(src, bases), **write_rollup(src, bases, f"{out}/daily"), **activity_frames(raw)}, f"{out}/dashboard")
     tables = {"orders": src.orders(), "sales": src.sales(), "products": src.products()}
     kept = {name: L.take_snapshot(table, f"{out}/snapshots/{name}", src.as_of(), keep_days) for name, table in tables.items()}
     snapshots = kept["orders"].summary()

@@ -28,6 +28,9 @@ from ledgerlens.operators.bases import (
     MONETARY_LIMITS,
     RECENCY_LIMITS,
     customer_base,
+    measured_where,
+    orders_where,
+    paid_where,
     rfm_scored,
 )
 
@@ -53,12 +56,13 @@ def distinct_count(col: str, exact: bool = True, rsd: float = 0.01):
     return F.countDistinct(col) if exact else F.approx_count_distinct(col, rsd)
 
 
-def _money_aggs(amount: str = "total_amount"):
-    """Sum, rows, and rows with an amount (the divisor of an average)."""
+def _money_aggs(sales: DataFrame):
+    """Sum, rows, and rows with an amount (the divisor of an average); ``sales``
+    may be a base table (``operators.panels``)."""
     return [
-        F.sum(amount).alias("_revenue"),
-        F.count(F.lit(1)).alias("_n"),
-        F.count(amount).alias("_paid"),
+        F.sum("total_amount").alias("_revenue"),
+        orders_where(sales).alias("_n"),
+        paid_where(sales).alias("_paid"),
     ]
 
 
@@ -70,7 +74,7 @@ def revenue_growth(sales: DataFrame, exact_distinct: bool = True) -> DataFrame:
     growth is 0 with no previous row and NULL when the previous revenue is 0.
     """
     monthly = sales.groupBy(D.month_start("transaction_date").alias("_month")).agg(
-        *_money_aggs(), distinct_count("customer_id", exact_distinct).alias("unique_customers")
+        *_money_aggs(sales), distinct_count("customer_id", exact_distinct).alias("unique_customers")
     )
     w = Window.orderBy("year_month")
     revenue = N.as_double("_revenue")
@@ -161,16 +165,20 @@ def customer_churn(
 
 
 # ----------------------------------------------------------------------- Q3
-def product_performance(sales: DataFrame, products: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
+def product_performance(
+    sales: DataFrame, products: DataFrame, k: int = TOP_PRODUCTS, totals: DataFrame | None = None
+) -> DataFrame:
     """Top-k products by revenue with estimated profit.
 
     The facts are aggregated per product first (partial aggregation makes a
     hot product harmless) and cut to the top k; distinct buyers are counted
     for those k products only, found by a semi join with k ids (a broadcast
-    bounded by ``k``).  Ties at rank k are broken by product_id.
+    bounded by ``k``).  Ties at rank k are broken by product_id.  ``totals``:
+    a base table of the same sales by product, which the sums come from.
     """
-    per_product = sales.groupBy("product_id").agg(
-        F.sum("quantity").alias("units_sold"), *_money_aggs()
+    totals = sales if totals is None else totals
+    per_product = totals.groupBy("product_id").agg(
+        F.sum("quantity").alias("units_sold"), *_money_aggs(totals)
     )
     dims = products.select("product_id", "category", "product_name", "brand", "profit_margin")
     top = (
@@ -275,7 +283,7 @@ def regional_growth(sales: DataFrame, regions: DataFrame) -> DataFrame:
     no raw fact and distinct customers are plain counts.
     """
     per_customer = sales.groupBy("customer_id", D.month_start("transaction_date").alias("_month")).agg(
-        F.sum("total_amount").alias("_revenue"), F.count(F.lit(1)).alias("_n")
+        F.sum("total_amount").alias("_revenue"), orders_where(sales).alias("_n")
     )
     monthly = per_customer.join(regions, "customer_id", "left").groupBy("region", "_month").agg(
         F.sum("_revenue").alias("_revenue"),
@@ -305,7 +313,7 @@ def sales_rep_performance(sales: DataFrame) -> DataFrame:
     which also carries the sums, and one per (rep, product).
     """
     per_customer = sales.groupBy("sales_rep", "customer_id").agg(
-        *_money_aggs(),
+        *_money_aggs(sales),
         F.min("transaction_date").alias("_first"),
         F.max("transaction_date").alias("_last"),
     )
@@ -341,7 +349,7 @@ def seasonal_analysis(sales: DataFrame) -> DataFrame:
     The facts are summed per day first; weekday, month and quarter are
     functions of the day.
     """
-    return seasonal_from_days(sales.groupBy("transaction_date").agg(*_money_aggs()))
+    return seasonal_from_days(sales.groupBy("transaction_date").agg(*_money_aggs(sales)))
 
 
 def seasonal_from_days(days: DataFrame) -> DataFrame:
@@ -399,7 +407,7 @@ def inventory_insights(
         .agg(
             F.sum("quantity").alias("units_sold_30_days"),
             F.sum(F.col("quantity").cast("double")).alias("_qsum"),
-            F.count("quantity").alias("_qn"),
+            measured_where(sales).alias("_qn"),
         )
         .select(
             "product_id",
@@ -440,20 +448,21 @@ def inventory_insights(
 
 # ---------------------------------------------------------------------- Q10
 def executive_summary(
-    sales: DataFrame, products: DataFrame, as_of: dt.datetime, days: int = RECENT_DAYS
+    sales: DataFrame, products: DataFrame, as_of: dt.datetime, days: int = RECENT_DAYS, sold: DataFrame | None = None
 ) -> DataFrame:
     """Four KPI rows, all-time vs. the last ``days`` days, values as text.
 
     The facts are reduced to one row per customer with conditional sums, then
     to one row; distinct products are counted over the recent facts only, and
-    the active-product count is a scalar subquery on the catalogue.
+    the active-product count is a scalar subquery on the catalogue.  ``sold``:
+    a base table of the same sales by product, which the products come from.
     """
     recent = D.on_or_after("transaction_date", D.window_start(as_of, days))
     per_customer = sales.groupBy("customer_id").agg(
-        *_money_aggs(),
+        *_money_aggs(sales),
         F.sum(F.when(recent, F.col("total_amount"))).alias("_revenue_r"),
-        F.count(F.when(recent, F.col("total_amount"))).alias("_paid_r"),
-        F.count(F.when(recent, F.lit(1))).alias("_n_r"),
+        paid_where(sales, recent).alias("_paid_r"),
+        orders_where(sales, recent).alias("_n_r"),
     )
     kpis = per_customer.agg(
         F.sum("_revenue").alias("rev"),
@@ -463,7 +472,7 @@ def executive_summary(
         F.sum("_paid_r").alias("n_r"),
         F.count(F.when(F.col("_n_r") > 0, F.col("customer_id"))).alias("cust_r"),
     )
-    recent_products = sales.filter(recent).agg(F.countDistinct("product_id")).scalar()
+    recent_products = (sales if sold is None else sold).filter(recent).agg(F.countDistinct("product_id")).scalar()
     active_products = (
         products.filter(F.col("is_active") == 1).agg(F.count(F.lit(1))).scalar()
     )

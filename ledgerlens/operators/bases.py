@@ -28,21 +28,29 @@ SEGMENTS = (
 )
 
 
-def orders_where(orders: DataFrame, condition: Column | None = None) -> Column:
-    """How many orders meet a condition.  ``orders`` has a row per order, or is
-    a customer state (``sources.customer_state``), whose rows stand for
-    ``n_orders`` each."""
-    if "n_orders" not in orders.columns:
-        return F.count(F.lit(1) if condition is None else F.when(condition, F.lit(1)))
-    n = F.col("n_orders")
+def _total(held: str, single: Column, rows: DataFrame, condition: Column | None) -> Column:
+    """The sum of the counts ``held`` where a condition holds; rows without that column count as one if ``single`` is not null."""
+    if held not in rows.columns:
+        return F.count(single if condition is None else F.when(condition, single))
+    n = F.col(held)
     return F.coalesce(F.sum(n if condition is None else F.when(condition, n)), F.lit(0))
 
 
-def paid_where(orders: DataFrame, condition: Column) -> Column:
+def orders_where(orders: DataFrame, condition: Column | None = None) -> Column:
+    """How many orders (or sales) meet a condition.  ``orders`` has a row per
+    order, or is a customer state (``sources.customer_state``) or base table
+    (``operators.panels``), whose rows stand for ``n_orders`` each."""
+    return _total("n_orders", F.lit(1), orders, condition)
+
+
+def paid_where(orders: DataFrame, condition: Column | None = None) -> Column:
     """How many of them have an amount."""
-    if "n_paid" not in orders.columns:
-        return F.count(F.when(condition, F.col("total_amount")))
-    return F.coalesce(F.sum(F.when(condition, F.col("n_paid"))), F.lit(0))
+    return _total("n_paid", F.col("total_amount"), orders, condition)
+
+
+def measured_where(sales: DataFrame, condition: Column | None = None) -> Column:
+    """How many sales have a quantity."""
+    return _total("n_measured", F.col("quantity"), sales, condition)
 
 
 def customer_base(orders: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -47,7 +47,7 @@ def daily_revenue(
         sales = sales.filter(D.on_or_after("transaction_date", D.window_start(as_of, days)))
     return (
         sales.groupBy("transaction_date")
-        .agg(F.sum("total_amount").alias("_rev"), F.count(F.lit(1)).alias("transaction_count"))
+        .agg(F.sum("total_amount").alias("_rev"), orders_where(sales).alias("transaction_count"))
         .select(
             "transaction_date",
             N.as_double("_rev").alias("revenue"),
@@ -75,8 +75,8 @@ def kpi_revenue_trends(orders: DataFrame) -> DataFrame:
         orders.groupBy(D.month_start("transaction_date").alias("_month"))
         .agg(
             F.sum("total_amount").alias("_rev"),
-            F.count(F.lit(1)).alias("order_count"),
-            F.count("total_amount").alias("_paid"),
+            orders_where(orders).alias("order_count"),
+            paid_where(orders).alias("_paid"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(
@@ -327,18 +327,18 @@ def monthly_revenue_12m(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
     one aggregation, so the axis is complete without a join)."""
     start = first_of_12_months(as_of)
     rows = sales.filter(D.on_or_after("transaction_date", start)).select(
-        D.month_start("transaction_date").alias("_month"), "total_amount", "customer_id", F.lit(1).alias("_sale")
+        D.month_start("transaction_date").alias("_month"), "total_amount", "customer_id", *(["n_orders"] if "n_orders" in sales.columns else []), F.lit(1).alias("_sale")
     )
     spine = sales.sparkSession.range(12).select(
         F.add_months(F.lit(start), F.col("id").cast("int")).cast(rows.schema["_month"].dataType).alias("_month"),
-        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("total_amount", "customer_id", "_sale")],
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns[1:]],
     )
     return (
         rows.unionByName(spine)
         .groupBy("_month")
         .agg(
             F.sum("total_amount").alias("_rev"),
-            F.count("_sale").alias("transaction_count"),
+            orders_where(rows, F.col("_sale").isNotNull()).alias("transaction_count"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .select(

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import dates as D
 from ledgerlens.functions import numeric as N
 from ledgerlens.operators.analytics import seasonal_from_days
+from ledgerlens.operators.bases import orders_where, paid_where
 from ledgerlens.operators.dashboard import share_of_regions
 
 HLL_LG_K = 12  # sketch size 2^12 registers: ~1.6% standard error
@@ -35,8 +36,8 @@ def daily_rollup(sales: DataFrame, lg_k: int = HLL_LG_K) -> DataFrame:
     paid_count (rows with an amount), customers_sketch (HLL, binary)."""
     return sales.groupBy("transaction_date", "region").agg(
         F.sum("total_amount").alias("revenue"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.count("total_amount").alias("paid_count"),
+        orders_where(sales).alias("transaction_count"),
+        paid_where(sales).alias("paid_count"),
         F.hll_sketch_agg("customer_id", lg_k).alias("customers_sketch"),
     )
 

@@ -14,6 +14,7 @@ from ledgerlens.operators import analytics as A
 from ledgerlens.operators import cleaning as E
 from ledgerlens.operators import dashboard as DB
 from ledgerlens.operators import derived as DV
+from ledgerlens.operators import panels as P
 from ledgerlens.operators import quality as K
 from ledgerlens.operators import rollups as R
 from ledgerlens.plans import oracle as O
@@ -1262,6 +1263,33 @@ def q_monthly_customers_rollup(spark, sf_dir):
     return R.monthly_customers(R.daily_bitmaps(orders))
 
 
+# ============================================================ base tables
+def _bases(spark, src) -> P.Bases:
+    return P.write_bases(src.sales(), src.orders(), shared_dir(spark, "bases"))
+
+
+@register("regional_growth_base", ORACLE["regional_growth"])
+def q_regional_growth_base(spark, sf_dir):
+    """Q6 from the customers' days."""
+    src = _src(spark, sf_dir)
+    return A.regional_growth(_bases(spark, src).customer_days, src.regions())
+
+
+@register("executive_summary_base", ORACLE["executive_summary"])
+def q_executive_summary_base(spark, sf_dir):
+    """Q10 from the customers' and the products' days."""
+    src = _src(spark, sf_dir)
+    bases = _bases(spark, src)
+    return A.executive_summary(bases.customer_days, src.products(), src.as_of(), sold=bases.product_days)
+
+
+@register("product_performance_base", ORACLE["product_performance"])
+def q_product_performance_base(spark, sf_dir):
+    """Q3 with its sums from the products' days; the buyers are counted in the sales."""
+    src = _src(spark, sf_dir)
+    return A.product_performance(src.sales(), src.products(), totals=_bases(spark, src).product_days)
+
+
 # ============================================================ customer state
 def _state_of_deltas(spark, src) -> DataFrame:
     """The customer state after three days' orders were merged one after another (a third of the keys each)."""

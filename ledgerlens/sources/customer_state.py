@@ -25,6 +25,13 @@ SCHEMA = "customer_id BIGINT, transaction_date TIMESTAMP_NTZ, n_orders BIGINT, n
 BUCKETS = 64
 
 
+def by_instant(orders: DataFrame) -> DataFrame:
+    """Orders as rows of the state: one per customer and instant."""
+    return orders.groupBy("customer_id", "transaction_date").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.count("total_amount").alias("n_paid"), F.sum("total_amount").cast("decimal(38,6)").alias("total_amount")
+    )
+
+
 class CustomerState:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
@@ -48,11 +55,8 @@ class CustomerState:
         if name in self.state["deltas"]:
             return []
         bucket = F.pmod(F.xxhash64("customer_id"), F.lit(self.state["buckets"])).cast("int").alias("_bucket")
-        fresh = orders.groupBy("customer_id", "transaction_date").agg(
-            F.count(F.lit(1)).alias("n_orders"), F.count("total_amount").alias("n_paid"), F.sum("total_amount").cast("decimal(38,6)").alias("total_amount")
-        )
         path = shared_dir(self.spark, "customer-delta")
-        fresh.select("*", bucket).write.parquet(path)
+        by_instant(orders).select("*", bucket).write.parquet(path)
         fresh = self.spark.read.schema(f"{SCHEMA}, _bucket INT").parquet(path)
         touched = sorted(r["_bucket"] for r in fresh.select("_bucket").distinct().collect())  # at most the buckets
         state = {**self.state, "deltas": [*self.state["deltas"], name], "folders": dict(self.state["folders"])}
