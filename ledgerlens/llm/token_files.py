@@ -30,7 +30,6 @@ are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import arrow_rows, column, filesystem, spill, text_slices, write_file
+from ledgerlens.llm.common import arrow_rows, column, filesystem, give_back, spill, text_slices, use_only, write_file
 from ledgerlens.llm.tokenise import encoder
 from ledgerlens.session import shared_dir
 
@@ -119,6 +118,7 @@ def encoded(docs: DataFrame, tokenizer: str, split: str) -> tuple[DataFrame, dic
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only("encoder")
         enc = encoder(tokenizer, split)
         total = np.zeros(enc.vocabulary, np.int64)
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
@@ -154,6 +154,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
     coded = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("mixed", pa.int64()), ("n_tokens", pa.int64()), ("control", pa.binary()), ("data", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only()
         for batch in batches:
             found = column(batch, "ids")
             sizes = np.cumsum(np.asarray(pa.compute.binary_length(found)))
@@ -178,6 +179,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
                 shard = low + np.minimum((mixed / 2.0**63 * own).astype(np.int64), own - 1)
                 yield arrow_rows(coded, [shard.astype(np.int32), key, mixed, n + 1, control, numbers])
                 at = end
+        give_back()
 
     files = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -193,6 +195,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
             write_file(folder, name, [*head, control, *(r[3] for r in held)])
             return arrow_rows(files, [[shard], [segment], [name], [len(held)], [tokens]])
 
+        use_only()
         for batch in batches:
             cols = [column(batch, c).to_pylist() for c in ("shard", "doc_id", "n_tokens", "control", "data")]
             for s, *row in zip(*cols, strict=True):
@@ -205,6 +208,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, split: str =
                 tokens += row[1]
         if held:
             yield flush()
+            held = []
+        give_back()
 
     by_range = rows.mapInArrow(code, "shard int, doc_id long, mixed long, n_tokens long, control binary, data binary")
     by_range = by_range.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "mixed", "n_tokens", "control", "data")
@@ -220,6 +225,7 @@ def read_token_files(files: TokenFiles) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only()
         store, base = filesystem(folder)
         with store.open_input_stream(f"{base}/ranks.u32") as f:
             of_rank = np.frombuffer(f.read(), "<u4")
@@ -251,11 +257,5 @@ def read_token_files(files: TokenFiles) -> DataFrame:
 
 
 def with_crc(documents: DataFrame) -> DataFrame:
-    """The ids of ``read_token_files`` replaced by their unsigned crc32."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield arrow_rows(schema, [*(column(batch, c) for c in ("doc_id", "start", "n_tokens")), [zlib.crc32(x.as_buffer()) for x in column(batch, "ids")]])
-
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """The ids of ``read_token_files`` replaced by their unsigned crc32, by Spark's function: a second pass of Python would keep two more workers and all ids in Arrow batches."""
+    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

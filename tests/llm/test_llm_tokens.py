@@ -82,6 +82,14 @@ def test_one_id_with_most_rows_fills_many_segments(spark, monkeypatch):
     assert [x["start"] for x in got] == [0, *np.cumsum([x["n_tokens"] for x in got])[:-1].tolist()]
 
 
+def test_files_are_read_by_one_python_pass(spark):
+    files = token_files.write_token_files(frame(spark, edge_rows()), WORD, 1, "drop")
+    found = token_files.with_crc(token_files.read_token_files(files))
+    assert dict(found.dtypes) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") - files.manifest._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_frequent_ids_take_one_byte(spark):
     files = token_files.write_token_files(frame(spark, [(i, "the of the", "en", "a", 10) for i in range(9)]), WORD, 1, "drop")
     from ledgerlens.llm.common import filesystem
