@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import arrow_rows, column, spill, text_slices
+from ledgerlens.llm.common import arrow_rows, column, spill, text_slices, use_only
 from ledgerlens.llm.tokenise import encoder
 
 SLICE_CHARS = 2_000_000
@@ -54,6 +54,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, split: s
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only("encoder")
         enc = encoder(tokenizer, split)
         end = np.array([end_id], "<u4").tobytes()
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
@@ -190,6 +191,7 @@ def _round(state: DataFrame, capacity: int, number: int, population: int, genera
     schema = pa.schema([("block", pa.int64()), ("island", pa.int32()), ("lengths", pa.binary()), ("population", pa.list_(pa.binary())), ("n_bins", pa.int64()), ("fitness", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_only()  # the encoder, which an idle worker would keep through the stages of others
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.frombuffer(row["lengths"], "<i4")

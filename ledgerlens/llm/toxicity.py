@@ -44,6 +44,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)  # characters
 MIN_DOCUMENTS = 4
 SLICE_CHARS = 2_000_000
 WORDS_KEPT = 300_000  # of a worker's memory; results don't depend on it
+FIT_WORDS = 500_000  # looked at together in a step of the fit, but for one longer sentence; results don't depend on it
 STEPS = 300
 RATE = 0.08
 DECAY = 2e-4
@@ -114,8 +115,8 @@ def fit(bags: Bags, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> M
     labels = np.array(bags.labels, float)
     if not len(labels) or labels.min() == labels.max():
         return Model(30.0 if len(labels) and labels.min() else -30.0, {})
-    word = np.array(bags.sentence_words)
-    sentence = np.repeat(np.arange(len(bags.sizes), dtype=np.int32), np.array(bags.sizes))
+    word, sizes = np.asarray(bags.sentence_words), np.asarray(bags.sizes)
+    sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     document = np.repeat(np.arange(len(labels), dtype=np.int32), np.array(bags.sentences))
     n, kinds = len(document), len(bags.number)
     hashes, counts = array("Q"), array("b")  # of each word's features
@@ -123,8 +124,9 @@ def fit(bags: Bags, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> M
         found = features(w)
         hashes.extend(xxhash.xxh3_64_intdigest(f) for f in found)
         counts.append(len(found))
-    _, feature = np.unique(np.array(hashes), return_inverse=True)
+    _, feature = np.unique(np.asarray(hashes), return_inverse=True)
     feature, counts = feature.astype(np.int32), np.array(counts, np.int64)
+    del hashes
     first = np.cumsum(counts) - counts
     seen = np.zeros(int(feature.max()) + 1, np.int32)  # documents
     ends = np.searchsorted(sentence, np.searchsorted(document, np.arange(len(labels) + 1)))
@@ -134,17 +136,24 @@ def fit(bags: Bags, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> M
         at = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         seen[np.unique(feature[at])] += 1
     keep = seen[feature] >= min_documents
-    kept, feature = np.unique(feature[keep], return_inverse=True)
-    feature, of_word = feature.astype(np.int32), np.repeat(np.arange(kinds, dtype=np.int32), counts)[keep]
+    kept = np.flatnonzero(seen >= min_documents)
+    feature = (np.cumsum(seen >= min_documents, dtype=np.int32) - 1)[feature[keep]]
+    of_word = np.repeat(np.arange(kinds, dtype=np.int32), counts)[keep]
+    parts = _parts(np.cumsum(sizes, dtype=np.int64), FIT_WORDS)
+    z = np.empty(n)
     weights, base = np.zeros(len(kept)), -5.0
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     for step in range(1, steps + 1):
         added = np.bincount(of_word, weights[feature], minlength=kinds)  # by each word
-        p = 1 / (1 + np.exp(-base - np.bincount(sentence, added[word], minlength=n)))
+        for s, t, a, b in parts:
+            z[s:t] = np.bincount(sentence[a:b] - s, added[word[a:b]], minlength=t - s)
+        p = 1 / (1 + np.exp(-base - z))
         none = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(labels))
         whole = np.maximum(-np.expm1(none), 1e-12)
         pull = np.where(labels[document] > 0, -(np.exp(none) / whole)[document], 1.0) * p / len(labels)
-        by_word = np.bincount(word, pull[sentence], minlength=kinds)
+        by_word = np.zeros(kinds)
+        for _, _, a, b in parts:
+            np.add.at(by_word, word[a:b].astype(np.intp), pull[sentence[a:b]])  # in the order of the words, as in one sum
         grad = np.append(np.bincount(feature, by_word[of_word], minlength=len(kept)) + DECAY / 10 * weights, pull.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -162,6 +171,16 @@ def fit(bags: Bags, min_documents: int = MIN_DOCUMENTS, steps: int = STEPS) -> M
     return Model(float(base), names)
 
 
+def _parts(ends: np.ndarray, most: int) -> list[tuple[int, int, int, int]]:
+    """First and last sentence, first and last word of parts of whole sentences with ``most`` words, or one sentence; ``ends`` counts the words up to each sentence's end."""
+    out, s, a = [], 0, 0
+    while s < len(ends):
+        t = max(s + 1, int(np.searchsorted(ends, a + most, side="right")))
+        out.append((s, t, a, int(ends[t - 1])))
+        s, a = t, int(ends[t - 1])
+    return out
+
+
 def score_texts(model: Model, texts: list[str], weight: WordWeights | None = None) -> np.ndarray:
     """Probability of each text: noisy-or of its sentences."""
     weight = model.of_words() if weight is None else weight
@@ -215,7 +234,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
             text, label_ = column(batch, "text"), column(batch, "label")
             for i in range(batch.num_rows):  # one text at a time
                 bags.add(text[i].as_py(), label_[i].as_py())
+        batch = text = label_ = None
+        use_only()
         model = fit(bags)
+        del bags
+        give_back()
         yield arrow_rows(schema, [[None, *model.weights], [model.base, *model.weights.values()]])
 
     found = texts.coalesce(1).sortWithinPartitions("doc_id").mapInArrow(run, "word string, weight double").collect()  # features of the bounded sample
@@ -225,7 +248,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 
 def score(docs: DataFrame, model: Model, cut: float, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with score, predicted and, of what reaches the cut, the sentences (start, end, score) that make it up; every text whole."""
-    rows = docs.select(*keep, F.col(text).alias("_scored_text"))
+    scored = text if text in keep else "_scored_text"  # a kept text goes to the workers once
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias(scored))
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
@@ -237,7 +261,7 @@ def score(docs: DataFrame, model: Model, cut: float, keep: list[str], text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_only()
         weight = model.of_words()
-        for part, texts in text_slices(batches, "_scored_text", SLICE_CHARS):
+        for part, texts in text_slices(batches, scored, SLICE_CHARS):
             p = np.clip(score_texts(model, texts, weight), 0.0, 1.0)
             spans = [[dict(zip(("start", "end", "score"), s, strict=True)) for s in worst_sentences(model, x, SHARE, weight)] if y >= cut else [] for x, y in zip(texts, p, strict=True)]
             yield arrow_rows(schema, [*(column(part, c) for c in kept.names), p, (p >= cut).astype(np.int32), spans])

@@ -1,6 +1,7 @@
 """URL filter, n-gram model and toxicity against brute force."""
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -190,6 +191,28 @@ def test_noisy_or_by_hand():
     assert math.isclose(toxicity.score_texts(model, [""])[0], sigmoid(-2))
 
 
+def test_fit_by_parts_changes_nothing_and_takes_less_memory(monkeypatch):
+    rnd = np.random.default_rng(5)
+    texts = [" ".join(". " if x > 0.95 else f"w{int(x * 4000)}" for x in rnd.random(1000)) for _ in range(400)]
+    data = bags([(t + (" awful." if i % 3 == 0 else ""), int(i % 3 == 0)) for i, t in enumerate(texts)])
+    whole = toxicity.fit(data, steps=20)
+    tracemalloc.start()
+    monkeypatch.setattr(toxicity, "FIT_WORDS", 5_000)
+    assert toxicity.fit(data, steps=20) == whole
+    assert tracemalloc.get_traced_memory()[1] < 20 * len(data.sentence_words)
+    tracemalloc.stop()
+    assert toxicity._parts(np.array([2, 2, 9, 10]), 3) == [(0, 2, 0, 2), (2, 3, 2, 9), (3, 4, 9, 10)]
+
+
+def test_kept_text_goes_to_the_workers_once(spark):
+    docs = frame(spark, edge_rows())
+    scored = toxicity.score(docs, toxicity.Model(-2.0, {"bad": 3.0}), 0.3, ["doc_id", "text"])
+    assert "_scored_text" not in scored._jdf.queryExecution().analyzed().toString()
+    alone = toxicity.score(docs, toxicity.Model(-2.0, {"bad": 3.0}), 0.3, ["doc_id"])
+    key = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["score"])
+    assert sorted(alone.collect(), key=key) == sorted(scored.drop("text").collect(), key=key)
+
+
 def test_toxicity_edges(spark):
     docs = frame(spark, edge_rows())
     none = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
