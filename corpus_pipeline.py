@@ -15,19 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import jaccard_join, mixing, packing, secret_scan, toxicity
-from ledgerlens.llm.common import spill, table
+from ledgerlens.llm.common import small_batches, spill, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 BUDGET = 0.6  # share of the tokens that mixing keeps, whatever the cells
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.score(docs, model, 0.3, COLUMNS).filter("predicted = 0").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A group keeps its row of smallest doc_id, one without doc_id only if no other is there; rows without words stay, repeated ones once."""
+    small_batches(spark)
     rows = spill(docs.select(F.monotonically_increasing_id().alias("key"), *COLUMNS), "keyed-documents")
     classes, _ = jaccard_join.join_similar(rows, doc_id="key")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "lang", "source", "n_chars", "key").alias("row")
@@ -50,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(packing.pieces(docs, "byte_bpe_50k.json", end_id=0, capacity=2048, split="lead"), capacity=2048)
 
 

@@ -38,6 +38,19 @@ def spill(df: DataFrame, name: str, compression: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to workers in Arrow batches of about ``BATCH_BYTES``; results don't depend on it.
+
+    An executor holds a batch several times over outside its heap, for each task.  The setting stays with the session, since frames that an operator returns run later; one that the session has of its own is kept.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's default
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the id as text modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(n)

@@ -51,11 +51,12 @@ from ledgerlens.llm import token_files
 from ledgerlens.llm.common import arrow_rows, bitmap, column, dealt_in_pairs, give_back, in_bitmap, spill, text_slices, use_only
 from ledgerlens.llm.hashing import U, hash_of, mix, shingles
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
+SENT_CHARS = 4_000_000  # whose prefixes a task holds before it sends them
 SHARD_CHARS = 6_000_000
 WANTED_BITS = 27  # of the filter of wanted documents, at most
 SLOT_BITS = 25  # of the table of rounded counts: 32 MB
-HELD_COUNTED = 4_000_000  # n-grams that a counting task holds before it sends them
+HELD_COUNTED = 2_000_000  # n-grams that a counting task holds before it sends them
 WIDTH = 5
 PERCENT = 75
 HELD_HASHES = 4_000_000  # of sets that a checking task keeps, 32 MB
@@ -90,6 +91,15 @@ def sets_of(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return h, n, mix(name, n.astype(U))
 
 
+def new_names(name: np.ndarray, known: set[int]) -> np.ndarray:
+    """Which rows are the first of their set name, here and among the known; these are known from now on."""
+    once = np.zeros(len(name), bool)
+    for i in np.unique(name, return_index=True)[1].tolist():
+        once[i] = (x := int(name[i])) not in known
+        known.add(x)
+    return once
+
+
 BITS = 1024  # of a set's bitmap
 LOWEST = 8  # of a row's early columns that it carries along, so that a pair is sent from few of those it shares
 LEAST = [f"least_{k}" for k in range(len(ORDERS))]
@@ -123,7 +133,9 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """
 
     def send(held: list[np.ndarray]) -> pa.RecordBatch:
-        high = np.sort(np.concatenate(held))
+        high = np.concatenate(held)
+        held.clear()
+        high.sort()
         edges = np.searchsorted(high, np.arange(1 << bits, dtype=np.uint64) << U(32 - bits)).tolist() + [len(high)]
         out, parts = [], []
         for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
@@ -143,22 +155,19 @@ def facts(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_only("words")
-        held, size = [], 0
+        held, known, size = [], set(), 0
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
             where = (name.view(np.int64) % (1 << bits)).astype(np.int32)  # dealt like the counts
             yield arrow_rows(_FACTS, [column(part, "doc_id"), column(part, "t"), n, name.view(np.int64), *least_of(h, n), bits_of(h, n), where, pa.nulls(len(n), pa.binary())])
-            first = np.unique(name, return_index=True)[1]  # copies count once
-            once = np.zeros(len(n), bool)
-            once[first] = True
+            once = new_names(name, known)  # copies count once
             held.append((h[np.repeat(once, n)] >> U(32)).astype(np.uint32))
             size += len(held[-1])
             if size > HELD_COUNTED:
                 yield send(held)
-                held, size = [], 0
+                known, size = set(), 0
         if size:
             yield send(held)
-        held = []
         give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +216,16 @@ _POSTINGS = pa.schema([("shard", pa.int64()), ("data", pa.binary())])
 
 def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.ndarray) -> DataFrame:
     """Prefix n-grams by shard, in blocks of (n-gram, set name, component, size).  ``docs``: text, comp (null: the set's own name)."""
+    packed = zstandard.ZstdCompressor(level=1).compress(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_only("words")
+        often = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+        held, known, chars = [], set(), 0
         for part, texts in text_slices(batches, "text", SLICE_CHARS):
             h, n, name = sets_of(texts, width)
             comp = np.where(np.asarray(pa.compute.is_null(column(part, "comp"))), name, np.asarray(pa.compute.fill_null(column(part, "comp"), 0)).view(U))
-            first = np.unique(name, return_index=True)[1]
-            once = np.zeros(len(n), bool)
-            once[first] = n[first] > 0
+            once = new_names(name, known) & (n > 0)
             keep = np.repeat(once, n)
             doc = np.repeat(np.arange(len(n)), n)[keep]
             h = h[keep]
@@ -228,19 +238,32 @@ def postings(docs: DataFrame, width: int, percent: int, bits: int, often: np.nda
             h, kind = h[order], kind[order]
             place = np.arange(len(h)) - (ends - size)[doc]
             keep = (place < prefix_length(n, percent)[doc]) & (kind > 0)  # no other set has those of class 0
-            h, doc, early = h[keep], doc[keep], (place < early_length(n, percent)[doc])[keep]
-            order = np.argsort(h, kind="stable")
-            h, doc, early = h[order], doc[order], early[order]
-            shard = h >> U(64 - bits) if bits else np.zeros_like(h)
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(h)]]) if len(h) else np.zeros(1, int)
-            out = []
-            for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
-                who, at = np.unique(doc[a:b], return_inverse=True)
-                small = zlib.compress(n[who].astype("<u4").tobytes() + (2 * at + early[a:b]).astype("<u4").tobytes(), 1)
-                out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + comp[who].tobytes() + small)
-            yield arrow_rows(_POSTINGS, [shard[edges[:-1]].view(np.int64) if len(h) else [], out])
+            who, at = np.unique(doc[keep], return_inverse=True)
+            held.append((h[keep], at, (place < early_length(n, percent)[doc])[keep], n[who], name[who], comp[who]))
+            chars += sum(map(len, texts))
+            if chars >= SENT_CHARS:
+                yield send(held)
+                held, known, chars = [], set(), 0
+        if held:
+            yield send(held)
+        held = often = None
         give_back()
 
+    def send(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        before = np.cumsum([0, *(len(x[3]) for x in held)])
+        h, early, n, name, comp = (np.concatenate([x[k] for x in held]) for k in (0, 2, 3, 4, 5))
+        doc = np.concatenate([x[1] + b for x, b in zip(held, before.tolist(), strict=False)])
+        order = np.argsort(h, kind="stable")
+        h, doc, early = h[order], doc[order], early[order]
+        shard = h >> U(64 - bits) if bits else np.zeros_like(h)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(h)]]) if len(h) else np.zeros(1, int)
+        out = []
+        for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+            who, at = np.unique(doc[a:b], return_inverse=True)
+            small = zlib.compress(n[who].astype("<u4").tobytes() + (2 * at + early[a:b]).astype("<u4").tobytes(), 1)
+            out.append(np.array([b - a, len(who)], "<u4").tobytes() + h[a:b].tobytes() + name[who].tobytes() + comp[who].tobytes() + small)
+        return arrow_rows(_POSTINGS, [shard[edges[:-1]].view(np.int64) if len(h) else [], out])
+
     return docs.mapInArrow(run, "shard long, data binary")
 
 

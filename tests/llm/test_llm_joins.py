@@ -6,12 +6,14 @@ import string
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from llm_cases import edge_rows, empty, frame
 from oracle_harness import compare
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import fingerprints, jaccard_join, mixing, secret_scan, topk_search
+from ledgerlens.llm.common import small_batches
 from ledgerlens.llm.queries import ORACLE, QUERIES
 
 rnd = random.Random(11)
@@ -472,3 +474,66 @@ def test_pipeline_stages(spark, tmp_path):
             assert set(kept) == {x["doc_id"] for x in before.collect()}
     again = corpus_pipeline.run(spark, folder)
     assert sorted(map(str, (x["doc_id"] for x in again.collect()))) == sorted(map(str, kept))
+
+
+def test_prefixes_are_sent_in_few_blocks_and_texts_read_in_small_slices(monkeypatch):
+    """Small batches don't multiply the blocks of a shard, and a large batch isn't taken into words at once; a set counts once in what is sent together."""
+    class Mapped:
+        def mapInArrow(self, f, schema):
+            self.f = f
+            return self
+
+        repartition = sortWithinPartitions = lambda self, *a: self
+
+    words = [f"w{i}" for i in range(500)]
+    texts = [" ".join(rnd.choice(words) for _ in range(400)) for _ in range(900)]
+    texts += texts[:50]
+    rows = pa.RecordBatch.from_pydict({"doc_id": np.arange(len(texts)), "t": np.arange(len(texts)), "text": texts, "comp": pa.nulls(len(texts), pa.int64())})
+    seen, sets_of = [], jaccard_join.sets_of
+    monkeypatch.setattr(jaccard_join, "sets_of", lambda x, width: seen.append(sum(map(len, x))) or sets_of(x, width))
+    frequent = np.ones(1 << jaccard_join.SLOT_BITS, np.uint8)
+
+    def blocks(size):
+        run = jaccard_join.postings(Mapped(), 5, 75, 3, frequent).f
+        return [x for b in run(iter([rows.slice(k, size) for k in range(0, len(texts), size)])) for x in b.to_pylist()]
+
+    whole = blocks(len(texts))
+    assert len(whole) == len({x["shard"] for x in whole}) > 1 and blocks(100) == whole
+    assert max(seen) <= 1_000_000 < sum(map(len, texts))
+    found = []
+    made = Mapped()
+    made.mapInArrow = lambda f, schema: found.append(f) or made
+    jaccard_join.facts(made, 5, 3)
+    parts = [x for b in found[0](iter([rows])) for x in b.to_pylist()]
+    assert [x["s"] for x in parts[:50]] == [x["s"] for x in parts[900:950]]
+    sent = sum(int(np.frombuffer(x["data"], "<u4", 1)[0]) for x in parts if x["data"] is not None)
+    assert sent == sum(x["n"] for x in parts[:900])
+    assert max(seen) <= 1_000_000
+
+
+def test_pipeline_sends_small_batches(spark, monkeypatch):
+    """Each stage with workers bounds the Arrow batches by bytes, unless the session has a bound of its own."""
+    class Reached(Exception):
+        pass
+
+    def stop(*a, **b):
+        raise Reached
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(corpus_pipeline.toxicity, "train", stop)
+    monkeypatch.setattr(corpus_pipeline, "spill", stop)
+    monkeypatch.setattr(corpus_pipeline.packing, "pieces", stop)
+    docs = frame(spark, [(1, "a b", "en", "a", 3)])
+    try:
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_duplicates, corpus_pipeline.pack_sequences):
+            spark.conf.unset(key)
+            try:
+                stage(spark, docs, "/root/testdata/sf0.001")
+            except Reached:
+                pass
+            assert spark.conf.get(key) == f"{4 << 20}b", stage
+        spark.conf.set(key, "16m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "16m"
+    finally:
+        spark.conf.unset(key)
